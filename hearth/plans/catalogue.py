@@ -376,3 +376,77 @@ def q_deal_quality(spark, d):
     j = lab.join(means, "neighborhood", "left")
     j = j.withColumn("true_deal", deal_label(F.col("asking_price"), F.col("_true_pred")))
     return deals.deal_quality(j)
+
+
+# --- model ---------------------------------------------------------------------------
+# The catalogue fits a reduced search (2 parameter maps, 2 folds, at most 10 trees) so the
+# check stays quick; ``model.fit_search`` defaults to the full 15 × 3-fold search.
+
+def _fit(spark, d):
+    from ..operators import model as M
+    train, test = _split(spark, d)
+    cvm, maps = M.fit_search(train, n_iter=2, folds=2, learning_rates=(0.1, 0.2), max_depths=(3, 4),
+                             n_estimators=(5, 10))
+    return M, cvm, maps, train, test
+
+
+@query("gbt_predictions")
+def q_gbt_predictions(spark, d):
+    from ..session import work_dir
+    M, cvm, _, _, test = _fit(spark, d)
+    path = M.save_model(cvm.bestModel, work_dir(spark, "rent-model"))
+    loaded = M.load_model(path)
+    req = validation.validate_requests(adapters.requests(spark, d)).where(F.col("reject_reason").isNull())
+    return M.predict(loaded, req.drop("reject_reason"))
+
+
+@query("cv_results")
+def q_cv_results(spark, d):
+    M, cvm, maps, _, _ = _fit(spark, d)
+    return M.search_results(spark, cvm, maps)
+
+
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    M, cvm, _, _, _ = _fit(spark, d)
+    return M.feature_importance(spark, cvm.bestModel)
+
+
+@query("model_metrics")
+def q_model_metrics(spark, d):
+    """MAE, RMSE, R² and MAPE of the best model on the held-out split."""
+    M, cvm, _, _, test = _fit(spark, d)
+    scored = cvm.bestModel.transform(M.training_frame(test))
+    return metrics.regression_metrics(scored)
+
+
+# --- streaming -------------------------------------------------------------------------
+# Each runs an availableNow stream to completion under the shared checkpoint root and
+# returns the written result.
+
+@query("stream_upsert")
+def q_stream_upsert(spark, d):
+    from ..session import work_dir
+    from ..streaming import listings as S
+    return S.read_snapshot(spark, S.run_upsert_stream(spark, d, work_dir(spark, "stream-upsert")))
+
+
+@query("stream_current")
+def q_stream_current(spark, d):
+    from ..session import work_dir
+    from ..streaming import listings as S
+    return S.read_snapshot(spark, S.run_current_view(spark, d, work_dir(spark, "stream-current")))
+
+
+@query("stream_alerts")
+def q_stream_alerts(spark, d):
+    from ..session import work_dir
+    from ..streaming import listings as S
+    return spark.read.parquet(S.run_alert_stream(spark, d, work_dir(spark, "stream-alerts"), 25.0, "ck"))
+
+
+@query("stream_alert_once")
+def q_stream_alert_once(spark, d):
+    from ..session import work_dir
+    from ..streaming import listings as S
+    return spark.read.parquet(S.run_alert_once(spark, d, work_dir(spark, "stream-alert-once"), 25.0, "ck"))
