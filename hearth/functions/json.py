@@ -29,6 +29,16 @@ FALSE_STRINGS = ("0", "off", "f", "false", "n", "no")
 _INTEGRAL_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    Chained projections that reference an expensive column several times are
+    collapsed by the optimizer into one expression that repeats it; binding
+    through a one-element ``transform`` keeps a single evaluation per row.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def kind(v: Column) -> Column:
     """Type name of a variant value: OBJECT<…>, ARRAY<…>, STRING, BIGINT, DECIMAL(p,s), BOOLEAN, VOID."""
     return F.schema_of_variant(v)
@@ -38,58 +48,58 @@ def field(x: Column, name: str) -> Column:
     return F.try_variant_get(x, f"$.{name}", "variant")
 
 
-def _is_object(x: Column) -> Column:
-    return kind(x).startswith("OBJECT")
+LISTING_FIELDS = ("title", "monthly_rent_eur", "neighborhood", "rooms", "is_pet_friendly")
 
 
-def _str_ok(f: Column) -> Column:
-    return F.coalesce(kind(f) == "STRING", F.lit(False))
+def probe(x: Column) -> Column:
+    """Per element, each field once with its type name (kinds are computed once, then reused)."""
+    parts = [kind(x).alias("k")]
+    for i, name in enumerate(LISTING_FIELDS):
+        f = field(x, name)
+        parts += [f.alias(f"v{i}"), kind(f).alias(f"k{i}")]
+    return F.struct(*parts)
 
 
-def _int_value(f: Column) -> Column:
-    k = kind(f)
-    dec = F.try_variant_get(f, "$", "decimal(38,18)")
-    as_int = F.try_variant_get(f, "$", "bigint")
-    s = F.try_variant_get(f, "$", "string")
-    return (F.when(k.isin(*_INTEGRAL_KINDS), as_int)
-            .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"),
-                  F.when(dec == F.floor(dec), dec.cast("bigint")))
-            .when(k == "STRING", F.when(s.rlike(r"^\s*[+-]?[0-9]+\s*$"), dec.cast("bigint")))
-            .when(k == "BOOLEAN", as_int))
+def _str_value(v: Column, k: Column) -> Column:
+    return F.when(k == "STRING", F.try_variant_get(v, "$", "string"))
 
 
-def _int32(f: Column) -> Column:
-    v = _int_value(f)
-    return F.when(v.between(-(2 ** 31), 2 ** 31 - 1), v.cast("int"))
+def _int_value(v: Column, k: Column) -> Column:
+    dec = F.try_variant_get(v, "$", "decimal(38,18)")
+    as_int = F.try_variant_get(v, "$", "bigint")
+    s = F.try_variant_get(v, "$", "string")
+    wide = (F.when(k.isin(*_INTEGRAL_KINDS) | (k == "BOOLEAN"), as_int)
+            .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"),
+                  F.when(dec == F.floor(dec), dec.cast("bigint")))
+            .when(k == "STRING", F.when(s.rlike(r"^\s*[+-]?[0-9]+\s*$"), dec.cast("bigint"))))
+    return F.when(wide.between(-(2 ** 31), 2 ** 31 - 1), wide.cast("int"))
 
 
-def _bool_value(f: Column) -> Column:
-    k = kind(f)
-    s = F.lower(F.trim(F.try_variant_get(f, "$", "string")))
-    i = F.try_variant_get(f, "$", "bigint")
-    return (F.when(k == "BOOLEAN", F.try_variant_get(f, "$", "boolean"))
+def _bool_value(v: Column, k: Column) -> Column:
+    s = F.lower(F.trim(F.try_variant_get(v, "$", "string")))
+    i = F.try_variant_get(v, "$", "bigint")
+    return (F.when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
             .when(k == "STRING", F.when(s.isin(*TRUE_STRINGS), F.lit(True))
                   .when(s.isin(*FALSE_STRINGS), F.lit(False)))
             .when(k.isin(*_INTEGRAL_KINDS), F.when(i == 1, F.lit(True)).when(i == 0, F.lit(False))))
 
 
-def typed_listing(x: Column) -> Column:
-    """Coerced listing struct; a field is NULL when it fails validation."""
-    t, r, n, m, p = (field(x, c) for c in
-                     ("title", "monthly_rent_eur", "neighborhood", "rooms", "is_pet_friendly"))
-    return F.struct(
-        F.when(_str_ok(t), F.try_variant_get(t, "$", "string")).alias("title"),
-        _int32(r).alias("monthly_rent_eur"),
-        F.when(_str_ok(n), F.try_variant_get(n, "$", "string")).alias("neighborhood"),
-        _int32(m).alias("rooms"),
-        _bool_value(p).alias("is_pet_friendly"))
+def coerce(p: Column) -> Column:
+    """Typed listing from a probe struct; ``ok`` is false when any field fails validation."""
+    title = _str_value(p["v0"], p["k0"])
+    rent = _int_value(p["v1"], p["k1"])
+    nbh = _str_value(p["v2"], p["k2"])
+    rooms = _int_value(p["v3"], p["k3"])
+    pets = _bool_value(p["v4"], p["k4"])
+    return F.struct(F.coalesce(p["k"].startswith("OBJECT"), F.lit(False)).alias("is_object"),
+                    title.alias("title"), rent.alias("monthly_rent_eur"), nbh.alias("neighborhood"),
+                    rooms.alias("rooms"), pets.alias("is_pet_friendly"))
 
 
-def listing_ok(x: Column) -> Column:
-    s = typed_listing(x)
-    return F.coalesce(_is_object(x) & s["title"].isNotNull() & s["monthly_rent_eur"].isNotNull()
-                      & s["neighborhood"].isNotNull() & s["rooms"].isNotNull()
-                      & s["is_pet_friendly"].isNotNull(), F.lit(False))
+def listing_ok(c: Column) -> Column:
+    """For a coerced listing: an object with all five fields valid."""
+    return (c["is_object"] & c["title"].isNotNull() & c["monthly_rent_eur"].isNotNull()
+            & c["neighborhood"].isNotNull() & c["rooms"].isNotNull() & c["is_pet_friendly"].isNotNull())
 
 
 def parse_reply(text: Column) -> Column:
@@ -123,9 +133,28 @@ def candidates(v: Column, rk: Column) -> Column:
             .when(rk == "string", F.when(~s.contains("listings"), empty)))
 
 
-def accepted(cands: Column) -> Column:
-    return F.coalesce(F.forall(cands, listing_ok), F.lit(False))
+def coerce_all(cands: Column) -> Column:
+    """array<variant> → array of coerced listings (two passes so each field's kind is computed once)."""
+    return F.transform(F.transform(cands, probe), coerce)
+
+
+def accepted(coerced: Column) -> Column:
+    return F.coalesce(F.forall(coerced, listing_ok), F.lit(False))
+
+
+def parse_and_coerce(text: Column) -> Column:
+    """struct(root_kind, n_candidates, accepted, listings) for a reply text, each step evaluated once."""
+    def with_root(v):
+        return let(F.struct(v.alias("v"), root_kind(v).alias("rk")), _with_candidates)
+
+    def _with_candidates(r):
+        return let(F.struct(r["rk"].alias("rk"), coerce_all(candidates(r["v"], r["rk"])).alias("c")), _finish)
 
+    def _finish(x):
+        ok = F.coalesce(F.forall(x["c"], listing_ok), F.lit(False))
+        n = F.size(x["c"])
+        return F.struct(x["rk"].alias("root_kind"),
+                        F.when(n >= 0, n.cast("int")).alias("n_candidates"),
+                        ok.alias("accepted"), x["c"].alias("listings"))
 
-def typed_listings(cands: Column) -> Column:
-    return F.transform(cands, typed_listing)
+    return let(parse_reply(text), with_root)

@@ -15,7 +15,7 @@ BLOCK_TAGS = ("address", "article", "aside", "blockquote", "dd", "div", "dl", "d
               "thead", "tr", "ul")
 # Named character references decoded after tag removal (&amp; last).
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+            ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 _PAIRED = [t for t in DROPPED_ELEMENTS if t != "img"]
 BODY_RE = r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"

@@ -66,35 +66,39 @@ def render_replies(listings: DataFrame, group_size: int = 4) -> DataFrame:
     return grouped.select("reply_id", "shape", reply.alias("reply"))
 
 
-def repair_replies(replies: DataFrame) -> DataFrame:
-    """(reply_id, root_kind, n_candidates): the root shape and the repaired list size."""
-    v = J.parse_reply(F.col("reply"))
-    parsed = replies.select("reply_id", v.alias("_v"))
-    rk = J.root_kind(F.col("_v"))
-    with_kind = parsed.select("reply_id", "_v", rk.alias("root_kind"))
-    return with_kind.select("reply_id", "root_kind",
-                            F.size(J.candidates(F.col("_v"), F.col("root_kind"))).alias("_n")
-                            ).select("reply_id", "root_kind",
-                                     F.when(F.col("_n") >= 0, F.col("_n").cast("int")).alias("n_candidates"))
+def _parsed(replies: DataFrame) -> DataFrame:
+    """(reply_id, _r) with _r = struct(root_kind, n_candidates, accepted, listings)."""
+    return replies.select("reply_id", J.parse_and_coerce(F.col("reply")).alias("_r"))
 
 
-def _parsed(replies: DataFrame) -> DataFrame:
-    v = J.parse_reply(F.col("reply"))
-    p = replies.select("reply_id", v.alias("_v"))
-    p = p.select("reply_id", "_v", J.root_kind(F.col("_v")).alias("root_kind"))
-    return p.select("reply_id", "root_kind", J.candidates(F.col("_v"), F.col("root_kind")).alias("_c"))
+def _fields(cols):
+    """Several fields of _r through one binding (so _r is not recomputed per field)."""
+    return J.let(F.col("_r"), lambda r: F.struct(*[r[c].alias(c) for c in cols]))
 
 
-def validate_replies(replies: DataFrame) -> DataFrame:
-    """(reply_id, accepted, n_listings): one invalid listing rejects the whole reply."""
-    p = _parsed(replies)
-    ok = J.accepted(F.col("_c"))
-    return p.select("reply_id", ok.alias("accepted"),
-                    F.when(ok, F.size("_c")).otherwise(F.lit(0)).cast("int").alias("n_listings"))
+def repair_replies(replies: DataFrame) -> DataFrame:
+    """(reply_id, root_kind, n_candidates): the root shape and the repaired list size."""
+    return (_parsed(replies).select("reply_id", _fields(["root_kind", "n_candidates"]).alias("_o"))
+            .select("reply_id", "_o.*"))
 
 
-def reply_listings(replies: DataFrame) -> DataFrame:
-    """Listings of accepted replies, one row each: (reply_id, position, five typed fields)."""
-    p = _parsed(replies).where(J.accepted(F.col("_c")))
-    return (p.select("reply_id", F.posexplode(J.typed_listings(F.col("_c"))).alias("_pos", "_l"))
-            .select("reply_id", (F.col("_pos") + 1).cast("int").alias("position"), "_l.*"))
+def validate_replies(replies: DataFrame) -> DataFrame:
+    """(reply_id, accepted, n_listings): one invalid listing rejects the whole reply."""
+    out = J.let(F.col("_r"), lambda r: F.struct(
+        r["accepted"].alias("accepted"),
+        F.when(r["accepted"], F.size(r["listings"])).otherwise(F.lit(0)).cast("int").alias("n_listings")))
+    return _parsed(replies).select("reply_id", out.alias("_o")).select("reply_id", "_o.*")
+
+
+def reply_listings(replies: DataFrame, all_or_nothing: bool = True) -> DataFrame:
+    """Listings of accepted replies, one row each: (reply_id, position, five typed fields).
+
+    ``all_or_nothing=False`` keeps the valid listings of partly invalid replies instead.
+    """
+    if all_or_nothing:
+        items = J.let(F.col("_r"), lambda r: F.when(r["accepted"], r["listings"]))
+    else:
+        items = J.let(F.col("_r"), lambda r: F.filter(r["listings"], J.listing_ok))
+    rows = (_parsed(replies).select("reply_id", F.posexplode(items).alias("_pos", "_l"))
+            .select("reply_id", (F.col("_pos") + 1).cast("int").alias("position"), "_l"))
+    return rows.select("reply_id", "position", *[F.col(f"_l.{c}").alias(c) for c in J.LISTING_FIELDS])

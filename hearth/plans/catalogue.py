@@ -313,7 +313,7 @@ def q_page_text(spark, d):
 
 @query("page_gate")
 def q_page_gate(spark, d):
-    return pages.gate_pages(pages.page_texts(_pages(spark, d)))
+    return pages.gate_pages(_pages(spark, d))
 
 
 def _replies(spark, d):

@@ -5,9 +5,11 @@ from pyspark.sql import types as T
 LISTING_COLUMNS = ("id", "title", "monthly_rent_eur", "neighborhood", "rooms",
                    "is_pet_friendly", "first_seen", "last_seen")
 
+# NOT NULL (title, rent, neighborhood) is checked by the validation operators, not the schema,
+# so that rows breaking it can be reported rather than failing the read.
 LISTING_SCHEMA = T.StructType([
     T.StructField("id", T.LongType(), False),
-    T.StructField("title", T.StringType(), False),
+    T.StructField("title", T.StringType(), True),
     T.StructField("monthly_rent_eur", T.DoubleType(), True),
     T.StructField("neighborhood", T.StringType(), True),
     T.StructField("rooms", T.IntegerType(), True),

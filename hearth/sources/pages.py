@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MIN_PAGE_CHARS, PROMPT_CHARS
+from ..functions import json as J
 from ..functions.text import html_to_text, prompt_text
 
 DEFAULT_PAGES = 5
@@ -38,8 +39,19 @@ def page_texts(pages: DataFrame) -> DataFrame:
             .withColumn("n_chars", F.length("text").cast("int")))
 
 
-def gate_pages(texts: DataFrame, min_chars: int = MIN_PAGE_CHARS, prompt_chars: int = PROMPT_CHARS) -> DataFrame:
-    """Pages long enough to extract from, with the model input (its first ``prompt_chars`` characters)."""
-    return (texts.where(F.col("n_chars") >= min_chars)
-            .select("page_id", "n_chars", prompt_text(F.col("text"), prompt_chars).alias("prompt_text"))
-            .withColumn("prompt_chars", F.length("prompt_text").cast("int")))
+def gate_pages(pages: DataFrame, min_chars: int = MIN_PAGE_CHARS, prompt_chars: int = PROMPT_CHARS) -> DataFrame:
+    """Pages whose text is long enough to extract from, with the model input (first ``prompt_chars`` chars).
+
+    Filter and projection happen in one generator (``inline`` of a zero- or
+    one-element array), so the text of a page is computed once: a Filter on
+    the text length would be pushed below the projection and repeat it.
+    """
+    def keep(t):
+        n = F.length(t).cast("int")
+        p = prompt_text(t, prompt_chars)
+        row = F.struct(n.alias("n_chars"), p.alias("prompt_text"), F.length(p).cast("int").alias("prompt_chars"))
+        return F.when(n >= min_chars, F.array(row)).otherwise(F.array().cast(
+            "array<struct<n_chars:int,prompt_text:string,prompt_chars:int>>"))
+
+    g = J.let(html_to_text(F.col("html")), keep)
+    return pages.select("page_id", F.inline(g))
