@@ -18,6 +18,18 @@ def label_deals(df: DataFrame, asking: str = "asking_price", pred: str = "predic
                      delta_percent(a, p).alias("delta_percent"), deal_label(a, p, band).alias("deal"))
 
 
+def deal_message(deal: str = "deal", pct: str = "delta_percent", asking: str = "asking_price",
+                 pred: str = "predicted_rent_eur"):
+    """Human-readable verdict: how far above/below the prediction, in one decimal."""
+    great, fair, over = DEAL_LABELS
+    p = F.format_number(F.abs(F.col(pct)), 1)
+    tail = F.concat(F.lit(" (Asking: €"), F.format_number(F.col(asking), 2), F.lit(" vs Predicted: €"),
+                    F.format_number(F.col(pred), 2), F.lit(")"))
+    return (F.when(F.col(deal) == over, F.concat(F.lit("Overpriced by ~"), p, F.lit("%"), tail))
+            .when(F.col(deal) == great, F.concat(F.lit("Great Deal! Below market by ~"), p, F.lit("%"), tail))
+            .otherwise(F.concat(F.lit("Fair Price within the ±10% band"), tail)))
+
+
 def deal_quality(df: DataFrame, predicted: str = "deal", actual: str = "true_deal",
                  positive: str = DEAL_LABELS[0], scale: int = 6) -> DataFrame:
     """Accuracy over all labels, precision and recall for the positive label."""

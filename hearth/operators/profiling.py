@@ -164,3 +164,45 @@ def quality_rates(df: DataFrame, key: Sequence[str] = LISTING_KEY,
             .select("rows", "distinct_keys", "valid_rows", "completeness_percent",
                     F.round(F.col("distinct_keys") * 100.0 / F.col("rows"), 6).alias("uniqueness_percent"),
                     F.round(F.col("valid_rows") * 100.0 / F.col("rows"), 6).alias("validity_percent")))
+
+
+def summary_stats(df: DataFrame) -> DataFrame:
+    """Min, max and mean of rooms and rent, and the number of distinct neighborhoods."""
+    return df.agg(F.min("rooms").alias("min_rooms"), F.max("rooms").alias("max_rooms"),
+                  F.round(F.avg("rooms"), 6).alias("avg_rooms"),
+                  F.min(TARGET).alias("min_rent"), F.max(TARGET).alias("max_rent"),
+                  F.round(F.avg(TARGET), 6).alias("avg_rent"),
+                  F.count_distinct("neighborhood").alias("neighborhoods"))
+
+
+def profile_report(df: DataFrame, extraction_time: str, category: str = "neighborhood",
+                   flag: str = "is_pet_friendly", k: int = TOP_CATEGORIES) -> DataFrame:
+    """The whole profile as one row of nested sections (for the JSON report).
+
+    Every section is bounded by the number of profiled columns or by ``k``;
+    the full category distribution stays a table (``category_profile``).
+    """
+    def section(d: DataFrame, name: str) -> DataFrame:
+        return d.agg(F.collect_list(F.struct(*d.columns)).alias(name))
+
+    top = top_categories(df, category, k)
+    cats = category_profile(df, category).select("unique_values").limit(1)
+    head = df.agg(F.count(F.lit(1)).alias("record_count")).select(
+        F.lit(extraction_time).alias("extraction_time"), "record_count",
+        F.lit(len(df.columns)).alias("column_count"))
+    parts = [
+        section(schema_profile(df), "schema"),
+        section(null_distribution(df), "null_distribution"),
+        section(numeric_profile(df), "numeric_statistics"),
+        section(anomaly_profile(df), "anomalies"),
+        section(outlier_samples(df), "outlier_samples"),
+        top.agg(F.map_from_entries(F.collect_list(F.struct(category, "listings"))).alias("top_categories")),
+        cats.select(F.col("unique_values").alias("category_unique_values")),
+        boolean_profile(df, flag).select(F.struct("true_count", "false_count", "null_count").alias(flag)),
+        date_range(df),
+        completeness(df).select("completeness_percent"),
+    ]
+    out = head
+    for p in parts:
+        out = out.crossJoin(p)
+    return out

@@ -366,7 +366,7 @@ def q_deal_labels(spark, d):
     lab = deals.label_deals(_scored_requests(spark, d))
     return lab.select("request_id", "asking_price", "predicted_rent_eur", _r6(F.col("max_fair")).alias("max_fair"),
                       _r6(F.col("min_fair")).alias("min_fair"), _r6(F.col("delta_percent")).alias("delta_percent"),
-                      "deal")
+                      "deal", _r6(F.abs(F.col("delta_percent"))).alias("abs_delta_percent"))
 
 
 @query("deal_quality")
@@ -450,3 +450,46 @@ def q_stream_alert_once(spark, d):
     from ..session import work_dir
     from ..streaming import listings as S
     return spark.read.parquet(S.run_alert_once(spark, d, work_dir(spark, "stream-alert-once"), 25.0, "ck"))
+
+
+# --- summaries, report and file round trip ---------------------------------------------
+
+@query("summary_stats")
+def q_summary_stats(spark, d):
+    return profiling.summary_stats(_clean(spark, d))
+
+
+@query("profile_report")
+def q_profile_report(spark, d):
+    """The full profile of the cleaned table as one nested row, written as JSON and read back."""
+    from ..session import work_dir
+    from ..sources import tables
+    clean = _clean(spark, d).persist()  # every section reads it; spills to disk when large
+    try:
+        report = profiling.profile_report(clean, extraction_time="2024-01-31T00:00:00")
+        path = work_dir(spark, "profile-report")
+        tables.write_json_report(report, path)
+    finally:
+        clean.unpersist()
+    return spark.read.json(path)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    """Cleaned listings exported as CSV with a header and read back with the listing schema."""
+    from ..session import work_dir
+    from ..sources import tables
+    path = work_dir(spark, "listings-csv")
+    tables.write_csv(_clean(spark, d), path)
+    return tables.read_first_available(spark, [("csv", f"{path}/missing"), ("csv", path)])
+
+
+@query("scoring_responses")
+def q_scoring_responses(spark, d):
+    """Validated requests answered as JSON bodies: {"predicted_rent_eur": x} or the rejection reason."""
+    model, _, _ = _smoothed(spark, d)
+    req = validation.validate_requests(adapters.requests(spark, d))
+    scored = model.transform(req, out="_p")
+    body = F.when(F.col("reject_reason").isNull(),
+                  F.to_json(F.struct(F.round("_p", 2).alias("predicted_rent_eur"))))
+    return scored.select("request_id", body.alias("response"), "reject_reason")

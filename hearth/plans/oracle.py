@@ -341,7 +341,7 @@ WHERE shape <> 3 OR position = 1""",
 FROM valid WHERE monthly_rent_eur <= 25.0 AND contains(neighborhood, 'ck')""",
     "deal_labels": OBS_CLEAN.rstrip("\n") + ",\n" + SPLIT + ",\n" + REQ + ",\n" + DEAL + """
 SELECT request_id, asking_price, predicted_rent_eur, round(max_fair, 6) AS max_fair, round(min_fair, 6) AS min_fair,
-  round(delta_percent, 6) AS delta_percent, deal FROM lab""",
+  round(delta_percent, 6) AS delta_percent, deal, round(abs(delta_percent), 6) AS abs_delta_percent FROM lab""",
     "deal_quality": OBS_CLEAN.rstrip("\n") + ",\n" + SPLIT + ",\n" + REQ + ",\n" + DEAL + """,
 truth AS (SELECT neighborhood, avg(monthly_rent_eur) AS tp FROM clean GROUP BY neighborhood),
 j AS (SELECT lab.*, CASE WHEN asking_price > tp * 1.1 THEN 'Overpriced' WHEN asking_price < tp * 0.9 THEN 'Great Deal'
@@ -382,6 +382,18 @@ def _bigint_count_if(sql: str) -> str:
 
 ORACLE = {name: _bigint_count_if(sql) for name, sql in ORACLE.items()}
 
+ORACLE["summary_stats"] = OBS_CLEAN + """SELECT min(rooms) AS min_rooms, max(rooms) AS max_rooms,
+  round(avg(rooms), 6) AS avg_rooms, min(monthly_rent_eur) AS min_rent, max(monthly_rent_eur) AS max_rent,
+  round(avg(monthly_rent_eur), 6) AS avg_rent, count(DISTINCT neighborhood) AS neighborhoods FROM clean"""
+ORACLE["csv_roundtrip"] = ORACLE["clean_listings"]
+ORACLE["scoring_responses"] = OBS_CLEAN.rstrip("\n") + ",\n" + SPLIT + ",\n" + REQ + """
+SELECT request_id,
+  CASE WHEN neighborhood IS NOT NULL AND rooms IS NOT NULL AND rooms >= 1
+       THEN '{"predicted_rent_eur":' || CAST(round(coalesce(te.enc, prior.prior), 2) AS VARCHAR) || '}' END AS response,
+  CASE WHEN neighborhood IS NULL THEN 'neighborhood: field required' WHEN rooms IS NULL THEN 'rooms: field required'
+       WHEN rooms < 1 THEN 'rooms: must be >= 1' END AS reject_reason
+FROM req LEFT JOIN te USING (neighborhood), prior"""
+
 # Streams started from an empty table give the batch answers.
 ORACLE["stream_upsert"] = ORACLE["observation_rollup"]
 ORACLE["stream_current"] = ORACLE["observation_rollup"]

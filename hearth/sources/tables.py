@@ -11,12 +11,16 @@ from pyspark.sql.utils import AnalysisException
 
 from ..schemas import LISTING_SCHEMA
 
+# CSV keeps microseconds (the default pattern stops at milliseconds).
+CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+               "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
 
 def read_listings(spark: SparkSession, path: str, fmt: str = "parquet",
                   schema: T.StructType = LISTING_SCHEMA) -> DataFrame:
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        return reader.option("header", True).csv(path)
+        return reader.options(**CSV_OPTIONS).csv(path)
     return reader.format(fmt).load(path)
 
 
@@ -45,7 +49,7 @@ def rows_to_frame(spark: SparkSession, rows: Iterable[dict], schema: T.StructTyp
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
