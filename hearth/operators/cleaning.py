@@ -90,8 +90,7 @@ def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "exact") -> DataF
         F.count_if(~F.col("_no_target") & F.col("_no_nbh")).alias("n_imputed"),
         F.count_if(F.col("_rent_out")).alias("n_rent_out"),
         F.count_if(in_rent & ((F.col("_rooms") < mlo) | (F.col("_rooms") > mhi))).alias("n_rooms_out"))
-    n_raw = df.select(F.count(F.lit(1)).alias("n_raw"))
-    t = totals.crossJoin(F.broadcast(n_raw))
+    t = totals.withColumn("n_raw", df.select(F.count(F.lit(1))).scalar())
     n1 = F.col("n_dedup") - F.col("n_no_target")
     n2 = n1 - F.col("n_rent_out")
     n3 = n2 - F.col("n_rooms_out")

@@ -87,8 +87,8 @@ def anomaly_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS
     long = _long(df, cols).join(F.broadcast(b), "column_name")
     out = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     counts = long.groupBy("column_name").agg(F.count_if(out).alias("outlier_count"))
-    total = df.select(F.count(F.lit(1)).alias("_rows"))
-    return (b.join(counts, "column_name", "left").crossJoin(F.broadcast(total))
+    total = df.select(F.count(F.lit(1))).scalar()
+    return (b.join(counts, "column_name", "left").withColumn("_rows", total)
             .select("column_name", "lower_bound", "upper_bound",
                     F.coalesce("outlier_count", F.lit(0)).alias("outlier_count"),
                     _pct(F.coalesce("outlier_count", F.lit(0)), F.col("_rows")).alias("outlier_percent")))
@@ -113,10 +113,10 @@ def outlier_samples(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS
 
 def category_profile(df: DataFrame, col: str = "neighborhood") -> DataFrame:
     """Value counts of a category (NULLs excluded), share of all rows, distinct count."""
-    total = df.select(F.count(F.lit(1)).alias("_rows"))
+    total = df.select(F.count(F.lit(1))).scalar()
     counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("listings"))
-    uniq = counts.select(F.count(F.lit(1)).alias("unique_values"))
-    return (counts.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(uniq))
+    uniq = counts.select(F.count(F.lit(1))).scalar()
+    return (counts.withColumn("_rows", total).withColumn("unique_values", uniq)
             .select(col, "listings", _pct(F.col("listings"), F.col("_rows")).alias("share_percent"),
                     "unique_values"))
 
@@ -158,9 +158,9 @@ def quality_rates(df: DataFrame, key: Sequence[str] = LISTING_KEY,
     lo, hi = price_window
     valid = F.col(TARGET).between(lo, hi) & (F.col("rooms") >= 1)
     base = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(valid).alias("valid_rows"))
-    keys = df.select(*key).distinct().select(F.count(F.lit(1)).alias("distinct_keys"))
-    comp = completeness(df).select("completeness_percent")
-    return (base.crossJoin(F.broadcast(keys)).crossJoin(F.broadcast(comp))
+    keys = df.select(*key).distinct().select(F.count(F.lit(1))).scalar()
+    comp = completeness(df).select("completeness_percent").scalar()
+    return (base.withColumn("distinct_keys", keys).withColumn("completeness_percent", comp)
             .select("rows", "distinct_keys", "valid_rows", "completeness_percent",
                     F.round(F.col("distinct_keys") * 100.0 / F.col("rows"), 6).alias("uniqueness_percent"),
                     F.round(F.col("valid_rows") * 100.0 / F.col("rows"), 6).alias("validity_percent")))
@@ -182,27 +182,26 @@ def profile_report(df: DataFrame, extraction_time: str, category: str = "neighbo
     Every section is bounded by the number of profiled columns or by ``k``;
     the full category distribution stays a table (``category_profile``).
     """
-    def section(d: DataFrame, name: str) -> DataFrame:
-        return d.agg(F.collect_list(F.struct(*d.columns)).alias(name))
+    def section(d: DataFrame):
+        """A one-row, one-column aggregate as a scalar subquery (no joins between sections)."""
+        return d.select(F.struct(*d.columns).alias("_s")).agg(F.collect_list("_s")).scalar()
+
+    def one_row(d: DataFrame):
+        return d.select(F.struct(*d.columns)).scalar()
 
     top = top_categories(df, category, k)
-    cats = category_profile(df, category).select("unique_values").limit(1)
-    head = df.agg(F.count(F.lit(1)).alias("record_count")).select(
+    uniq = df.where(F.col(category).isNotNull()).select(F.count_distinct(category)).scalar()
+    top_map = top.agg(F.map_from_entries(F.collect_list(F.struct(category, "listings")))).scalar()
+    return df.agg(F.count(F.lit(1)).alias("record_count")).select(
         F.lit(extraction_time).alias("extraction_time"), "record_count",
-        F.lit(len(df.columns)).alias("column_count"))
-    parts = [
-        section(schema_profile(df), "schema"),
-        section(null_distribution(df), "null_distribution"),
-        section(numeric_profile(df), "numeric_statistics"),
-        section(anomaly_profile(df), "anomalies"),
-        section(outlier_samples(df), "outlier_samples"),
-        top.agg(F.map_from_entries(F.collect_list(F.struct(category, "listings"))).alias("top_categories")),
-        cats.select(F.col("unique_values").alias("category_unique_values")),
-        boolean_profile(df, flag).select(F.struct("true_count", "false_count", "null_count").alias(flag)),
-        date_range(df),
-        completeness(df).select("completeness_percent"),
-    ]
-    out = head
-    for p in parts:
-        out = out.crossJoin(p)
-    return out
+        F.lit(len(df.columns)).alias("column_count"),
+        section(schema_profile(df)).alias("schema"),
+        section(null_distribution(df)).alias("null_distribution"),
+        section(numeric_profile(df)).alias("numeric_statistics"),
+        section(anomaly_profile(df)).alias("anomalies"),
+        section(outlier_samples(df)).alias("outlier_samples"),
+        top_map.alias("top_categories"),
+        uniq.alias("category_unique_values"),
+        one_row(boolean_profile(df, flag)).alias(flag),
+        one_row(date_range(df)).alias("date_range"),
+        one_row(completeness(df).select("completeness_percent")).alias("completeness"))

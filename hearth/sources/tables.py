@@ -57,8 +57,10 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_json_report(report: DataFrame, path: str) -> None:
-    """The one-row report, with every value rendered as text where JSON has no type for it."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    """The one-row report as a single JSON file (one row, so one partition is its natural size)."""
+    report.coalesce(1).write.mode("overwrite").options(
+        timestampNTZFormat=CSV_OPTIONS["timestampNTZFormat"], timestampFormat=CSV_OPTIONS["timestampFormat"]
+    ).json(path)
 
 
 LISTINGS_DDL = """CREATE TABLE IF NOT EXISTS {name} (
@@ -77,15 +79,3 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
-
-
-def report_struct(**sections: DataFrame) -> DataFrame:
-    """Fold several small profile DataFrames into one row of arrays of structs (for the JSON report).
-
-    Each section must be small by construction (one row per profiled column or category list).
-    """
-    out = None
-    for name, df in sections.items():
-        part = df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
-        out = part if out is None else out.crossJoin(part)
-    return out
