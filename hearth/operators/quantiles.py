@@ -4,12 +4,17 @@
 to one row per distinct value (a map-side combined aggregate, so a hot value is
 one row), and the percentile state then holds distinct values, not rows. That
 is bounded by the value domain (whole euros, room counts).
-``approx``: ``percentile_approx`` with fixed-size sketches, for continuous
-columns whose distinct count grows with the data.
+``distributed``: exact as well, without any task holding all distinct values:
+approximate equi-depth splits over the distinct values (a bounded list of
+``buckets - 1`` numbers) bucket the values; exact per-bucket counts give each
+bucket's rank range; exact ranks are then computed only inside the buckets
+that contain the wanted ranks. For continuous columns at any scale.
+``approx``: ``percentile_approx`` with fixed-size sketches.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,10 +22,12 @@ from pyspark.sql import functions as F
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], method: str = "exact",
-              accuracy: int = 100000) -> DataFrame:
+              accuracy: int = 100000, buckets: int = 1024) -> DataFrame:
     """One row with an array column ``q`` holding the requested quantiles."""
     c = F.col(col)
     p = F.array(*[F.lit(float(x)) for x in probs])
+    if method == "distributed":
+        return distributed_quantiles(df, col, probs, buckets)
     if method == "approx":
         return df.agg(F.percentile_approx(c.cast("double"), p, accuracy).alias("q"))
     if method != "exact":
@@ -29,6 +36,53 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], method: str = "ex
     return counts.agg(F.percentile(F.col("_v"), p, F.col("_n")).alias("q"))
 
 
+def distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1024) -> DataFrame:
+    """Exact quantiles (linear interpolation, as ``percentile``) with per-task state bounded by
+    about distinct_values / buckets. The split list is the only driver-side value (``buckets - 1`` numbers).
+    """
+    from pyspark.ml.feature import Bucketizer
+    from pyspark.sql import Window
+
+    from ..session import checkpoint_root
+
+    v = F.col(col).cast("double")
+    counts = df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    # The value counts feed five branches below; writing them once to the shared checkpoint
+    # folder cuts the lineage (no branch recomputes the input, and the plan stays small).
+    checkpoint_root(df.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    grid = [i / buckets for i in range(1, buckets)]
+    cut = counts.agg(F.percentile_approx("_v", grid, 10 * buckets)).first()[0] or []
+    splits = [float("-inf")] + sorted(set(cut)) + [float("inf")]
+    b = Bucketizer(splits=splits, inputCol="_v", outputCol="_b").transform(counts)
+    # rank range [start, end) of every bucket: a running sum over at most `buckets` rows
+    per_bucket = b.groupBy("_b").agg(F.sum("_n").alias("_t"))
+    run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = (per_bucket.withColumn("_end", F.sum("_t").over(run))
+              .withColumn("_start", F.col("_end") - F.col("_t")))
+    n = counts.select(F.sum("_n")).scalar()
+    pos = [(n - 1) * F.lit(float(x)) for x in probs]
+    ranks = []
+    for ps in pos:
+        ranks += [F.floor(ps), F.ceil(ps)]
+    contains = [(F.col("_start") <= r) & (r < F.col("_end")) for r in ranks]
+    hit = ranges.where(functools.reduce(lambda a, c: a | c, contains))
+    # at most 2 × len(probs) buckets are kept, so the broadcast side has a fixed bound
+    cand = b.join(F.broadcast(hit.select("_b", "_start")), "_b")
+    inner = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cand = cand.withColumn("_ce", F.col("_start") + F.sum("_n").over(inner)).withColumn(
+        "_cs", F.col("_ce") - F.col("_n"))
+    at = [F.max(F.when((F.col("_cs") <= r) & (r < F.col("_ce")), F.col("_v"))) for r in ranks]
+    vals = cand.agg(*[a.alias(f"_r{i}") for i, a in enumerate(at)])
+    out = []
+    for i, ps in enumerate(pos):
+        lo, hi = F.col(f"_r{2 * i}"), F.col(f"_r{2 * i + 1}")
+        lower, higher = F.floor(ps), F.ceil(ps)
+        # the same interpolation form as Spark's percentile
+        out.append(F.when(lower == higher, lo).otherwise((higher - ps) * lo + (ps - lower) * hi))
+    return vals.select(F.array(*out).alias("q"))
+
+
 def iqr_stats(df: DataFrame, col: str, factor: float = 1.5, method: str = "exact") -> DataFrame:
     """One row: q1, q3, iqr, lower, upper (Tukey fences over non-null values)."""
     q = quantiles(df, col, (0.25, 0.75), method)

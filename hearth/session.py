@@ -16,6 +16,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.driver.memory": "8g",  # only applies when this call starts the JVM (local runs)
 }
 
 
