@@ -61,8 +61,17 @@ def remove_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, method: str = "exact
 
 
 def clean_listings(df: DataFrame, tie_cols=("id",), method: str = "exact") -> DataFrame:
-    """Deduplicate → drop missing target → fill category → remove outliers."""
-    return remove_outliers(handle_missing_values(keep_latest(df, tie_cols=tie_cols)), method=method)
+    """Deduplicate → drop missing target → fill category → remove outliers.
+
+    With ``method="distributed"`` the deduplicated table is written once to the shared
+    checkpoint folder first: its fences need eager steps, and they and the filters then
+    read the written table instead of deduplicating the input again.
+    """
+    base = handle_missing_values(keep_latest(df, tie_cols=tie_cols))
+    if method == "distributed":
+        from ..session import cut_lineage
+        base = cut_lineage(base)
+    return remove_outliers(base, method=method)
 
 
 def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "exact") -> DataFrame:

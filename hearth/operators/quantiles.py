@@ -36,21 +36,30 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], method: str = "ex
     return counts.agg(F.percentile(F.col("_v"), p, F.col("_n")).alias("q"))
 
 
-def distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1024) -> DataFrame:
+SINGLE_TASK_DISTINCT = 200_000
+
+
+def distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1024,
+                          single_task_distinct: int = SINGLE_TASK_DISTINCT) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``percentile``) with per-task state bounded by
     about distinct_values / buckets. The split list is the only driver-side value (``buckets - 1`` numbers).
+
+    When the checked number of distinct values is at most ``single_task_distinct``, one
+    ``percentile`` merge over the value counts is used instead (its state is bounded by the check).
     """
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql import Window
 
-    from ..session import checkpoint_root
+    from ..session import cut_lineage
 
     v = F.col(col).cast("double")
     counts = df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     # The value counts feed five branches below; writing them once to the shared checkpoint
     # folder cuts the lineage (no branch recomputes the input, and the plan stays small).
-    checkpoint_root(df.sparkSession)
-    counts = counts.checkpoint(eager=True)
+    counts = cut_lineage(counts)
+    if counts.count() <= single_task_distinct:
+        p = F.array(*[F.lit(float(x)) for x in probs])
+        return counts.agg(F.percentile(F.col("_v"), p, F.col("_n")).alias("q"))
     grid = [i / buckets for i in range(1, buckets)]
     cut = counts.agg(F.percentile_approx("_v", grid, 10 * buckets)).first()[0] or []
     splits = [float("-inf")] + sorted(set(cut)) + [float("inf")]

@@ -58,3 +58,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def cut_lineage(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+
+    The frame is persisted while the checkpoint is written, because a reliable
+    checkpoint otherwise computes its input twice (once to count, once to write).
+    The written copy survives executor loss; nothing uses ``localCheckpoint``.
+    """
+    checkpoint_root(df.sparkSession)
+    cached = df.persist()
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()

@@ -11,8 +11,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Hash key used to spread a table whose scan yields too few tasks (see ``spread``).
+SPREAD_KEYS = {"events": ("event_id",), "lineitem": ("l_orderkey", "l_linenumber"), "pages": ("page_id",),
+               "part": ("p_partkey",)}
+
+
+def spread(df: DataFrame, keys) -> DataFrame:
+    """Hash-repartition on ``keys`` only when the scan has fewer partitions than the default parallelism.
+
+    Large inputs already scan as many splits and are returned unchanged; a small table stored
+    as one row group would otherwise run every row-level expression in a single task. Hash
+    (not round-robin) partitioning keeps recomputed partitions identical after an executor loss.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if not keys or df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, *keys)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, SPREAD_KEYS.get(name, ()))
 
 
 def nan_to_null(c: Column) -> Column:
