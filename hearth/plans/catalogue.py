@@ -273,9 +273,10 @@ def q_category_vocabulary(spark, d):
 def _upsert_inputs(spark, d):
     """Valid observations split at the midpoint of their time range: before → target, after → batch."""
     valid = validation.not_null_rows(_obs(spark, d))
+    # midpoint on the wall clock (TIMESTAMP_NTZ arithmetic, independent of the session time zone)
     mid = valid.select(F.expr(
-        "cast(timestamp_micros((unix_micros(cast(min(last_seen) as timestamp)) + "
-        "unix_micros(cast(max(last_seen) as timestamp))) div 2) as timestamp_ntz)")).scalar()
+        "timestampadd(MICROSECOND, timestampdiff(MICROSECOND, min(last_seen), max(last_seen)) div 2, "
+        "min(last_seen))")).scalar()
     return valid.where(F.col("last_seen") < mid), valid.where(F.col("last_seen") >= mid)
 
 
