@@ -21,9 +21,14 @@ HEADLINE = [
     "clean_sales", "clean_listings", "clean_audit", "dedup_latest", "profile_numeric", "profile_anomalies",
     "outlier_samples", "quality_rates", "category_summary_having", "engineer_features",
     "target_encode_smoothed", "metrics_by_category", "upsert_update", "upsert_ignore", "observation_rollup",
-    "page_text", "page_gate", "reply_listings", "deal_labels", "stream_upsert",
+    "page_text", "page_gate", "reply_listings", "deal_labels", "scoring_responses", "stream_upsert",
 ]
 
+# rows handled per query, for throughput figures (scoring requests = events, pages = pages)
+THROUGHPUT = {"scoring_responses": ("events", "scored_requests_per_sec"),
+              "page_gate": ("pages", "pages_to_text_per_sec"),
+              "reply_listings": ("events", "reply_listings_per_sec")}
+
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -38,9 +43,15 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+    rates = {}
+    for name, (tbl, label) in THROUGHPUT.items():
+        if name in times and times[name] > 0:
+            n = spark.read.parquet(f"{sf_dir}/{tbl}.parquet").count()
+            rates[label] = round(n / times[name], 1)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf_dir}))
+                      "queries": times, "throughput": rates,
+                      "sf": float(sf) if sf.replace(".", "").isdigit() else sf_dir}))
 
 
 if __name__ == "__main__":
