@@ -16,8 +16,11 @@ from ..functions.hashing import is_train, split_bucket
 from ..functions.numeric import deal_label, default_false, to_eur
 from ..operators import (alerts, cleaning, deals, encoding, features, metrics, profiling, replies,
                          reports, upsert, validation)
+from ..operators import model as M
 from ..operators.dedup import keep_latest
-from ..sources import adapters, pages
+from ..session import work_dir
+from ..sources import adapters, pages, tables
+from ..streaming import listings as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -386,17 +389,15 @@ def q_deal_quality(spark, d):
 # check stays quick; ``model.fit_search`` defaults to the full 15 × 3-fold search.
 
 def _fit(spark, d):
-    from ..operators import model as M
     train, test = _split(spark, d)
     cvm, maps = M.fit_search(train, n_iter=2, folds=2, learning_rates=(0.1, 0.2), max_depths=(3, 4),
                              n_estimators=(5, 10))
-    return M, cvm, maps, train, test
+    return cvm, maps, train, test
 
 
 @query("gbt_predictions")
 def q_gbt_predictions(spark, d):
-    from ..session import work_dir
-    M, cvm, _, _, test = _fit(spark, d)
+    cvm, _, _, test = _fit(spark, d)
     path = M.save_model(cvm.bestModel, work_dir(spark, "rent-model"))
     loaded = M.load_model(path)
     req = validation.validate_requests(adapters.requests(spark, d)).where(F.col("reject_reason").isNull())
@@ -405,22 +406,38 @@ def q_gbt_predictions(spark, d):
 
 @query("cv_results")
 def q_cv_results(spark, d):
-    M, cvm, maps, _, _ = _fit(spark, d)
+    cvm, maps, _, _ = _fit(spark, d)
     return M.search_results(spark, cvm, maps)
 
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    M, cvm, _, _, _ = _fit(spark, d)
+    cvm, _, _, _ = _fit(spark, d)
     return M.feature_importance(spark, cvm.bestModel)
 
 
 @query("model_metrics")
 def q_model_metrics(spark, d):
-    """MAE, RMSE, R² and MAPE of the best model on the held-out split."""
-    M, cvm, _, _, test = _fit(spark, d)
+    """MAE, RMSE, R² and MAPE of the best model on the held-out split, with the train-mean
+    baseline's MAE and the model's gain over it in percent."""
+    cvm, _, train, test = _fit(spark, d)
     scored = cvm.bestModel.transform(M.training_frame(test))
-    return metrics.regression_metrics(scored)
+    base = metrics.regression_metrics(test.withColumn("prediction", train.select(F.avg(TARGET)).scalar()))
+    base_mae = base.select("mae").scalar()
+    return metrics.regression_metrics(scored).select(
+        "*", base_mae.alias("baseline_mae"),
+        F.round((F.lit(1.0) - F.col("mae") / base_mae) * 100.0, 6).alias("gain_percent"))
+
+
+@query("gbt_deal_labels")
+def q_gbt_deal_labels(spark, d):
+    """Every valid request priced by the saved and reloaded model, labelled against its asking price."""
+    cvm, _, _, _ = _fit(spark, d)
+    model = M.load_model(M.save_model(cvm.bestModel, work_dir(spark, "rent-model")))
+    req = (validation.validate_requests(adapters.requests(spark, d))
+           .where(F.col("reject_reason").isNull() & F.col("asking_price").isNotNull()).drop("reject_reason"))
+    lab = deals.label_deals(M.predict(model, req))
+    return lab.select("request_id", "asking_price", "predicted_rent_eur", "deal", deals.deal_message().alias("message"))
 
 
 # --- streaming -------------------------------------------------------------------------
@@ -429,29 +446,21 @@ def q_model_metrics(spark, d):
 
 @query("stream_upsert")
 def q_stream_upsert(spark, d):
-    from ..session import work_dir
-    from ..streaming import listings as S
     return S.read_snapshot(spark, S.run_upsert_stream(spark, d, work_dir(spark, "stream-upsert")))
 
 
 @query("stream_current")
 def q_stream_current(spark, d):
-    from ..session import work_dir
-    from ..streaming import listings as S
     return S.read_snapshot(spark, S.run_current_view(spark, d, work_dir(spark, "stream-current")))
 
 
 @query("stream_alerts")
 def q_stream_alerts(spark, d):
-    from ..session import work_dir
-    from ..streaming import listings as S
     return spark.read.parquet(S.run_alert_stream(spark, d, work_dir(spark, "stream-alerts"), 25.0, "ck"))
 
 
 @query("stream_alert_once")
 def q_stream_alert_once(spark, d):
-    from ..session import work_dir
-    from ..streaming import listings as S
     return spark.read.parquet(S.run_alert_once(spark, d, work_dir(spark, "stream-alert-once"), 25.0, "ck"))
 
 
@@ -465,8 +474,6 @@ def q_summary_stats(spark, d):
 @query("profile_report")
 def q_profile_report(spark, d):
     """The full profile of the cleaned table as one nested row, written as JSON and read back."""
-    from ..session import work_dir
-    from ..sources import tables
     clean = _clean(spark, d).persist()  # every section reads it; spills to disk when large
     try:
         report = profiling.profile_report(clean, extraction_time="2024-01-31T00:00:00")
@@ -480,8 +487,6 @@ def q_profile_report(spark, d):
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, d):
     """Cleaned listings exported as CSV with a header and read back with the listing schema."""
-    from ..session import work_dir
-    from ..sources import tables
     path = work_dir(spark, "listings-csv")
     tables.write_csv(_clean(spark, d), path)
     return tables.read_first_available(spark, [("csv", f"{path}/missing"), ("csv", path)])

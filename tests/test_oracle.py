@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SLOW = {"gbt_predictions", "cv_results", "feature_importance", "model_metrics"}
+SLOW = {"gbt_predictions", "cv_results", "feature_importance", "model_metrics", "gbt_deal_labels"}
 
 
 def norm(v):
