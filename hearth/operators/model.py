@@ -97,6 +97,13 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "predicted_rent_eur"
     return scored.select(*keep, F.round("prediction", 2).alias(out))
 
 
+def model_vocabulary(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """Categories the fitted pipeline knows (its StringIndexer labels), sorted; 'nan' text excluded."""
+    labels = model.stages[0].labels  # bounded by the number of categories seen in training
+    return (spark.createDataFrame([(str(x),) for x in labels], "neighborhood string")
+            .where(F.lower("neighborhood") != "nan").orderBy("neighborhood"))
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """Impurity-based importances of the fitted trees, one row per model input, in percent."""
     gbt = model.stages[-1]

@@ -23,11 +23,14 @@ def spread(df: DataFrame, keys) -> DataFrame:
     as one row group would otherwise run every row-level expression in a single task. Hash
     (not round-robin) partitioning keeps recomputed partitions identical after an executor loss.
     """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if not keys or df.rdd.getNumPartitions() >= want:
+    if not keys:
         return df
-    return df.repartition(want, *keys)
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return df
+    return df if have >= want else df.repartition(want, *keys)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
