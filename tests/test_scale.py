@@ -69,3 +69,19 @@ def test_top_k_is_taken_without_full_sort(spark):
     from hearth.operators.profiling import top_categories
     plan = top_categories(skewed(spark), "title")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_outlier_samples_limit_before_shuffle(spark):
+    from hearth.operators.profiling import outlier_samples
+    df = outlier_samples(skewed(spark))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_profile_reads_only_needed_columns(spark):
+    import __spark_entry__ as E
+    df = E.queries()["profile_numeric"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<event_id:bigint,value:double,props:string>" in plan or \
+        "ReadSchema: struct<value:double,props:string>" in plan
