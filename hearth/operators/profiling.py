@@ -56,34 +56,51 @@ def _long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataF
               .where(F.col("value").isNotNull()))
 
 
-def numeric_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS) -> DataFrame:
-    """count, mean, median, std (sample), min, max, q1, q3, iqr over non-null values."""
+def _quartiles(df: DataFrame, long: DataFrame, cols: Sequence[str], method: str) -> DataFrame:
+    """(column_name, _q = [q1, median, q3]) per profiled column."""
+    if method == "exact":  # one grouped percentile over (column, value) counts
+        return (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
+                .groupBy("column_name")
+                .agg(F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
+                                  F.col("_n")).alias("_q")))
+    from .quantiles import quantiles
+    parts = [quantiles(df, c, (0.25, 0.5, 0.75), method).select(F.lit(c).alias("column_name"),
+                                                                   F.col("q").alias("_q")) for c in cols]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def numeric_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
+                    method: str = "exact") -> DataFrame:
+    """count, mean, median, std (sample), min, max, q1, q3, iqr over non-null values.
+
+    ``method`` as in ``operators.quantiles`` (``distributed`` for continuous columns at scale).
+    """
     cols = [c for c in cols if c in df.columns]
     long = _long(df, cols)
     moments = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    quant = (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-             .groupBy("column_name")
-             .agg(F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
-                               F.col("_n")).alias("_q")))
+    quant = _quartiles(df, long, cols, method)
     return (moments.join(quant, "column_name")
             .select("column_name", "count", "mean", F.col("_q")[1].alias("median"), "std", "min", "max",
                     F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"),
                     (F.col("_q")[2] - F.col("_q")[0]).alias("iqr")))
 
 
-def _bounds(df: DataFrame, cols: Sequence[str], factor: float) -> DataFrame:
-    s = numeric_profile(df, cols)
+def _bounds(df: DataFrame, cols: Sequence[str], factor: float, method: str = "exact") -> DataFrame:
+    s = numeric_profile(df, cols, method)
     return s.select("column_name", (F.col("q1") - factor * F.col("iqr")).alias("lower_bound"),
                     (F.col("q3") + factor * F.col("iqr")).alias("upper_bound"))
 
 
 def anomaly_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
-                    factor: float = IQR_FACTOR) -> DataFrame:
+                    factor: float = IQR_FACTOR, method: str = "exact") -> DataFrame:
     """Per column: fences, outlier count and share of all rows (NULL rows in the denominator)."""
     cols = [c for c in cols if c in df.columns]
-    b = _bounds(df, cols, factor)
+    b = _bounds(df, cols, factor, method)
     long = _long(df, cols).join(F.broadcast(b), "column_name")
     out = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
     counts = long.groupBy("column_name").agg(F.count_if(out).alias("outlier_count"))
@@ -96,14 +113,14 @@ def anomaly_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS
 
 def outlier_samples(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
                     n: int = OUTLIER_SAMPLE, order_col: str = "id",
-                    factor: float = IQR_FACTOR) -> DataFrame:
+                    factor: float = IQR_FACTOR, method: str = "exact") -> DataFrame:
     """The first ``n`` outlier values per column in row order: (column, position, id, value).
 
     ``row_number() <= n`` is planned as a window group limit, so each input
     partition forwards at most ``n`` rows per column to the final window.
     """
     cols = [c for c in cols if c in df.columns]
-    b = _bounds(df, cols, factor)
+    b = _bounds(df, cols, factor, method)
     long = _long(df, cols, keep=(order_col,)).join(F.broadcast(b), "column_name")
     out = long.where((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
     w = Window.partitionBy("column_name").orderBy(F.col(order_col))

@@ -85,3 +85,10 @@ def test_profile_reads_only_needed_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,value:double,props:string>" in plan or \
         "ReadSchema: struct<value:double,props:string>" in plan
+
+
+def test_profile_methods_agree(spark):
+    from hearth.operators.profiling import anomaly_profile, numeric_profile
+    df = skewed(spark, 6000)
+    assert rows(numeric_profile(df)) == rows(numeric_profile(df, method="distributed"))
+    assert rows(anomaly_profile(df)) == rows(anomaly_profile(df, method="distributed"))
