@@ -67,21 +67,40 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMA).parquet(path)
 
 
+def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
+    try:
+        log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log")
+    except Exception:  # noqa: BLE001 - no log yet
+        return False
+    return not log.where(F.col("batch_id") == batch_id).isEmpty()
+
+
 def _commit(spark: SparkSession, root: str, batch_id: int, result: DataFrame) -> None:
+    """Write snapshot ``v<batch_id>``, then log it. A replay of a logged batch is skipped, so a
+    snapshot that readers may be using is never overwritten; an unlogged partial write is redone."""
+    if is_committed(spark, root, batch_id):
+        return
     path = f"{root}/snapshots/v{batch_id:010d}"
     result.write.mode("overwrite").parquet(path)
     spark.createDataFrame([(batch_id, path)], LOG_SCHEMA).write.mode("append").parquet(f"{root}/_log")
 
 
+def apply_upsert_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> None:
+    """Merge one batch of observations into the latest snapshot (update on conflict)."""
+    if is_committed(spark, root, batch_id):
+        return
+    prev = latest_snapshot(spark, root, before=batch_id)
+    target = (spark.read.schema(TABLE_SCHEMA).parquet(prev) if prev
+              else spark.createDataFrame([], TABLE_SCHEMA))
+    _commit(spark, root, batch_id, upsert.upsert_update(target, batch))
+
+
 def run_upsert_stream(spark: SparkSession, sf_dir: str, root: str) -> str:
     """Merge the observation stream into snapshots (update on conflict); returns the root."""
     stream = validation.not_null_rows(observation_stream(spark, sf_dir))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        prev = latest_snapshot(spark, root, before=batch_id)
-        target = (spark.read.schema(TABLE_SCHEMA).parquet(prev) if prev
-                  else spark.createDataFrame([], TABLE_SCHEMA))
-        _commit(spark, root, batch_id, upsert.upsert_update(target, batch))
+        apply_upsert_batch(spark, root, batch, batch_id)
 
     q = (stream.writeStream.foreachBatch(merge)
          .option("checkpointLocation", f"{root}/_checkpoint")

@@ -67,3 +67,15 @@ def test_multi_batch_stream_equals_batch_rollup(spark):
     assert rows(S.read_snapshot(spark, cur)) == expect
     log = spark.read.parquet(f"{root}/_log").count()
     assert log == 3
+
+
+def test_replayed_batch_is_not_rewritten(spark):
+    from hearth.session import work_dir
+    root = work_dir(spark, "t-replay")
+    b0 = spark.createDataFrame([obs(1, "a", 100.0, day=0)], LISTING_SCHEMA)
+    b1 = spark.createDataFrame([obs(2, "a", 150.0, day=1)], LISTING_SCHEMA)
+    S.apply_upsert_batch(spark, root, b0, 0)
+    S.apply_upsert_batch(spark, root, b1, 1)
+    S.apply_upsert_batch(spark, root, b1.withColumn("monthly_rent_eur", b1.monthly_rent_eur * 10), 1)  # replay
+    assert spark.read.parquet(f"{root}/_log").count() == 2
+    assert rows(S.read_snapshot(spark, root), "id", "monthly_rent_eur") == [(1, 150.0)]
