@@ -116,3 +116,22 @@ def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "exact") -> DataF
         step(5, "outliers_rooms", n2, n3, F.col("n_rooms_out")),
     )
     return t.select(F.inline(steps))
+
+
+def seed_casts(df: DataFrame) -> DataFrame:
+    """Text columns (e.g. a CSV read without a schema) to the seed loader's types.
+
+    rent and rooms: number → integer truncated toward zero; pets: boolean; title and
+    neighborhood: string. ``try_cast`` turns unparsable text into NULL (a plain cast
+    raises under ANSI mode), so the fills of ``fill_defaults`` can apply afterwards.
+    """
+    out = df
+    for c in (TARGET, "rooms"):
+        if c in out.columns:
+            out = out.withColumn(c, F.col(c).try_cast("double").cast("long").try_cast("int"))
+    if "is_pet_friendly" in out.columns:
+        out = out.withColumn("is_pet_friendly", F.col("is_pet_friendly").try_cast("boolean"))
+    for c in ("title", "neighborhood"):
+        if c in out.columns:
+            out = out.withColumn(c, F.col(c).cast("string"))
+    return out

@@ -501,3 +501,17 @@ def q_scoring_responses(spark, d):
     body = F.when(F.col("reject_reason").isNull(),
                   F.to_json(F.struct(F.round("_p", 2).alias("predicted_rent_eur"))))
     return scored.select("request_id", body.alias("response"), "reject_reason")
+
+
+@query("seed_load")
+def q_seed_load(spark, d):
+    """The CSV seed flow: observations written as CSV text, read back without a schema (all text),
+    cast with try_cast and truncation, defaults filled, then inserted with ignore-on-conflict
+    into an empty table (the first row per key in file order wins)."""
+    path = work_dir(spark, "seed-csv")
+    obs = _obs(spark, d).select("id", "title", TARGET, "neighborhood", "rooms", "is_pet_friendly")
+    tables.write_csv(obs, path)
+    text = spark.read.options(**tables.CSV_OPTIONS).csv(path)  # every column is a string here
+    batch = cleaning.fill_defaults(cleaning.seed_casts(text.withColumn("id", F.col("id").cast("long"))))
+    empty = spark.createDataFrame([], batch.schema)
+    return upsert.upsert_ignore(empty, batch)

@@ -394,6 +394,12 @@ SELECT request_id,
        WHEN rooms < 1 THEN 'rooms: must be >= 1' END AS reject_reason
 FROM req LEFT JOIN te USING (neighborhood), prior"""
 
+ORACLE["seed_load"] = with_(EV, OBS, """f AS (SELECT id, coalesce(title, 'Unknown') AS title,
+    CAST(trunc(coalesce(monthly_rent_eur, 0)) AS INTEGER) AS monthly_rent_eur,
+    coalesce(neighborhood, 'Unknown') AS neighborhood, CAST(coalesce(rooms, 1) AS INTEGER) AS rooms,
+    coalesce(is_pet_friendly, FALSE) AS is_pet_friendly FROM obs)""") + """SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY title, neighborhood ORDER BY id) AS _rn FROM f) WHERE _rn = 1"""
+
 # Streams started from an empty table give the batch answers.
 ORACLE["stream_upsert"] = ORACLE["observation_rollup"]
 ORACLE["stream_current"] = ORACLE["observation_rollup"]

@@ -108,3 +108,12 @@ def test_fill_defaults(spark):
     r = cleaning.fill_defaults(df).collect()[0]
     assert (r["title"], r["monthly_rent_eur"], r["neighborhood"], r["rooms"], r["is_pet_friendly"]) == \
         ("Unknown", 0.0, "Unknown", 1, False)
+
+
+def test_seed_casts_truncate_and_tolerate_bad_text(spark):
+    df = spark.createDataFrame([("6.99", "2", "True", "t"), ("-3.7", "x", "maybe", None), ("", None, "0", "n")],
+                               "monthly_rent_eur string, rooms string, is_pet_friendly string, title string")
+    got = [tuple(r) for r in cleaning.seed_casts(df).collect()]
+    assert got == [(6, 2, True, "t"), (-3, None, None, None), (None, None, False, "n")]
+    filled = cleaning.fill_defaults(cleaning.seed_casts(df)).collect()
+    assert [r["rooms"] for r in filled] == [2, 1, 1]
