@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .text import py_strip, strip_fences
 
 # --- fixed values -----------------------------------------------------------
@@ -29,16 +30,6 @@ FALSE_STRINGS = ("0", "off", "f", "false", "n", "no")
 _INTEGRAL_KINDS = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 
 
-def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
-
-    Chained projections that reference an expensive column several times are
-    collapsed by the optimizer into one expression that repeats it; binding
-    through a one-element ``transform`` keeps a single evaluation per row.
-    """
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def kind(v: Column) -> Column:
     """Type name of a variant value: OBJECT<…>, ARRAY<…>, STRING, BIGINT, DECIMAL(p,s), BOOLEAN, VOID."""
     return F.schema_of_variant(v)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..constants import TARGET
 from ..functions import json as J
+from ..functions.binding import let
 
 # Root shape by reply_id % 8 (a test-data rule, not a business rule):
 # 0 object with listings, 1 the same in a ```json fence, 2 bare array, 3 one listing object,
@@ -73,7 +74,7 @@ def _parsed(replies: DataFrame) -> DataFrame:
 
 def _fields(cols):
     """Several fields of _r through one binding (so _r is not recomputed per field)."""
-    return J.let(F.col("_r"), lambda r: F.struct(*[r[c].alias(c) for c in cols]))
+    return let(F.col("_r"), lambda r: F.struct(*[r[c].alias(c) for c in cols]))
 
 
 def repair_replies(replies: DataFrame) -> DataFrame:
@@ -84,7 +85,7 @@ def repair_replies(replies: DataFrame) -> DataFrame:
 
 def validate_replies(replies: DataFrame) -> DataFrame:
     """(reply_id, accepted, n_listings): one invalid listing rejects the whole reply."""
-    out = J.let(F.col("_r"), lambda r: F.struct(
+    out = let(F.col("_r"), lambda r: F.struct(
         r["accepted"].alias("accepted"),
         F.when(r["accepted"], F.size(r["listings"])).otherwise(F.lit(0)).cast("int").alias("n_listings")))
     return _parsed(replies).select("reply_id", out.alias("_o")).select("reply_id", "_o.*")
@@ -96,9 +97,9 @@ def reply_listings(replies: DataFrame, all_or_nothing: bool = True) -> DataFrame
     ``all_or_nothing=False`` keeps the valid listings of partly invalid replies instead.
     """
     if all_or_nothing:
-        items = J.let(F.col("_r"), lambda r: F.when(r["accepted"], r["listings"]))
+        items = let(F.col("_r"), lambda r: F.when(r["accepted"], r["listings"]))
     else:
-        items = J.let(F.col("_r"), lambda r: F.filter(r["listings"], J.listing_ok))
+        items = let(F.col("_r"), lambda r: F.filter(r["listings"], J.listing_ok))
     rows = (_parsed(replies).select("reply_id", F.posexplode(items).alias("_pos", "_l"))
             .select("reply_id", (F.col("_pos") + 1).cast("int").alias("position"), "_l"))
     return rows.select("reply_id", "position", *[F.col(f"_l.{c}").alias(c) for c in J.LISTING_FIELDS])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import MIN_PAGE_CHARS, PROMPT_CHARS
-from ..functions import json as J
+from ..functions.binding import let
 from ..functions.text import html_to_text, prompt_text
 
 DEFAULT_PAGES = 5
@@ -53,5 +53,5 @@ def gate_pages(pages: DataFrame, min_chars: int = MIN_PAGE_CHARS, prompt_chars:
         return F.when(n >= min_chars, F.array(row)).otherwise(F.array().cast(
             "array<struct<n_chars:int,prompt_text:string,prompt_chars:int>>"))
 
-    g = J.let(html_to_text(F.col("html")), keep)
+    g = let(html_to_text(F.col("html")), keep)
     return pages.select("page_id", F.inline(g))
