@@ -198,6 +198,12 @@ def q_null_violations(spark, d):
     return validation.null_violations(_obs(spark, d)).select("id", "title", "neighborhood", TARGET, "violations")
 
 
+@query("price_window")
+def q_price_window(spark, d):
+    """Observations whose rent lies in the documented plausible window (inclusive)."""
+    return validation.within_price_window(_obs(spark, d)).select("id", "title", "neighborhood", TARGET)
+
+
 @query("request_validation")
 def q_request_validation(spark, d):
     return validation.validate_requests(adapters.requests(spark, d)).drop("asking_price")

@@ -400,6 +400,9 @@ ORACLE["seed_load"] = with_(EV, OBS, """f AS (SELECT id, coalesce(title, 'Unknow
     coalesce(is_pet_friendly, FALSE) AS is_pet_friendly FROM obs)""") + """SELECT * EXCLUDE (_rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY title, neighborhood ORDER BY id) AS _rn FROM f) WHERE _rn = 1"""
 
+ORACLE["price_window"] = with_(EV, OBS) + """SELECT id, title, neighborhood, monthly_rent_eur FROM obs
+WHERE monthly_rent_eur BETWEEN 200 AND 2000"""
+
 # Streams started from an empty table give the batch answers.
 ORACLE["stream_upsert"] = ORACLE["observation_rollup"]
 ORACLE["stream_current"] = ORACLE["observation_rollup"]
