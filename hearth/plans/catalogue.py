@@ -347,6 +347,20 @@ def q_reply_listings(spark, d):
     return replies.reply_listings(_replies(spark, d))
 
 
+@query("reply_ingest")
+def q_reply_ingest(spark, d):
+    """The ingest step: replies → accepted listings of every page at once → one upsert batch into a
+    snapshot table. Listings are sequenced by (reply, position); ``observed_at`` is explicit."""
+    observed = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    lst = replies.reply_listings(_replies(spark, d))
+    batch = lst.select((F.col("reply_id") * 1000 + F.col("position")).alias("id"), "title",
+                       F.col(TARGET).cast("double").alias(TARGET), "neighborhood", "rooms", "is_pet_friendly",
+                       observed.alias("first_seen"), observed.alias("last_seen"))
+    root = work_dir(spark, "reply-ingest")
+    S.apply_upsert_batch(spark, root, batch, 0)
+    return S.read_snapshot(spark, root)
+
+
 @query("currency_normalise")
 def q_currency_normalise(spark, d):
     """Prices quoted in RON for every fourth k (rent × 5), normalised back to EUR."""

@@ -403,6 +403,16 @@ ORACLE["seed_load"] = with_(EV, OBS, """f AS (SELECT id, coalesce(title, 'Unknow
 ORACLE["price_window"] = with_(EV, OBS) + """SELECT id, title, neighborhood, monthly_rent_eur FROM obs
 WHERE monthly_rent_eur BETWEEN 200 AND 2000"""
 
+ORACLE["reply_ingest"] = with_(EV, OBS, REPLY, """acc AS (SELECT lst.reply_id * 1000 + CAST(row_number() OVER
+    (PARTITION BY lst.reply_id ORDER BY lst.id) AS BIGINT) AS seq, lst.title, lst.neighborhood, lst.rent,
+    lst.rooms, lst.is_pet_friendly, rk.shape
+  FROM lst JOIN rk USING (reply_id) WHERE rk.accepted AND rk.shape IN (0, 1, 2, 3, 7)),
+kept AS (SELECT * FROM acc WHERE shape <> 3 OR seq % 1000 = 1)""") + """SELECT arg_min(seq, seq) AS id, title,
+  CAST(arg_max(rent, seq) AS DOUBLE) AS monthly_rent_eur, neighborhood, arg_min_null(rooms, seq) AS rooms,
+  arg_min_null(is_pet_friendly, seq) AS is_pet_friendly, TIMESTAMP '2024-02-01 00:00:00' AS first_seen,
+  TIMESTAMP '2024-02-01 00:00:00' AS last_seen
+FROM kept GROUP BY title, neighborhood"""
+
 # Streams started from an empty table give the batch answers.
 ORACLE["stream_upsert"] = ORACLE["observation_rollup"]
 ORACLE["stream_current"] = ORACLE["observation_rollup"]
