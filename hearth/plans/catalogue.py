@@ -512,6 +512,25 @@ def q_csv_roundtrip(spark, d):
     return tables.read_first_available(spark, [("csv", f"{path}/missing"), ("csv", path)])
 
 
+@query("table_lifecycle")
+def q_table_lifecycle(spark, d):
+    """Create a listings table (external, under the shared folder), insert the cleaned rows, check it
+    exists, read it in full, drop it; the data stays at its location and is returned."""
+    import uuid
+    name = f"listings_{uuid.uuid4().hex[:10]}"
+    location = work_dir(spark, "listings-table")
+    tables.create_listings_table(spark, name, location)
+    _clean(spark, d).select(*upsert.TABLE_COLUMNS).write.insertInto(name)
+    if not tables.table_exists(spark, name):
+        raise RuntimeError(f"table {name} was not created")
+    n = tables.read_table(spark, name).count()
+    tables.drop_table(spark, name)
+    out = spark.read.parquet(location)
+    if out.count() != n:
+        raise RuntimeError("external table data changed on drop")
+    return out
+
+
 @query("scoring_responses")
 def q_scoring_responses(spark, d):
     """Validated requests answered as JSON bodies: {"predicted_rent_eur": x} or the rejection reason."""

@@ -386,6 +386,7 @@ ORACLE["summary_stats"] = OBS_CLEAN + """SELECT min(rooms) AS min_rooms, max(roo
   round(avg(rooms), 6) AS avg_rooms, min(monthly_rent_eur) AS min_rent, max(monthly_rent_eur) AS max_rent,
   round(avg(monthly_rent_eur), 6) AS avg_rent, count(DISTINCT neighborhood) AS neighborhoods FROM clean"""
 ORACLE["csv_roundtrip"] = ORACLE["clean_listings"]
+ORACLE["table_lifecycle"] = ORACLE["clean_listings"]
 ORACLE["scoring_responses"] = OBS_CLEAN.rstrip("\n") + ",\n" + SPLIT + ",\n" + REQ + """
 SELECT request_id,
   CASE WHEN neighborhood IS NOT NULL AND rooms IS NOT NULL AND rooms >= 1

@@ -67,9 +67,15 @@ LISTINGS_DDL = """CREATE TABLE IF NOT EXISTS {name} (
   is_pet_friendly BOOLEAN, first_seen TIMESTAMP_NTZ, last_seen TIMESTAMP_NTZ) USING parquet"""
 
 
-def create_listings_table(spark: SparkSession, name: str) -> None:
-    """Create if absent. NOT NULL / UNIQUE are enforced by the validation operators."""
-    spark.sql(LISTINGS_DDL.format(name=name))
+def create_listings_table(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create if absent (optionally as an external table at ``location``).
+
+    NOT NULL / UNIQUE are enforced by the validation operators.
+    """
+    ddl = LISTINGS_DDL.format(name=name)
+    if location:
+        ddl += f" LOCATION '{location}'"
+    spark.sql(ddl)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
