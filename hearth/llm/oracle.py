@@ -42,11 +42,11 @@ def _pii() -> str:
   select *, regexp_replace(m, '[^0-9]', '', 'g') d, replace(m, ' ', '') c,
    regexp_matches({_LOW.format(f"substring(text, greatest(s - {WINDOW}, 0) + 1, least(s, {WINDOW})) || chr(10) || substring(text, e + 1, {WINDOW})")},
     '{"|".join(CONTEXT[k])}') near from (
-   select *, s + length(m) e from (
+   select *, s + length(m) e from ( select r, text, m, s::bigint s from (
     select r, text, ms[i] m, coalesce(list_sum(list_transform(bs[1:i], lambda x: length(x))), 0)
      + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) s from (
      select r, text, ms, bs, unnest(range(1, len(ms) + 1)) i from (
-      select r, text, regexp_extract_all(text, '{_PATTERNS[k]}') ms, string_split_regex(text, '{_PATTERNS[k]}') bs from t)))))
+      select r, text, regexp_extract_all(text, '{_PATTERNS[k]}') ms, string_split_regex(text, '{_PATTERNS[k]}') bs from t))))))
  where {ok}""")
     counts = ", ".join(f"count(*) filter (kind = '{k}') n_{k}" for k in KINDS)
     span = "kind || ':' || cast(s as varchar) || ':' || cast(e as varchar)"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .common import read_table
 from .op2_pii import pii_digest
+from .op3_toxicity import toxicity_scores
+from .op4_html import extract_main_text
 from .op6_exact import exact_duplicates
 from .op9_urls import judge_urls
 from .op10_mix import mix_sources
@@ -13,6 +15,14 @@ def op2_pii(spark, sf_dir):
     return pii_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark, sf_dir):
+    return toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op4_html_text(spark, sf_dir):
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -26,4 +36,4 @@ def op10_mix(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op6_exact_dedup, op9_url_filter, op10_mix)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_toxicity, op4_html_text, op6_exact_dedup, op9_url_filter, op10_mix)}
