@@ -131,4 +131,19 @@ taken as (select r, sum((least(hi, (p.block + 1) * {BLOCK}) - greatest(lo, p.blo
   from pieces p join used using (s, block) group by r)
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint taken from line left join taken using (r)"""
 
-ORACLE = {"op2_pii": _pii(), "op6_exact_dedup": _EXACT, "op9_url_filter": _URLS, "op10_mix": _MIX}
+_JACCARD = f"""
+with recursive w as (select row_number() over () r, doc_id, regexp_extract_all(
+  {_LOW.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') w from documents),
+own as (select r, doc_id, case when len(w) >= 5 then list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+  when len(w) > 0 then [array_to_string(w, ' ')] else [] end s from w),
+cls as (select s, min(doc_id) id from (select list_sort(s) s, doc_id from own) where len(s) > 0 group by s),
+el as (select id, len(s) n, unnest(s) e from cls),
+pairs as (select a.id a, b.id b from el a join el b on a.e = b.e and a.id < b.id
+  group by a.id, b.id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+edges as (select a, b from pairs union all select b, a from pairs),
+reach(id, low) as (select id, id from cls union select edges.b, reach.low from reach join edges on edges.a = reach.id where reach.low < edges.b),
+low as (select id, min(low) low from reach group by id)
+select doc_id, len(own.s)::bigint n_shingles, coalesce(low.low, doc_id) component_id
+from own left join cls on list_sort(own.s) = cls.s left join low on cls.id = low.id"""
+
+ORACLE = {"op8_jaccard_join": _JACCARD, "op2_pii": _pii(), "op6_exact_dedup": _EXACT, "op9_url_filter": _URLS, "op10_mix": _MIX}

@@ -7,6 +7,7 @@ from .op2_pii import pii_digest
 from .op3_toxicity import toxicity_scores
 from .op4_html import extract_main_text
 from .op6_exact import exact_duplicates
+from .op8_jaccard import jaccard_components
 from .op9_urls import judge_urls
 from .op10_mix import mix_sources
 
@@ -27,6 +28,10 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark, sf_dir):
     return judge_urls(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -36,4 +41,4 @@ def op10_mix(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_toxicity, op4_html_text, op6_exact_dedup, op9_url_filter, op10_mix)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_toxicity, op4_html_text, op6_exact_dedup, op8_jaccard_join, op9_url_filter, op10_mix)}
