@@ -146,4 +146,18 @@ low as (select id, min(low) low from reach group by id)
 select doc_id, len(own.s)::bigint n_shingles, coalesce(low.low, doc_id) component_id
 from own left join cls on list_sort(own.s) = cls.s left join low on cls.id = low.id"""
 
-ORACLE = {"op8_jaccard_join": _JACCARD, "op2_pii": _pii(), "op6_exact_dedup": _EXACT, "op9_url_filter": _URLS, "op10_mix": _MIX}
+_VECTORS = """
+with recursive v as (select row_number() over () r, vec_id, label, cast(embedding as double[]) e from embeddings),
+ok as (select * from v where label is not null and vec_id is not null and len(e) > 0
+  and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+pairs as (select a.r a, b.r b, a.vec_id ia, b.vec_id ib from ok a join ok b on a.label = b.label and len(a.e) = len(b.e) and a.r <> b.r
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(id, low) as (select vec_id, vec_id from ok union
+  select pairs.ib, reach.low from reach join pairs on pairs.ia = reach.id where reach.low < pairs.ib),
+low as (select id, min(low) low from reach group by id),
+deg as (select a r, count(*) n from pairs group by a)
+select vec_id, coalesce(deg.n, 0)::bigint n_links, coalesce(low.low, vec_id) component_id,
+ vec_id is not distinct from coalesce(low.low, vec_id) kept
+from v left join deg using (r) left join low on v.vec_id = low.id"""
+
+ORACLE = {"op5_embedding_dedup": _VECTORS, "op8_jaccard_join": _JACCARD, "op2_pii": _pii(), "op6_exact_dedup": _EXACT, "op9_url_filter": _URLS, "op10_mix": _MIX}

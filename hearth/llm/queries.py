@@ -6,6 +6,7 @@ from .common import read_table
 from .op2_pii import pii_digest
 from .op3_toxicity import toxicity_scores
 from .op4_html import extract_main_text
+from .op5_embeddings import near_duplicates
 from .op6_exact import exact_duplicates
 from .op8_jaccard import jaccard_components
 from .op9_urls import judge_urls
@@ -24,6 +25,10 @@ def op4_html_text(spark, sf_dir):
     return extract_main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op5_embedding_dedup(spark, sf_dir):
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -41,4 +46,4 @@ def op10_mix(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_toxicity, op4_html_text, op6_exact_dedup, op8_jaccard_join, op9_url_filter, op10_mix)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_toxicity, op4_html_text, op5_embedding_dedup, op6_exact_dedup, op8_jaccard_join, op9_url_filter, op10_mix)}
