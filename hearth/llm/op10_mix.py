@@ -148,3 +148,15 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
     out = out.unionByName(empty.select("_s", "doc_id", "size", F.lit(0).cast("long").alias("taken")))
     return out.join(targets.select("_s", "source", "source_size", "target"), "_s").select(
         "doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it: ``taken`` over ``size``, rounded half up (so 0,
+    1 or 2 times under the default cap); documents without words are not in the mix. Rows with the same id
+    share what that id takes. All columns stay."""
+    taken = mix_sources(docs, **options).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.sum("taken").alias("_t"), F.sum("size").alias("_n"))
+    times = F.when(F.col("_n") > 0, F.floor(F.col("_t") / F.col("_n") + F.lit(0.5))).otherwise(0).cast("int")
+    taken = taken.select("_id", times.alias("_times")).where("_times > 0")
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

@@ -26,6 +26,7 @@ table gives an empty result; other columns are ignored (``encode_best`` keeps no
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections.abc import Iterator
@@ -44,7 +45,7 @@ SHIFT = 2.7
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 42
-GROUP = 1_500_000
+GROUP = 2_000_000
 
 CHUNK = re.compile(" *[^ ]+| +")
 _U = np.uint64
@@ -52,7 +53,8 @@ _U = np.uint64
 
 @dataclass
 class Pieces:
-    """The vocabulary as arrays: a trie (sorted keys node << 21 | character), piece ids and weights of its nodes."""
+    """The vocabulary as arrays: a trie, its piece ids and ranks. The trie's steps (node << 21 | character) lie
+    in an open hash table of a power of two."""
     keys: np.ndarray
     nexts: np.ndarray
     piece: np.ndarray
@@ -63,6 +65,37 @@ class Pieces:
     count: int
 
 
+def _slot(key: np.ndarray, size: int) -> np.ndarray:
+    h = key.astype(_U) * _U(0x9E3779B97F4A7C15)
+    return (h >> _U(65 - size.bit_length())).astype(np.int64)
+
+
+def step_table(keys: list[int], nexts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    size = 1 << (4 * max(1, len(keys)) - 1).bit_length()
+    table, to = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+    for key, nxt, at in zip(keys, nexts, _slot(np.array(keys, np.int64), size).tolist(), strict=True):
+        while table[at] >= 0:
+            at = (at + 1) % size
+        table[at], to[at] = key, nxt
+    return table, to
+
+
+def step_to(pieces: Pieces, node: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The trie nodes reached from ``node`` by characters ``c``; -1 where there is none."""
+    key = (node << 21) | c
+    at = _slot(key, len(pieces.keys))
+    held = pieces.keys[at]
+    out = np.where(held == key, pieces.nexts[at], -1)
+    todo = np.flatnonzero((held != key) & (held >= 0))
+    while len(todo):
+        at[todo] = (at[todo] + 1) % len(pieces.keys)
+        held = pieces.keys[at[todo]]
+        hit = held == key[todo]
+        out[todo[hit]] = pieces.nexts[at[todo[hit]]]
+        todo = todo[~hit & (held >= 0)]
+    return out
+
+
 def load_pieces(path: str = VOCABULARY) -> Pieces:
     """Read a SentencePiece model on the driver (its size bounds what is sent to the tasks)."""
     import sentencepiece
@@ -83,14 +116,12 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
         for c in texts[i]:
             at = trie.setdefault((at, ord(c)), len(trie) + 1)
         ends[at] = i
-    keys = np.array([(n << 21) | c for n, c in trie], np.int64)
-    nexts = np.array(list(trie.values()), np.int64)
-    order = np.argsort(keys)
+    keys, nexts = step_table([(n << 21) | c for n, c in trie], list(trie.values()))
     piece = np.full(len(trie) + 1, -1, np.int64)
     ranks = np.zeros(len(trie) + 1)
     for n, i in ends.items():
         piece[n], ranks[n] = i, rank[i]
-    return Pieces(keys[order], nexts[order], piece, ranks, byte_ids, texts, max(len(texts[i]) for i in plain), len(plain))
+    return Pieces(keys, nexts, piece, ranks, byte_ids, texts, max(len(texts[i]) for i in plain), len(plain))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -103,23 +134,24 @@ def _uniform(key: np.ndarray, *parts) -> np.ndarray:
     """Numbers in (0, 1) from row keys and counters."""
     x = key
     for p in parts:
-        x = _mixed(x + _U(0x9E3779B97F4A7C15) * (np.asarray(p).astype(_U) + _U(1)))
+        x = _mixed(x + _U(0x9E3779B97F4A7C15) * (np.atleast_1d(p).astype(_U) + _U(1)))
     return ((x >> _U(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
 @dataclass
 class Lattice:
-    """Lattices of a group's distinct words: edges sorted by start, with conditional probabilities."""
+    """Lattices of a group's distinct words: edges sorted by start, longer ones first, with conditional probabilities."""
     first: np.ndarray  # position -> its first edge; one more entry at the end
     stop: np.ndarray  # edge -> next position, -1 at the word's end
     ids: np.ndarray  # edge -> piece id, or -1 - character for bytes
     prob: np.ndarray
-    upto: np.ndarray  # edge -> position + probability of the position's edges up to and with it
+    upto: np.ndarray  # edge -> probability of the position's edges up to and with it
+    start: np.ndarray  # edge -> its position
     starts: np.ndarray  # word -> its first position
-    best: np.ndarray  # position -> its edge on the best path
+    best: np.ndarray | None  # position -> its edge on the best path
 
 
-def build_lattice(words: list[str], pieces: Pieces, theta: float) -> Lattice:
+def build_lattice(words: list[str], pieces: Pieces, theta: float, best_path: bool = False) -> Lattice:
     cp = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     cp = np.where(cp == SPACE, OWN_SPACE, np.where(cp == 32, SPACE, cp))
     size = np.array([len(w) for w in words], np.int64)
@@ -129,10 +161,9 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float) -> Lattice:
     at, node, found = np.arange(n), np.zeros(n, np.int64), []
     single = np.zeros(n, bool)
     for d in range(pieces.depth):
-        key = (node << 21) | cp[at + d]
-        k = np.minimum(np.searchsorted(pieces.keys, key), len(pieces.keys) - 1)
-        ok = pieces.keys[k] == key
-        at, node = at[ok], pieces.nexts[k[ok]]
+        node = step_to(pieces, node, cp[at + d])
+        ok = node >= 0
+        at, node = at[ok], node[ok]
         if not len(at):
             break
         is_piece = pieces.piece[node] >= 0
@@ -148,14 +179,15 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float) -> Lattice:
     low = -theta * math.log(2 * pieces.count + SHIFT)
     byte = np.where(cp[lone] < 0x80, pieces.byte_ids[np.minimum(cp[lone], 0x7F)], -1 - cp[lone])
     found.append((lone, lone + 1, byte, low * width))
-    start, stop, ids, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    # edges by position, longer pieces first: they are mostly the likelier ones, so a walk looks at few
+    start, stop, ids, score = (np.concatenate(x[::-1]) for x in zip(*found, strict=True))
     order = np.argsort(start, kind="stable")
     start, stop, ids, score = start[order], stop[order], ids[order], score[order]
     last = stop == end[start]
     # backward sums, all words at once by the distance to the word's end
     beta, top, best = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n, np.int64)
     dist = (end - np.arange(n))[start]
-    by = np.argsort(dist, kind="stable")
+    by = np.argsort(dist.astype(np.int16) if dist.max(initial=0) < 1 << 15 else dist, kind="stable")
     cuts = np.searchsorted(dist[by], np.arange(1, int(dist.max(initial=0)) + 2))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         e = by[a:b]
@@ -165,18 +197,18 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float) -> Lattice:
         v = score[e] + np.where(last[e], 0.0, beta[stop[e]])
         m = np.maximum.reduceat(v, head)
         beta[s[head]] = m + np.log(np.add.reduceat(np.exp(v - np.repeat(m, count)), head))
-        w = score[e] + np.where(last[e], 0.0, top[stop[e]])
-        m = np.maximum.reduceat(w, head)
-        top[s[head]] = m
-        hit = np.flatnonzero(w == np.repeat(m, count))[::-1]  # of equal paths the first edge (the shortest piece)
-        best[s[hit]] = e[hit]
+        if best_path:
+            w = score[e] + np.where(last[e], 0.0, top[stop[e]])
+            m = np.maximum.reduceat(w, head)
+            top[s[head]] = m
+            hit = np.flatnonzero(w == np.repeat(m, count))[::-1]  # of equal paths the one with the longer piece
+            best[s[hit]] = e[hit]
     prob = np.exp(score + np.where(last, 0.0, beta[stop]) - beta[start])
-    total = np.cumsum(prob)
     first = np.searchsorted(start, np.arange(n + 1))
-    base = np.append(0.0, total)[first[:-1]]
-    inside = np.minimum(total - base[start], 1.0)
-    inside[first[1:] - 1] = 1.0
-    return Lattice(first, np.where(last, -1, stop), ids, prob, start + inside, ends - size, best)
+    total = np.cumsum(prob)
+    upto = total - np.append(0.0, total)[first[:-1]][start]
+    upto[first[1:] - 1] = 1.0
+    return Lattice(first, np.where(last, -1, stop), ids, prob, upto, start, ends - size, best if best_path else None)
 
 
 def walk(lat: Lattice, at: np.ndarray, draw) -> tuple[np.ndarray, np.ndarray]:
@@ -190,8 +222,11 @@ def walk(lat: Lattice, at: np.ndarray, draw) -> tuple[np.ndarray, np.ndarray]:
         if draw is None:
             edge = lat.best[at]
         else:
-            edge = np.searchsorted(lat.upto, at + draw(rows, step), "right")
-            edge = np.minimum(np.maximum(edge, lat.first[at]), lat.first[at + 1] - 1)
+            edge, u = lat.first[at], draw(rows, step)
+            todo = np.flatnonzero(u >= lat.upto[edge])  # a position's last edge reaches 1
+            while len(todo):
+                edge[todo] += 1
+                todo = todo[u[todo] >= lat.upto[edge[todo]]]
         seen.append((rows, edge))
         total[rows] += 1
         nxt = lat.stop[edge]
@@ -209,6 +244,14 @@ def _padded(count: np.ndarray, n: int) -> np.ndarray:
     return np.append(count, np.zeros(n - len(count), np.int64))
 
 
+class _Index(dict):
+    """Numbers words in the order they come."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class _Path:
     """One segmentation of every document of a group: edges, their documents' bounds, and the open bounds."""
 
@@ -219,8 +262,8 @@ class _Path:
 
 def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, theta: float) -> list[list[tuple]]:
     """Per text: up to k tuples (edges' piece ids, log probability, perturbed, log inclusion), best perturbed first."""
-    index: dict[str, int] = {}
-    parts = [[index.setdefault(w, len(index)) for w in CHUNK.findall(t)] for t in texts]
+    index = _Index()
+    parts = [list(map(index.__getitem__, CHUNK.findall(t))) for t in texts]
     docs = len(texts)
     out: list[list[tuple]] = [[] for _ in texts]
     perturbed = -np.log(-np.log(_uniform(keys, 0)))
@@ -230,11 +273,12 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
     if not index:
         return out
     lat = build_lattice(list(index), pieces, theta)
-    word = np.array([w for p in parts for w in p], np.int64)
+    word = np.fromiter(itertools.chain.from_iterable(parts), np.int64)
     doc = np.repeat(np.arange(docs), many)
     head = np.cumsum(many) - many  # a document's first word
     nth = np.arange(len(word)) - head[doc]
     logp = np.log(lat.prob)
+    alone = np.diff(lat.first)[lat.start] == 1
     live = many > 0
     bound = np.where(live, perturbed, -np.inf)  # of the path being drawn
     paths: list[_Path] = []
@@ -270,7 +314,7 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
             for d in np.flatnonzero(mine):
                 path, place = paths[whence[d]], places[d]
                 old = path.edges[place]
-                pos = int(np.searchsorted(lat.first, old, "right")) - 1
+                pos = int(lat.start[old])
                 taken = used.setdefault((whence[d], place), [int(old)])
                 a, b = lat.first[pos], lat.first[pos + 1]
                 p = lat.prob[a:b].copy()
@@ -315,15 +359,14 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
         total = run[heads[1:]] - run[heads[:-1]]
         # bound of leaving at each edge: a Gumbel of the mass beside it, cut off at the path's own value
         beside = np.maximum(1.0 - lat.prob[edges], 0.0)
-        alone = lat.first[np.searchsorted(lat.first, edges, "right")] - lat.first[np.searchsorted(lat.first, edges, "right") - 1] == 1
-        beside[alone] = 0.0
+        beside[alone[edges]] = 0.0
         place_of = np.full(docs, -1)
         if j:
             for d in np.flatnonzero(lengths):
                 _, place, new, _, taken = kept[d]
                 here = heads[d] + place - kept[d][0].heads[d]
                 place_of[d] = here
-                pos = int(np.searchsorted(lat.first, new, "right")) - 1
+                pos = int(lat.start[new])
                 a, b = lat.first[pos], lat.first[pos + 1]
                 rest = float(lat.prob[a:b].sum() - lat.prob[np.array(taken)].sum())
                 beside[here] = rest if len(taken) < b - a and rest > 1e-15 else 0.0
@@ -363,12 +406,12 @@ def _with_bytes(ids: np.ndarray, pieces: Pieces) -> np.ndarray:
 
 def best_group(texts: list[str], pieces: Pieces, theta: float) -> list[np.ndarray]:
     """The most probable segmentation of each text."""
-    index: dict[str, int] = {}
-    parts = [[index.setdefault(w, len(index)) for w in CHUNK.findall(t)] for t in texts]
+    index = _Index()
+    parts = [list(map(index.__getitem__, CHUNK.findall(t))) for t in texts]
     if not index:
         return [np.zeros(0, np.int32) for _ in texts]
-    lat = build_lattice(list(index), pieces, theta)
-    word = np.array([w for p in parts for w in p], np.int64)
+    lat = build_lattice(list(index), pieces, theta, best_path=True)
+    word = np.fromiter(itertools.chain.from_iterable(parts), np.int64)
     edges, count = walk(lat, lat.starts[word], None)
     cut = np.append(0, np.cumsum(_padded(count, len(word))))
     at = np.append(0, np.cumsum([len(p) for p in parts]))

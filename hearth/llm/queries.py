@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from .common import read_table
+from .op1_licenses import license_digest
 from .op2_pii import pii_digest
 from .op3_toxicity import toxicity_scores
 from .op4_html import extract_main_text
 from .op5_embeddings import near_duplicates
 from .op6_exact import exact_duplicates
+from .op7_pieces import sample_encodings
 from .op8_jaccard import jaccard_components
 from .op9_urls import judge_urls
 from .op10_mix import mix_sources
 
 
+def op1_license_scan(spark, sf_dir):
+    return license_digest(read_table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark, sf_dir):
     return pii_digest(read_table(spark, sf_dir, "documents"))
 
@@ -33,6 +39,10 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_piece_samples(spark, sf_dir):
+    return sample_encodings(read_table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark, sf_dir):
     return jaccard_components(read_table(spark, sf_dir, "documents"))
 
@@ -46,4 +56,4 @@ def op10_mix(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_toxicity, op4_html_text, op5_embedding_dedup, op6_exact_dedup, op8_jaccard_join, op9_url_filter, op10_mix)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_pii, op3_toxicity, op4_html_text, op5_embedding_dedup, op6_exact_dedup, op7_piece_samples, op8_jaccard_join, op9_url_filter, op10_mix)}
