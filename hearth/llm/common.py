@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import tempfile
 import uuid
 
@@ -19,7 +20,17 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of this session import the package from where the driver did."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "")
+    if home not in have.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (home, have) if x)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

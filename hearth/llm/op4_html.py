@@ -100,7 +100,8 @@ def page_blocks(html: str) -> list[_Block]:
     def close() -> None:
         nonlocal parts, links
         if parts:
-            block = _Block(parts, links, stack[-1][1], stack[-1][2], heading)
+            _, bad, scope = stack[-1]
+            block = _Block(parts, links, bad, 0 if bad else scope, heading)  # boilerplate says nothing of its article
             if block.chars:
                 blocks.append(block)
         parts, links = [], 0
