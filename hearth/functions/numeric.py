@@ -38,6 +38,8 @@ def delta_percent(asking: Column, pred: Column) -> Column:
 
 
 def deal_label(asking: Column, pred: Column, band: float = FAIR_BAND) -> Column:
+    """Great, fair or overpriced; NULL when either price is missing."""
     hi, lo = fair_band(pred, band)
     great, fair, over = DEAL_LABELS
-    return F.when(asking > hi, F.lit(over)).when(asking < lo, F.lit(great)).otherwise(F.lit(fair))
+    label = F.when(asking > hi, F.lit(over)).when(asking < lo, F.lit(great)).otherwise(F.lit(fair))
+    return F.when(asking.isNotNull() & pred.isNotNull(), label)

@@ -67,6 +67,7 @@ def strip_fences(c: Column) -> Column:
                   ).otherwise(opened)
 
 
-def prompt_text(c: Column, n: int = PROMPT_CHARS) -> Column:
-    """The first ``n`` characters handed to the extraction model."""
-    return F.substring(c, 1, n)
+def text_segments(c: Column, n: int = PROMPT_CHARS) -> Column:
+    """The text cut into consecutive pieces of ``n`` characters for the extraction model; nothing is dropped."""
+    last = F.greatest(F.ceil(F.length(c) / F.lit(n)) - 1, F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(c, i * n + 1, F.lit(n)))

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from ..constants import ALERT_KEYWORD, ALERT_MAX_RENT, TARGET
 
 # --- fixed values -----------------------------------------------------------
-# Alert message layout: title, price, location, rooms.
-MESSAGE_HEADER = "🚨 **New Apartment Alert!** 🚨"
-MESSAGE_LINES = ("**Title:** ", "**Price:** ", " EUR", "**Location:** ", "**Rooms:** ")
+# Alert message: title, price, location, rooms.
+MESSAGE = """🚨 **New Apartment Alert!** 🚨
+**Title:** %s
+**Price:** %s EUR
+**Location:** %s
+**Rooms:** %s"""
+MISSING = "N/A"
 
 
 def alert_rule(max_rent: float = ALERT_MAX_RENT, keyword: str = ALERT_KEYWORD) -> Column:
@@ -19,10 +23,9 @@ def alert_rule(max_rent: float = ALERT_MAX_RENT, keyword: str = ALERT_KEYWORD) -
 
 
 def alert_message() -> Column:
-    t, p, eur, loc, rooms = MESSAGE_LINES
-    return F.concat(F.lit(MESSAGE_HEADER + "\n" + t), F.col("title"),
-                    F.lit("\n" + p), F.col(TARGET).cast("string"), F.lit(eur + "\n" + loc),
-                    F.col("neighborhood"), F.lit("\n" + rooms), F.col("rooms").cast("string"))
+    """The message of a row; a missing part reads ``N/A``."""
+    return F.format_string(MESSAGE, *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
+                                      for c in ("title", TARGET, "neighborhood", "rooms")])
 
 
 def alert_rows(df: DataFrame, max_rent: float = ALERT_MAX_RENT, keyword: str = ALERT_KEYWORD) -> DataFrame:

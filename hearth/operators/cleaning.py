@@ -37,7 +37,7 @@ def fill_defaults(df: DataFrame, fills: dict | None = None) -> DataFrame:
     return out
 
 
-def iqr_filter(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "exact") -> DataFrame:
+def iqr_filter(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
     """Keep rows whose value is NULL or inside the Tukey fences of ``col``."""
     if not is_numeric(df, col):
         return df
@@ -46,41 +46,39 @@ def iqr_filter(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str
     return df.where(c.isNull() | ((c >= lo) & (c <= hi)))
 
 
-def iqr_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "exact") -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
     """Rows strictly outside the fences (NULLs are not outliers)."""
     lo, hi = fences(df, col, factor, method)
     c = F.col(col)
     return df.where((c < lo) | (c > hi))
 
 
-def remove_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, method: str = "exact") -> DataFrame:
+def remove_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, method: str = "distributed") -> DataFrame:
     """Columns are screened in order; later fences use the rows that survived earlier ones."""
     for c in columns:
         df = iqr_filter(df, c, method=method)
     return df
 
 
-def clean_listings(df: DataFrame, tie_cols=("id",), method: str = "exact") -> DataFrame:
+def clean_listings(df: DataFrame, tie_cols=("id",), method: str = "distributed") -> DataFrame:
     """Deduplicate → drop missing target → fill category → remove outliers.
 
-    With ``method="distributed"`` the deduplicated table is written once to the shared
-    checkpoint folder first: its fences need eager steps, and they and the filters then
-    read the written table instead of deduplicating the input again.
+    The deduplicated table is written once to the shared folder: the fences and the
+    filters then read the written table instead of deduplicating the input again.
     """
-    base = handle_missing_values(keep_latest(df, tie_cols=tie_cols))
-    if method == "distributed":
-        from ..session import cut_lineage
-        base = cut_lineage(base)
+    from ..session import cut_lineage
+    base = cut_lineage(handle_missing_values(keep_latest(df, tie_cols=tie_cols)))
     return remove_outliers(base, method=method)
 
 
-def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "exact") -> DataFrame:
+def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "distributed") -> DataFrame:
     """Row counts per cleaning step as one query: (step_no, step, rows_in, rows_out, affected).
 
     The deduplicated rows are flagged once and counted in a single aggregate,
     instead of one count action per step.
     """
-    dedup = keep_latest(df, tie_cols=tie_cols)
+    from ..session import cut_lineage
+    dedup = cut_lineage(keep_latest(df, tie_cols=tie_cols))
     rent, nbh = F.col(TARGET), F.col("neighborhood")
     kept = drop_missing_target(dedup)
     rlo, rhi = fences(kept, TARGET, method=method)
@@ -122,13 +120,15 @@ def seed_casts(df: DataFrame) -> DataFrame:
     """Text columns (e.g. a CSV read without a schema) to the seed loader's types.
 
     rent and rooms: number → integer truncated toward zero; pets: boolean; title and
-    neighborhood: string. ``try_cast`` turns unparsable text into NULL (a plain cast
-    raises under ANSI mode), so the fills of ``fill_defaults`` can apply afterwards.
+    neighborhood: string. Unparsable text, NaN, infinities and numbers beyond the integer
+    range become NULL (a plain cast raises under ANSI mode), so the fills of
+    ``fill_defaults`` can apply afterwards.
     """
     out = df
     for c in (TARGET, "rooms"):
         if c in out.columns:
-            out = out.withColumn(c, F.col(c).try_cast("double").cast("long").try_cast("int"))
+            number = F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double"))
+            out = out.withColumn(c, number.try_cast("int"))
     if "is_pet_friendly" in out.columns:
         out = out.withColumn("is_pet_friendly", F.col("is_pet_friendly").try_cast("boolean"))
     for c in ("title", "neighborhood"):

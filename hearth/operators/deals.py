@@ -32,13 +32,15 @@ def deal_message(deal: str = "deal", pct: str = "delta_percent", asking: str = "
 
 def deal_quality(df: DataFrame, predicted: str = "deal", actual: str = "true_deal",
                  positive: str = DEAL_LABELS[0], scale: int = 6) -> DataFrame:
-    """Accuracy over all labels, precision and recall for the positive label."""
-    pp, ap = F.col(predicted) == positive, F.col(actual) == positive
-    agg = df.agg(F.count(F.lit(1)).alias("n"),
+    """Accuracy over rows with both labels, precision and recall for the positive label. Other rows
+    are counted as ``unlabelled``; ratios over nothing are NULL."""
+    known = F.col(predicted).isNotNull() & F.col(actual).isNotNull()
+    pp, ap = known & (F.col(predicted) == positive), known & (F.col(actual) == positive)
+    agg = df.agg(F.count_if(known).alias("n"), F.count_if(~known).alias("unlabelled"),
                  F.count_if(F.col(predicted) == F.col(actual)).alias("agree"),
                  F.count_if(pp & ap).alias("tp"), F.count_if(pp).alias("pred_pos"),
                  F.count_if(ap).alias("actual_pos"))
-    return agg.select("n", "tp", "pred_pos", "actual_pos",
-                      F.round(F.col("agree") / F.col("n"), scale).alias("accuracy"),
+    return agg.select("n", "unlabelled", "tp", "pred_pos", "actual_pos",
+                      F.round(F.col("agree") / F.nullif(F.col("n"), F.lit(0)), scale).alias("accuracy"),
                       F.round(F.col("tp") / F.nullif(F.col("pred_pos"), F.lit(0)), scale).alias("precision"),
                       F.round(F.col("tp") / F.nullif(F.col("actual_pos"), F.lit(0)), scale).alias("recall"))

@@ -73,7 +73,7 @@ def _quartiles(df: DataFrame, long: DataFrame, cols: Sequence[str], method: str)
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
-                    method: str = "exact") -> DataFrame:
+                    method: str = "distributed") -> DataFrame:
     """count, mean, median, std (sample), min, max, q1, q3, iqr over non-null values.
 
     ``method`` as in ``operators.quantiles`` (``distributed`` for continuous columns at scale).
@@ -90,14 +90,14 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS
                     (F.col("_q")[2] - F.col("_q")[0]).alias("iqr")))
 
 
-def _bounds(df: DataFrame, cols: Sequence[str], factor: float, method: str = "exact") -> DataFrame:
+def _bounds(df: DataFrame, cols: Sequence[str], factor: float, method: str = "distributed") -> DataFrame:
     s = numeric_profile(df, cols, method)
     return s.select("column_name", (F.col("q1") - factor * F.col("iqr")).alias("lower_bound"),
                     (F.col("q3") + factor * F.col("iqr")).alias("upper_bound"))
 
 
 def anomaly_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
-                    factor: float = IQR_FACTOR, method: str = "exact") -> DataFrame:
+                    factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
     """Per column: fences, outlier count and share of all rows (NULL rows in the denominator)."""
     cols = [c for c in cols if c in df.columns]
     b = _bounds(df, cols, factor, method)
@@ -111,21 +111,28 @@ def anomaly_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS
                     _pct(F.coalesce("outlier_count", F.lit(0)), F.col("_rows")).alias("outlier_percent")))
 
 
+def outlier_values(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS, order_col: str = "id",
+                   factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
+    """Every outlier value: (column_name, id, value)."""
+    cols = [c for c in cols if c in df.columns]
+    b = _bounds(df, cols, factor, method)
+    long = _long(df, cols, keep=(order_col,)).join(F.broadcast(b), "column_name")
+    out = long.where((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
+    return out.select("column_name", F.col(order_col).alias("id"), "value")
+
+
 def outlier_samples(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
                     n: int = OUTLIER_SAMPLE, order_col: str = "id",
-                    factor: float = IQR_FACTOR, method: str = "exact") -> DataFrame:
+                    factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
     """The first ``n`` outlier values per column in row order: (column, position, id, value).
 
     ``row_number() <= n`` is planned as a window group limit, so each input
     partition forwards at most ``n`` rows per column to the final window.
     """
-    cols = [c for c in cols if c in df.columns]
-    b = _bounds(df, cols, factor, method)
-    long = _long(df, cols, keep=(order_col,)).join(F.broadcast(b), "column_name")
-    out = long.where((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
-    w = Window.partitionBy("column_name").orderBy(F.col(order_col))
+    out = outlier_values(df, cols, order_col, factor, method)
+    w = Window.partitionBy("column_name").orderBy("id")
     return (out.withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
-            .select("column_name", "position", F.col(order_col).alias("id"), "value"))
+            .select("column_name", "position", "id", "value"))
 
 
 def category_profile(df: DataFrame, col: str = "neighborhood") -> DataFrame:
@@ -174,13 +181,17 @@ def quality_rates(df: DataFrame, key: Sequence[str] = LISTING_KEY,
     """Completeness, key uniqueness and validity (rent inside the window and rooms >= 1), in %."""
     lo, hi = price_window
     valid = F.col(TARGET).between(lo, hi) & (F.col("rooms") >= 1)
-    base = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(valid).alias("valid_rows"))
-    keys = df.select(*key).distinct().select(F.count(F.lit(1))).scalar()
-    comp = completeness(df).select("completeness_percent").scalar()
-    return (base.withColumn("distinct_keys", keys).withColumn("completeness_percent", comp)
-            .select("rows", "distinct_keys", "valid_rows", "completeness_percent",
-                    F.round(F.col("distinct_keys") * 100.0 / F.col("rows"), 6).alias("uniqueness_percent"),
-                    F.round(F.col("valid_rows") * 100.0 / F.col("rows"), 6).alias("validity_percent")))
+    cells = sum((F.count(F.col(c)) for c in df.columns), F.lit(0))
+    # one scan: counts per key (combined before the shuffle), then their sums
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.count_if(valid).alias("_v"), cells.alias("_c"))
+    total = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("distinct_keys"),
+                        F.coalesce(F.sum("_v"), F.lit(0)).alias("valid_rows"), F.coalesce(F.sum("_c"), F.lit(0)).alias("_c"))
+    rows = F.nullif(F.col("rows"), F.lit(0))
+    return total.select(
+        "rows", "distinct_keys", "valid_rows",
+        F.coalesce(F.round(F.col("_c") * 100.0 / (rows * len(df.columns)), 6), F.lit(0.0)).alias("completeness_percent"),
+        F.round(F.col("distinct_keys") * 100.0 / rows, 6).alias("uniqueness_percent"),
+        F.round(F.col("valid_rows") * 100.0 / rows, 6).alias("validity_percent"))
 
 
 def summary_stats(df: DataFrame) -> DataFrame:

@@ -1,14 +1,12 @@
 """Quantiles with pandas' default (linear interpolation) semantics.
 
-``exact``: Spark's ``percentile`` over value counts. The input is first reduced
-to one row per distinct value (a map-side combined aggregate, so a hot value is
-one row), and the percentile state then holds distinct values, not rows. That
-is bounded by the value domain (whole euros, room counts).
-``distributed``: exact as well, without any task holding all distinct values:
-approximate equi-depth splits over the distinct values (a bounded list of
-``buckets - 1`` numbers) bucket the values; exact per-bucket counts give each
-bucket's rank range; exact ranks are then computed only inside the buckets
-that contain the wanted ranks. For continuous columns at any scale.
+``distributed`` (the default): exact, without any task holding all distinct values:
+the input is reduced to one row per distinct value (combined before the shuffle, so a
+hot value is one row); approximate equi-depth splits bucket the values, about
+``BUCKET_VALUES`` in each; exact per-bucket counts give each bucket's rank range; exact
+ranks are then computed only inside the buckets that contain the wanted ranks.
+``exact``: Spark's ``percentile`` over value counts; its state holds all distinct
+values, so it is for columns whose domain is known to be small.
 ``approx``: ``percentile_approx`` with fixed-size sketches.
 """
 
@@ -21,13 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def quantiles(df: DataFrame, col: str, probs: Sequence[float], method: str = "exact",
-              accuracy: int = 100000, buckets: int = 1024) -> DataFrame:
+def quantiles(df: DataFrame, col: str, probs: Sequence[float], method: str = "distributed",
+              accuracy: int = 100000) -> DataFrame:
     """One row with an array column ``q`` holding the requested quantiles."""
     c = F.col(col)
     p = F.array(*[F.lit(float(x)) for x in probs])
     if method == "distributed":
-        return distributed_quantiles(df, col, probs, buckets)
+        return distributed_quantiles(df, col, probs)
     if method == "approx":
         return df.agg(F.percentile_approx(c.cast("double"), p, accuracy).alias("q"))
     if method != "exact":
@@ -36,35 +34,28 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], method: str = "ex
     return counts.agg(F.percentile(F.col("_v"), p, F.col("_n")).alias("q"))
 
 
-SINGLE_TASK_DISTINCT = 200_000
+BUCKET_VALUES = 50_000  # distinct values ranked together
+LEAST_BUCKETS = 16
 
 
-def distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 1024,
-                          single_task_distinct: int = SINGLE_TASK_DISTINCT) -> DataFrame:
-    """Exact quantiles (linear interpolation, as ``percentile``) with per-task state bounded by
-    about distinct_values / buckets. The split list is the only driver-side value (``buckets - 1`` numbers).
-
-    When the checked number of distinct values is at most ``single_task_distinct``, one
-    ``percentile`` merge over the value counts is used instead (its state is bounded by the check).
-    """
+def distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                          bucket_values: int = BUCKET_VALUES) -> DataFrame:
+    """Exact quantiles (linear interpolation, as ``percentile``); a task holds about ``bucket_values`` distinct
+    values at any size. Only the split points (one per bucket) reach the driver."""
     from pyspark.ml.feature import Bucketizer
     from pyspark.sql import Window
 
     from ..session import cut_lineage
 
     v = F.col(col).cast("double")
-    counts = df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    # The value counts feed five branches below; writing them once to the shared checkpoint
-    # folder cuts the lineage (no branch recomputes the input, and the plan stays small).
-    counts = cut_lineage(counts)
-    if counts.count() <= single_task_distinct:
-        p = F.array(*[F.lit(float(x)) for x in probs])
-        return counts.agg(F.percentile(F.col("_v"), p, F.col("_n")).alias("q"))
+    # The value counts feed several branches below; writing them once cuts the lineage.
+    counts = cut_lineage(df.where(v.isNotNull()).groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_n")))
+    buckets = max(LEAST_BUCKETS, -(-counts.count() // bucket_values))
     grid = [i / buckets for i in range(1, buckets)]
     cut = counts.agg(F.percentile_approx("_v", grid, 10 * buckets)).first()[0] or []
     splits = [float("-inf")] + sorted(set(cut)) + [float("inf")]
     b = Bucketizer(splits=splits, inputCol="_v", outputCol="_b").transform(counts)
-    # rank range [start, end) of every bucket: a running sum over at most `buckets` rows
+    # rank range [start, end) of every bucket: a running sum over one row per bucket
     per_bucket = b.groupBy("_b").agg(F.sum("_n").alias("_t"))
     run = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranges = (per_bucket.withColumn("_end", F.sum("_t").over(run))
@@ -92,7 +83,7 @@ def distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float], bucke
     return vals.select(F.array(*out).alias("q"))
 
 
-def iqr_stats(df: DataFrame, col: str, factor: float = 1.5, method: str = "exact") -> DataFrame:
+def iqr_stats(df: DataFrame, col: str, factor: float = 1.5, method: str = "distributed") -> DataFrame:
     """One row: q1, q3, iqr, lower, upper (Tukey fences over non-null values)."""
     q = quantiles(df, col, (0.25, 0.75), method)
     q1, q3 = F.col("q")[0], F.col("q")[1]
@@ -101,7 +92,7 @@ def iqr_stats(df: DataFrame, col: str, factor: float = 1.5, method: str = "exact
                     (q3 + F.lit(factor) * (q3 - q1)).alias("upper"))
 
 
-def fences(df: DataFrame, col: str, factor: float = 1.5, method: str = "exact") -> tuple[Column, Column]:
+def fences(df: DataFrame, col: str, factor: float = 1.5, method: str = "distributed") -> tuple[Column, Column]:
     """Lower and upper fences as scalar subqueries (computed once, merged by Catalyst)."""
     s = iqr_stats(df, col, factor, method)
     return s.select("lower").scalar(), s.select("upper").scalar()

@@ -53,9 +53,7 @@ def q_clean_listings(spark, d):
 
 @query("clean_sales")
 def q_clean_sales(spark, d):
-    # prices are continuous: exact fences computed bucket-wise, no task holds all distinct prices
-    return cleaning.clean_listings(adapters.sales_listings(spark, d), tie_cols=adapters.SALES_ORDER,
-                                   method="distributed")
+    return cleaning.clean_listings(adapters.sales_listings(spark, d), tie_cols=adapters.SALES_ORDER)
 
 
 @query("dedup_latest")
@@ -156,6 +154,19 @@ def q_outlier_samples(spark, d):
     return profiling.outlier_samples(_obs(spark, d))
 
 
+@query("outlier_values")
+def q_outlier_values(spark, d):
+    """Every outlier value per column; the samples and the report show the first five."""
+    return profiling.outlier_values(_obs(spark, d))
+
+
+@query("category_distribution")
+def q_category_distribution(spark, d):
+    """The whole distribution of the category in the cleaned table, largest first."""
+    p = profiling.category_profile(_clean(spark, d)).drop("unique_values")
+    return p.orderBy(F.desc("listings"), "neighborhood")
+
+
 @query("profile_categories")
 def q_profile_categories(spark, d):
     return profiling.category_profile(_obs(spark, d))
@@ -512,6 +523,15 @@ def q_csv_roundtrip(spark, d):
     return tables.read_first_available(spark, [("csv", f"{path}/missing"), ("csv", path)])
 
 
+@query("export_features")
+def q_export_features(spark, d):
+    """Clean, engineer, export as CSV with a header, and read the export back."""
+    path = work_dir(spark, "features-csv")
+    e = q_engineer_features(spark, d)
+    tables.write_csv(e, path)
+    return spark.read.schema(e.schema).options(**tables.CSV_OPTIONS).csv(path)
+
+
 @query("table_lifecycle")
 def q_table_lifecycle(spark, d):
     """Create a listings table (external, under the shared folder), insert the cleaned rows, check it

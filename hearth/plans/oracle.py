@@ -177,9 +177,9 @@ NOT_NULL_VIOL = """SELECT id, title, neighborhood, monthly_rent_eur,
             CASE WHEN neighborhood IS NULL THEN 'neighborhood' END) AS violations
 FROM obs WHERE title IS NULL OR monthly_rent_eur IS NULL OR neighborhood IS NULL"""
 
-ALERT_MSG = ("'🚨 **New Apartment Alert!** 🚨' || chr(10) || '**Title:** ' || title || chr(10) || '**Price:** ' || "
-             "CAST(monthly_rent_eur AS VARCHAR) || ' EUR' || chr(10) || '**Location:** ' || neighborhood || chr(10) || "
-             "'**Rooms:** ' || CAST(rooms AS VARCHAR)")
+ALERT_MSG = ("'🚨 **New Apartment Alert!** 🚨' || chr(10) || '**Title:** ' || coalesce(title, 'N/A') || chr(10) || '**Price:** ' || "
+             "coalesce(CAST(monthly_rent_eur AS VARCHAR), 'N/A') || ' EUR' || chr(10) || '**Location:** ' || coalesce(neighborhood, 'N/A') || chr(10) || "
+             "'**Rooms:** ' || coalesce(CAST(rooms AS VARCHAR), 'N/A')")
 
 ORACLE: dict[str, str] = {
     "clean_listings": OBS_CLEAN + "SELECT * FROM clean",
@@ -234,6 +234,11 @@ FROM bnd JOIN lng USING (column_name) GROUP BY bnd.column_name, lo, hi""",
     "outlier_samples": with_(EV, OBS, LONG) + """SELECT column_name, position, id, value FROM (
   SELECT column_name, CAST(row_number() OVER (PARTITION BY column_name ORDER BY id) AS INTEGER) AS position, id, value
   FROM lng JOIN bnd USING (column_name) WHERE value < lo OR value > hi) WHERE position <= 5""",
+    "outlier_values": with_(EV, OBS, LONG) + """SELECT column_name, id, value
+FROM lng JOIN bnd USING (column_name) WHERE value < lo OR value > hi""",
+    "category_distribution": OBS_CLEAN + """SELECT neighborhood, count(*) AS listings,
+  round(count(*) * 100.0 / (SELECT count(*) FROM clean), 2) AS share_percent
+FROM clean WHERE neighborhood IS NOT NULL GROUP BY neighborhood""",
     "profile_categories": with_(EV, OBS) + """SELECT neighborhood, count(*) AS listings,
   round(count(*) * 100.0 / (SELECT count(*) FROM obs), 2) AS share_percent,
   (SELECT count(DISTINCT neighborhood) FROM obs) AS unique_values
@@ -317,9 +322,11 @@ SELECT base_url, CAST(r.range AS INTEGER) AS page_no,
   CASE WHEN r.range = 1 THEN base_url ELSE base_url || '?page=' || CAST(r.range AS VARCHAR) END AS url
 FROM bases, range(1, 6) r""",
     "page_text": with_(PAGE_TEXT) + "SELECT page_id, text, CAST(length(text) AS INTEGER) AS n_chars FROM texts",
-    "page_gate": with_(PAGE_TEXT) + """SELECT page_id, CAST(length(text) AS INTEGER) AS n_chars,
-  substring(text, 1, 10000) AS prompt_text, CAST(length(substring(text, 1, 10000)) AS INTEGER) AS prompt_chars
-FROM texts WHERE length(text) >= 200""",
+    "page_gate": with_(PAGE_TEXT) + """SELECT page_id, CAST(length(text) AS INTEGER) AS n_chars, CAST(segment_no AS INTEGER) AS segment_no,
+  substring(text, (segment_no - 1) * 10000 + 1, 10000) AS prompt_text,
+  CAST(length(substring(text, (segment_no - 1) * 10000 + 1, 10000)) AS INTEGER) AS prompt_chars
+FROM (SELECT page_id, text, unnest(range(1, CAST(ceil(length(text) / 10000) AS BIGINT) + 1)) AS segment_no
+      FROM texts WHERE length(text) >= 200)""",
     "reply_repair": with_(EV, OBS, REPLY) + "SELECT reply_id, root_kind, n_candidates FROM rk",
     "reply_validate": with_(EV, OBS, REPLY) + """SELECT reply_id, accepted,
   CAST(CASE WHEN accepted THEN n_candidates ELSE 0 END AS INTEGER) AS n_listings FROM rk""",
@@ -345,11 +352,12 @@ SELECT request_id, asking_price, predicted_rent_eur, round(max_fair, 6) AS max_f
     "deal_quality": OBS_CLEAN.rstrip("\n") + ",\n" + SPLIT + ",\n" + REQ + ",\n" + DEAL + """,
 truth AS (SELECT neighborhood, avg(monthly_rent_eur) AS tp FROM clean GROUP BY neighborhood),
 j AS (SELECT lab.*, CASE WHEN asking_price > tp * 1.1 THEN 'Overpriced' WHEN asking_price < tp * 0.9 THEN 'Great Deal'
-                    ELSE 'Fair Price' END AS true_deal FROM lab LEFT JOIN truth USING (neighborhood))
-SELECT count(*) AS n, count_if(deal = 'Great Deal' AND true_deal = 'Great Deal') AS tp,
-  count_if(deal = 'Great Deal') AS pred_pos, count_if(true_deal = 'Great Deal') AS actual_pos,
-  round(count_if(deal = true_deal) / count(*), 6) AS accuracy,
-  round(count_if(deal = 'Great Deal' AND true_deal = 'Great Deal') / NULLIF(count_if(deal = 'Great Deal'), 0), 6)
+                    WHEN tp IS NOT NULL THEN 'Fair Price' END AS true_deal FROM lab LEFT JOIN truth USING (neighborhood))
+SELECT count(true_deal) AS n, count_if(true_deal IS NULL) AS unlabelled, count_if(deal = 'Great Deal' AND true_deal = 'Great Deal') AS tp,
+  count_if(deal = 'Great Deal' AND true_deal IS NOT NULL) AS pred_pos, count_if(true_deal = 'Great Deal') AS actual_pos,
+  round(count_if(deal = true_deal) / NULLIF(count(true_deal), 0), 6) AS accuracy,
+  round(count_if(deal = 'Great Deal' AND true_deal = 'Great Deal')
+        / NULLIF(count_if(deal = 'Great Deal' AND true_deal IS NOT NULL), 0), 6)
     AS precision,
   round(count_if(deal = 'Great Deal' AND true_deal = 'Great Deal') / NULLIF(count_if(true_deal = 'Great Deal'), 0), 6)
     AS recall
@@ -418,3 +426,4 @@ FROM kept GROUP BY title, neighborhood"""
 ORACLE["stream_upsert"] = ORACLE["observation_rollup"]
 ORACLE["stream_current"] = ORACLE["observation_rollup"]
 ORACLE["stream_alerts"] = ORACLE["alert_rows"]
+ORACLE["export_features"] = ORACLE["engineer_features"]

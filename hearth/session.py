@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
 
@@ -39,37 +39,57 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local runs, tests) is a folder created
-    and registered, so lineage cuts and snapshots always land in one place.
+    Where the setting is absent, a local master (tests, trial runs) gets a folder of its own;
+    on a cluster a machine-local folder would be invisible to the other machines, so that raises.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="hearth-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="hearth-ckpt-"))
+        root = sc.getCheckpointDir()
     return root.rstrip("/")
 
 
+_FOLDERS: dict[str, str] = {}
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _clean_up(spark: SparkSession, path: str) -> None:
+    try:
+        delete_path(spark, path)
+    except Exception:  # noqa: BLE001 - at exit the session may be gone; the shared folder is the cluster's to clean
+        pass
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder under the shared root; deleted when the driver exits."""
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        _FOLDERS[app] = f"{checkpoint_root(spark)}/hearth-{uuid.uuid4().hex[:12]}"
+        atexit.register(_clean_up, spark, _FOLDERS[app])
+    return _FOLDERS[app]
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    path = f"{root}/hearth/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh, unique path under this application's folder (made by the first write)."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df):
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+    """Write ``df`` as parquet to the shared folder and continue from the written copy.
 
-    The frame is persisted while the checkpoint is written, because a reliable
-    checkpoint otherwise computes its input twice (once to count, once to write).
-    The written copy survives executor loss; nothing uses ``localCheckpoint``.
+    The copy survives executor loss, keeps column pruning and statistics, and is deleted with
+    the application's folder.
     """
-    checkpoint_root(df.sparkSession)
-    cached = df.persist()
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
+    spark = df.sparkSession
+    path = work_dir(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_PAGE_CHARS, PROMPT_CHARS
 from ..functions.binding import let
-from ..functions.text import html_to_text, prompt_text
+from ..functions.text import html_to_text, text_segments
 
 DEFAULT_PAGES = 5
 
@@ -39,19 +39,21 @@ def page_texts(pages: DataFrame) -> DataFrame:
             .withColumn("n_chars", F.length("text").cast("int")))
 
 
-def gate_pages(pages: DataFrame, min_chars: int = MIN_PAGE_CHARS, prompt_chars: int = PROMPT_CHARS) -> DataFrame:
-    """Pages whose text is long enough to extract from, with the model input (first ``prompt_chars`` chars).
+def gate_pages(pages: DataFrame, min_chars: int = MIN_PAGE_CHARS, segment_chars: int = PROMPT_CHARS) -> DataFrame:
+    """Pages whose text is long enough to extract from, as model inputs: one row per consecutive segment of
+    ``segment_chars`` characters (page_id, n_chars, segment_no, prompt_text, prompt_chars).
 
-    Filter and projection happen in one generator (``inline`` of a zero- or
-    one-element array), so the text of a page is computed once: a Filter on
-    the text length would be pushed below the projection and repeat it.
+    Filter and projection happen in one generator (``inline`` of an array that is empty for short
+    pages), so the text of a page is computed once: a Filter on the text length would be pushed
+    below the projection and repeat it.
     """
     def keep(t):
         n = F.length(t).cast("int")
-        p = prompt_text(t, prompt_chars)
-        row = F.struct(n.alias("n_chars"), p.alias("prompt_text"), F.length(p).cast("int").alias("prompt_chars"))
-        return F.when(n >= min_chars, F.array(row)).otherwise(F.array().cast(
-            "array<struct<n_chars:int,prompt_text:string,prompt_chars:int>>"))
+        rows = F.transform(text_segments(t, segment_chars), lambda x, i: F.struct(
+            n.alias("n_chars"), (i + 1).cast("int").alias("segment_no"), x.alias("prompt_text"),
+            F.length(x).cast("int").alias("prompt_chars")))
+        return F.when(n >= min_chars, rows).otherwise(F.array().cast(
+            "array<struct<n_chars:int,segment_no:int,prompt_text:string,prompt_chars:int>>"))
 
     g = let(html_to_text(F.col("html")), keep)
     return pages.select("page_id", F.inline(g))

@@ -18,6 +18,7 @@ Every path lives under the shared checkpoint root (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 from ..constants import LISTING_KEY
 from ..operators import alerts, upsert, validation
 from ..schemas import LISTING_SCHEMA
+from ..session import delete_path
 from ..sources.adapters import observations_from_events
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -48,11 +50,21 @@ TABLE_SCHEMA = T.StructType([LISTING_SCHEMA[c] for c in upsert.TABLE_COLUMNS])
 LOG_SCHEMA = "batch_id long, path string"
 
 
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
+    """The commit log, or None when its path does not exist yet. Any other failure (credentials, an
+    unreachable store) is raised: read as "no log" it would start over from an empty table."""
+    try:
+        return spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def latest_snapshot(spark: SparkSession, root: str, before: int | None = None) -> str | None:
     """Path of the newest logged snapshot (optionally with a batch id below ``before``)."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log")
-    except Exception:  # noqa: BLE001 - no log yet
+    log = _log(spark, root)
+    if log is None:
         return None
     if before is not None:
         log = log.where(F.col("batch_id") < before)
@@ -68,11 +80,8 @@ def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
 
 
 def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
-    try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log")
-    except Exception:  # noqa: BLE001 - no log yet
-        return False
-    return not log.where(F.col("batch_id") == batch_id).isEmpty()
+    log = _log(spark, root)
+    return log is not None and not log.where(F.col("batch_id") == batch_id).isEmpty()
 
 
 def _commit(spark: SparkSession, root: str, batch_id: int, result: DataFrame) -> None:
@@ -83,6 +92,18 @@ def _commit(spark: SparkSession, root: str, batch_id: int, result: DataFrame) ->
     path = f"{root}/snapshots/v{batch_id:010d}"
     result.write.mode("overwrite").parquet(path)
     spark.createDataFrame([(batch_id, path)], LOG_SCHEMA).write.mode("append").parquet(f"{root}/_log")
+    _drop_superseded(spark, root, batch_id)
+
+
+KEPT_SNAPSHOTS = 2  # the newest and the one that readers may still hold
+
+
+def _drop_superseded(spark: SparkSession, root: str, batch_id: int) -> None:
+    """Delete the files of snapshots older than the last ``KEPT_SNAPSHOTS`` logged ones."""
+    old = (spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log").where(F.col("batch_id") <= batch_id)
+           .orderBy(F.desc("batch_id")).limit(KEPT_SNAPSHOTS + 1).collect())
+    for row in old[KEPT_SNAPSHOTS:]:
+        delete_path(spark, row["path"])
 
 
 def apply_upsert_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> None:

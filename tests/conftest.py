@@ -19,11 +19,10 @@ def spark():
                .config("spark.sql.adaptive.enabled", "true")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hearth-test-ckpt-"))
                .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="hearth-test-wh-")))
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):  # tests only: the cluster names its own
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="hearth-test-ckpt-"))
     yield s
 
 
