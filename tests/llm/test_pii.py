@@ -58,9 +58,10 @@ def test_random_against_brute_force(spark):
 
 
 def test_long_text_is_linear(spark):
-    # the plain pattern takes quadratic time on the first text, so it is not run through the brute force
-    assert op.pii_digest(docs(spark, [(1, "x" * 200_000)])).first()["spans"] == ""
-    check(spark, ["1" * 200_000, "1." * 60_000, "+1" + " 2" * 50_000, "a." * 60_000 + "@b.c", ("m@n.op " * 3000)])
+    # the plain patterns take quadratic time on the first two, so these are not run through the brute force
+    for text in ("x" * 200_000, "1" * 200_000):
+        assert op.pii_digest(docs(spark, [(1, text)])).first()["spans"] == ""
+    check(spark, ["1." * 20_000, "+1" + " 2" * 20_000, "a." * 4_000 + "@b.c", "m@n.op " * 3000])
 
 
 def test_added_kinds_and_scores(spark):
