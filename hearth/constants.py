@@ -48,6 +48,8 @@ CV_FOLDS = 3
 LEARNING_RATES = (0.01, 0.05, 0.1, 0.2)
 MAX_DEPTHS = (3, 4, 5, 6, 8)
 N_ESTIMATORS = (50, 100, 200, 300)
+# Parameters of a single fit without a search: learning rate, depth, trees (all from the grid).
+DEFAULT_MODEL = (0.1, 4, 50)
 # Smoothed target encoding (sigmoid weight): min_samples_leaf and smoothing.
 TE_MIN_SAMPLES_LEAF = 20
 TE_SMOOTHING = 10.0

@@ -62,17 +62,20 @@ def _int_value(v: Column, k: Column) -> Column:
     wide = (F.when(k.isin(*_INTEGRAL_KINDS) | (k == "BOOLEAN"), as_int)
             .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"),
                   F.when(dec == F.floor(dec), dec.cast("bigint")))
-            .when(k == "STRING", F.when(s.rlike(r"^\s*[+-]?[0-9]+\s*$"), dec.cast("bigint"))))
+            .when(k == "STRING", F.when(s.rlike(r"^\s*[+-]?[0-9]+(\.0+)?\s*$"), dec.cast("bigint"))))
     return F.when(wide.between(-(2 ** 31), 2 ** 31 - 1), wide.cast("int"))
 
 
 def _bool_value(v: Column, k: Column) -> Column:
     s = F.lower(F.trim(F.try_variant_get(v, "$", "string")))
     i = F.try_variant_get(v, "$", "bigint")
+    dec = F.try_variant_get(v, "$", "decimal(38,18)")
     return (F.when(k == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
             .when(k == "STRING", F.when(s.isin(*TRUE_STRINGS), F.lit(True))
                   .when(s.isin(*FALSE_STRINGS), F.lit(False)))
-            .when(k.isin(*_INTEGRAL_KINDS), F.when(i == 1, F.lit(True)).when(i == 0, F.lit(False))))
+            .when(k.isin(*_INTEGRAL_KINDS), F.when(i == 1, F.lit(True)).when(i == 0, F.lit(False)))
+            .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"),
+                  F.when(dec == 1, F.lit(True)).when(dec == 0, F.lit(False))))
 
 
 def coerce(p: Column) -> Column:
@@ -129,10 +132,6 @@ def coerce_all(cands: Column) -> Column:
     return F.transform(F.transform(cands, probe), coerce)
 
 
-def accepted(coerced: Column) -> Column:
-    return F.coalesce(F.forall(coerced, listing_ok), F.lit(False))
-
-
 def parse_and_coerce(text: Column) -> Column:
     """struct(root_kind, n_candidates, accepted, listings) for a reply text, each step evaluated once."""
     def with_root(v):

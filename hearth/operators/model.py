@@ -1,14 +1,16 @@
-"""Rent model: Spark ML pipeline, random search with cross-validation, scoring.
-
-Pipeline: StringIndexer (unseen → own index) → TargetEncoder (continuous,
-m-estimate smoothing) → SQLTransformer (plain numeric encoding without the
-indexer's nominal metadata, pets to 0/1, rooms to double) →
-VectorAssembler → GBTRegressor (squared loss, seed 42). All stages are
-JVM-side and persist with ``PipelineModel.save``.
-
-Random search samples parameter maps from the learning-rate × depth ×
-trees grid with ``random.Random(seed)``; CrossValidator folds come from a
-hash of the listing id (``foldCol``), so folds do not depend on partitioning.
+"""Rent model: smoothed target encoding, boosted trees, random search with cross-validation, scoring.
+
+The category is encoded by ``SmoothedTargetEncoder`` (fitted on training rows only; a table of
+categories, never a driver-side list), pets become 0/1, and a ``GBTRegressor`` (squared loss,
+seed 42) is fitted. Training rows are first collapsed to distinct feature vectors with their number
+as weight and their mean target: for squared loss the variance within a vector is a constant, so
+the splits are those of the full table, and the trees train on a table as large as the number of
+distinct vectors.
+
+Random search samples parameter maps from the learning-rate × depth × trees grid with
+``random.Random(seed)``. Maps that differ only in the number of trees share one fit per fold: a
+boosted model's first n trees are the model with n trees, and every prefix is evaluated at once.
+Folds come from a hash of the listing id, so they do not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -16,32 +18,21 @@ from __future__ import annotations
 import itertools
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import (CV_FOLDS, FEATURES, LEARNING_RATES, MAX_DEPTHS, N_ESTIMATORS,
+from ..constants import (CV_FOLDS, DEFAULT_MODEL, FEATURES, LEARNING_RATES, MAX_DEPTHS, N_ESTIMATORS,
                          SEARCH_ITERATIONS, SEED, TARGET)
 from ..functions.hashing import split_bucket
+from ..session import cut_lineage
+from .encoding import SmoothedTargetEncoder, SmoothedTargetEncoderModel
 
-VECTOR_INPUTS = ("neighborhood_num", "rooms_f", "pets01")
-
-
-def build_pipeline(seed: int = SEED, smoothing: float = 2.0) -> tuple[Pipeline, GBTRegressor]:
-    idx = StringIndexer(inputCol="neighborhood", outputCol="neighborhood_idx", handleInvalid="keep")
-    te = TargetEncoder(inputCols=["neighborhood_idx"], outputCols=["neighborhood_te"], labelCol=TARGET,
-                       targetType="continuous", handleInvalid="keep", smoothing=smoothing)
-    sql = SQLTransformer(statement=(
-        "SELECT *, neighborhood_te * 1.0 AS neighborhood_num, CAST(rooms AS DOUBLE) AS rooms_f, "
-        "CASE WHEN is_pet_friendly THEN 1.0 ELSE 0.0 END AS pets01 FROM __THIS__"))
-    vec = VectorAssembler(inputCols=list(VECTOR_INPUTS), outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, lossType="squared", seed=seed)
-    return Pipeline(stages=[idx, te, sql, vec, gbt]), gbt
+VECTOR_INPUTS = ("neighborhood_te", "rooms_f", "pets01")
 
 
 def training_frame(df: DataFrame) -> DataFrame:
@@ -49,65 +40,132 @@ def training_frame(df: DataFrame) -> DataFrame:
     return df.select("id", *FEATURES, TARGET).where(F.col(TARGET).isNotNull())
 
 
-def search_grid(gbt: GBTRegressor, n_iter: int = SEARCH_ITERATIONS, seed: int = SEED,
-                learning_rates: Sequence[float] = LEARNING_RATES, max_depths: Sequence[int] = MAX_DEPTHS,
-                n_estimators: Sequence[int] = N_ESTIMATORS) -> list[dict]:
+def model_inputs(df: DataFrame, encoder: SmoothedTargetEncoderModel) -> DataFrame:
+    """``df`` with the numeric model inputs (missing rooms count as 0)."""
+    return encoder.transform(df, out="neighborhood_te").withColumns({
+        "rooms_f": F.coalesce(F.col("rooms").cast("double"), F.lit(0.0)),
+        "pets01": F.when(F.col("is_pet_friendly"), 1.0).otherwise(0.0)})
+
+
+def _vectors(df: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=list(VECTOR_INPUTS), outputCol="features", handleInvalid="keep").transform(df)
+
+
+def collapsed(df: DataFrame) -> DataFrame:
+    """One row per distinct input vector: the inputs, the number of rows and their mean target."""
+    return df.groupBy(*VECTOR_INPUTS).agg(F.count(F.lit(1)).cast("double").alias("weight"), F.avg(TARGET).alias(TARGET))
+
+
+@dataclass
+class RentModel:
+    """Category table, prior and trees."""
+    encoder: SmoothedTargetEncoderModel
+    trees: GBTRegressionModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``prediction``; unseen and missing categories take the prior."""
+        scored = self.trees.transform(_vectors(model_inputs(df, self.encoder)))
+        return scored.select(*df.columns, "prediction")
+
+
+def fit_encoder(train: DataFrame) -> SmoothedTargetEncoderModel:
+    """The encoder with its category table written once (scoring does not fit it again)."""
+    fitted = SmoothedTargetEncoder().fit(train)
+    prior = train.select(F.avg(TARGET)).first()[0]
+    return SmoothedTargetEncoderModel(cut_lineage(fitted.stats), F.lit(prior), fitted.col)
+
+
+def _fit_trees(train: DataFrame, learning_rate: float, max_depth: int, n_estimators: int, seed: int) -> RentModel:
+    encoder = fit_encoder(train)
+    data = cut_lineage(collapsed(model_inputs(train, encoder)))
+    gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, weightCol="weight", lossType="squared", seed=seed,
+                       stepSize=learning_rate, maxDepth=max_depth, maxIter=n_estimators)
+    return RentModel(encoder, gbt.fit(_vectors(data)))
+
+
+def fit_model(train: DataFrame, learning_rate: float = DEFAULT_MODEL[0], max_depth: int = DEFAULT_MODEL[1],
+              n_estimators: int = DEFAULT_MODEL[2], seed: int = SEED) -> RentModel:
+    """One fit with the given (by default the documented) parameters."""
+    return _fit_trees(cut_lineage(training_frame(train)), learning_rate, max_depth, n_estimators, seed)
+
+
+def search_grid(n_iter: int = SEARCH_ITERATIONS, seed: int = SEED, learning_rates: Sequence[float] = LEARNING_RATES,
+                max_depths: Sequence[int] = MAX_DEPTHS, n_estimators: Sequence[int] = N_ESTIMATORS) -> list[tuple]:
+    """(learning rate, depth, trees) of the sampled parameter maps."""
     combos = list(itertools.product(learning_rates, max_depths, n_estimators))
-    picked = random.Random(seed).sample(combos, min(n_iter, len(combos)))
-    return [{gbt.stepSize: lr, gbt.maxDepth: d, gbt.maxIter: n} for lr, d, n in picked]
-
-
-def fit_search(train: DataFrame, n_iter: int = SEARCH_ITERATIONS, folds: int = CV_FOLDS, seed: int = SEED,
-               parallelism: int = 2, **grid) -> tuple:
-    """Random search with k-fold CV on MAE; returns (CrossValidatorModel, param maps)."""
-    pipe, gbt = build_pipeline(seed)
-    maps = search_grid(gbt, n_iter, seed, **grid)
-    data = training_frame(train).withColumn("fold", split_bucket(F.col("id"), seed + 1) % folds)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
-                        evaluator=RegressionEvaluator(labelCol=TARGET, metricName="mae"),
-                        numFolds=folds, seed=seed, parallelism=parallelism, foldCol="fold")
-    return cv.fit(data), maps
-
-
-def search_results(spark: SparkSession, cv_model, maps: list[dict]) -> DataFrame:
-    """One row per parameter map: learning_rate, max_depth, n_estimators, cv_mae, rank (1 = best)."""
-    rows = []
-    for m, score in zip(maps, cv_model.avgMetrics):
-        vals = {p.name: v for p, v in m.items()}
-        rows.append((float(vals["stepSize"]), int(vals["maxDepth"]), int(vals["maxIter"]), float(score)))
+    return random.Random(seed).sample(combos, min(n_iter, len(combos)))
+
+
+def cross_validate(train: DataFrame, n_iter: int = SEARCH_ITERATIONS, folds: int = CV_FOLDS, seed: int = SEED,
+                   parallelism: int = 8, **grid) -> DataFrame:
+    """Mean MAE over the folds of every sampled map: learning_rate, max_depth, n_estimators, cv_mae, rank."""
+    maps = search_grid(n_iter, seed, **grid)
+    spark = train.sparkSession
+    data = cut_lineage(training_frame(train).withColumn("fold", split_bucket(F.col("id"), seed + 1) % folds))
+    most: dict[tuple, int] = {}
+    for lr, depth, n in maps:
+        most[lr, depth] = max(n, most.get((lr, depth), 0))
+    parts = []
+    for k in range(folds):
+        learn = data.where(F.col("fold") != k)
+        encoder = fit_encoder(learn)
+        parts.append((_vectors(cut_lineage(collapsed(model_inputs(learn, encoder)))),
+                      _vectors(cut_lineage(model_inputs(data.where(F.col("fold") == k), encoder)
+                                           .withColumn("weight", F.lit(1.0))))))
+
+    def errors(job: tuple) -> list[float]:
+        (lr, depth), fold = job
+        learn, check = parts[fold]
+        gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, weightCol="weight", lossType="squared", seed=seed,
+                           stepSize=lr, maxDepth=depth, maxIter=most[lr, depth])
+        return gbt.fit(learn).evaluateEachIteration(check, "absolute")
+
+    jobs = sorted(itertools.product(most, range(folds)), key=lambda j: -most[j[0]] * j[0][1])  # the longest first
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = dict(zip(jobs, pool.map(errors, jobs)))
+    rows = [(float(lr), depth, n, sum(found[(lr, depth), k][n - 1] for k in range(folds)) / folds) for lr, depth, n in maps]
     df = spark.createDataFrame(rows, "learning_rate double, max_depth int, n_estimators int, cv_mae double")
-    from pyspark.sql import Window
-    return df.withColumn("rank", F.row_number().over(Window.orderBy("cv_mae", "learning_rate", "max_depth",
-                                                                     "n_estimators")))
+    order = Window.orderBy("cv_mae", "learning_rate", "max_depth", "n_estimators")
+    return df.withColumn("rank", F.row_number().over(order))
+
+
+def fit_search(train: DataFrame, **search) -> tuple[RentModel, DataFrame]:
+    """The model refitted with the best sampled parameters, and the search results."""
+    results = cross_validate(train, **search)
+    best = results.where("rank = 1").first()
+    return fit_model(train, best["learning_rate"], best["max_depth"], best["n_estimators"]), results
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    model.write().overwrite().save(path)
+def save_model(model: RentModel, path: str) -> str:
+    model.encoder.stats.write.mode("overwrite").parquet(f"{path}/categories")
+    spark = model.encoder.stats.sparkSession
+    (spark.range(1).select(model.encoder.prior.alias("prior"), F.lit(model.encoder.col).alias("col"))
+     .write.mode("overwrite").parquet(f"{path}/prior"))
+    model.trees.write().overwrite().save(f"{path}/trees")
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str, spark: SparkSession | None = None) -> RentModel:
+    spark = spark or SparkSession.active()
+    prior = spark.read.parquet(f"{path}/prior").first()
+    stats = spark.read.parquet(f"{path}/categories")
+    return RentModel(SmoothedTargetEncoderModel(stats, F.lit(prior["prior"]), prior["col"]),
+                     GBTRegressionModel.load(f"{path}/trees"))
 
 
-def predict(model: PipelineModel, df: DataFrame, out: str = "predicted_rent_eur") -> DataFrame:
+def predict(model: RentModel, df: DataFrame, out: str = "predicted_rent_eur") -> DataFrame:
     """Score a table; the prediction is rounded to 2 decimals."""
-    scored = model.transform(df)
-    keep = [c for c in df.columns]
-    return scored.select(*keep, F.round("prediction", 2).alias(out))
+    return model.transform(df).select(*df.columns, F.round("prediction", 2).alias(out))
 
 
-def model_vocabulary(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Categories the fitted pipeline knows (its StringIndexer labels), sorted; 'nan' text excluded."""
-    labels = model.stages[0].labels  # bounded by the number of categories seen in training
-    return (spark.createDataFrame([(str(x),) for x in labels], "neighborhood string")
-            .where(F.lower("neighborhood") != "nan").orderBy("neighborhood"))
+def model_vocabulary(model: RentModel) -> DataFrame:
+    """Categories the fitted model knows, sorted; 'nan' text excluded."""
+    return (model.encoder.vocabulary().where(F.lower(model.encoder.col) != "nan").distinct()
+            .orderBy(model.encoder.col))
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def feature_importance(spark: SparkSession, model: RentModel) -> DataFrame:
     """Impurity-based importances of the fitted trees, one row per model input, in percent."""
-    gbt = model.stages[-1]
-    imp = gbt.featureImportances.toArray().tolist()
-    names = ["neighborhood", "rooms", "is_pet_friendly"]
-    return spark.createDataFrame([(n, float(v) * 100.0) for n, v in zip(names, imp)],
+    imp = model.trees.featureImportances.toArray().tolist()
+    return spark.createDataFrame([(n, float(v) * 100.0) for n, v in zip(FEATURES, imp)],
                                  "feature string, importance_percent double")

@@ -2,7 +2,7 @@
 
 ``render_replies`` turns listing rows into reply texts of bounded size
 (``group_size`` consecutive ids per reply) in several root shapes, so the
-parser sees every case the extraction step has to handle. ``parse_replies``
+parser sees every listing and every case the extraction step has to handle. ``parse_replies``
 is the extraction side: repair the root, validate all-or-nothing, explode.
 """
 
@@ -15,12 +15,16 @@ from ..constants import TARGET
 from ..functions import json as J
 from ..functions.binding import let
 
-# Root shape by reply_id % 8 (a test-data rule, not a business rule):
+# Root shapes (a test-data rule, not a business rule):
 # 0 object with listings, 1 the same in a ```json fence, 2 bare array, 3 one listing object,
 # 4 object without listings or title, 5 bare ``` fence (not stripped → unparsable),
 # 6 text that is not JSON, 7 object with listings and quoted integer rents.
-# Rents are written as integers, except raw decimals when reply_id % 5 == 0.
-N_SHAPES = 8
+# Groups of consecutive ids take the shapes below in turn, so every listing is in a reply: a group of
+# shape 3 gives one reply per listing. The shapes without listings, 4 and 6, are extra replies.
+# Rents are written as integers, except raw decimals when the group's number is divisible by 5.
+GROUP_SHAPES = (0, 1, 2, 3, 5, 7)
+EXTRA_SHAPES = {0: 6, 1: 4}  # by the group's place in the turn
+REPLIES_PER_GROUP = 8
 
 
 def _quote(c: Column) -> Column:
@@ -34,14 +38,16 @@ def _num(c: Column) -> Column:
 
 
 def render_replies(listings: DataFrame, group_size: int = 4) -> DataFrame:
-    """(reply_id, shape, reply) with at most ``group_size`` listings per reply."""
-    rid = F.floor(F.col("id") / group_size).cast("long")
-    shape = (rid % N_SHAPES).cast("int")
+    """(reply_id, shape, reply) with at most ``group_size`` listings per reply; no listing is left out."""
+    group = F.floor(F.col("id") / group_size).cast("long")
+    turn = (group % len(GROUP_SHAPES)).cast("int")
+    shape = F.element_at(F.array(*[F.lit(s) for s in GROUP_SHAPES]), turn + 1)
+    rid = group * REPLIES_PER_GROUP + F.when(shape == 3, F.col("id") % group_size).otherwise(0)
     rent = F.col(TARGET)
     rent_int = F.round(rent).cast("int").cast("string")
     rent_txt = (F.when(rent.isNull(), F.lit("null"))
                 .when(shape == 7, F.concat(F.lit('"'), rent_int, F.lit('"')))
-                .when(rid % 5 == 0, rent.cast("string"))
+                .when(group % 5 == 0, rent.cast("string"))
                 .otherwise(rent_int))
     pets = F.coalesce(F.lower(F.col("is_pet_friendly").cast("string")), F.lit("null"))
     item = F.concat(F.lit('{"title": '), _quote(F.col("title")),
@@ -49,7 +55,7 @@ def render_replies(listings: DataFrame, group_size: int = 4) -> DataFrame:
                     F.lit(', "neighborhood": '), _quote(F.col("neighborhood")),
                     F.lit(', "rooms": '), _num(F.col("rooms")),
                     F.lit(', "is_pet_friendly": '), pets, F.lit("}"))
-    grouped = (listings.select(rid.alias("reply_id"), shape.alias("shape"), F.col("id"), item.alias("item"))
+    grouped = (listings.select(rid.cast("long").alias("reply_id"), shape.alias("shape"), F.col("id"), item.alias("item"))
                .groupBy("reply_id", "shape")
                .agg(F.sort_array(F.collect_list(F.struct("id", "item"))).alias("_items")))
     items = F.transform("_items", lambda s: s["item"])
@@ -60,11 +66,15 @@ def render_replies(listings: DataFrame, group_size: int = 4) -> DataFrame:
              .when(s == 1, F.concat(F.lit("```json\n"), obj, F.lit("\n```")))
              .when(s == 2, arr)
              .when(s == 3, F.element_at(items, 1))
-             .when(s == 4, F.concat(F.lit('{"page": '), F.col("reply_id").cast("string"),
-                                    F.lit(', "results": []}')))
-             .when(s == 5, F.concat(F.lit("```\n"), obj, F.lit("\n```")))
-             .otherwise(F.lit("No apartments were found on this page.")))
-    return grouped.select("reply_id", "shape", reply.alias("reply"))
+             .otherwise(F.concat(F.lit("```\n"), obj, F.lit("\n```"))))
+    full = grouped.select("reply_id", "shape", reply.alias("reply"))
+    extra = F.element_at(F.create_map(*[F.lit(x) for kv in EXTRA_SHAPES.items() for x in kv]), turn)
+    junk = (listings.select(group.alias("_g"), extra.alias("shape")).where(F.col("shape").isNotNull()).distinct()
+            .withColumn("reply_id", F.col("_g") * REPLIES_PER_GROUP + F.col("shape")))
+    text = F.when(F.col("shape") == 4, F.concat(F.lit('{"page": '), F.col("reply_id").cast("string"),
+                                                F.lit(', "results": []}'))).otherwise(
+        F.lit("No apartments were found on this page."))
+    return full.unionByName(junk.select("reply_id", "shape", text.alias("reply")))
 
 
 def _parsed(replies: DataFrame) -> DataFrame:

@@ -121,23 +121,22 @@ def _html_to_text_sql(col: str = "html") -> str:
 
 PAGE_TEXT = f"texts AS (SELECT page_id, url, {_html_to_text_sql()} AS text FROM pages)"
 
-REPLY = """lst AS (SELECT id // 4 AS reply_id, CAST((id // 4) % 8 AS INTEGER) AS shape, id, title, neighborhood,
+REPLY = """turn AS (SELECT *, id // 4 AS g, [0, 1, 2, 3, 5, 7][CAST((id // 4) % 6 AS INTEGER) + 1] AS shape FROM obs),
+lst AS (SELECT g * 8 + CASE WHEN shape = 3 THEN id % 4 ELSE 0 END AS reply_id, shape, id, title, neighborhood,
     rooms, is_pet_friendly,
-    CASE WHEN (id // 4) % 8 = 7 OR (id // 4) % 5 <> 0 THEN CAST(round(monthly_rent_eur) AS INTEGER)
+    CASE WHEN shape = 7 OR g % 5 <> 0 THEN CAST(round(monthly_rent_eur) AS INTEGER)
          ELSE CAST(monthly_rent_eur AS INTEGER) END AS rent,
-    (monthly_rent_eur IS NOT NULL AND ((id // 4) % 8 = 7 OR (id // 4) % 5 <> 0
-       OR monthly_rent_eur = floor(monthly_rent_eur))
+    (monthly_rent_eur IS NOT NULL AND (shape = 7 OR g % 5 <> 0 OR monthly_rent_eur = floor(monthly_rent_eur))
      AND neighborhood IS NOT NULL AND rooms IS NOT NULL AND is_pet_friendly IS NOT NULL) AS ok
-  FROM obs),
-rep AS (SELECT reply_id, any_value(shape) AS shape, count(*) AS n, bool_and(ok) AS all_ok,
-    arg_min(ok, id) AS first_ok FROM lst GROUP BY reply_id),
+  FROM turn),
+rep AS (SELECT reply_id, any_value(shape) AS shape, count(*) AS n, bool_and(ok) AS all_ok FROM lst GROUP BY reply_id
+  UNION ALL SELECT DISTINCT g * 8 + CASE g % 6 WHEN 0 THEN 6 ELSE 4 END, CASE g % 6 WHEN 0 THEN 6 ELSE 4 END, 0, g % 6 = 1
+  FROM turn WHERE g % 6 IN (0, 1)),
 rk AS (SELECT reply_id, shape,
     CASE WHEN shape IN (0, 1, 7) THEN 'listings' WHEN shape = 2 THEN 'array' WHEN shape = 3 THEN 'single'
          WHEN shape = 4 THEN 'other' ELSE 'invalid' END AS root_kind,
-    CAST(CASE WHEN shape IN (0, 1, 2, 7) THEN n WHEN shape = 3 THEN 1 WHEN shape = 4 THEN 0 END AS INTEGER)
-      AS n_candidates,
-    CASE WHEN shape IN (0, 1, 2, 7) THEN all_ok WHEN shape = 3 THEN first_ok WHEN shape = 4 THEN TRUE
-         ELSE FALSE END AS accepted
+    CAST(CASE WHEN shape NOT IN (5, 6) THEN n END AS INTEGER) AS n_candidates,
+    all_ok AND shape NOT IN (5, 6) AS accepted
   FROM rep)"""
 
 DEAL = """scored AS (SELECT request_id, neighborhood, asking_price,
@@ -284,6 +283,11 @@ SELECT id, round(coalesce(m.enc, (SELECT avg(monthly_rent_eur) FROM clean)), 6)
   CASE WHEN is_pet_friendly THEN 1 ELSE 0 END AS is_pet_friendly,
   round(CASE WHEN rooms > 0 THEN monthly_rent_eur / rooms ELSE 0.0 END, 6) AS price_per_room, monthly_rent_eur
 FROM clean LEFT JOIN m USING (neighborhood)""",
+    "model_inputs": OBS_CLEAN.rstrip("\n") + ",\n" + SPLIT + """
+SELECT round(coalesce(te.enc, (SELECT prior FROM prior)), 6) AS neighborhood_te, coalesce(rooms, 0)::DOUBLE AS rooms_f,
+  CASE WHEN is_pet_friendly THEN 1.0 ELSE 0.0 END::DOUBLE AS pets01, count(*)::DOUBLE AS weight,
+  round(avg(monthly_rent_eur), 6) AS monthly_rent_eur
+FROM train LEFT JOIN te USING (neighborhood) GROUP BY coalesce(te.enc, (SELECT prior FROM prior)), 2, 3""",
     "hash_split": OBS_CLEAN + f"SELECT id, {BUCKET} AS bucket, {BUCKET} < 80 AS is_train FROM clean",
     "target_encode_smoothed": OBS_CLEAN.rstrip("\n") + ",\n" + SPLIT + """
 SELECT id, neighborhood, round(coalesce(te.enc, prior.prior), 6) AS neighborhood_te

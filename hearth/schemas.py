@@ -1,5 +1,7 @@
 """Schemas shared by readers, writers and validators."""
 
+import json
+
 from pyspark.sql import types as T
 
 LISTING_COLUMNS = ("id", "title", "monthly_rent_eur", "neighborhood", "rooms",
@@ -31,14 +33,19 @@ REPLY_SCHEMA = T.StructType([
     T.StructField("listings", T.ArrayType(REPLY_LISTING_SCHEMA, False), False),
 ])
 
-REQUEST_SCHEMA = T.StructType([
-    T.StructField("request_id", T.LongType(), False),
-    T.StructField("neighborhood", T.StringType(), True),
-    T.StructField("rooms", T.IntegerType(), True),
-    T.StructField("is_pet_friendly", T.BooleanType(), True),
-])
+_JSON_TYPES = {"string": "string", "integer": "integer", "long": "integer", "double": "number", "boolean": "boolean"}
+
+
+def json_schema(kind: T.DataType) -> dict:
+    """JSON Schema of a Spark type."""
+    if isinstance(kind, T.StructType):
+        return {"type": "object", "properties": {f.name: json_schema(f.dataType) for f in kind.fields},
+                "required": [f.name for f in kind.fields if not f.nullable]}
+    if isinstance(kind, T.ArrayType):
+        return {"type": "array", "items": json_schema(kind.elementType)}
+    return {"type": _JSON_TYPES[kind.typeName()]}
 
 
 def reply_json_schema() -> str:
-    """The reply schema as JSON text (what is handed to an extraction model)."""
-    return REPLY_SCHEMA.json()
+    """The reply's JSON Schema as text (what is handed to an extraction model)."""
+    return json.dumps(json_schema(REPLY_SCHEMA))

@@ -51,10 +51,6 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
-
-
 def write_json_report(report: DataFrame, path: str) -> None:
     """The one-row report as a single JSON file (one row, so one partition is its natural size)."""
     report.coalesce(1).write.mode("overwrite").options(

@@ -62,3 +62,24 @@ def test_superseded_snapshots_are_deleted(spark, tmp_path):
         batch = spark.createDataFrame([], S.TABLE_SCHEMA)
         S._commit(spark, root, n, batch)
     assert sorted(os.listdir(tmp_path / "t" / "snapshots")) == ["v0000000002", "v0000000003"]
+
+
+def test_lax_coercion_of_numbers(spark):
+    from hearth.operators import replies
+    rows = [(1, '[{"title": "a", "monthly_rent_eur": "500.0", "neighborhood": "n", "rooms": 2, "is_pet_friendly": 1.0}]'),
+            (2, '[{"title": "a", "monthly_rent_eur": "500.5", "neighborhood": "n", "rooms": 2, "is_pet_friendly": true}]'),
+            (3, '[{"title": "a", "monthly_rent_eur": 5, "neighborhood": "n", "rooms": 2, "is_pet_friendly": 0.5}]')]
+    got = replies.reply_listings(spark.createDataFrame(rows, "reply_id long, reply string")).collect()
+    assert [(r["reply_id"], r["monthly_rent_eur"], r["is_pet_friendly"]) for r in got] == [(1, 500, True)]
+
+
+def test_every_listing_is_in_a_reply(spark):
+    from pyspark.sql import functions as F
+
+    from hearth.operators import replies
+    df = spark.range(200).select("id", F.concat(F.lit("t"), "id").alias("title"), F.lit(7.0).alias("monthly_rent_eur"),
+                                 F.lit("n").alias("neighborhood"), F.lit(2).alias("rooms"), F.lit(True).alias("is_pet_friendly"))
+    out = replies.render_replies(df).collect()
+    text = "\n".join(r["reply"] for r in out)
+    assert all(text.count(f'"t{i}"') == 1 for i in range(200)) and {r["shape"] for r in out} == set(range(8))
+    assert len({r["reply_id"] for r in out}) == len(out)

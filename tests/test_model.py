@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from hearth.operators import cleaning, model as M
@@ -5,25 +6,47 @@ from hearth.session import work_dir
 from hearth.sources import adapters
 from tests.conftest import SF_SMALL, rows
 
+REQUESTS = [(1, "view", 2, False), (2, "never-seen", 1, True), (3, "click", 6, None), (4, None, 3, True)]
 
-def test_pipeline_save_load_predicts_the_same(spark):
-    clean = cleaning.clean_listings(adapters.observations(spark, SF_SMALL))
-    pipe, gbt = M.build_pipeline()
-    gbt.setMaxIter(3).setMaxDepth(3)
-    fitted = pipe.fit(M.training_frame(clean))
-    loaded = M.load_model(M.save_model(fitted, work_dir(spark, "t-model")))
-    req = spark.createDataFrame([(1, "view", 2, False), (2, "never-seen", 1, True), (3, "click", 6, None)],
-                                "request_id long, neighborhood string, rooms int, is_pet_friendly boolean")
+
+def clean(spark):
+    return cleaning.clean_listings(adapters.observations(spark, SF_SMALL))
+
+
+def test_save_load_predicts_the_same(spark):
+    fitted = M.fit_model(clean(spark), n_estimators=3, max_depth=3)
+    loaded = M.load_model(M.save_model(fitted, work_dir(spark, "t-model")), spark)
+    req = spark.createDataFrame(REQUESTS, "request_id long, neighborhood string, rooms int, is_pet_friendly boolean")
     a = rows(M.predict(fitted, req), "request_id", "predicted_rent_eur")
     b = rows(M.predict(loaded, req), "request_id", "predicted_rent_eur")
-    assert a == b and all(p is not None for _, p in a)  # unseen category still scores
+    assert a == b and all(p is not None for _, p in a)  # unseen and missing categories still score
     imp = M.feature_importance(spark, fitted).agg(F.sum("importance_percent")).first()[0]
     assert abs(imp - 100.0) < 1e-6
-    assert "view" in [r[0] for r in M.model_vocabulary(spark, fitted).collect()]
+    assert "view" in [r[0] for r in M.model_vocabulary(fitted).collect()]
+
+
+def test_collapsed_rows_give_the_same_trees(spark):
+    from pyspark.ml.regression import GBTRegressor
+    data = M.training_frame(clean(spark))
+    enc = M.fit_encoder(data)
+    full = M._vectors(M.model_inputs(data, enc))
+    small = M._vectors(M.collapsed(M.model_inputs(data, enc)).coalesce(1))
+    gbt = GBTRegressor(featuresCol="features", labelCol=M.TARGET, maxIter=4, maxDepth=3, seed=42)
+    a = gbt.fit(full).transform(full).select("prediction").toPandas()["prediction"]
+    b = gbt.copy().setWeightCol("weight").fit(small).transform(full).select("prediction").toPandas()["prediction"]
+    assert np.allclose(a, b)
+
+
+def test_search_grid_is_a_seeded_sample():
+    a = M.search_grid()
+    assert len(a) == 15 and a == M.search_grid()
 
 
-def test_search_grid_is_seeded_sample():
-    _, gbt = M.build_pipeline()
-    a, b = M.search_grid(gbt), M.search_grid(gbt)
-    assert len(a) == 15 and [sorted((p.name, v) for p, v in m.items()) for m in a] == \
-        [sorted((p.name, v) for p, v in m.items()) for m in b]
+def test_search_prefixes_equal_single_fits(spark):
+    data = clean(spark)
+    model, results = M.fit_search(data, n_iter=3, folds=2, learning_rates=(0.2,), max_depths=(2,), n_estimators=(1, 2, 4))
+    got = {r["n_estimators"]: r["cv_mae"] for r in results.collect()}
+    assert set(got) == {1, 2, 4} and sorted(r["rank"] for r in results.collect()) == [1, 2, 3]
+    alone = M.cross_validate(data, n_iter=1, folds=2, learning_rates=(0.2,), max_depths=(2,), n_estimators=(2,)).first()
+    assert abs(alone["cv_mae"] - got[2]) < 1e-9
+    assert model.trees.getNumTrees == min(got, key=got.get)

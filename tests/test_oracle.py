@@ -7,11 +7,13 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from hearth.plans.catalogue import QUERIES
+from hearth.plans.oracle import ORACLE
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-SLOW = {"gbt_predictions", "cv_results", "feature_importance", "model_metrics", "gbt_deal_labels"}
+FITTED = {"gbt_predictions", "cv_results", "feature_importance", "model_metrics", "gbt_deal_labels"}
 
 
 def norm(v):
@@ -44,7 +46,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_duckdb(spark, con, name):
     got = canon(E.queries()[name](spark, SF_SMALL).toPandas())
     want = canon(con.sql(E.oracle_sql()[name]).df())
@@ -54,8 +56,8 @@ def test_matches_duckdb(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    no_oracle = set(E.queries()) - set(E.oracle_sql())
-    assert no_oracle <= SLOW | {"stream_alert_once", "profile_report"}
+    no_oracle = set(QUERIES) - set(ORACLE)
+    assert no_oracle <= FITTED | {"stream_alert_once", "profile_report"}
 
 
 def test_entry_smoke(spark):

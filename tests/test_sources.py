@@ -36,7 +36,10 @@ def test_csv_round_trip_keeps_microseconds_and_fallback(spark):
 def test_rows_to_frame_and_reply_schema(spark):
     df = tables.rows_to_frame(spark, [{"id": 3, "title": "t"}], LISTING_SCHEMA)
     assert rows(df, "id", "title", "rooms") == [(3, "t", None)]
-    assert '"listings"' in reply_json_schema() and REPLY_SCHEMA["listings"].dataType.elementType.names == [
+    import json
+    item = json.loads(reply_json_schema())["properties"]["listings"]["items"]
+    assert item["type"] == "object" and item["properties"]["rooms"] == {"type": "integer"} and len(item["required"]) == 5
+    assert REPLY_SCHEMA["listings"].dataType.elementType.names == [
         "title", "monthly_rent_eur", "neighborhood", "rooms", "is_pet_friendly"]
 
 
