@@ -68,9 +68,15 @@ def run_folder(spark: SparkSession) -> str:
     return _FOLDERS[app]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
+def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    ``few``: for narrow rows (ids, pairs, edges), by no more tasks than twice the cluster's cores, so a
+    shuffle's partitions do not become as many files.
+    """
     spark = df.sparkSession
+    if few:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -90,23 +96,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     whose hot keys Spark splits. Every round is written to the shared folder.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
-    e = written(_oriented(e), "edges")
+    e = written(_oriented(e), "edges", few=True)
 
-    def state(x: DataFrame):
-        return x.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first()
+    def stars(x: DataFrame) -> bool:
+        """Whether every node has one edge, to a node that has none of its own."""
+        ends = x.groupBy("u").agg(F.count("*").alias("n"))
+        many = ends.where("n > 1").select("u").unionByName(x.select("u").join(x.select(F.col("v").alias("u")), "u", "left_semi"))
+        return many.isEmpty()
 
-    seen = state(e)
-    while seen[0]:
+    while not stars(e):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m"))
         large = (both.join(low, "u").where("v > u")
                  .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         pulled = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        e = written(pulled.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = state(e)
-        if now == seen:
-            break
-        seen = now
+        e = written(pulled.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges", few=True)
     return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
             .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))

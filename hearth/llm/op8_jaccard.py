@@ -14,11 +14,14 @@ Heavy shingles are those that repeat most among the sets' first shingles, counte
 within each batch; at most ``HEAVY_MOST`` of them are kept and sent to the tasks (any choice of them gives
 the same result, it only changes the work). Very long lists are salted by their measured length.
 
-Within a list all pairs are never listed at once. First every member is compared with the list's leader,
-then, in lists that still hold several components, each member outside the list's largest component with
-a few members of the other components (1, then 8, then 64 of each), and at last with all that remain: what
-is connected already need not be compared, and what is not is compared fully. Sets of candidates are
-computed from the whole texts again; pairs are verified by exact intersection.
+Lists with the same members count once. First every member is compared with its list's leader. Then, in
+lists that still hold several components, pairs of different components are compared: in short lists all of
+them; long lists (``LONG_LIST`` members) are cut into blocks, and the pairs of blocks are compared as arrays of
+bitmaps within a task, which passes on for each set its two likeliest partners, and in a last round every pair
+left that the bitmaps do not rule out. So no list is one task's, and its pairs are not listed; what is connected
+already is not compared again, and what is not is compared fully. Bits in which two sets' bitmaps differ bound
+their shared shingles from above, so the screening loses no link; the sets of pairs left are computed from the
+whole texts again and the pairs verified by exact intersection.
 
 Defined results: null or empty texts, and texts without words: empty set, linked with nothing; texts of
 fewer words than a shingle: one shingle, the whole sequence. A null id: its row has its n_shingles and
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, written
@@ -44,8 +47,10 @@ HEAVY_MOST = 100_000  # shingles sent to the tasks, at most (800 KB)
 HEAVY_LEAST = 8  # repeats from which a shingle counts as heavy
 LIST_ROWS = 50_000  # measured length from which a list is salted
 SMALL_MOST = 40  # largest boundary tried
-MEMBERS = (1, 8, 64)  # members of each other component that a set is compared with, by round
-MEMO = 2_000_000
+LONG_LIST = 64  # members from which a list is compared in blocks
+BLOCK = 512
+BEST = 2  # partners of a set that the first round over long lists passes on, for each pair of blocks
+MEMO = 100_000  # word hashes that a task remembers
 
 _MIX, _MUL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -78,6 +83,25 @@ def set_id(s: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(s.tobytes(), seed=len(s)) - (1 << 63)
 
 
+def set_bits(s: np.ndarray) -> bytes:
+    """Bitmap of a set: 8 to 16 bits for each shingle, a power of two, at least 64."""
+    m = max(64, 1 << (8 * len(s) - 1).bit_length()) if len(s) else 64
+    bits = np.zeros(m, np.uint8)
+    bits[((s * _MUL) >> np.uint64(20)) & np.uint64(m - 1)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def most_shared(x: bytes, y: bytes, n: int, m: int) -> int:
+    """Upper bound of the shingles that sets of sizes n and m share: every bit that differs is a shingle of one only."""
+    while len(x) > len(y):
+        half = len(x) // 2
+        x = (int.from_bytes(x[:half], "little") | int.from_bytes(x[half:], "little")).to_bytes(half, "little")
+    while len(y) > len(x):
+        half = len(y) // 2
+        y = (int.from_bytes(y[:half], "little") | int.from_bytes(y[half:], "little")).to_bytes(half, "little")
+    return (n + m - (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count()) // 2
+
+
 def prefix_length(n: int, shared: int, num: int = NUM, den: int = DEN) -> int:
     """First shingles of which a set of size n shares at least ``shared`` with every partner."""
     return min(n, n + (-num * n // den) + shared)
@@ -88,17 +112,19 @@ def _texts(batch: pa.RecordBatch) -> list:
 
 
 def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Rows of three kinds: 0 (doc_id, n, sid) per document; 1 (n = repeats, sid = shingle) per batch and
+    """Rows of three kinds: 0 (doc_id, n, sid, bits) per document; 1 (n = repeats, sid = shingle) per batch and
     repeated first shingle; 2 (n = first shingles, sid = sum of squared repeats) per batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _WordHash()
         for b in batches:
-            ids, sizes, sids, first, seen = b.column("doc_id").to_pylist(), [], [], [], set()
+            ids, sizes, sids, maps, first, seen = b.column("doc_id").to_pylist(), [], [], [], [], set()
             for text in _texts(b):
                 s = shingle_set(text, memo, words)
                 sid = set_id(s)
                 sizes.append(len(s))
                 sids.append(sid)
+                fresh = len(s) > 2 and sid not in seen
+                maps.append(set_bits(s) if fresh else None)  # once in a batch
                 if len(s) and sid not in seen:
                     seen.add(sid)
                     first.append(s[:prefix_length(len(s), 1, num, den)])
@@ -110,12 +136,14 @@ def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
                 kind = np.concatenate([kind, np.ones(int(often.sum()), np.int32), [np.int32(2)]])
                 sizes += [*c[often].tolist(), int(c.sum())]
                 sids += [*u[often].view(np.int64).tolist(), int((c.astype(np.int64) ** 2).sum())]
+                maps += [None] * (int(often.sum()) + 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind, pa.int32()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64())],
-                names=["kind", "doc_id", "n", "sid"])
+                [pa.array(kind, pa.int32()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()),
+                 pa.array(maps, pa.binary())],
+                names=["kind", "doc_id", "n", "sid", "bits"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "kind int, doc_id long, n long, sid long")
+        run, "kind int, doc_id long, n long, sid long, bits binary")
 
 
 def size_boundary(partners: float, num: int = NUM, den: int = DEN) -> int:
@@ -170,7 +198,7 @@ def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundar
             salt = np.zeros(len(key), np.int32)
             if len(heavy) and salts.max() > 1:
                 at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
-                salt = np.where(heavy[at] == key, owner % salts[at], 0).astype(np.int32)
+                salt = np.where((heavy[at] == key) & (salts[at] > 1), 1 + owner % salts[at], 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), pa.array(salt), pa.array(owner), pa.array(np.concatenate(sizes))],
                 names=["key", "salt", "sid", "n"])
@@ -180,7 +208,8 @@ def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundar
 
 
 def list_members(entries: DataFrame) -> DataFrame:
-    """Rows (key, sid, n, leader, leader_n) of the lists with two sets or more. The lists are sorted by
+    """Rows (key, sid, n, leader, leader_n) of the lists with two sets or more (a salted list's leaders are
+    those of its parts). The lists are sorted by
     Spark and streamed: a task holds one Arrow batch, however long a list is."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None  # the open list: key, salt, leader, its size, last member, whether the leader is out
@@ -205,10 +234,10 @@ def list_members(entries: DataFrame) -> DataFrame:
             start = np.flatnonzero(new)
             size = np.diff(np.append(start, len(key)))
             lead = np.repeat(start, size)
-            use = np.repeat(size > 1, size)
+            use = np.repeat(size > 1, size) | (salt > 0)  # a part of a salted list has its partners elsewhere
             if carry is not None and out:
                 use[0] = False
-            open_out = bool(size[-1] > 1) or (out and len(start) == 1)
+            open_out = bool(size[-1] > 1 or salt[-1] > 0) or (out and len(start) == 1)
             at = start[-1]
             carry = (key[at:at + 1], salt[at:at + 1], sid[at:at + 1], n[at:at + 1], last, open_out)
             yield pa.RecordBatch.from_arrays(
@@ -236,6 +265,42 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Da
     return rows.mapInArrow(run, "sid long, hashes binary").dropDuplicates(["sid"])
 
 
+def screened(pairs: DataFrame, bits: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """The pairs (a, b) that the sets' bitmaps do not rule out; ``bits`` has sid, n, bits."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, n, m in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "n", "m")), strict=True):
+                most = most_shared(x, y, n, m)
+                keep.append(den * most >= num * (n + m - most))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    one = pairs.join(bits.select(F.col("sid").alias("b"), F.col("bits").alias("y"), F.col("n").alias("m")), "b")
+    both = one.join(bits.select(F.col("sid").alias("a"), F.col("bits").alias("x"), "n"), "a")
+    return both.select("a", "b", "x", "y", "n", "m").mapInArrow(run, "a long, b long")
+
+
+class Verifier:
+    """Verifies pairs of sets exactly; computes each set that is needed once, from the text of one document."""
+
+    def __init__(self, docs: DataFrame, first: DataFrame, bits: DataFrame, words: int, num: int, den: int):
+        self.docs, self.first, self.bits, self.words, self.num, self.den = docs, first, bits, words, num, den
+        self.sets: DataFrame | None = None
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        left = written(screened(pairs, self.bits, self.num, self.den), "screened", few=True)
+        ids = left.select(F.col("a").alias("sid")).unionByName(left.select(F.col("b").alias("sid"))).distinct()
+        if self.sets is not None:
+            ids = ids.join(self.sets.select("sid"), "sid", "left_anti")
+        ids = written(ids.join(self.first, "sid").select(F.col("first_id").alias("doc_id"), "sid"), "wanted", few=True)
+        if not ids.isEmpty():
+            more = written(candidate_sets(self.docs, ids, self.words), "sets", few=True)
+            self.sets = more if self.sets is None else self.sets.unionByName(more)
+        if self.sets is None:
+            return left
+        return written(verified(left, self.sets, self.num, self.den).where("linked").select("a", "b"), "links", few=True)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """The pairs (a, b) with column ``linked``: exact intersection of the whole sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,35 +330,148 @@ def _pair(x, y):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def link_components(members: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """(node, component) over the sets that link with another set."""
+def distinct_lists(members: DataFrame) -> DataFrame:
+    """``members`` of one list for each set of members, with the list's length ``m``."""
+    sign = members.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("sid")).alias("x"),
+                                      F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("y"))
+    kept = sign.groupBy("m", "x", "y").agg(F.min("key").alias("key")).select("key", "m")
+    return members.join(kept, "key")
+
+
+def _mixed(members: DataFrame, tied: DataFrame) -> DataFrame:
+    """(key, m, sid, n, c) of the lists that hold several components."""
+    label = members.select("key", "m", "sid", "n").join(tied.withColumnRenamed("node", "sid"), "sid", "left").select(
+        "key", "m", "sid", "n", F.coalesce("component", "sid").alias("c"))
+    several = label.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
+    return label.join(several, "key")
+
+
+def _bound_matrix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which each row of x differs from each row of y (rows of uint64)."""
+    if x.shape[1] > y.shape[1]:
+        return _bound_matrix(y, x).T
+    while y.shape[1] > x.shape[1]:  # halves laid over each other: a bitmap of half the length
+        half = y.shape[1] // 2
+        y = y[:, :half] | y[:, half:]
+    out = np.empty((len(x), len(y)), np.int64)
+    step = max(1, 2_000_000 // max(1, y.size))
+    for a in range(0, len(x), step):
+        out[a:a + step] = np.bitwise_count(x[a:a + step, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+    return out
+
+
+def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None, num: int, den: int) -> list[tuple[int, int]]:
+    """Pairs (sid, sid) of different components that bitmaps do not rule out; rows are (sid, n, c, bits, keys).
+    With ``best`` only that many likeliest partners of each set, else every pair whose first common key is ``key``."""
+    sides = (rows[0], rows[0]) if same else rows
+    sid, n, c = ([np.array([r[i] for r in side], np.int64) for side in sides] for i in range(3))
+    classes = []
+    for side in sides:
+        by: dict[int, list[int]] = {}
+        for i, r in enumerate(side):
+            by.setdefault(len(r[3]), []).append(i)
+        classes.append({k: (np.array(at), np.array([np.frombuffer(side[i][3], np.uint64) for i in at])) for k, at in by.items()})
+    found = []
+    for k, (at, x) in classes[0].items():
+        for j, (to, y) in classes[1].items():
+            if not (k <= 2 * j and j <= 2 * k):  # sizes too far apart to link
+                continue
+            both = n[0][at][:, None] + n[1][to][None, :]
+            most = (both - _bound_matrix(x, y)) // 2
+            low, high = np.minimum(n[0][at][:, None], n[1][to][None, :]), np.maximum(n[0][at][:, None], n[1][to][None, :])
+            ok = (den * most >= num * (both - most)) & (den * low >= num * high) & (c[0][at][:, None] != c[1][to][None, :])
+            p, q = np.nonzero(ok)
+            found.append((at[p], to[q], most[p, q] / (both[p, q] - most[p, q])))
+    if not found:
+        return []
+    p, q, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    if same:
+        one = p < q
+        p, q, score = p[one], q[one], score[one]
+    if best is None:
+        width = max(len(r[4]) for side in sides for r in side)
+        ka, kb = (np.array([r[4] + [r[4][0]] * (width - len(r[4])) for r in side], np.int64) for side in sides)
+        first = np.ones(len(p), bool)
+        for a in range(0, len(p), 65536):  # so many pairs at once
+            u, v = ka[p[a:a + 65536]], kb[q[a:a + 65536]]
+            low = np.full(len(u), np.iinfo(np.int64).max)
+            for i in range(width):
+                low = np.where((v == u[:, i:i + 1]).any(axis=1) & (u[:, i] < low), u[:, i], low)
+            first[a:a + 65536] = low == key
+        p, q = p[first], q[first]
+    else:
+        keep = np.zeros(len(p), bool)
+        for one in (p, q):
+            order = np.lexsort((-score, one))
+            start = np.flatnonzero(np.append(True, one[order][1:] != one[order][:-1]))
+            rank = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
+            keep[order[rank < best]] = True
+        p, q = p[keep], q[keep]
+    return list(zip(sid[0][p].tolist(), sid[1][q].tolist(), strict=True))
+
+
+def long_list_pairs(members: DataFrame, tied: DataFrame, bits: DataFrame, best: int | None, num: int = NUM,
+                    den: int = DEN) -> DataFrame:
+    """Candidate pairs (a, b) of the long lists, compared block by block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows, out = None, ([], []), []
+
+        def flushed() -> pa.RecordBatch:
+            a = np.array(out, np.int64).reshape(-1, 2)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a.min(axis=1, initial=np.iinfo(np.int64).max)),
+                                               pa.array(a.max(axis=1, initial=np.iinfo(np.int64).min))], names=["a", "b"])
+
+        def finish() -> None:
+            if group is not None and rows[0] and (group[1] == group[2] or rows[1]):
+                out.extend(block_pairs(rows, group[1] == group[2], group[0], best, num, den))
+
+        for b in batches:
+            for k, p, q, side, *row in zip(*(b.column(x).to_pylist() for x in (
+                    "key", "p", "q", "side", "sid", "n", "c", "bits", "keys")), strict=True):
+                if (k, p, q) != group:
+                    finish()
+                    group, rows = (k, p, q), ([], [])
+                    if len(out) > 100_000:
+                        yield flushed()
+                rows[side].append(row)
+        finish()
+        yield flushed()
+
+    open_ = written(_mixed(members, tied), "open", few=True)
+    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    held = open_.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
+        F.least(o, F.col("mine")).alias("p"), F.greatest(o, F.col("mine")).alias("q"))))
+    held = held.withColumn("pair", pair).select("key", "pair.p", "pair.q", F.when(
+        F.col("mine") == F.col("pair.p"), 0).otherwise(1).alias("side"), "sid", "n", "c")
+    own = open_.groupBy("sid").agg(F.collect_list("key").alias("keys")).join(bits.select("sid", "bits"), "sid")
+    return (held.join(own, "sid").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def link_components(members: DataFrame, verifier: Verifier, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(node, component) over the sets that link with another set; ``members`` as from ``distinct_lists``."""
     star = (members.where(F.col("sid") != F.col("leader")).where(_fits(F.col("n"), F.col("leader_n"), num, den))
             .select(*_pair(F.col("sid"), F.col("leader"))).distinct())
-    known = written(verified(star, sets, num, den), "verified")
-    tied = components(known.where("linked"))
-    for most in (*MEMBERS, None):
-        label = members.select("key", "sid", "n").distinct().join(
-            tied.withColumnRenamed("node", "sid"), "sid", "left").withColumn("c", F.coalesce("component", "sid"))
-        count = label.groupBy("key", "c").agg(F.count("*").alias("m"))
-        main = count.groupBy("key").agg(F.max(F.struct("m", "c")).alias("main"), F.count("*").alias("parts"))
-        open_ = written(label.join(main.where("parts > 1").select("key", F.col("main.c").alias("main")), "key")
-                        .select("key", "sid", "n", "c", "main"), "open")
-        outside = open_.where("c <> main").select("key", F.col("sid").alias("s"), F.col("n").alias("sn"), F.col("c").alias("sc"))
-        others = open_.select("key", "sid", "n", "c")
-        if most is not None:
-            by = Window.partitionBy("key", "c").orderBy(F.xxhash64(F.lit(most), "sid"), "sid")
-            others = others.withColumn("r", F.row_number().over(by)).where(F.col("r") <= most).drop("r")
-        pairs = (outside.join(others, "key").where("sc <> c").where(_fits(F.col("sn"), F.col("n"), num, den))
-                 .select(*_pair(F.col("s"), F.col("sid"))).distinct()
-                 .join(known.select("a", "b"), ["a", "b"], "left_anti"))
-        pairs = written(pairs, "pairs")
+    known = written(star, "pairs", few=True)
+    tied = components(verifier.links(known))
+    for step in ("short", "likeliest", "all"):
+        if step == "short":
+            open_ = _mixed(members.where(F.col("m") < LONG_LIST), tied)
+            other = open_.select("key", F.col("sid").alias("t"), F.col("n").alias("tn"), F.col("c").alias("tc"))
+            pairs = (open_.join(other, "key").where("sid < t and c <> tc").where(_fits(F.col("n"), F.col("tn"), num, den))
+                     .select(*_pair(F.col("sid"), F.col("t"))).distinct())
+        else:
+            pairs = long_list_pairs(members.where(F.col("m") >= LONG_LIST), tied, verifier.bits,
+                                    BEST if step == "likeliest" else None, num, den)
+        pairs = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs", few=True)
         if pairs.isEmpty():
             continue
-        more = written(verified(pairs, sets, num, den), "verified")
-        known = known.unionByName(more)
-        if not more.where("linked").isEmpty():
-            tied = components(tied.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                              .unionByName(more.where("linked").select("a", "b")))
+        known = known.unionByName(pairs)
+        links = verifier.links(pairs)
+        if not links.isEmpty():
+            tied = components(tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
     return tied
 
 
@@ -308,12 +486,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     total, squares = rows.where("kind = 2").agg(F.sum("n"), F.sum("sid")).first()
     boundary = size_boundary(squares / total - 1 if total else 0.0, num, den)
     entries = list_entries(docs, names, np.array([r["c"] for r in heavy], np.int64), boundary, words, num, den)
-    members = written(list_members(entries), "lists")
+    members = written(distinct_lists(written(list_members(entries), "lists")), "lists", few=True)
     first = own.where("n_shingles > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
-    first = written(first, "classes")
-    wanted = members.select("sid").distinct().join(first, "sid").select(F.col("first_id").alias("doc_id"), "sid")
-    sets = written(candidate_sets(docs, wanted, words), "sets")
-    tied = link_components(members, sets, num, den).withColumnRenamed("node", "sid")
+    first = written(first, "classes", few=True)
+    bits = (rows.where("kind = 0 and bits is not null").select("sid", "n", "bits")
+            .join(members.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"]))
+    verifier = Verifier(docs, first, written(bits, "bits", few=True), words, num, den)
+    tied = link_components(members, verifier, num, den).withColumnRenamed("node", "sid")
     low = tied.join(first, "sid").groupBy("component").agg(F.min("first_id").alias("low"))
     named = first.join(tied, "sid", "left").join(low, "component", "left").select(
         "sid", F.coalesce("low", "first_id").alias("low"))
