@@ -90,7 +90,7 @@ def slot_schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     hi = F.when(F.col("_sum") > 0, F.floor(F.col("_cum") / F.col("_sum") * F.lit(float(POINTS)))).otherwise(0)
     per = per.withColumn("_hi", hi.cast("long"))
     per = per.withColumn("_lo", F.coalesce(F.lag("_hi").over(Window.orderBy("_s")), F.lit(0).cast("long")))
-    per = written(per.select("_s", "_lo", "_hi", "_sum"), "weights")
+    per = written(per.select("_s", "_lo", "_hi", "_sum"), "weights", few=True)
     total = per.agg(F.max("_sum")).first()[0] or 0.0
     slots = int(-(-total // block))
     point = (F.col("slot") % PERIOD) * F.lit(GOLDEN) % F.lit(POINTS)
@@ -116,7 +116,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float
     sizes = written(document_sizes(docs, seed), "sizes")
     targets = source_targets(sizes, weights, share, cap)
     targets = written(targets.withColumn("_s", F.row_number().over(
-        Window.orderBy(F.col("source").asc_nulls_last()))), "targets")
+        Window.orderBy(F.col("source").asc_nulls_last()))), "targets", few=True)
     # each document's place on its source's line: inside its hash range, plus the ranges before
     lined = sizes.where("size > 0").join(
         targets.select("source", "_s", "source_size"),

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE = 3000  # labelled rows of each class that are learned from, at most
+SAMPLE = 2000  # labelled rows of each class that are learned from, at most
 MAX_TERMS = 2000  # terms of the lexicon, at most
 SUPPORT = 3  # different neighbourhoods that a term needs in toxic rows
 LOG_ODDS = 3.0  # least weight of a term
@@ -191,6 +191,16 @@ def text_features(text: str, memo: _Memo, weight: dict[str, float]) -> tuple[flo
 
 def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[str, float]]:
     """Words and stems with their log-odds weights from (text, toxic) rows."""
+    def keys_of(word: str) -> list[str]:
+        return [word, *(word[:k] + "*" for k in range(STEM[0], min(STEM[1], len(word) - 1) + 1))]
+
+    # terms that enough toxic rows have; only these are looked at further
+    often: Counter = Counter()
+    for text, toxic in rows:
+        if toxic:
+            often.update({k for w in set(WORD.findall(text.lower())) if len(w) >= STEM[0] for k in keys_of(w)})
+    known = {k for k, c in often.items() if c >= SUPPORT}
+    del often
     n, total = [0, 0], [0, 0]
     seen: tuple[Counter, Counter] = (Counter(), Counter())  # rows with a term, by class
     places: tuple[dict, dict] = (defaultdict(set), defaultdict(set))  # neighbourhoods of a term, by class
@@ -199,8 +209,7 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[s
         words = WORD.findall(text.lower())
         n[toxic] += 1
         total[toxic] += len(words)
-        keys = {w: [w, *(w[:k] + "*" for k in range(STEM[0], min(STEM[1], len(w) - 1) + 1))]
-                for w in set(words) if len(w) >= STEM[0]}
+        keys = {w: ks for w in set(words) if len(w) >= STEM[0] and (ks := [k for k in keys_of(w) if k in known])}
         seen[toxic].update({k for ks in keys.values() for k in ks})
         for i, w in enumerate(words):
             if w in keys:
@@ -209,8 +218,9 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[s
                     places[toxic][k].add(place)
         if toxic:
             for w, ks in keys.items():
-                for k in ks[1:]:
-                    stem_words[k].add(w)
+                for k in ks:
+                    if k[-1] == "*":
+                        stem_words[k].add(w)
     if not min(n):
         return {}, {}
     tested = [k for k, p in places[1].items() if len(p) >= SUPPORT and seen[1][k] >= SUPPORT

@@ -225,7 +225,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     full = classes.select("cid", "embedding", "copies").join(keyed, "cid")
     members = (held.join(full, "cid").select("key", "p", "q", "side", "cid", "embedding", "keys", "copies")
                .repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side"))
-    links = written(bucket_links(members, cosine), "links")
+    links = written(bucket_links(members, cosine), "links", few=True)
     tied = components(links.where("b is not null").select("a", "b"))
     counted = links.where("b is null").groupBy(F.col("a").alias("cid")).agg(F.sum("n").alias("n"))
     per_class = (classes.join(counted, "cid", "left").join(tied.withColumnRenamed("node", "cid"), "cid", "left")

@@ -49,7 +49,7 @@ def block_names(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     names = _name_sorted(distinct, "block").withColumn("h", F.xxhash64("block"))
     names = written(names.select("name", "h", "block"), "blocks")
     shared = names.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    told = written(names.join(shared, "h").select("h", "block", F.col("name").alias("exact")), "told")
+    told = written(names.join(shared, "h").select("h", "block", F.col("name").alias("exact")), "told", few=True)
     cut = t.select("doc_id", F.sha2("_t", 256).alias("text_sha256"),
                    F.posexplode(_blocks(F.col("_t"), block_chars)).alias("pos", "block"))
     cut = cut.withColumn("h", F.xxhash64("block"))
@@ -80,17 +80,17 @@ def name_documents(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame
     at = at.groupBy(*key, "pos").agg(F.max("name").alias("name"))
     at = written(at.join(many.select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("t"), "last", "rows"),
                          F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_sha256") == F.col("t")))
-                 .drop("d", "t"), "level")
+                 .drop("d", "t"), "level", few=True)
     parts, level = [whole], 0
     while longest > 0:
         level += 1
         pairs = at.groupBy(*key, "last", "rows", F.floor(F.col("pos") / 2).alias("pos")).agg(
             F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"),
             F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("right"))
-        pairs = written(pairs, "pairs")
-        names = written(_name_sorted(pairs.select("left", "right").distinct(), "left", "right"), "names")
+        pairs = written(pairs, "pairs", few=True)
+        names = written(_name_sorted(pairs.select("left", "right").distinct(), "left", "right"), "names", few=True)
         at = written(pairs.join(names, ["left", "right"]).select(
-            *key, F.floor(F.col("last") / 2).alias("last"), "rows", "pos", "name"), "level")
+            *key, F.floor(F.col("last") / 2).alias("last"), "rows", "pos", "name"), "level", few=True)
         longest //= 2
         parts.append(at.where("last = 0").select(*key, F.lit(level).alias("level"), "name", "rows"))
         at = at.where("last > 0")
@@ -102,7 +102,7 @@ def name_documents(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame
 
 def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
-    named = written(name_documents(docs, block_chars), "identity")
+    named = written(name_documents(docs, block_chars), "identity", few=True)
     groups = named.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"))
     out = named.join(groups, ["level", "name"]).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
