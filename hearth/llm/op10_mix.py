@@ -33,7 +33,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 GOLDEN = 2654435769  # odd number nearest 2**32 / golden ratio
 POINTS = 1 << 32
 PERIOD = 1 << 31  # k is taken modulo this, so that k * GOLDEN stays below 2**63
-BLOCK = 128  # words in a slot
+BLOCK = 64  # words in a slot
 RANGES = 4096  # hash ranges within a source (three hex digits)
 CHUNK = 1 << 10  # slots ranked together
 
