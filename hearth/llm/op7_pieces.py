@@ -37,6 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values
 SPACE = 0x2581  # stands for a space in the vocabulary
@@ -45,7 +46,7 @@ SHIFT = 2.7
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 42
-GROUP = 2_000_000
+GROUP = 800_000
 
 CHUNK = re.compile(" *[^ ]+| +")
 _U = np.uint64
@@ -58,7 +59,7 @@ class Pieces:
     keys: np.ndarray
     nexts: np.ndarray
     piece: np.ndarray
-    rank: np.ndarray
+    weight: np.ndarray  # log weight of a node's piece, for theta 1
     byte_ids: np.ndarray
     texts: list[str]
     depth: int
@@ -72,7 +73,7 @@ def _slot(key: np.ndarray, size: int) -> np.ndarray:
 
 def step_table(keys: list[int], nexts: list[int]) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << (4 * max(1, len(keys)) - 1).bit_length()
-    table, to = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+    table, to = np.full(size, -1, np.int64), np.zeros(size, np.int32)
     for key, nxt, at in zip(keys, nexts, _slot(np.array(keys, np.int64), size).tolist(), strict=True):
         while table[at] >= 0:
             at = (at + 1) % size
@@ -82,10 +83,10 @@ def step_table(keys: list[int], nexts: list[int]) -> tuple[np.ndarray, np.ndarra
 
 def step_to(pieces: Pieces, node: np.ndarray, c: np.ndarray) -> np.ndarray:
     """The trie nodes reached from ``node`` by characters ``c``; -1 where there is none."""
-    key = (node << 21) | c
+    key = (node.astype(np.int64) << 21) | c
     at = _slot(key, len(pieces.keys))
     held = pieces.keys[at]
-    out = np.where(held == key, pieces.nexts[at], -1)
+    out = np.where(held == key, pieces.nexts[at], np.int32(-1))
     todo = np.flatnonzero((held != key) & (held >= 0))
     while len(todo):
         at[todo] = (at[todo] + 1) % len(pieces.keys)
@@ -117,25 +118,40 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
             at = trie.setdefault((at, ord(c)), len(trie) + 1)
         ends[at] = i
     keys, nexts = step_table([(n << 21) | c for n, c in trie], list(trie.values()))
-    piece = np.full(len(trie) + 1, -1, np.int64)
+    piece = np.full(len(trie) + 1, -1, np.int32)
     ranks = np.zeros(len(trie) + 1)
     for n, i in ends.items():
         piece[n], ranks[n] = i, rank[i]
-    return Pieces(keys, nexts, piece, ranks, byte_ids, texts, max(len(texts[i]) for i in plain), len(plain))
+    return Pieces(keys, nexts, piece, -np.log(ranks + SHIFT), byte_ids, texts, max(len(texts[i]) for i in plain), len(plain))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    """Mixes ``x`` in place."""
+    x ^= x >> _U(30)
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
-def _uniform(key: np.ndarray, *parts) -> np.ndarray:
-    """Numbers in (0, 1) from row keys and counters."""
-    x = key
+def _stream(key: np.ndarray, *parts: int) -> np.ndarray:
+    """Keys of a row's own stream of random numbers."""
     for p in parts:
-        x = _mixed(x + _U(0x9E3779B97F4A7C15) * (np.atleast_1d(p).astype(_U) + _U(1)))
-    return ((x >> _U(11)).astype(np.float64) + 0.5) / float(1 << 53)
+        key = _mixed(key + _U(0x9E3779B97F4A7C15 * (p + 1) % (1 << 64)))
+    return key
+
+
+def _uniform(stream: np.ndarray, counter: np.ndarray) -> np.ndarray:
+    """The numbers in (0, 1) at the counters of the streams."""
+    x = counter.astype(_U)
+    x *= _U(0x9E3779B97F4A7C15)
+    x = _mixed(x + stream)
+    x >>= _U(11)
+    u = x.astype(np.float64)
+    u += 0.5
+    u *= 1.0 / (1 << 53)
+    return u
 
 
 @dataclass
@@ -154,11 +170,11 @@ class Lattice:
 def build_lattice(words: list[str], pieces: Pieces, theta: float, best_path: bool = False) -> Lattice:
     cp = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     cp = np.where(cp == SPACE, OWN_SPACE, np.where(cp == 32, SPACE, cp))
-    size = np.array([len(w) for w in words], np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(size)
-    end = np.repeat(ends, size)
+    end = np.repeat(ends, size).astype(np.int32)
     n = len(cp)
-    at, node, found = np.arange(n), np.zeros(n, np.int64), []
+    at, node, found = np.arange(n, dtype=np.int32), np.zeros(n, np.int32), []
     single = np.zeros(n, bool)
     for d in range(pieces.depth):
         node = step_to(pieces, node, cp[at + d])
@@ -170,15 +186,15 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float, best_path: boo
         s, m = at[is_piece], node[is_piece]
         if d == 0:
             single[s] = True
-        found.append((s, s + d + 1, pieces.piece[m], -theta * np.log(pieces.rank[m] + SHIFT)))
+        found.append((s, s + np.int32(d + 1), pieces.piece[m], theta * pieces.weight[m]))
         more = at + d + 1 < end[at]
         at, node = at[more], node[more]
-    lone = np.flatnonzero(~single)
+    lone = np.flatnonzero(~single).astype(np.int32)
     width = np.where(cp[lone] < 0x80, 1, np.where(cp[lone] < 0x800, 2, np.where(cp[lone] < 0x10000, 3, 4)))
     width = np.where(cp[lone] == OWN_SPACE, 3, width)
     low = -theta * math.log(2 * pieces.count + SHIFT)
     byte = np.where(cp[lone] < 0x80, pieces.byte_ids[np.minimum(cp[lone], 0x7F)], -1 - cp[lone])
-    found.append((lone, lone + 1, byte, low * width))
+    found.append((lone, lone + np.int32(1), byte.astype(np.int32), low * width))
     # edges by position, longer pieces first: they are mostly the likelier ones, so a walk looks at few
     start, stop, ids, score = (np.concatenate(x[::-1]) for x in zip(*found, strict=True))
     order = np.argsort(start, kind="stable")
@@ -186,7 +202,7 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float, best_path: boo
     last = stop == end[start]
     # backward sums, all words at once by the distance to the word's end
     beta, top, best = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n, np.int64)
-    dist = (end - np.arange(n))[start]
+    dist = end[start] - start
     by = np.argsort(dist.astype(np.int16) if dist.max(initial=0) < 1 << 15 else dist, kind="stable")
     cuts = np.searchsorted(dist[by], np.arange(1, int(dist.max(initial=0)) + 2))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
@@ -204,11 +220,11 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float, best_path: boo
             hit = np.flatnonzero(w == np.repeat(m, count))[::-1]  # of equal paths the one with the longer piece
             best[s[hit]] = e[hit]
     prob = np.exp(score + np.where(last, 0.0, beta[stop]) - beta[start])
-    first = np.searchsorted(start, np.arange(n + 1))
+    first = np.append(0, np.cumsum(np.bincount(start, minlength=n)))
     total = np.cumsum(prob)
     upto = total - np.append(0.0, total)[first[:-1]][start]
     upto[first[1:] - 1] = 1.0
-    return Lattice(first, np.where(last, -1, stop), ids, prob, upto, start, ends - size, best if best_path else None)
+    return Lattice(first, np.where(last, np.int32(-1), stop), ids, prob, upto, start, ends - size, best if best_path else None)
 
 
 def walk(lat: Lattice, at: np.ndarray, draw) -> tuple[np.ndarray, np.ndarray]:
@@ -263,22 +279,23 @@ class _Path:
 def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, theta: float) -> list[list[tuple]]:
     """Per text: up to k tuples (edges' piece ids, log probability, perturbed, log inclusion), best perturbed first."""
     index = _Index()
-    parts = [list(map(index.__getitem__, CHUNK.findall(t))) for t in texts]
+    parts = [CHUNK.findall(t) for t in texts]
     docs = len(texts)
     out: list[list[tuple]] = [[] for _ in texts]
-    perturbed = -np.log(-np.log(_uniform(keys, 0)))
+    perturbed = -np.log(-np.log(_uniform(_stream(keys, 0), np.zeros(1))))
     many = np.array([len(p) for p in parts])
     for d in np.flatnonzero(many == 0):
         out[d] = [(np.zeros(0, np.int32), 0.0, float(perturbed[d]), 0.0)]
-    if not index:
+    if not many.any():
         return out
+    word = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(parts)), np.int64, int(many.sum()))
     lat = build_lattice(list(index), pieces, theta)
-    word = np.fromiter(itertools.chain.from_iterable(parts), np.int64)
     doc = np.repeat(np.arange(docs), many)
     head = np.cumsum(many) - many  # a document's first word
     nth = np.arange(len(word)) - head[doc]
     logp = np.log(lat.prob)
-    alone = np.diff(lat.first)[lat.start] == 1
+    with np.errstate(divide="ignore"):  # log of the mass beside an edge
+        beside = np.log(np.where(np.diff(lat.first)[lat.start] == 1, 0.0, np.maximum(1.0 - lat.prob, 0.0)))
     live = many > 0
     bound = np.where(live, perturbed, -np.inf)  # of the path being drawn
     paths: list[_Path] = []
@@ -320,7 +337,7 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
                 p = lat.prob[a:b].copy()
                 p[np.array(taken) - a] = 0.0
                 c = np.cumsum(p)
-                u = float(_uniform(keys[d:d + 1], 1, j)[0]) * c[-1]
+                u = float(_uniform(_stream(keys[d:d + 1], 1, j), np.zeros(1))[0]) * c[-1]
                 new = int(a + min(np.searchsorted(c, u, "right"), np.flatnonzero(p)[-1]))
                 path.open[place] = -np.inf
                 w = path.words[place]
@@ -328,7 +345,9 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
                 at[w] = lat.stop[new]
                 rest = slice(w + 1, head[d] + many[d])
                 at[rest] = lat.starts[word[rest]]
-        edges, count = walk(lat, at, lambda r, s, j=j: _uniform(keys[doc[r]], 2, j, nth[r], s))
+        stream = _stream(keys, 2, j)
+        # the counter of a draw: word and step (a word of over a million characters repeats some)
+        edges, count = walk(lat, at, lambda r, s, stream=stream: _uniform(stream[doc[r]], (nth[r] << 20) + s % (1 << 20)))
         count = _padded(count, len(word))
         offset = np.append(0, np.cumsum(count))
         owner = np.repeat(np.arange(len(word)), count)
@@ -358,25 +377,26 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
         before = run[:-1] - run[heads[own]]
         total = run[heads[1:]] - run[heads[:-1]]
         # bound of leaving at each edge: a Gumbel of the mass beside it, cut off at the path's own value
-        beside = np.maximum(1.0 - lat.prob[edges], 0.0)
-        beside[alone[edges]] = 0.0
-        place_of = np.full(docs, -1)
+        phi = before + beside[edges]
+        live_from = heads[:-1].copy()  # bounds before this place belong to the earlier path
         if j:
             for d in np.flatnonzero(lengths):
                 _, place, new, _, taken = kept[d]
                 here = heads[d] + place - kept[d][0].heads[d]
-                place_of[d] = here
                 pos = int(lat.start[new])
                 a, b = lat.first[pos], lat.first[pos + 1]
                 rest = float(lat.prob[a:b].sum() - lat.prob[np.array(taken)].sum())
-                beside[here] = rest if len(taken) < b - a and rest > 1e-15 else 0.0
-                beside[heads[d]:here] = 0.0  # those bounds belong to the earlier path
+                phi[here] = before[here] + math.log(rest) if len(taken) < b - a and rest > 1e-15 else -np.inf
+                live_from[d] = here
                 used[(j, int(here))] = taken
-        with np.errstate(divide="ignore"):
-            phi = before + np.log(beside)
-        e = -np.log(_uniform(keys[own], 3, j, np.arange(len(edges)) - heads[own]))
-        with np.errstate(over="ignore", invalid="ignore"):
-            path.open = np.where(np.isfinite(phi), phi - np.log(np.exp(phi - bound[own]) + e), -np.inf)
+        path.open = np.full(len(edges), -np.inf)
+        at = np.flatnonzero(np.isfinite(phi) & (np.arange(len(edges)) >= live_from[own])) if j else np.flatnonzero(np.isfinite(phi))
+        mine_at = own[at]
+        e = _uniform(_stream(keys, 3, j)[mine_at], at - heads[mine_at])
+        np.log(e, out=e)
+        phi = phi[at]
+        with np.errstate(over="ignore"):
+            path.open[at] = phi - np.log(np.exp(phi - bound[mine_at]) - e)
         paths.append(path)
         chosen.append({"value": bound.copy(), "total": total, "mine": mine})
     left = bound  # the threshold of the inclusion scores
@@ -496,5 +516,5 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             text = [None if x is None else decode_ids(x, model.value) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], names=[*b.schema.names, "text"])
 
-    schema = kept.schema.add("text", "string")
+    schema = T.StructType([*kept.schema.fields, T.StructField("text", T.StringType())])
     return kept.mapInArrow(run, schema)
