@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from ..constants import DROPPED_ELEMENTS, FENCE_CLOSE, FENCE_OPEN, PROMPT_CHARS
 
 # --- fixed values -----------------------------------------------------------
@@ -13,13 +16,14 @@ BLOCK_TAGS = ("address", "article", "aside", "blockquote", "dd", "div", "dl", "d
               "figcaption", "figure", "form", "h1", "h2", "h3", "h4", "h5", "h6", "hr", "li",
               "main", "ol", "p", "pre", "section", "table", "tbody", "td", "tfoot", "th",
               "thead", "tr", "ul")
-# Named character references decoded after tag removal (&amp; last).
+# Named character references that the SQL check decodes (&amp; last); the full list is the standard library's.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 _PAIRED = [t for t in DROPPED_ELEMENTS if t != "img"]
 BODY_RE = r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"
-PAIRED_RE = r"(?is)<(" + "|".join(_PAIRED) + r")\b[^>]*>.*?</\1\s*>"
+# an element that is never closed runs to the end of the page
+PAIRED_RE = r"(?is)<(" + "|".join(_PAIRED) + r")\b[^>]*>.*?(?:</\1\s*>|\z)"
 VOID_RE = r"(?is)<img\b[^>]*>"
 COMMENT_RE = r"(?s)<!--.*?-->"
 BR_RE = r"(?i)<br\s*/?>"
@@ -32,10 +36,36 @@ def page_body(html: Column) -> Column:
     return F.when(html.rlike(r"(?i)<body\b"), F.regexp_extract(html, BODY_RE, 1)).otherwise(html)
 
 
+REFERENCE_RE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; U+FFFD for what is none (0, surrogates, beyond Unicode)."""
+    fine = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(fine, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+
+
+def _decoded(ref: Column) -> Column:
+    """One reference (``&…;``) decoded; an unknown name stays as it is."""
+    body = F.substring(ref, 2, F.length(ref) - 2)
+    names = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))])
+    names = F.map_concat(names, F.create_map(F.lit("apos"), F.lit("'")))
+    return (F.when(F.lower(F.left(body, F.lit(2))) == "#x",
+                   _character(F.conv(F.substring(body, 3, 8), 16, 10).try_cast("int")))
+            .when(F.left(body, F.lit(1)) == "#", _character(F.substring(body, 2, 8).try_cast("int")))
+            .otherwise(F.coalesce(F.try_element_at(names, body), ref)))
+
+
 def decode_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """Numeric and named character references (HTML 4 names and ``&apos;``), each decoded once."""
+    def walk(t):
+        refs = F.regexp_extract_all(t, F.lit(REFERENCE_RE), F.lit(0))
+        rest = F.split(t, REFERENCE_RE, -1)
+        pairs = F.arrays_zip(refs.alias("ref"), F.slice(rest, F.lit(2), F.greatest(F.size(refs), F.lit(0))).alias("after"))
+        tail = F.array_join(F.transform(pairs, lambda x: F.concat(_decoded(x["ref"]), x["after"])), "")
+        return F.when(F.size(refs) > 0, F.concat(F.element_at(rest, 1), tail)).otherwise(t)
+
+    return let(c, walk)
 
 
 def html_to_text(html: Column) -> Column:

@@ -83,3 +83,20 @@ def test_every_listing_is_in_a_reply(spark):
     text = "\n".join(r["reply"] for r in out)
     assert all(text.count(f'"t{i}"') == 1 for i in range(200)) and {r["shape"] for r in out} == set(range(8))
     assert len({r["reply_id"] for r in out}) == len(out)
+
+
+def test_page_text_written_by_hand(spark):
+    from pyspark.sql import functions as F
+
+    from hearth.functions.text import html_to_text
+    cases = [
+        ("<body><p>400 &#8364; &euro; &#x20AC; &#537;i &acirc; &amp;lt; &nosuch; &#0; &#55296; a&amp;b</p></body>",
+         "400 € € € și â &lt; &nosuch; \ufffd \ufffd a&b"),
+        ("<body><p>one</p><script>if (a < b) { leak() }", "one"),
+        ("<body><p>one<!-- gone --> two</p><style>p{}</style><p>three</body>", "one two\nthree"),
+        ("<p>&apos;q&quot; &#128512;</p>", "'q\" \U0001f600"),
+        ("plain", "plain"), ("", ""),
+    ]
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(cases)], "i int, h string")
+    got = {r["i"]: r["t"] for r in df.select("i", html_to_text(F.col("h")).alias("t")).collect()}
+    assert [got[i] for i in range(len(cases))] == [w for _, w in cases]
