@@ -47,6 +47,7 @@ HEAVY_MOST = 100_000  # shingles sent to the tasks, at most (800 KB)
 HEAVY_LEAST = 8  # repeats from which a shingle counts as heavy
 LIST_ROWS = 50_000  # measured length from which a list is salted
 SMALL_MOST = 40  # largest boundary tried
+BROADCAST_ROWS = 500_000  # wanted (doc_id, sid) rows sent to all tasks, at most (8 MB)
 LONG_LIST = 64  # members from which a list is compared in blocks
 BLOCK = 512
 BEST = 2  # partners of a set that the first round over long lists passes on, for each pair of blocks
@@ -261,6 +262,8 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Da
                     sets.append(s.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], names=["sid", "hashes"])
 
+    if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
+        wanted = F.broadcast(wanted)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("sid", "text")
     return rows.mapInArrow(run, "sid long, hashes binary").dropDuplicates(["sid"])
 
@@ -362,7 +365,7 @@ def _bound_matrix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None, num: int, den: int) -> list[tuple[int, int]]:
     """Pairs (sid, sid) of different components that bitmaps do not rule out; rows are (sid, n, c, bits, keys).
-    With ``best`` only that many likeliest partners of each set, else every pair whose first common key is ``key``."""
+    A pair counts at its first common key only. With ``best`` only that many likeliest partners of each set."""
     sides = (rows[0], rows[0]) if same else rows
     sid, n, c = ([np.array([r[i] for r in side], np.int64) for side in sides] for i in range(3))
     classes = []
@@ -388,7 +391,7 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
     if same:
         one = p < q
         p, q, score = p[one], q[one], score[one]
-    if best is None:
+    if len(p):
         width = max(len(r[4]) for side in sides for r in side)
         ka, kb = (np.array([r[4] + [r[4][0]] * (width - len(r[4])) for r in side], np.int64) for side in sides)
         first = np.ones(len(p), bool)
@@ -398,8 +401,8 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
             for i in range(width):
                 low = np.where((v == u[:, i:i + 1]).any(axis=1) & (u[:, i] < low), u[:, i], low)
             first[a:a + 65536] = low == key
-        p, q = p[first], q[first]
-    else:
+        p, q, score = p[first], q[first], score[first]
+    if best is not None:
         keep = np.zeros(len(p), bool)
         for one in (p, q):
             order = np.lexsort((-score, one))
