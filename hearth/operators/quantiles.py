@@ -53,7 +53,7 @@ def distributed_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     buckets = max(LEAST_BUCKETS, -(-counts.count() // bucket_values))
     grid = [i / buckets for i in range(1, buckets)]
     cut = counts.agg(F.percentile_approx("_v", grid, 10 * buckets)).first()[0] or []
-    splits = [float("-inf")] + sorted(set(cut)) + [float("inf")]
+    splits = [float("-inf")] + (sorted(set(cut)) or [0.0]) + [float("inf")]  # no values: any split
     b = Bucketizer(splits=splits, inputCol="_v", outputCol="_b").transform(counts)
     # rank range [start, end) of every bucket: a running sum over one row per bucket
     per_bucket = b.groupBy("_b").agg(F.sum("_n").alias("_t"))
