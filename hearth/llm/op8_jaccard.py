@@ -49,7 +49,8 @@ LIST_ROWS = 50_000  # measured length from which a list is salted
 SMALL_MOST = 40  # largest boundary tried
 BROADCAST_ROWS = 500_000  # wanted (doc_id, sid) rows sent to all tasks, at most (8 MB)
 LONG_LIST = 64  # members from which a list is compared in blocks
-BLOCK = 512
+BLOCK = 4096  # sets of a long list that a task holds, for each side
+STEP = 256  # of them compared with the other side at once
 BEST = 2  # partners of a set that the first round over long lists passes on, for each pair of blocks
 MEMO = 100_000  # word hashes that a task remembers
 
@@ -379,12 +380,15 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
         for j, (to, y) in classes[1].items():
             if not (k <= 2 * j and j <= 2 * k):  # sizes too far apart to link
                 continue
-            both = n[0][at][:, None] + n[1][to][None, :]
-            most = (both - _bound_matrix(x, y)) // 2
-            low, high = np.minimum(n[0][at][:, None], n[1][to][None, :]), np.maximum(n[0][at][:, None], n[1][to][None, :])
-            ok = (den * most >= num * (both - most)) & (den * low >= num * high) & (c[0][at][:, None] != c[1][to][None, :])
-            p, q = np.nonzero(ok)
-            found.append((at[p], to[q], most[p, q] / (both[p, q] - most[p, q])))
+            for a in range(0, len(at), STEP):
+                part = at[a:a + STEP]
+                u, v = n[0][part][:, None], n[1][to][None, :]
+                most = (u + v - _bound_matrix(x[a:a + STEP], y)) // 2
+                ok = (den * most >= num * (u + v - most)) & (den * np.minimum(u, v) >= num * np.maximum(u, v))
+                ok &= c[0][part][:, None] != c[1][to][None, :]
+                p, q = np.nonzero(ok)
+                most = most[p, q]
+                found.append((part[p], to[q], most / (n[0][part[p]] + n[1][to[q]] - most)))
     if not found:
         return []
     p, q, score = (np.concatenate(x) for x in zip(*found, strict=True))
