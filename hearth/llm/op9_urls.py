@@ -8,6 +8,9 @@ redirect in their html, and by an optional table of known redirects. Connected c
 edges carry the decisions: an alias that a rule allows explicitly goes first, then a blocked alias,
 else the page is allowed. A page's own rule is never overruled.
 
+Aliases are the pages of the table. With ``judge_targets`` also the urls that links and redirects lead to
+(and known redirects come from) decide by the rules that fit them, whether or not they are in the table.
+
 Defined results: null url, or one without ``://``: host and path empty, no rule, no aliases, verdict
 allow. Null html: no edges. Repeated rows and repeated ids are judged row by row. An empty table gives
 an empty result. Other columns are ignored.
@@ -85,8 +88,8 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return rule, verdict
 
 
-def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
-    """Edges (a, b) between alias keys from canonical links, refresh redirects and known redirects
+def alias_links(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
+    """Pairs (url, to) of absolute urls from canonical links, refresh redirects and known redirects
     (a table with ``from_url`` and ``to_url``)."""
     url, html = F.col("url"), F.coalesce(F.col("html"), F.lit(""))
     links = F.array(F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1),
@@ -95,21 +98,37 @@ def alias_edges(pages: DataFrame, redirects: DataFrame | None = None) -> DataFra
              .select(url, resolved(url, F.col("link")).alias("to")))
     if redirects is not None:
         found = found.unionByName(redirects.select(F.col("from_url").alias("url"), F.col("to_url").alias("to")))
-    return (found.select(alias_key(F.col("url")).alias("a"), alias_key(F.col("to")).alias("b"))
+    return found
+
+
+def alias_edges(links: DataFrame) -> DataFrame:
+    """Edges (a, b) between the alias keys of ``alias_links``."""
+    return (links.select(alias_key(F.col("url")).alias("a"), alias_key(F.col("to")).alias("b"))
             .where("a <> b").distinct())
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
-               redirects: DataFrame | None = None) -> DataFrame:
+               redirects: DataFrame | None = None, judge_targets: bool = False) -> DataFrame:
     """Per page: page_id, url, host, path, rule, verdict, reason (rule, alias or default)."""
     p = pages.select("page_id", "url", "html")
     rule, own = fitting_rule(F.col("host"), F.col("path"), rules)
     judged = (p.select("page_id", "url", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"),
                        alias_key(F.col("url")).alias("_key"))
               .withColumns({"rule": rule, "_own": own}))
-    tied = components(alias_edges(p, redirects)).withColumnsRenamed({"node": "_key", "component": "_comp"})
-    judged = judged.join(tied, "_key", "left").withColumn("_comp", F.coalesce("_comp", "_key"))
-    decided = (judged.where(F.col("_own").isNotNull() & F.col("_comp").isNotNull()).groupBy("_comp")
+    links = alias_links(p, redirects)
+    tied = components(alias_edges(links)).withColumnsRenamed({"node": "_key", "component": "_comp"})
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(tied, "_key", "left").withColumn("_comp", F.coalesce("_comp", "_key"))
+
+    judged = placed(judged)
+    deciding = judged.select("_comp", "_own")
+    if judge_targets:
+        ends = links.select(F.explode(F.array("url", "to")).alias("url"))
+        verdict = fitting_rule(url_host(F.col("url")), url_path(F.col("url")), rules)[1]
+        ends = ends.select(alias_key(F.col("url")).alias("_key"), verdict.alias("_own")).distinct()
+        deciding = deciding.unionByName(placed(ends).select("_comp", "_own"))
+    decided = (deciding.where(F.col("_own").isNotNull() & F.col("_comp").isNotNull()).groupBy("_comp")
                .agg(F.min("_own").alias("_alias")))  # "allow" sorts before "block"
     out = judged.join(decided, "_comp", "left")
     return out.select(

@@ -83,3 +83,23 @@ def test_relative_links_repeats_and_empty(spark):
     assert {(r["page_id"], r["verdict"]) for r in op.judge_urls(d).collect()} == {
         (1, "block"), (2, "block"), (3, "block"), (None, "block"), (9, "block")}
     assert op.judge_urls(d.limit(0)).count() == 0
+
+
+def test_targets_outside_the_table_decide_when_asked(spark):
+    rows = [(1, "http://a.org/x", '<link rel="canonical" href="http://b.net/es/9/">'), (2, "http://www.a.org/x/", None),
+            (3, "http://c.org/y", '<meta http-equiv="refresh" content="0; url=http://c.com/">'),
+            (4, "http://d.net/es/1", '<link rel="canonical" href="http://d.com/1">'),
+            (5, "http://e.org/z", '<link rel="canonical" href="http://f.org/q">'), (6, "http://g.org/1", None), (None, None, None)]
+    d = spark.createDataFrame(rows, SCHEMA)
+    red = spark.createDataFrame([("http://g.org/1", "http://g.net/fr/1"), ("http://h.net/fr/2", "http://e.org/z"),
+                                 (None, "http://e.org/z")], "from_url string, to_url string")
+
+    def got(**kw):
+        return {r["page_id"]: (r["verdict"], r["reason"]) for r in op.judge_urls(d, **kw).collect()}
+
+    want = {1: ("block", "alias"), 2: ("block", "alias"), 3: ("allow", "alias"), 4: ("block", "rule"),
+            5: ("allow", "default"), 6: ("allow", "default"), None: ("allow", "default")}
+    assert got(judge_targets=True) == want
+    assert got(judge_targets=True, redirects=red) == want | {5: ("block", "alias"), 6: ("block", "alias")}
+    assert {v for k, (v, _) in got().items() if k != 4} == {"allow"}
+    assert op.judge_urls(d.limit(0), judge_targets=True).count() == 0
