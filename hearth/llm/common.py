@@ -82,6 +82,30 @@ def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_rows(docs: DataFrame, placed: DataFrame, key: Column) -> DataFrame:
+    """``docs`` without the rows that ``placed`` drops, and one row of each (doc_id, key) that it keeps.
+
+    ``placed``: doc_id, key, rows (of that id and key), kept. ``key``: the same key computed from ``docs``, null
+    for rows that all stay; it is computed only for ids whose rows are not decided alike. Ids compare null-safe.
+    Of several rows the one whose JSON form is smallest stays. All columns stay.
+    """
+    placed = written(placed.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "rows", "kept"), "placed", few=True)
+    ids = (placed.groupBy(F.col("_id").alias("_of")).agg(F.sum("rows").alias("_rows"), F.max("kept").alias("_some"))
+           .where("not _some or _rows > 1"))
+    ids = written(ids, "ids", few=True)
+    same = F.col("doc_id").eqNullSafe(F.col("_of"))
+    out = docs.join(ids, same, "left_anti").select(*docs.columns)
+    mixed = ids.where("_some").select("_of")
+    if mixed.isEmpty():
+        return out
+    wanted = placed.where("kept and _key is not null").select("_id", "_key").distinct()
+    open_ = docs.join(mixed, same, "left_semi").withColumn("_mine", key)
+    row = F.struct(*docs.columns)
+    once = (open_.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_key")), "left_semi")
+            .groupBy("doc_id", "_mine").agg(F.min_by(row, F.to_json(row)).alias("_row")).select("_row.*"))
+    return out.unionByName(open_.where("_mine is null").select(*docs.columns)).unionByName(once)
+
+
 def _oriented(e: DataFrame) -> DataFrame:
     return e.where(F.col("u") != F.col("v")).select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import ascii_lower, kept_rows, written
 
 BLOCK_CHARS = 2048
 
@@ -100,16 +100,23 @@ def name_documents(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame
     return out
 
 
-def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+def _placed(docs: DataFrame, block_chars: int) -> DataFrame:
+    """Per (doc_id, text_sha256): rows, keep_id, group_size, kept."""
     named = written(name_documents(docs, block_chars), "identity", few=True)
     groups = named.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"), F.sum("rows").alias("group_size"))
-    out = named.join(groups, ["level", "name"]).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
-                      F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    return named.join(groups, ["level", "name"]).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+
+
+def exact_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    out = _placed(docs, block_chars).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", "text_sha256")
 
 
 def drop_duplicates(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` drops; all columns stay."""
-    gone = exact_duplicates(docs, block_chars).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each distinct text, of the id that ``exact_duplicates`` keeps; all columns stay.
+
+    Rows are decided by id and text: a repeated id loses only the texts that another id keeps.
+    """
+    placed = _placed(docs, block_chars).withColumn("key", F.unhex("text_sha256"))
+    return kept_rows(docs, placed, F.unhex(F.sha2(normalised(F.col("text")), 256)))

@@ -34,12 +34,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import components, kept_rows, written
 
 WORDS = 5
 NUM, DEN = 75, 100
@@ -482,8 +483,8 @@ def link_components(members: DataFrame, verifier: Verifier, num: int = NUM, den:
     return tied
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+def set_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Per row: doc_id, n_shingles, sid, component_id (the smallest doc_id reachable by links)."""
     rows = written(set_profiles(docs, words, num, den), "profiles")
     own = rows.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sid")
     heavy = (rows.where("kind = 1").groupBy("sid").agg(F.sum("n").alias("c")).where(F.col("c") >= HEAVY_LEAST)
@@ -504,12 +505,41 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     named = first.join(tied, "sid", "left").join(low, "component", "left").select(
         "sid", F.coalesce("low", "first_id").alias("low"))
     out = own.join(named, "sid", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("low")))
+    return out.select("doc_id", "n_shingles", "sid", F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("low")))
                       .otherwise(F.col("doc_id")).cast("long").alias("component_id"))
 
 
+def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+    return set_components(docs, words, num, den).drop("sid")
+
+
+def _set_key(words: int):
+    """A column function: the id of a text's set, null for an empty set."""
+    @F.pandas_udf("long")
+    def key(texts: pd.Series) -> pd.Series:
+        memo, out = _WordHash(), []
+        for t in texts:
+            s = shingle_set(t if isinstance(t, str) else None, memo, words)
+            out.append(set_id(s) if len(s) else None)
+        return pd.Series(out, index=texts.index, dtype="Int64")
+
+    return key
+
+
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``docs`` with one document of each component (the smallest id); all columns stay."""
-    found = jaccard_components(docs, words, num, den)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each component (of the smallest id); all columns stay.
+
+    Rows are decided by id and set: a repeated id loses only the sets in another id's component, and of its
+    sets in its own component the one with the smallest set id stays. Rows that link with nothing (null ids, empty
+    sets) all stay.
+    """
+    found = written(set_components(docs, words, num, den).where("doc_id is not null"), "found", few=True)
+    some = F.col("n_shingles") > 0
+    low = (found.where(some & (F.col("component_id") == F.col("doc_id"))).groupBy("doc_id")
+           .agg(F.min("sid").alias("low")))
+    placed = found.join(low, "doc_id", "left").select(
+        "doc_id", F.when(some, F.col("sid")).alias("key"), F.lit(1).alias("rows"),
+        (~some | F.coalesce(F.col("sid") == F.col("low"), F.lit(False))
+         & (F.col("component_id") == F.col("doc_id"))).alias("kept"))
+    return kept_rows(docs, placed, _set_key(words)(F.col("text")))

@@ -54,3 +54,13 @@ def test_long_texts_empty_table_and_drop(spark):
     assert sorted(r["doc_id"] for r in op.drop_duplicates(d).collect()) == [2, 3, 5]
     assert op.drop_duplicates(d).columns == d.columns
     assert op.exact_duplicates(d.limit(0)).count() == 0
+
+
+def test_drop_decides_by_id_and_text(spark):
+    rows = [(3, "A"), (3, "zz"), (5, "a"), (None, "a"), (None, "only null"), (None, "Only null"), (None, "zz"), (7, "same"),
+            (7, "same"), (7, "Same"), (8, "x"), (8, "y"), (9, "y"), (2, None), (2, "")]
+    d = docs(spark, rows)
+    left = sorted(((r["doc_id"], (r["text"] or "").translate(LOW)) for r in op.drop_duplicates(crowded(d, "kept", "key", "rows")).collect()), key=repr)
+    assert left == sorted([(3, "zz"), (5, "a"), (None, "only null"), (7, "same"), (8, "x"), (9, "y"), (2, "")], key=repr)
+    texts = [(r[1] or "").translate(LOW) for r in rows]
+    assert sorted(t for _, t in left) == sorted(set(texts))  # one row of every text

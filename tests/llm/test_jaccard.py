@@ -110,3 +110,15 @@ def test_drop_long_and_empty(spark):
     kept = op.drop_near_duplicates(d)
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 5] and kept.columns == d.columns
     assert op.jaccard_components(d.limit(0)).count() == 0
+
+
+def test_drop_decides_by_id_and_set(spark):
+    rng = random.Random(8)
+    a, b, c, e = (prose(rng, 60, 3000) for _ in range(4))
+    rows = [(1, a), (3, a + " tail"), (3, b), (4, b + " tail"), (4, b + " tail"), (5, c), (5, c + " more"), (5, c), (6, c),
+            (7, e), (7, e), (None, a), (None, "lone null id"), (3, ""), (3, None)]
+    left = [(r["doc_id"], r["text"]) for r in op.drop_near_duplicates(crowded(docs(spark, rows), "kept", "key", "rows")).collect()]
+    five = [t for i, t in left if i == 5]
+    assert len(five) == 1 and five[0] in (c, c + " more")
+    assert sorted((x for x in left if x[0] != 5), key=repr) == sorted(
+        [(1, a), (3, b), (7, e), (None, a), (None, "lone null id"), (3, ""), (3, None)], key=repr)
