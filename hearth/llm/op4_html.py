@@ -9,8 +9,9 @@ alike, else the nearer one; headings follow the block below them. Good blocks ar
 
 Character references are decoded, white space inside a block becomes one space, nothing is cut.
 
-Defined results: null or empty html, or a page without good blocks: empty text. Unclosed tags, scripts
-and comments run to the end of the page. Null ids and repeated rows are kept row by row, other columns
+Defined results: null or empty html, or a page without good blocks: empty text. Unclosed containers, scripts,
+styles and comments run to the end of the page; a self-closed svg or math ends at once, and of other dropped
+elements (svg, video, noscript and the like) without an end tag only the start tag goes. Null ids and repeated rows are kept row by row, other columns
 are ignored, an empty table gives an empty result.
 """
 
@@ -32,7 +33,10 @@ CONTAINERS = frozenset(
     "article aside blockquote button details dialog div dl fieldset figure footer form header li main menu nav ol "
     "section select span table tbody td tfoot th thead tr ul head title p h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY_BLOCK = frozenset("p h1 h2 h3 h4 h5 h6".split())
-RAW = "script|style|noscript|template|svg|iframe|object|canvas|textarea|math|audio|video"
+RAW = "script|style"
+FLAT = frozenset(("iframe", "textarea"))  # hold no tags: end at the first end tag
+HELD = "noscript|template|svg|iframe|object|canvas|textarea|math|audio|video"  # dropped up to their own end tag, if any
+DRAWN = frozenset(("svg", "math"))  # end at once when self-closed
 BAD_TAGS = frozenset("nav footer aside form menu dialog button select head title".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 ARTICLE_TAGS = frozenset(("article", "main"))
@@ -58,7 +62,8 @@ LINKS = 0.5  # share of a block's text inside links from which it is bad
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)"
-    rf"|<(?P<raw>{RAW})\b[^>]*+>(?:.*?</(?P=raw)\s*+>|.*\Z)"
+    rf"|<(?P<raw>{RAW})(?![A-Za-z0-9:-])[^>]*+>(?:.*?</(?P=raw)\s*+>|.*\Z)"
+    rf"|<(?P<shut>/?)(?P<held>{HELD})(?![A-Za-z0-9:-])(?P<own>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)"
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*+)(?P<attr>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[A-Za-z!?][^>]*+(?:>|\Z)", re.S | re.I)
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -89,6 +94,25 @@ class _Block:
         self.chars, self.links, self.bad, self.scope, self.heading = len(self.text), links, bad, scope, heading
 
 
+def _held_ends(html: str) -> dict[int, int]:
+    """Where the dropped elements end that have an end tag, by the position of their start tag."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for m in TOKEN.finditer(html):
+        if not m["held"]:
+            continue
+        tag = m["held"].lower()
+        at = opened.setdefault(tag, [])
+        if not m["shut"]:
+            if not (tag in DRAWN and m["own"].endswith("/>")):
+                at.append(m.start())
+        elif at:
+            if tag in FLAT:
+                del at[1:]
+            ends[at.pop()] = m.end()
+    return ends
+
+
 def page_blocks(html: str) -> list[_Block]:
     """The non-empty blocks of a page with what pass one needs to know of each."""
     blocks: list[_Block] = []
@@ -113,10 +137,17 @@ def page_blocks(html: str) -> list[_Block]:
             if depth:
                 links += len("".join(x.split()))
 
-    at = 0
-    for m in TOKEN.finditer(html):
+    at, ends = 0, None
+    tokens = TOKEN.finditer(html)
+    while m := next(tokens, None):
         text(html[at:m.start()])
         at = m.end()
+        if m["held"] and not m["shut"]:
+            ends = _held_ends(html) if ends is None else ends
+            if m.start() in ends:
+                at = ends[m.start()]
+                tokens = TOKEN.finditer(html, at)
+            continue
         if not (tag := m["tag"]):
             continue
         tag = tag.lower()

@@ -35,6 +35,16 @@ def test_unclosed_and_odd_markup():
     assert op.main_text("") == op.main_text(None) == op.main_text("<p></p>") == ""
 
 
+def test_dropped_elements_without_an_end_tag():
+    for tag in ("<svg class='icon'/>", "<svg/>", "<math />", "<svg class='icon'>", "<video src=x>", "<object data='a>b'>",
+                "<canvas>", "<audio>", "<noscript>", "<svg-icon>", "<video-player id=1>", "<svg title='>"):
+        assert op.main_text(f"<article><p>A</p>{tag}<p>rest</p></article>") == "A rest", tag
+        assert op.main_text(f"<article><p>A</p>{tag}<p>rest</p><svg><text>t</text></svg><p>end</p></article>") == "A rest end", tag
+    inner = "<svg><text>x</text><svg><text>y</text></svg><svg/><text>z</text></svg>"
+    assert op.main_text(f"<article><p>a</p>{inner}<p>b</p><noscript>n</noscript> c <textarea><textarea></textarea> d") == "a b c d"
+    assert op.main_text("<article>" + "<svg><video>" * 20000 + "<p>deep</p></article>") == "deep"
+
+
 def test_long_page_is_whole():
     body = "".join(f"<p>{LONG} {i}</p>" for i in range(2000))
     assert op.main_text(page(f"<article>{body}</article>")) == " ".join(" ".join(f"{LONG} {i}".split()) for i in range(2000))
