@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags. Pass one labels each block on its own: blocks inside
 menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by tag, role or class)
-are bad, so are blocks made of links; inside an article container long blocks are good; elsewhere
+are bad, but long prose only by tag, role or a class of adverts, cookies or comments, and class words do not
+overrule an article tag or an article class; blocks made of links are bad; inside an article container long blocks are good; elsewhere
 length and stop-word density decide; short blocks stay ambiguous. Pass two gives every ambiguous block
 the label of its nearest decided neighbours (of its own container where it is in an article): both
 alike, else the nearer one; headings follow the block below them. Good blocks are joined in page order.
@@ -47,6 +48,14 @@ BAD_WORDS = frozenset(
     "subscribe subscription share sharing social related recommended comment comments disqus replies pagination pager "
     "toolbar login signup search skip copyright disclaimer".split())
 BAD_OUTSIDE = frozenset("header masthead topbar widget alert".split())
+# of them, those under which prose is not the page's own either
+FIRM_WORDS = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr comment comments "
+    "disqus replies".split())
+# parts beside a word that make it tell of the page's state
+STATE_BEFORE = frozenset("has no with without".split())
+STATE_AFTER = (["open"], ["closed"], ["enabled"], ["disabled"], ["free"])
+SOFT, FIRM = 1, 2  # boilerplate by a class word only; by its tag, role or a firm word
 ARTICLE_WORDS = frozenset("article content post entry story main".split())
 
 # --- fixed values: frequent words of the four languages
@@ -71,19 +80,38 @@ PARTS = re.compile(r"[a-z0-9]+")
 WORD = re.compile(r"[^\W\d_]+")
 
 
-def _marks(tag: str, attr: str, in_article: bool) -> tuple[bool, bool]:
-    """(boilerplate, article) of a container by its tag and attributes."""
-    bad = tag in BAD_TAGS or (tag == "header" and not in_article)
+def _bad_words(words: list[str], in_article: bool) -> set[str]:
+    """The boilerplate words among the parts of one class or id; words that tell of a state (``no-sidebar``) do not count."""
+    return {w for i, w in enumerate(words) if (w in BAD_WORDS or (not in_article and w in BAD_OUTSIDE))
+            and not (i and words[i - 1] in STATE_BEFORE) and words[i + 1:i + 2] not in STATE_AFTER}
+
+
+def _marks(tag: str, attr: str, in_article: bool) -> tuple[int, bool]:
+    """(boilerplate level, article) of a container by its tag and attributes."""
+    level = FIRM if tag in BAD_TAGS or (tag == "header" and not in_article) else 0
     article = tag in ARTICLE_TAGS
+    marked = 0
     for name, *values in NAMES.findall(attr) if attr else ():
-        words = PARTS.findall("".join(values).lower())
+        value = "".join(values).lower()
         if name.lower() == "role":
-            bad = bad or bool(BAD_ROLES.intersection(words))
+            words = PARTS.findall(value)
+            level = FIRM if BAD_ROLES.intersection(words) else level
             article = article or "main" in words
             continue
-        bad = bad or bool(BAD_WORDS.intersection(words)) or (not in_article and bool(BAD_OUTSIDE.intersection(words)))
-        article = article or bool(ARTICLE_WORDS.intersection(words))
-    return bad, article and not bad
+        for one in value.split():
+            words = PARTS.findall(one)
+            if bad := _bad_words(words, in_article):
+                marked = max(marked, FIRM if bad & FIRM_WORDS else SOFT)
+            else:
+                article = article or bool(ARTICLE_WORDS.intersection(words))
+    if not article or (in_article and marked == FIRM):  # inside an article, comments are often articles of their own
+        level = max(level, marked)
+    return level, article and not level
+
+
+def _stop_share(text: str) -> float:
+    words = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
 
 
 class _Block:
@@ -91,7 +119,13 @@ class _Block:
 
     def __init__(self, parts, links, bad, scope, heading):
         self.text = " ".join(htmllib.unescape("".join(parts)).split())
-        self.chars, self.links, self.bad, self.scope, self.heading = len(self.text), links, bad, scope, heading
+        self.chars, self.links, self.heading = len(self.text), links, heading
+        self.bad = bad == FIRM or (bad == SOFT and not self.is_prose())
+        self.scope = 0 if self.bad else scope  # boilerplate says nothing of its article
+
+    def is_prose(self) -> bool:
+        """Long, with many stop words and few links."""
+        return self.chars >= LONG and self.links <= LINKS * self.chars and _stop_share(self.text) >= STOP_HIGH
 
 
 def _held_ends(html: str) -> dict[int, int]:
@@ -116,7 +150,7 @@ def _held_ends(html: str) -> dict[int, int]:
 def page_blocks(html: str) -> list[_Block]:
     """The non-empty blocks of a page with what pass one needs to know of each."""
     blocks: list[_Block] = []
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]  # (tag, boilerplate, article scope or 0)
+    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # (tag, boilerplate level, article scope or 0)
     parts: list[str] = []
     links = scopes = depth = 0
     heading = False
@@ -125,7 +159,7 @@ def page_blocks(html: str) -> list[_Block]:
         nonlocal parts, links
         if parts:
             _, bad, scope = stack[-1]
-            block = _Block(parts, links, bad, 0 if bad else scope, heading)  # boilerplate says nothing of its article
+            block = _Block(parts, links, bad, scope, heading)
             if block.chars:
                 blocks.append(block)
         parts, links = [], 0
@@ -172,12 +206,14 @@ def page_blocks(html: str) -> list[_Block]:
             stack.pop()
         _, bad, scope = stack[-1]
         own_bad, article = _marks(tag, m["attr"], scope > 0)
+        if tag == "main" and bad == SOFT:
+            bad = 0
         if article and not scope and not bad:
             scopes += 1
             scope = scopes
-        if tag == "span" and own_bad and not bad:
+        if tag == "span" and own_bad > bad:
             close()
-        stack.append((tag, bad or own_bad, scope))
+        stack.append((tag, max(bad, own_bad), scope))
     text(html[at:])
     close()
     return blocks
@@ -194,8 +230,7 @@ def _first_label(b: _Block) -> bool | None:
         return False
     if b.chars < SHORT:
         return False if b.links else None
-    words = WORD.findall(b.text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    stop = _stop_share(b.text)
     if stop >= STOP_HIGH:
         return True if b.chars >= LONG else None
     return None if stop >= STOP_LOW else False

@@ -45,6 +45,23 @@ def test_dropped_elements_without_an_end_tag():
     assert op.main_text("<article>" + "<svg><video>" * 20000 + "<p>deep</p></article>") == "deep"
 
 
+def test_class_words_do_not_overrule_articles_or_prose():
+    prose = " ".join(LONG.split())
+    for start, end in (("<article class='post comments-open'>", "</article>"), ("<main class='has-sidebar'>", "</main>"),
+                       ("<div id='content' class='no-sidebar'>", "</div>"), ("<div class='post sponsored'>", "</div>"),
+                       ("<div class='page-with-sidebar'><main>", "</main></div>"), ("<article class='promo'>", "</article>"),
+                       ("<div class='social'><main>", "</main></div>")):
+        assert op.main_text(page(f"{start}<p>Short one.</p><p>{LONG}</p>{end}")) == f"Short one. {prose}", start
+    for word in ("social", "search", "notice", "promotion", "related"):
+        assert op.main_text(page(f"<article><p>A</p><section class='{word}'><p>{LONG}</p></section></article>")) == f"A {prose}", word
+        assert op.main_text(page(f"<article><p>A</p><p class={word}>{LONG}</p><p>B</p></article>")) == f"A {prose} B", word
+        assert op.main_text(page(f"<article><p>A</p><p class={word}>Share it</p><p>B</p></article>")) == "A B", word
+    for start in ("<div class='comments'>", "<div class='post-comments'>", "<div class='main-ad'>", "<article class='comment'>",
+                  "<nav class='content'>", "<div role=banner class=post>"):
+        assert op.main_text(page(f"<article><p>A</p>{start}<p>{LONG}</p></article>")) == "A", start
+    assert op.main_text(page(f"<div class='main-nav'>Short</div><p>{LONG}</p>")) == prose
+
+
 def test_long_page_is_whole():
     body = "".join(f"<p>{LONG} {i}</p>" for i in range(2000))
     assert op.main_text(page(f"<article>{body}</article>")) == " ".join(" ".join(f"{LONG} {i}".split()) for i in range(2000))
