@@ -7,7 +7,8 @@ and a template is retrieved when a band equals its own. ``collision_probability`
 that holds three quarters of a template has a similarity of 0.6 at least and is retrieved with probability
 0.999 or more. A retrieved template counts if the window, widened by a quarter of its length on either side
 for added words, contains at least ``CONTAINMENT`` of its shingles. Of overlapping matches the one with the
-highest containment stays.
+most shingles found stays, so a sentence that several licenses share yields to the notice that holds it; of as
+many the one with the highest containment.
 
 Only windows with at least one template shingle are hashed: no other window can equal a band, since a
 template's MinHash values all come from its own shingles.
@@ -35,6 +36,17 @@ MEMO = 100_000  # word hashes that a task remembers
 SEED = 42
 
 # --- fixed values: license notices by their usual wording
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as published by "
+        "the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met")
+_BSD_1_2 = (_BSD + ": {}Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+            "following disclaimer. {}Redistributions in binary form must reproduce the above copyright notice, this list of "
+            "conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_NUMBERS, _BULLETS = ("1. ", "2. "), ("* ", "* ")
+_BSD_NAME = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+             "products derived from this software without specific prior written permission. ")
+_BSD_END = "This software is provided by the"
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -45,13 +57,24 @@ TEMPLATES = (
                    "compliance with the License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                "option) any later version."),
+    ("GPL-1.0", _GNU.format("General Public License", "1")),
+    ("GPL-2.0", _GNU.format("General Public License", "2")),
+    ("GPL-3.0", _GNU.format("General Public License", "3")),
+    ("LGPL-2.0", _GNU.format("Library General Public License", "2")),
+    ("LGPL-2.0", _GNU.format("Lesser General Public License", "2")),
+    ("LGPL-2.1", _GNU.format("Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _GNU.format("Lesser General Public License", "3")),
+    ("AGPL-3.0", _GNU.format("Affero General Public License", "3")),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "Licensed under the GNU Affero General Public License, version 3."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted "
-                     "provided that the following conditions are met"),
+    ("BSD", _BSD),  # common to all of them
+    ("BSD-2-Clause", _BSD_1_2.format(*_NUMBERS) + _BSD_END),
+    ("BSD-2-Clause", _BSD_1_2.format(*_BULLETS) + _BSD_END),
+    ("BSD-3-Clause", _BSD_1_2.format(*_NUMBERS) + "3. " + _BSD_NAME + _BSD_END),
+    ("BSD-3-Clause", _BSD_1_2.format(*_BULLETS) + _BSD_NAME + _BSD_END),
+    ("BSD-4-Clause", _BSD_1_2.format(*_NUMBERS) + "3. All advertising materials mentioning features or use of this software must display the "
+                     "following acknowledgement: This product includes software developed by the organization. 4. "
+                     + _BSD_NAME + _BSD_END),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
             "granted, provided that the above copyright notice and this permission notice appear in all copies."),
@@ -191,7 +214,7 @@ class LicenseIndex:
             if share >= CONTAINMENT:
                 matches.append((share, len(tpl.own), a + int(hit[0]), a + int(hit[-1]) + tpl.k, tpl.name))
         kept: list[tuple] = []
-        for m in sorted(matches, key=lambda m: (-m[0], -m[1], m[2], m[3], m[4])):
+        for m in sorted(matches, key=lambda m: (-round(m[0] * m[1]), -m[0], m[2], m[3], m[4])):
             if all(m[3] <= x[2] or x[3] <= m[2] for x in kept):
                 kept.append(m)
         if not kept:

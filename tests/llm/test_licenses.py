@@ -58,3 +58,36 @@ def test_nulls_empty_and_clashes(spark):
     assert found(op.license_digest(d), "doc_id", "licenses") == sorted(
         [(None, ""), (1, ""), (1, ""), (None, "All-Rights-Reserved")], key=repr)
     assert op.license_digest(d.limit(0)).count() == 0
+
+
+def test_each_notice_has_its_own_name():
+    gnu = ("{} is free software; you can redistribute it and/or\n# modify it under the terms of the GNU {}\n# as published by the "
+           "Free Software Foundation; either version {} of the License, or\n# (at your option) any later version.")
+    clauses = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+               "following conditions are met:\n{0}Redistributions of source code must retain the above copyright notice, this list "
+               "of conditions and the following disclaimer.\n{1}Redistributions in binary form must reproduce the above copyright "
+               "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+               "with the distribution.\n")
+    name = ("{}Neither the name of {} nor the names of its contributors may be used to endorse or promote products derived from "
+            "this software without specific prior written permission.\n")
+    advert = ("3. All advertising materials mentioning features or use of this software must display the following "
+              "acknowledgement: This product includes software developed by the University of X and its contributors.\n")
+    end = 'THIS SOFTWARE IS PROVIDED BY THE {} "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.'
+    holders = "COPYRIGHT HOLDERS AND CONTRIBUTORS"
+    index, memo, rng = op.LicenseIndex(), op._WordHash(), random.Random(4)
+    cases = [(want, gnu.format(start, text, version)) for start in ("This program", "This library", "Foobar") for want, text, version in (
+        ("GPL-1.0", "General Public License", "1"), ("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"),
+        ("LGPL-2.0", "Library General Public License", "2"), ("LGPL-2.0", "Lesser General Public License", "2"),
+        ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"),
+        ("AGPL-3.0", "Affero General Public License", "3"))]
+    for marks in (("1. ", "2. ", "3. "), ("* ", "* ", "* ")):
+        for who in (holders, "REGENTS AND CONTRIBUTORS"):
+            cases += [("BSD-2-Clause", clauses.format(*marks) + end.format(who)),
+                      ("BSD-3-Clause", clauses.format(*marks) + name.format(marks[2], "the copyright holder") + end.format(who)),
+                      ("BSD-3-Clause", clauses.format(*marks) + name.format(marks[2], "Foo Inc.") + end.format(who))]
+    cases += [("BSD-4-Clause", clauses.format("1. ", "2. ") + advert + name.format("4. ", "the University") + end.format(holders)),
+              ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+                      "the following conditions are met: see the file COPYING.")]
+    for want, text in cases:
+        around = prose(rng, 80) + "\n" + text + "\n" + prose(rng, 80)
+        assert [m[0] for m in index.scan(around, memo)] == [want], (want, text)
