@@ -79,7 +79,16 @@ def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
         df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def free(*tables: DataFrame | None) -> None:
+    """Delete tables made by ``written`` that no open plan reads any more (None is skipped)."""
+    for t in tables:
+        if t is not None:
+            _drop(t.sparkSession, t._written_at)
 
 
 def kept_rows(docs: DataFrame, placed: DataFrame, key: Column) -> DataFrame:

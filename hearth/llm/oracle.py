@@ -160,4 +160,44 @@ select vec_id, coalesce(deg.n, 0)::bigint n_links, coalesce(low.low, vec_id) com
  vec_id is not distinct from coalesce(low.low, vec_id) kept
 from v left join deg using (r) left join low on v.vec_id = low.id"""
 
-ORACLE = {"op5_embedding_dedup": _VECTORS, "op8_jaccard_join": _JACCARD, "op2_pii": _pii(), "op6_exact_dedup": _EXACT, "op9_url_filter": _URLS, "op10_mix": _MIX}
+_TOPK = """
+with v as (select distinct vec_id, list_transform(cast(embedding as double[]), lambda e: cast(floor(256 * e) as bigint)) x from embeddings
+ where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0),
+pairs as (select q.vec_id query_id, c.vec_id, max(list_sum(list_transform(list_zip(q.x, c.x),
+  lambda z: coalesce(z[1], 0) * coalesce(z[2], 0)))) score
+ from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id group by q.vec_id, c.vec_id),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs)
+select query_id, cast(rank as int) as rank, vec_id, cast(coalesce(score, 0) as bigint) score from ranked where rank <= 5"""
+
+_MIDDLE = """
+with t as (select doc_id, coalesce(text, '') t, length(coalesce(text, '')) n,
+  sha256('1:' || coalesce(cast(doc_id as varchar), 'null')) h from documents),
+d as (select *, cast('0x' || h[1:8] as bigint) % (n + 1) a, cast('0x' || h[9:16] as bigint) % (n + 1) b,
+  case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or cast('0x' || h[17:24] as bigint) % 100 >= 90
+    then 'plain' when cast('0x' || h[25:32] as bigint) % 100 < 20 then 'spm' else 'psm' end form from t),
+c as (select *, substring(t, 1, least(a, b)) p, substring(t, least(a, b) + 1, greatest(a, b) - least(a, b)) m,
+  substring(t, greatest(a, b) + 1) s from d)
+select doc_id, n::bigint n, form, case when form <> 'plain' then least(a, b) end::bigint prefix_chars,
+ case when form <> 'plain' then greatest(a, b) - least(a, b) end::bigint middle_chars,
+ sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+  else '<S>' || s || '<P>' || p || '<M>' || m end) output_sha256, sha256(t) restored_sha256
+from c"""
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH = f"""
+with d as (select row_number() over () r, doc_id, {_TERMS} w from documents),
+stat as (select count(*)::bigint big_n, sum(len(w))::bigint l from d where len(w) > 0),
+q as (select item_id, term, count(*) times from (select item_id, unnest({_TERMS}) term from (
+  select distinct item_id, text from benchmark where item_id is not null)) group by all),
+post as (select r, doc_id, len(w)::bigint n, term, count(*)::bigint tf from (select r, doc_id, w, unnest(w) term from d)
+  where term in (select term from q) group by all),
+df as (select term, count(*)::bigint df from post group by term),
+score as (select item_id, r, doc_id, sum(times * floor(1000 * ln((2 * big_n + 2)::double / (2 * df + 1)::double))::bigint
+  * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * big_n) // l))))::bigint score
+  from q join post using (term) join df using (term), stat where doc_id is not null group by item_id, r, doc_id),
+ranked as (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from score where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from ranked where rank <= 10"""
+
+ORACLE = {"op11_exact_topk": _TOPK, "op12_fill_in_middle": _MIDDLE, "op13_ranked_search": _SEARCH, "op5_embedding_dedup": _VECTORS, "op8_jaccard_join": _JACCARD, "op2_pii": _pii(), "op6_exact_dedup": _EXACT, "op9_url_filter": _URLS, "op10_mix": _MIX}

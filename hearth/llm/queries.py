@@ -13,6 +13,9 @@ from .op7_pieces import sample_encodings
 from .op8_jaccard import jaccard_components
 from .op9_urls import judge_urls
 from .op10_mix import mix_sources
+from .op11_topk import exact_top_k
+from .op12_middle import middle_digest
+from .op13_search import ranked_search
 
 
 def op1_license_scan(spark, sf_dir):
@@ -56,4 +59,17 @@ def op10_mix(spark, sf_dir):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_pii, op3_toxicity, op4_html_text, op5_embedding_dedup, op6_exact_dedup, op7_piece_samples, op8_jaccard_join, op9_url_filter, op10_mix)}
+def op11_exact_topk(spark, sf_dir):
+    return exact_top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return middle_digest(read_table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark, sf_dir):
+    return ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_pii, op3_toxicity, op4_html_text, op5_embedding_dedup, op6_exact_dedup, op7_piece_samples, op8_jaccard_join, op9_url_filter, op10_mix, op11_exact_topk, op12_fill_in_middle,
+                                  op13_ranked_search)}

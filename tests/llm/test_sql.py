@@ -16,7 +16,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     want = con.sql(ORACLE[name])
     cols = sorted(want.columns)
