@@ -36,6 +36,13 @@ def mean_target_encode(df: DataFrame, col: str = "neighborhood", target: str = T
     return joined.select(*cols)
 
 
+def smoothed(n: Column, mean: Column, prior: Column, min_samples_leaf: int = TE_MIN_SAMPLES_LEAF,
+             smoothing: float = TE_SMOOTHING) -> Column:
+    """Sigmoid-smoothed encoding of a category seen ``n`` times; one seen once takes the prior."""
+    w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(n - F.lit(min_samples_leaf)) / F.lit(smoothing)))
+    return F.when(n == 1, prior).otherwise(prior * (F.lit(1.0) - w) + mean * w)
+
+
 @dataclass
 class SmoothedTargetEncoderModel:
     stats: DataFrame          # (category, n, mean, encoded)
@@ -73,8 +80,7 @@ class SmoothedTargetEncoder:
               .agg(F.count(F.col(self.target)).alias("n"), F.avg(self.target).alias("mean")))
         n = F.col("n")
         if self.method == "sigmoid":
-            w = F.lit(1.0) / (F.lit(1.0) + F.exp(-(n - F.lit(self.min_samples_leaf)) / F.lit(self.smoothing)))
-            enc = F.when(n == 1, prior).otherwise(prior * (F.lit(1.0) - w) + F.col("mean") * w)
+            enc = smoothed(n, F.col("mean"), prior, self.min_samples_leaf, self.smoothing)
         elif self.method == "m_estimate":
             w = n / (n + F.lit(self.smoothing))
             enc = prior * (F.lit(1.0) - w) + F.col("mean") * w

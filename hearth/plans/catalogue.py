@@ -452,7 +452,22 @@ def q_cv_results(spark, d):
 
 @query("feature_importance")
 def q_feature_importance(spark, d):
-    return M.feature_importance(spark, _fit(spark, d)[0])
+    """Shares of the inputs in the mean absolute Shapley value over the training rows."""
+    return M.feature_importance(_fit(spark, d)[0])
+
+
+@query("prediction_contributions")
+def q_prediction_contributions(spark, d):
+    """Exact Shapley values of every valid request's predicted rent, one column per feature."""
+    model = _fit(spark, d)[0]
+    out = model.contributions(_valid_requests(spark, d).drop("reject_reason"))
+    return out.select("request_id", "prediction", *[f"phi_{c}" for c in M.FEATURES])
+
+
+@query("model_nodes")
+def q_model_nodes(spark, d):
+    """The fitted trees as a table of nodes."""
+    return _fit(spark, d)[0].nodes
 
 
 @query("model_metrics")
