@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..constants import IQR_FACTOR, OUTLIER_COLUMNS, SEED_FILLS, TARGET, UNKNOWN
 from .dedup import keep_latest
-from .quantiles import fences
+from .quantiles import fences, method_for
 
 
 def is_numeric(df: DataFrame, col: str) -> bool:
@@ -37,7 +37,7 @@ def fill_defaults(df: DataFrame, fills: dict | None = None) -> DataFrame:
     return out
 
 
-def iqr_filter(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
+def iqr_filter(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "auto") -> DataFrame:
     """Keep rows whose value is NULL or inside the Tukey fences of ``col``."""
     if not is_numeric(df, col):
         return df
@@ -46,21 +46,23 @@ def iqr_filter(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str
     return df.where(c.isNull() | ((c >= lo) & (c <= hi)))
 
 
-def iqr_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
+def iqr_outliers(df: DataFrame, col: str, factor: float = IQR_FACTOR, method: str = "auto") -> DataFrame:
     """Rows strictly outside the fences (NULLs are not outliers)."""
     lo, hi = fences(df, col, factor, method)
     c = F.col(col)
     return df.where((c < lo) | (c > hi))
 
 
-def remove_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, method: str = "distributed") -> DataFrame:
+def remove_outliers(df: DataFrame, columns=OUTLIER_COLUMNS, method: str = "auto") -> DataFrame:
     """Columns are screened in order; later fences use the rows that survived earlier ones."""
+    if method == "auto":  # the rows of the first table bound those of the later ones
+        method = method_for(df)
     for c in columns:
         df = iqr_filter(df, c, method=method)
     return df
 
 
-def clean_listings(df: DataFrame, tie_cols=("id",), method: str = "distributed") -> DataFrame:
+def clean_listings(df: DataFrame, tie_cols=("id",), method: str = "auto") -> DataFrame:
     """Deduplicate → drop missing target → fill category → remove outliers.
 
     The deduplicated table is written once to the shared folder: the fences and the
@@ -71,7 +73,7 @@ def clean_listings(df: DataFrame, tie_cols=("id",), method: str = "distributed")
     return remove_outliers(base, method=method)
 
 
-def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "distributed") -> DataFrame:
+def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "auto") -> DataFrame:
     """Row counts per cleaning step as one query: (step_no, step, rows_in, rows_out, affected).
 
     The deduplicated rows are flagged once and counted in a single aggregate,
@@ -79,6 +81,8 @@ def clean_audit(df: DataFrame, tie_cols=("id",), method: str = "distributed") ->
     """
     from ..session import cut_lineage
     dedup = cut_lineage(keep_latest(df, tie_cols=tie_cols))
+    if method == "auto":
+        method = method_for(dedup)
     rent, nbh = F.col(TARGET), F.col("neighborhood")
     kept = drop_missing_target(dedup)
     rlo, rhi = fences(kept, TARGET, method=method)

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ..constants import (IQR_FACTOR, LISTING_KEY, NULL_FLAG_PERCENT, NULL_PROFILE_COLUMNS,
                          OUTLIER_SAMPLE, PRICE_WINDOW, TARGET, TOP_CATEGORIES)
+from ..session import cut_lineage
+from .quantiles import column_quantiles
 
 NUMERIC_PROFILE_COLUMNS = ("rooms", "monthly_rent_eur")
 
@@ -56,66 +58,53 @@ def _long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataF
               .where(F.col("value").isNotNull()))
 
 
-def _quartiles(df: DataFrame, long: DataFrame, cols: Sequence[str], method: str) -> DataFrame:
-    """(column_name, _q = [q1, median, q3]) per profiled column."""
-    if method == "exact":  # one grouped percentile over (column, value) counts
-        return (long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-                .groupBy("column_name")
-                .agg(F.percentile(F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)),
-                                  F.col("_n")).alias("_q")))
-    from .quantiles import quantiles
-    parts = [quantiles(df, c, (0.25, 0.5, 0.75), method).select(F.lit(c).alias("column_name"),
-                                                                   F.col("q").alias("_q")) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def numeric_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
-                    method: str = "distributed") -> DataFrame:
+                    method: str = "auto") -> DataFrame:
     """count, mean, median, std (sample), min, max, q1, q3, iqr over non-null values.
 
-    ``method`` as in ``operators.quantiles`` (``distributed`` for continuous columns at scale).
+    ``method`` as in ``operators.quantiles``.
     """
     cols = [c for c in cols if c in df.columns]
     long = _long(df, cols)
     moments = long.groupBy("column_name").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    quant = _quartiles(df, long, cols, method)
+    quant = column_quantiles(df, cols, (0.25, 0.5, 0.75), method).withColumnRenamed("q", "_q")
     return (moments.join(quant, "column_name")
             .select("column_name", "count", "mean", F.col("_q")[1].alias("median"), "std", "min", "max",
                     F.col("_q")[0].alias("q1"), F.col("_q")[2].alias("q3"),
                     (F.col("_q")[2] - F.col("_q")[0]).alias("iqr")))
 
 
-def _bounds(df: DataFrame, cols: Sequence[str], factor: float, method: str = "distributed") -> DataFrame:
-    s = numeric_profile(df, cols, method)
-    return s.select("column_name", (F.col("q1") - factor * F.col("iqr")).alias("lower_bound"),
-                    (F.col("q3") + factor * F.col("iqr")).alias("upper_bound"))
+def outlier_bounds(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS, factor: float = IQR_FACTOR,
+                   method: str = "auto") -> DataFrame:
+    """(column_name, lower_bound, upper_bound): Tukey fences of every column with values."""
+    q = column_quantiles(df, [c for c in cols if c in df.columns], (0.25, 0.75), method).where("q is not null")
+    q1, q3 = F.col("q")[0], F.col("q")[1]
+    return q.select("column_name", (q1 - factor * (q3 - q1)).alias("lower_bound"), (q3 + factor * (q3 - q1)).alias("upper_bound"))
 
 
-def anomaly_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
-                    factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
-    """Per column: fences, outlier count and share of all rows (NULL rows in the denominator)."""
+def anomaly_profile(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS, factor: float = IQR_FACTOR,
+                    method: str = "auto", bounds: DataFrame | None = None) -> DataFrame:
+    """Per column: fences, outlier count and share of all rows (NULL rows in the denominator). ``bounds``: the fences,
+    where ``outlier_bounds`` has computed them already."""
     cols = [c for c in cols if c in df.columns]
-    b = _bounds(df, cols, factor, method)
-    long = _long(df, cols).join(F.broadcast(b), "column_name")
+    b = outlier_bounds(df, cols, factor, method) if bounds is None else bounds
+    # NULL values stay, so that one scan counts both the outliers and the rows
+    items = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(F.explode(items).alias("_x")).select("_x.*").join(F.broadcast(b), "column_name")
     out = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
-    counts = long.groupBy("column_name").agg(F.count_if(out).alias("outlier_count"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (b.join(counts, "column_name", "left").withColumn("_rows", total)
-            .select("column_name", "lower_bound", "upper_bound",
-                    F.coalesce("outlier_count", F.lit(0)).alias("outlier_count"),
-                    _pct(F.coalesce("outlier_count", F.lit(0)), F.col("_rows")).alias("outlier_percent")))
+    counts = long.groupBy("column_name").agg(F.first("lower_bound").alias("lower_bound"), F.first("upper_bound").alias("upper_bound"),
+                                             F.count_if(out).alias("outlier_count"), F.count(F.lit(1)).alias("_rows"))
+    return counts.select("column_name", "lower_bound", "upper_bound", "outlier_count",
+                         _pct(F.col("outlier_count"), F.col("_rows")).alias("outlier_percent"))
 
 
 def outlier_values(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS, order_col: str = "id",
-                   factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
+                   factor: float = IQR_FACTOR, method: str = "auto", bounds: DataFrame | None = None) -> DataFrame:
     """Every outlier value: (column_name, id, value)."""
     cols = [c for c in cols if c in df.columns]
-    b = _bounds(df, cols, factor, method)
+    b = outlier_bounds(df, cols, factor, method) if bounds is None else bounds
     long = _long(df, cols, keep=(order_col,)).join(F.broadcast(b), "column_name")
     out = long.where((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
     return out.select("column_name", F.col(order_col).alias("id"), "value")
@@ -123,13 +112,13 @@ def outlier_values(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
 
 def outlier_samples(df: DataFrame, cols: Sequence[str] = NUMERIC_PROFILE_COLUMNS,
                     n: int = OUTLIER_SAMPLE, order_col: str = "id",
-                    factor: float = IQR_FACTOR, method: str = "distributed") -> DataFrame:
+                    factor: float = IQR_FACTOR, method: str = "auto", bounds: DataFrame | None = None) -> DataFrame:
     """The first ``n`` outlier values per column in row order: (column, position, id, value).
 
     ``row_number() <= n`` is planned as a window group limit, so each input
     partition forwards at most ``n`` rows per column to the final window.
     """
-    out = outlier_values(df, cols, order_col, factor, method)
+    out = outlier_values(df, cols, order_col, factor, method, bounds)
     w = Window.partitionBy("column_name").orderBy("id")
     return (out.withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
             .select("column_name", "position", "id", "value"))
@@ -217,6 +206,10 @@ def profile_report(df: DataFrame, extraction_time: str, category: str = "neighbo
     def one_row(d: DataFrame):
         return d.select(F.struct(*d.columns)).scalar()
 
+    # the quantiles feed three sections: computed once
+    stats = cut_lineage(numeric_profile(df))
+    bounds = stats.select("column_name", (F.col("q1") - IQR_FACTOR * F.col("iqr")).alias("lower_bound"),
+                          (F.col("q3") + IQR_FACTOR * F.col("iqr")).alias("upper_bound"))
     top = top_categories(df, category, k)
     uniq = df.where(F.col(category).isNotNull()).select(F.count_distinct(category)).scalar()
     top_map = top.agg(F.map_from_entries(F.collect_list(F.struct(category, "listings")))).scalar()
@@ -225,9 +218,9 @@ def profile_report(df: DataFrame, extraction_time: str, category: str = "neighbo
         F.lit(len(df.columns)).alias("column_count"),
         section(schema_profile(df)).alias("schema"),
         section(null_distribution(df)).alias("null_distribution"),
-        section(numeric_profile(df)).alias("numeric_statistics"),
-        section(anomaly_profile(df)).alias("anomalies"),
-        section(outlier_samples(df)).alias("outlier_samples"),
+        section(stats).alias("numeric_statistics"),
+        section(anomaly_profile(df, bounds=bounds)).alias("anomalies"),
+        section(outlier_samples(df, bounds=bounds)).alias("outlier_samples"),
         top_map.alias("top_categories"),
         uniq.alias("category_unique_values"),
         one_row(boolean_profile(df, flag)).alias(flag),

@@ -18,7 +18,7 @@ from ..operators import (alerts, cleaning, deals, encoding, features, metrics, p
                          reports, upsert, validation)
 from ..operators import model as M
 from ..operators.dedup import keep_latest
-from ..session import work_dir
+from ..session import cut_lineage, work_dir
 from ..sources import adapters, pages, tables
 from ..streaming import listings as S
 
@@ -246,7 +246,8 @@ def q_engineer_features(spark, d):
 
 
 def _split(spark, d):
-    c = _clean(spark, d)
+    """Train and test rows of the cleaned table, which is cleaned once and written: both and the encoder read it."""
+    c = cut_lineage(_clean(spark, d))
     return c.where(is_train(F.col("id"))), c.where(~is_train(F.col("id")))
 
 
@@ -284,8 +285,8 @@ def q_metrics_by_category(spark, d):
 
 @query("category_vocabulary")
 def q_category_vocabulary(spark, d):
-    model, _, _ = _smoothed(spark, d)
-    return reports.category_vocabulary(_clean(spark, d), model.vocabulary())
+    model, train, test = _smoothed(spark, d)
+    return reports.category_vocabulary(train.unionByName(test), model.vocabulary())
 
 
 # --- upserts ---------------------------------------------------------------------
@@ -390,8 +391,7 @@ def q_alert_rows(spark, d):
 
 # --- deals ---------------------------------------------------------------------------
 
-def _scored_requests(spark, d):
-    model, _, _ = _smoothed(spark, d)
+def _scored_requests(spark, d, model):
     req = validation.validate_requests(adapters.requests(spark, d)).where(F.col("reject_reason").isNull())
     req = req.where(F.col("asking_price").isNotNull())
     return model.transform(req, out="predicted_rent_eur").withColumn(
@@ -400,7 +400,7 @@ def _scored_requests(spark, d):
 
 @query("deal_labels")
 def q_deal_labels(spark, d):
-    lab = deals.label_deals(_scored_requests(spark, d))
+    lab = deals.label_deals(_scored_requests(spark, d, _smoothed(spark, d)[0]))
     return lab.select("request_id", "asking_price", "predicted_rent_eur", _r6(F.col("max_fair")).alias("max_fair"),
                       _r6(F.col("min_fair")).alias("min_fair"), _r6(F.col("delta_percent")).alias("delta_percent"),
                       "deal", _r6(F.abs(F.col("delta_percent"))).alias("abs_delta_percent"))
@@ -408,8 +408,9 @@ def q_deal_labels(spark, d):
 
 @query("deal_quality")
 def q_deal_quality(spark, d):
-    lab = deals.label_deals(_scored_requests(spark, d))
-    means = _clean(spark, d).groupBy("neighborhood").agg(F.avg(TARGET).alias("_true_pred"))
+    model, train, test = _smoothed(spark, d)
+    lab = deals.label_deals(_scored_requests(spark, d, model))
+    means = train.unionByName(test).groupBy("neighborhood").agg(F.avg(TARGET).alias("_true_pred"))
     j = lab.join(means, "neighborhood", "left")
     j = j.withColumn("true_deal", deal_label(F.col("asking_price"), F.col("_true_pred")))
     return deals.deal_quality(j)
