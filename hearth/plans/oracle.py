@@ -62,7 +62,7 @@ def clean_chain(src: str, out: str = "clean") -> str:
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
 OBS_CLEAN = with_(EV, OBS, dedup("obs", "dd"), clean_chain("dd"))
@@ -99,27 +99,37 @@ after AS (SELECT valid.* FROM valid, mid WHERE last_seen >= m)"""
 TABLE_COLS = "id, title, monthly_rent_eur, neighborhood, rooms, is_pet_friendly, first_seen, last_seen"
 
 
-def _html_to_text_sql(col: str = "html") -> str:
-    t = (f"CASE WHEN regexp_matches({col}, '(?i)<body\\b') THEN "
-         f"regexp_extract({col}, '(?is)<body\\b[^>]*>(.*?)(?:</body\\s*>|\\z)', 1) ELSE {col} END")
-    t = f"regexp_replace({t}, '(?s)<!--.*?-->', '', 'g')"
-    for tag in DROPPED_ELEMENTS:
-        if tag == "img":
-            continue
-        t = f"regexp_replace({t}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', '', 'g')"
-    t = f"regexp_replace({t}, '(?is)<img\\b[^>]*>', '', 'g')"
-    t = f"regexp_replace({t}, '(?i)<br\\s*/?>', chr(10), 'g')"
-    t = f"regexp_replace({t}, '(?i)</?(?:{'|'.join(BLOCK_TAGS)})\\b[^>]*>', chr(10), 'g')"
-    t = f"regexp_replace({t}, '(?s)<[^>]*>', '', 'g')"
+def _page_text_sql() -> str:
+    """Tables ``bodies``, ``cut``, ``walk`` (one row per page and cut: the open dropped element and its depth before the
+    piece that follows), ``kept`` and ``texts``."""
+    in_tag = """(?:[^>"'']|"[^"]*"|''[^'']*'')*"""
+    raw, nested = ("script", "style"), [t for t in DROPPED_ELEMENTS if t not in ("script", "style", "img")]
+    cut = ("(?is)<!--.*?-->|" + "|".join(f"<{t}\\b{in_tag}>.*?(?:</{t}\\s*>|\\z)" for t in raw)
+           + f"|<img\\b{in_tag}>|</?(?:{'|'.join(nested)})\\b{in_tag}>")
+    name, is_nested = "lower(regexp_extract(c, '^</?([A-Za-z]+)', 1))", ", ".join(f"'{t}'" for t in nested)
+    t = f"regexp_replace(body, '(?i)<br\\s*/?>|</?(?:{'|'.join(BLOCK_TAGS)})\\b{in_tag}>', chr(10), 'g')"
+    t = f"regexp_replace({t}, '(?s)<[A-Za-z/!?]{in_tag}>|<[^>]*>', '', 'g')"
     for ent, ch in ENTITIES:
         ch = ch.replace("'", "''")
         t = f"replace({t}, '{ent}', '{ch}')"
     t = f"regexp_replace({t}, '[ \\t\\r\\f]+', ' ', 'g')"
     t = f"regexp_replace({t}, ' ?\\n[ \\n]*', chr(10), 'g')"
-    return f"regexp_replace({t}, '^[ \\n]+|[ \\n]+\\z', '', 'g')"
-
-
-PAGE_TEXT = f"texts AS (SELECT page_id, url, {_html_to_text_sql()} AS text FROM pages)"
+    t = f"regexp_replace({t}, '^[ \\n]+|[ \\n]+\\z', '', 'g')"
+    return f"""bodies AS (SELECT row_number() OVER () AS r, page_id, url, CASE WHEN regexp_matches(html, '(?i)<body\\b') THEN
+    regexp_extract(html, '(?is)<body\\b{in_tag}>(.*?)(?:</body\\s*>|\\z)', 1) ELSE html END AS body FROM pages),
+cut AS (SELECT r, regexp_extract_all(body, '{cut}') AS cs, string_split_regex(body, '{cut}') AS ps FROM bodies),
+tags AS (SELECT r, i, {name} AS tag, CASE WHEN {name} NOT IN ({is_nested}) OR ({name} = 'svg' AND ends_with(c, '/>')) THEN 0
+    WHEN c LIKE '</%' THEN -1 ELSE 1 END AS delta
+  FROM (SELECT r, unnest(cs) AS c, unnest(range(1, len(cs) + 1)) AS i FROM cut)),
+walk(r, i, open_tag, depth) AS (SELECT r, CAST(0 AS BIGINT), '', 0 FROM cut UNION ALL
+  SELECT walk.r, walk.i + 1, CASE WHEN depth = 0 AND delta = 1 THEN tag ELSE open_tag END,
+    CASE WHEN depth = 0 THEN greatest(delta, 0) WHEN tag = open_tag THEN depth + delta ELSE depth END
+  FROM walk JOIN tags ON tags.r = walk.r AND tags.i = walk.i + 1),
+kept AS (SELECT r, string_agg(ps[i + 1], '' ORDER BY i) AS body FROM walk JOIN cut USING (r) WHERE depth = 0 GROUP BY r),
+texts AS (SELECT page_id, url, {t} AS text FROM (SELECT page_id, url, kept.body FROM bodies JOIN kept USING (r)))"""
+
+
+PAGE_TEXT = _page_text_sql()
 
 REPLY = """turn AS (SELECT *, id // 4 AS g, [0, 1, 2, 3, 5, 7][CAST((id // 4) % 6 AS INTEGER) + 1] AS shape FROM obs),
 lst AS (SELECT g * 8 + CASE WHEN shape = 3 THEN id % 4 ELSE 0 END AS reply_id, shape, id, title, neighborhood,
