@@ -47,7 +47,12 @@ def rollup_observations(obs: DataFrame, key: Sequence[str] = LISTING_KEY, seq: s
 def upsert_update(target: DataFrame, batch: DataFrame, key: Sequence[str] = LISTING_KEY,
                   seq: str = "id", observed_at: str = "last_seen") -> DataFrame:
     """Merge ``batch`` into ``target``: insert new keys, update rent and last_seen of existing ones."""
-    b = rollup_observations(batch, key, seq, observed_at).alias("b")
+    return merge_rolled(target, rollup_observations(batch, key, seq, observed_at), key)
+
+
+def merge_rolled(target: DataFrame, rolled: DataFrame, key: Sequence[str] = LISTING_KEY) -> DataFrame:
+    """``upsert_update`` with a batch that is reduced to one row per key already."""
+    b = rolled.alias("b")
     t = target.select(*TABLE_COLUMNS).alias("t")
     cond = [F.col(f"t.{k}") == F.col(f"b.{k}") for k in key]
     j = t.join(b, cond, "full_outer")

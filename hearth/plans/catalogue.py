@@ -504,7 +504,7 @@ def q_stream_upsert(spark, d):
 
 @query("stream_current")
 def q_stream_current(spark, d):
-    return S.read_snapshot(spark, S.run_current_view(spark, d, work_dir(spark, "stream-current")))
+    return S.read_current_view(spark, S.run_current_view(spark, d, work_dir(spark, "stream-current")))
 
 
 @query("stream_alerts")
@@ -514,6 +514,7 @@ def q_stream_alerts(spark, d):
 
 @query("stream_alert_once")
 def q_stream_alert_once(spark, d):
+    """One alert per key and session of hits, for sessions that closed before the last hit less the delay."""
     return spark.read.parquet(S.run_alert_once(spark, d, work_dir(spark, "stream-alert-once"), 25.0, "ck"))
 
 

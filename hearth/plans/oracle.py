@@ -441,3 +441,13 @@ ORACLE["stream_upsert"] = ORACLE["observation_rollup"]
 ORACLE["stream_current"] = ORACLE["observation_rollup"]
 ORACLE["stream_alerts"] = ORACLE["alert_rows"]
 ORACLE["export_features"] = ORACLE["engineer_features"]
+# sessions as gaps and islands; closed ones end before the latest hit (in milliseconds) less the delay
+ORACLE["stream_alert_once"] = with_(EV, OBS, VALID) + f""", hits AS (SELECT * FROM valid WHERE monthly_rent_eur <= 25.0 AND contains(neighborhood, 'ck')),
+marked AS (SELECT *, CASE WHEN last_seen - lag(last_seen) OVER w < INTERVAL 1 DAY THEN 0 ELSE 1 END AS fresh FROM hits
+  WINDOW w AS (PARTITION BY title, neighborhood ORDER BY last_seen, id)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY title, neighborhood ORDER BY last_seen, id) AS session FROM marked),
+sessions AS (SELECT title, neighborhood, arg_min(id, (last_seen, id)) AS id, count(*) AS hits, max(last_seen) AS last_hit
+  FROM numbered GROUP BY title, neighborhood, session),
+closed AS (SELECT * FROM sessions WHERE last_hit + INTERVAL 1 DAY <= (SELECT date_trunc('milliseconds', max(last_seen)) FROM hits) - INTERVAL 1 DAY)
+SELECT id, title, monthly_rent_eur, neighborhood, rooms, CAST(last_seen AS TIMESTAMP) AS event_time, closed.hits, {ALERT_MSG} AS message
+FROM closed JOIN hits USING (id, title, neighborhood)""".replace("\n, hits AS", ",\nhits AS")

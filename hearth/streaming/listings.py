@@ -1,17 +1,18 @@
 """Streaming ingest of listing observations.
 
 * ``observation_stream``: a file source over the events table, mapped to observations.
-* ``run_upsert_stream``: ``foreachBatch`` merges each micro-batch into the
-  latest snapshot and writes snapshot ``v<batch_id>``; a commit-log row is
-  appended only after the snapshot is complete, so a replayed batch rewrites
-  the same snapshot from the same input (idempotent) and readers only see
-  logged snapshots.
-* ``run_current_view``: a stateful aggregate (update mode) of first/last
-  values per key, merged into a snapshot by key replacement. Late rows
-  cannot overwrite newer ones because the state keeps max_by over the
+* ``run_upsert_stream``: ``foreachBatch`` merges each micro-batch into a table that is
+  cut into buckets by a hash of the key. Only the buckets that a batch hits are read and
+  written again, under a folder of that batch; log rows (batch, bucket, path) are appended
+  after the files are complete, so a replayed batch is skipped or redone from the same input,
+  readers only see logged files, and what a batch writes grows with the batch.
+* ``run_current_view``: a stateful aggregate of first/last values per key. The view is read from
+  the state store itself (``read_current_view``), so nothing is written per batch but the state's
+  changes. Late rows cannot overwrite newer ones because the state keeps max_by over the
   sequence, not arrival order.
 * ``run_alert_stream``: append-mode alerts to a parquet sink.
-* ``run_alert_once``: alerts deduplicated per key within an event-time watermark.
+* ``run_alert_once``: one alert per key and event-time session: the earliest hit, emitted when
+  the session has closed. The result does not depend on how rows are cut into batches.
 
 Every path lives under the shared checkpoint root (``spark.checkpoint.dir``).
 """
@@ -19,7 +20,7 @@ Every path lives under the shared checkpoint root (``spark.checkpoint.dir``).
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +48,10 @@ def observation_stream(spark: SparkSession, sf_dir: str, max_files: int | None =
 
 
 TABLE_SCHEMA = T.StructType([LISTING_SCHEMA[c] for c in upsert.TABLE_COLUMNS])
-LOG_SCHEMA = "batch_id long, path string"
+LOG_SCHEMA = "batch_id long, buckets int, bucket int, path string"
+BUCKETS = 32  # of a new table; a table keeps the number it was made with
+NO_BUCKET = -1  # log row of a batch without rows
+KEPT_VERSIONS = 2  # of a bucket: the newest and the one that readers may still hold
 
 
 def _log(spark: SparkSession, root: str) -> DataFrame | None:
@@ -61,22 +65,23 @@ def _log(spark: SparkSession, root: str) -> DataFrame | None:
         raise
 
 
-def latest_snapshot(spark: SparkSession, root: str, before: int | None = None) -> str | None:
-    """Path of the newest logged snapshot (optionally with a batch id below ``before``)."""
+def latest_paths(spark: SparkSession, root: str, before: int | None = None) -> dict[int, str]:
+    """Newest logged folder of every bucket (optionally of batches below ``before``); at most one entry a bucket."""
     log = _log(spark, root)
     if log is None:
-        return None
+        return {}
     if before is not None:
         log = log.where(F.col("batch_id") < before)
-    row = log.orderBy(F.desc("batch_id")).select("path").limit(1).collect()
-    return row[0]["path"] if row else None
+    newest = log.where(F.col("bucket") != NO_BUCKET).groupBy("bucket").agg(F.max_by("path", "batch_id").alias("path"))
+    return {r["bucket"]: r["path"] for r in newest.collect()}
+
+
+def _read_buckets(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], TABLE_SCHEMA)
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
-    path = latest_snapshot(spark, root)
-    if path is None:
-        return spark.createDataFrame([], TABLE_SCHEMA)
-    return spark.read.schema(TABLE_SCHEMA).parquet(path)
+    return _read_buckets(spark, sorted(latest_paths(spark, root).values()))
 
 
 def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
@@ -84,36 +89,53 @@ def is_committed(spark: SparkSession, root: str, batch_id: int) -> bool:
     return log is not None and not log.where(F.col("batch_id") == batch_id).isEmpty()
 
 
-def _commit(spark: SparkSession, root: str, batch_id: int, result: DataFrame) -> None:
-    """Write snapshot ``v<batch_id>``, then log it. A replay of a logged batch is skipped, so a
-    snapshot that readers may be using is never overwritten; an unlogged partial write is redone."""
-    if is_committed(spark, root, batch_id):
-        return
-    path = f"{root}/snapshots/v{batch_id:010d}"
-    result.write.mode("overwrite").parquet(path)
-    spark.createDataFrame([(batch_id, path)], LOG_SCHEMA).write.mode("append").parquet(f"{root}/_log")
-    _drop_superseded(spark, root, batch_id)
-
+def table_buckets(spark: SparkSession, root: str, buckets: int = BUCKETS) -> int:
+    """The number of buckets a table was made with (``buckets`` for a new one)."""
+    log = _log(spark, root)
+    row = log.select("buckets").first() if log is not None else None
+    return row["buckets"] if row else buckets
 
-KEPT_SNAPSHOTS = 2  # the newest and the one that readers may still hold
 
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*LISTING_KEY), F.lit(buckets)).cast("int")
 
-def _drop_superseded(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Delete the files of snapshots older than the last ``KEPT_SNAPSHOTS`` logged ones."""
-    old = (spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log").where(F.col("batch_id") <= batch_id)
-           .orderBy(F.desc("batch_id")).limit(KEPT_SNAPSHOTS + 1).collect())
-    for row in old[KEPT_SNAPSHOTS:]:
-        delete_path(spark, row["path"])
 
+def apply_upsert_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int, buckets: int = BUCKETS) -> None:
+    """Merge one batch of observations into the table (update on conflict), rewriting the buckets it hits.
 
-def apply_upsert_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int) -> None:
-    """Merge one batch of observations into the latest snapshot (update on conflict)."""
+    A batch already in the log is skipped, so files that readers may be using are never overwritten; an unlogged
+    partial write is redone. The log row lists of a batch are appended in one job.
+    """
     if is_committed(spark, root, batch_id):
         return
-    prev = latest_snapshot(spark, root, before=batch_id)
-    target = (spark.read.schema(TABLE_SCHEMA).parquet(prev) if prev
-              else spark.createDataFrame([], TABLE_SCHEMA))
-    _commit(spark, root, batch_id, upsert.upsert_update(target, batch))
+    buckets = table_buckets(spark, root, buckets)
+    rows = upsert.rollup_observations(batch).persist()
+    try:
+        hit = sorted(r["b"] for r in rows.select(_bucket(buckets).alias("b")).distinct().collect())  # at most ``buckets``
+        logged = [(batch_id, buckets, NO_BUCKET, None)]
+        if hit:
+            old = latest_paths(spark, root, before=batch_id)
+            target = _read_buckets(spark, [old[b] for b in hit if b in old])
+            path = f"{root}/data/v{batch_id:010d}"
+            merged = upsert.merge_rolled(target, rows).withColumn("bucket", _bucket(buckets))
+            # one file a bucket; beyond what a task should write, AQE splits the rebalanced partitions
+            merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+            logged = [(batch_id, buckets, b, f"{path}/bucket={b}") for b in hit]
+    finally:
+        rows.unpersist()
+    spark.createDataFrame(logged, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/_log")
+    _drop_superseded(spark, root, batch_id, hit)
+
+
+def _drop_superseded(spark: SparkSession, root: str, batch_id: int, hit: list[int]) -> None:
+    """Delete the folders of the buckets just written that are older than their last ``KEPT_VERSIONS`` versions."""
+    if not hit:
+        return
+    log = spark.read.schema(LOG_SCHEMA).parquet(f"{root}/_log").where((F.col("batch_id") <= batch_id) & F.col("bucket").isin(hit))
+    version = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("batch_id")))
+    # older ones went with earlier batches
+    for row in log.withColumn("v", version).where(F.col("v") == KEPT_VERSIONS + 1).collect():
+        delete_path(spark, row["path"])
 
 
 def run_upsert_stream(spark: SparkSession, sf_dir: str, root: str) -> str:
@@ -133,34 +155,36 @@ def run_upsert_stream(spark: SparkSession, sf_dir: str, root: str) -> str:
 def current_view_aggregate(stream: DataFrame) -> DataFrame:
     s = F.col("id")
     return stream.groupBy(*LISTING_KEY).agg(
-        F.min_by(F.col("id"), s).alias("id"),
-        F.max_by(F.col("monthly_rent_eur"), s).alias("monthly_rent_eur"),
-        F.min_by(F.col("rooms"), s).alias("rooms"),
-        F.min_by(F.col("is_pet_friendly"), s).alias("is_pet_friendly"),
-        F.min_by(F.col("last_seen"), s).alias("first_seen"),
-        F.max_by(F.col("last_seen"), s).alias("last_seen"))
+        F.min_by(F.struct("id", "rooms", "is_pet_friendly", "last_seen"), s).alias("first"),
+        F.max_by(F.struct("monthly_rent_eur", "last_seen"), s).alias("last"))
+
+
+# the state of ``current_view_aggregate``: the value and its order, of each aggregate
+_STATE = ("struct<first:struct<id:bigint,rooms:int,is_pet_friendly:boolean,last_seen:timestamp_ntz>,first_at:bigint,"
+          "last:struct<monthly_rent_eur:double,last_seen:timestamp_ntz>,last_at:bigint>")
 
 
 def run_current_view(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Stateful current-listing view in update mode, folded into snapshots by key."""
+    """Stateful current-listing view; the state store holds it, the stream has no other output."""
     _use_rocksdb(spark)
     agg = current_view_aggregate(validation.not_null_rows(observation_stream(spark, sf_dir)))
-
-    def fold(updates: DataFrame, batch_id: int) -> None:
-        prev = latest_snapshot(spark, root, before=batch_id)
-        cur = updates.select(*upsert.TABLE_COLUMNS)
-        if prev:
-            old = spark.read.schema(TABLE_SCHEMA).parquet(prev)
-            cur = old.join(cur.select(*LISTING_KEY), list(LISTING_KEY), "left_anti").unionByName(cur)
-        _commit(spark, root, batch_id, cur)
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(fold)
+    q = (agg.writeStream.outputMode("update").format("noop")
          .option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return root
 
 
+def read_current_view(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame:
+    """The view as of the last completed batch (or of ``batch_id``), from the state store."""
+    reader = spark.read.format("statestore")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    state = reader.load(f"{root}/_checkpoint").select("key.*", F.col("value").cast(_STATE).alias("v"))
+    return state.select("v.first.id", "title", "v.last.monthly_rent_eur", "neighborhood", "v.first.rooms", "v.first.is_pet_friendly",
+                        F.col("v.first.last_seen").alias("first_seen"), "v.last.last_seen")
+
+
 def run_alert_stream(spark: SparkSession, sf_dir: str, root: str, max_rent: float, keyword: str) -> str:
     stream = validation.not_null_rows(observation_stream(spark, sf_dir))
     q = (alerts.alert_rows(stream, max_rent, keyword).writeStream.format("parquet")
@@ -170,18 +194,26 @@ def run_alert_stream(spark: SparkSession, sf_dir: str, root: str, max_rent: floa
     return f"{root}/alerts"
 
 
+def alert_sessions(hits: DataFrame, horizon: str, late: str) -> DataFrame:
+    """One row per key and session of ``hits`` (rows less than ``horizon`` apart): the earliest hit, the number of hits."""
+    first = F.min_by(F.struct("id", "monthly_rent_eur", "rooms", "event_time"), F.struct("event_time", "id"))
+    return (hits.withColumn("event_time", F.col("last_seen").cast("timestamp")).withWatermark("event_time", late)
+            .groupBy(*LISTING_KEY, F.session_window("event_time", horizon)).agg(first.alias("first"), F.count(F.lit(1)).alias("hits"))
+            .select("first.id", "title", "first.monthly_rent_eur", "neighborhood", "first.rooms", "first.event_time", "hits"))
+
+
 def run_alert_once(spark: SparkSession, sf_dir: str, root: str, max_rent: float, keyword: str,
-                   horizon: str = "7 days") -> str:
-    """One alert per listing key within ``horizon`` of event time (watermarked state)."""
+                   horizon: str = "1 day", late: str = "1 day") -> str:
+    """One alert per listing key and session of hits less than ``horizon`` apart.
+
+    An alert is written once the watermark (the latest hit less ``late``) has passed the end of its session, so
+    sessions still open at the end of the input are not written yet, and the earliest hit is known whatever the order of the rows.
+    Rows later than ``late`` are dropped.
+    """
     _use_rocksdb(spark)
     stream = validation.not_null_rows(observation_stream(spark, sf_dir))
-    hits = (stream.where(alerts.alert_rule(max_rent, keyword))
-            .withColumn("event_time", F.col("last_seen").cast("timestamp"))
-            .withWatermark("event_time", horizon)
-            .dropDuplicatesWithinWatermark(list(LISTING_KEY))
-            .select("id", "title", "monthly_rent_eur", "neighborhood", "rooms", "event_time",
-                    alerts.alert_message().alias("message")))
-    q = (hits.writeStream.format("parquet").option("path", f"{root}/alerts")
+    alert = alert_sessions(stream.where(alerts.alert_rule(max_rent, keyword)), horizon, late)
+    q = (alert.withColumn("message", alerts.alert_message()).writeStream.format("parquet").option("path", f"{root}/alerts")
          .option("checkpointLocation", f"{root}/_checkpoint").outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()

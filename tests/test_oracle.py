@@ -13,7 +13,7 @@ from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-FITTED = {"gbt_predictions", "cv_results", "feature_importance", "model_metrics", "gbt_deal_labels"}
+FITTED = {"gbt_predictions", "cv_results", "feature_importance", "model_metrics", "gbt_deal_labels", "prediction_contributions", "model_nodes"}
 
 
 def norm(v):
@@ -57,7 +57,7 @@ def test_matches_duckdb(spark, con, name):
 
 def test_every_query_has_oracle_or_is_documented():
     no_oracle = set(QUERIES) - set(ORACLE)
-    assert no_oracle <= FITTED | {"stream_alert_once", "profile_report"}
+    assert no_oracle <= FITTED | {"profile_report"}
 
 
 def test_entry_smoke(spark):
