@@ -85,10 +85,15 @@ def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
 
 
 def free(*tables: DataFrame | None) -> None:
-    """Delete tables made by ``written`` that no open plan reads any more (None is skipped)."""
-    for t in tables:
-        if t is not None:
-            _drop(t.sparkSession, t._written_at)
+    """Delete tables made by ``written`` that no open plan reads any more (None is skipped).
+
+    The driver's collector runs after it: Spark's cleaner then removes the shuffle files of the plans that wrote them.
+    """
+    gone = [t for t in tables if t is not None]
+    for t in gone:
+        _drop(t.sparkSession, t._written_at)
+    if gone:
+        gone[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def kept_rows(docs: DataFrame, placed: DataFrame, key: Column) -> DataFrame:
@@ -126,7 +131,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large-star and small-star rounds (a logarithmic number in practice). Neighbours are
     never gathered: each round takes a minimum per node (combined before the shuffle) and a join,
-    whose hot keys Spark splits. Every round is written to the shared folder.
+    whose hot keys Spark splits. Every round is written to the shared folder, and the round before is deleted; the
+    result reads the last one (``free`` deletes it).
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null")
     e = written(_oriented(e), "edges", few=True)
@@ -144,6 +150,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                  .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         pulled = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        e = written(pulled.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges", few=True)
-    return (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
+        before, e = e, written(pulled.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges", few=True)
+        free(before)
+    out = (e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+           .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
+    out._written_at = e._written_at
+    return out

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, kept_rows, written
+from .common import components, free, kept_rows, written
 
 WORDS = 5
 NUM, DEN = 75, 100
@@ -53,32 +53,60 @@ LONG_LIST = 64  # members from which a list is compared in blocks
 BLOCK = 4096  # sets of a long list that a task holds, for each side
 STEP = 256  # of them compared with the other side at once
 BEST = 2  # partners of a set that the first round over long lists passes on, for each pair of blocks
-MEMO = 100_000  # word hashes that a task remembers
+SEEN = 100_000  # sets that a task remembers, so that copies are not emitted again
 
 _MIX, _MUL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > MEMO:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+# of each byte: 0 for ASCII white space, else its value and one, A-Z as small letters
+_VALUE = np.array([0 if chr(b).isspace() and b < 0x80 and b not in range(0x1C, 0x20) else 1 + (b + 32 if 65 <= b <= 90 else b) for b in range(256)], np.uint64)
+_LONG = 1 << 12
+_POWERS = np.cumprod(np.concatenate([[np.uint64(1)], np.full(_LONG - 1, np.uint64(0xD6E8FEB86659FD93))]), dtype=np.uint64)
+_BY_WORD = np.random.Generator(np.random.PCG64(8)).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingle_set(text: str | None, memo: dict, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct shingle hashes (uint64). ``bytes.lower`` folds A-Z only and ``bytes.split`` cuts at ASCII white space."""
-    w = text.encode("utf-8", "surrogatepass").lower().split() if text else ()
-    if not w:
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of every word: a polynomial in its bytes, mixed. White space cuts words, A-Z count as small letters."""
+    value = _VALUE[np.frombuffer(text, np.uint8)]
+    edge = np.empty(len(value) + 1, bool)
+    space = value == 0
+    edge[0], edge[-1] = not len(space) or not space[0], False
+    edge[1:-1] = space[:-1] & ~space[1:]
+    start = np.flatnonzero(edge)
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    value = value[start[0]:]
+    start = start - start[0]
+    at = np.arange(len(value)) - np.repeat(start, np.diff(start, append=len(value)))
+    power = _POWERS[at & (_LONG - 1)]
+    if len(at) > _LONG and at.max() >= _LONG:  # a very long word: higher powers in steps
+        steps = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(at.max()) >> 12, _POWERS[-1] * _POWERS[1])]), dtype=np.uint64)
+        power = power * steps[at >> 12]
+    h = np.add.reduceat(value * power, start)
+    h ^= h >> np.uint64(32)
+    h *= _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def shingle_set(text: bytes | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct shingle hashes (uint64) of a text in UTF-8."""
+    if not text:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(memo.__getitem__, w), np.uint64, len(w))
+    h = word_hashes(text)
     k = min(words, len(h))
     n = len(h) - k + 1
+    if not len(h):
+        return h
     x = np.full(n, k, np.uint64)
     for i in range(k):
-        x = (x * _MIX) ^ (h[i:i + n] * _MUL)
-        x ^= x >> np.uint64(29)
-    return np.unique(x)
+        x += h[i:i + n] * (_BY_WORD[i] if i < len(_BY_WORD) else _BY_WORD[i % len(_BY_WORD)] + np.uint64(2 * i))
+    x ^= x >> np.uint64(31)
+    x *= _MUL
+    x.sort()
+    fresh = np.empty(n, bool)
+    fresh[0] = True
+    np.not_equal(x[1:], x[:-1], out=fresh[1:])
+    return x if fresh.all() else x[fresh]
 
 
 def set_id(s: np.ndarray) -> int:
@@ -118,11 +146,10 @@ def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
     """Rows of three kinds: 0 (doc_id, n, sid, bits) per document; 1 (n = repeats, sid = shingle) per batch and
     repeated first shingle; 2 (n = first shingles, sid = sum of squared repeats) per batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHash()
         for b in batches:
             ids, sizes, sids, maps, first, seen = b.column("doc_id").to_pylist(), [], [], [], [], set()
             for text in _texts(b):
-                s = shingle_set(text, memo, words)
+                s = shingle_set(text, words)
                 sid = set_id(s)
                 sizes.append(len(s))
                 sids.append(sid)
@@ -145,7 +172,7 @@ def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
                  pa.array(maps, pa.binary())],
                 names=["kind", "doc_id", "n", "sid", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
         run, "kind int, doc_id long, n long, sid long, bits binary")
 
 
@@ -165,18 +192,18 @@ def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundar
     known = docs.sparkSession.sparkContext.broadcast((heavy, np.maximum(1, counts // LIST_ROWS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, (heavy, salts), seen = _WordHash(), known.value, set()
+        (heavy, salts), seen = known.value, set()
         for b in batches:
             keys, owners, sizes = [], [], []
             for text, doc_id in zip(_texts(b), b.column("doc_id").to_pylist(), strict=True):
-                s = shingle_set(text, memo, words)
+                s = shingle_set(text, words)
                 n = len(s)
                 if n < 3 or doc_id is None:  # sets of one or two shingles have no partner but their copies
                     continue
                 sid = set_id(s)
                 if sid in seen:
                     continue
-                if len(seen) > MEMO:
+                if len(seen) > SEEN:
                     seen.clear()
                 seen.add(sid)
                 if len(heavy):
@@ -206,7 +233,7 @@ def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundar
                 [pa.array(key.view(np.int64)), pa.array(salt), pa.array(owner), pa.array(np.concatenate(sizes))],
                 names=["key", "salt", "sid", "n"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
         run, "key long, salt int, sid long, n int")
 
 
@@ -254,11 +281,10 @@ def list_members(entries: DataFrame) -> DataFrame:
 def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """(sid, hashes) of the wanted sets, computed again from the texts of one document each (doc_id, sid)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _WordHash()
         for b in batches:
             sids, sets = [], []
             for text, sid in zip(_texts(b), b.column("sid").to_pylist(), strict=True):
-                s = shingle_set(text, memo, words)
+                s = shingle_set(text, words)
                 if set_id(s) == sid:  # another row may bear the same id
                     sids.append(sid)
                     sets.append(s.tobytes())
@@ -266,7 +292,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Da
 
     if wanted.count() <= BROADCAST_ROWS:  # else both sides are shuffled
         wanted = F.broadcast(wanted)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id").select("sid", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(wanted, "doc_id").select("sid", "text")
     return rows.mapInArrow(run, "sid long, hashes binary").dropDuplicates(["sid"])
 
 
@@ -291,6 +317,7 @@ class Verifier:
     def __init__(self, docs: DataFrame, first: DataFrame, bits: DataFrame, words: int, num: int, den: int):
         self.docs, self.first, self.bits, self.words, self.num, self.den = docs, first, bits, words, num, den
         self.sets: DataFrame | None = None
+        self.parts: list[DataFrame] = []
 
     def links(self, pairs: DataFrame) -> DataFrame:
         left = written(screened(pairs, self.bits, self.num, self.den), "screened", few=True)
@@ -300,10 +327,13 @@ class Verifier:
         ids = written(ids.join(self.first, "sid").select(F.col("first_id").alias("doc_id"), "sid"), "wanted", few=True)
         if not ids.isEmpty():
             more = written(candidate_sets(self.docs, ids, self.words), "sets", few=True)
+            self.parts.append(more)
             self.sets = more if self.sets is None else self.sets.unionByName(more)
         if self.sets is None:
             return left
-        return written(verified(left, self.sets, self.num, self.den).where("linked").select("a", "b"), "links", few=True)
+        out = written(verified(left, self.sets, self.num, self.den).where("linked").select("a", "b"), "links", few=True)
+        free(left, ids)
+        return out
 
 
 def verified(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -375,21 +405,29 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
         by: dict[int, list[int]] = {}
         for i, r in enumerate(side):
             by.setdefault(len(r[3]), []).append(i)
+        for at in by.values():
+            at.sort(key=lambda i: side[i][1])  # by size: partners of a set are a run of the other side
         classes.append({k: (np.array(at), np.array([np.frombuffer(side[i][3], np.uint64) for i in at])) for k, at in by.items()})
     found = []
     for k, (at, x) in classes[0].items():
         for j, (to, y) in classes[1].items():
             if not (k <= 2 * j and j <= 2 * k):  # sizes too far apart to link
                 continue
+            sizes = n[1][to]
             for a in range(0, len(at), STEP):
                 part = at[a:a + STEP]
-                u, v = n[0][part][:, None], n[1][to][None, :]
-                most = (u + v - _bound_matrix(x[a:a + STEP], y)) // 2
+                small, large = int(n[0][part[0]]), int(n[0][part[-1]])
+                lo, hi = np.searchsorted(sizes, [-(-num * small // den), den * large // num + 1])
+                if lo >= hi:
+                    continue
+                other = to[lo:hi]
+                u, v = n[0][part][:, None], n[1][other][None, :]
+                most = (u + v - _bound_matrix(x[a:a + STEP], y[lo:hi])) // 2
                 ok = (den * most >= num * (u + v - most)) & (den * np.minimum(u, v) >= num * np.maximum(u, v))
-                ok &= c[0][part][:, None] != c[1][to][None, :]
+                ok &= c[0][part][:, None] != c[1][other][None, :]
                 p, q = np.nonzero(ok)
                 most = most[p, q]
-                found.append((part[p], to[q], most / (n[0][part[p]] + n[1][to[q]] - most)))
+                found.append((part[p], other[q], most / (n[0][part[p]] + n[1][other[q]] - most)))
     if not found:
         return []
     p, q, score = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -420,7 +458,7 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
 
 def long_list_pairs(members: DataFrame, tied: DataFrame, bits: DataFrame, best: int | None, num: int = NUM,
                     den: int = DEN) -> DataFrame:
-    """Candidate pairs (a, b) of the long lists, compared block by block."""
+    """Candidate pairs (a, b) of the long lists, compared block by block (written)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, rows, out = None, ([], []), []
 
@@ -454,32 +492,43 @@ def long_list_pairs(members: DataFrame, tied: DataFrame, bits: DataFrame, best:
     held = held.withColumn("pair", pair).select("key", "pair.p", "pair.q", F.when(
         F.col("mine") == F.col("pair.p"), 0).otherwise(1).alias("side"), "sid", "n", "c")
     own = open_.groupBy("sid").agg(F.collect_list("key").alias("keys")).join(bits.select("sid", "bits"), "sid")
-    return (held.join(own, "sid").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side")
-            .mapInArrow(run, "a long, b long").distinct())
+    pairs = written(held.join(own, "sid").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side")
+                    .mapInArrow(run, "a long, b long").distinct(), "compared", few=True)
+    free(open_)
+    return pairs
 
 
 def link_components(members: DataFrame, verifier: Verifier, num: int = NUM, den: int = DEN) -> DataFrame:
     """(node, component) over the sets that link with another set; ``members`` as from ``distinct_lists``."""
     star = (members.where(F.col("sid") != F.col("leader")).where(_fits(F.col("n"), F.col("leader_n"), num, den))
             .select(*_pair(F.col("sid"), F.col("leader"))).distinct())
-    known = written(star, "pairs", few=True)
-    tied = components(verifier.links(known))
+    known = [written(star, "pairs", few=True)]
+    links = verifier.links(known[0])
+    tied = components(links)
+    free(links)
     for step in ("short", "likeliest", "all"):
+        compared = None
         if step == "short":
             open_ = _mixed(members.where(F.col("m") < LONG_LIST), tied)
             other = open_.select("key", F.col("sid").alias("t"), F.col("n").alias("tn"), F.col("c").alias("tc"))
             pairs = (open_.join(other, "key").where("sid < t and c <> tc").where(_fits(F.col("n"), F.col("tn"), num, den))
                      .select(*_pair(F.col("sid"), F.col("t"))).distinct())
         else:
-            pairs = long_list_pairs(members.where(F.col("m") >= LONG_LIST), tied, verifier.bits,
-                                    BEST if step == "likeliest" else None, num, den)
-        pairs = written(pairs.join(known.select("a", "b"), ["a", "b"], "left_anti"), "pairs", few=True)
+            pairs = compared = long_list_pairs(members.where(F.col("m") >= LONG_LIST), tied, verifier.bits,
+                                               BEST if step == "likeliest" else None, num, den)
+        for met in known:
+            pairs = pairs.join(met, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs", few=True)
+        free(compared)
+        known.append(pairs)
         if pairs.isEmpty():
             continue
-        known = known.unionByName(pairs)
         links = verifier.links(pairs)
         if not links.isEmpty():
-            tied = components(tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+            before, tied = tied, components(tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+            free(before)
+        free(links)
+    free(*known)
     return tied
 
 
@@ -494,13 +543,19 @@ def set_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     total, squares = rows.where("kind = 2").agg(F.sum("n"), F.sum("sid")).first()
     boundary = size_boundary(squares / total - 1 if total else 0.0, num, den)
     entries = list_entries(docs, names, np.array([r["c"] for r in heavy], np.int64), boundary, words, num, den)
-    members = written(distinct_lists(written(list_members(entries), "lists")), "lists", few=True)
+    lists = written(list_members(entries), "lists")
+    members = written(distinct_lists(lists), "lists", few=True)
+    free(lists)
     first = own.where("n_shingles > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
     first = written(first, "classes", few=True)
     bits = (rows.where("kind = 0 and bits is not null").select("sid", "n", "bits")
             .join(members.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"]))
-    verifier = Verifier(docs, first, written(bits, "bits", few=True), words, num, den)
+    bits, own = written(bits, "bits", few=True), written(own, "own", few=True)
+    free(rows)
+    verifier = Verifier(docs, first, bits, words, num, den)
     tied = link_components(members, verifier, num, den).withColumnRenamed("node", "sid")
+    free(members, bits, *verifier.parts)
+    # the smallest id of a component: combined before the shuffle; its join back has one row a component, split by AQE if hot
     low = tied.join(first, "sid").groupBy("component").agg(F.min("first_id").alias("low"))
     named = first.join(tied, "sid", "left").join(low, "component", "left").select(
         "sid", F.coalesce("low", "first_id").alias("low"))
@@ -518,9 +573,9 @@ def _set_key(words: int):
     """A column function: the id of a text's set, null for an empty set."""
     @F.pandas_udf("long")
     def key(texts: pd.Series) -> pd.Series:
-        memo, out = _WordHash(), []
+        out = []
         for t in texts:
-            s = shingle_set(t if isinstance(t, str) else None, memo, words)
+            s = shingle_set(t.encode("utf-8", "surrogatepass") if isinstance(t, str) else None, words)
             out.append(set_id(s) if len(s) else None)
         return pd.Series(out, index=texts.index, dtype="Int64")
 

@@ -87,16 +87,31 @@ def test_large_group_of_near_copies(spark):
 
 def test_bitmaps_never_rule_out_a_link():
     rng = random.Random(4)
-    memo = op._WordHash()
     for _ in range(300):
         w = prose(rng, rng.randrange(5, 120), 60).split()
         v = list(w)
         for _ in range(rng.randrange(6)):
             v[rng.randrange(len(v))] = "z"
-        x, y = op.shingle_set(" ".join(w), memo), op.shingle_set(" ".join(v + ["q"] * rng.randrange(40)), memo)
+        x, y = op.shingle_set(" ".join(w).encode()), op.shingle_set(" ".join(v + ["q"] * rng.randrange(40)).encode())
         assert op.most_shared(op.set_bits(x), op.set_bits(y), len(x), len(y)) >= len(set(x.tolist()) & set(y.tolist()))
 
 
+def test_word_hashes_tell_words_apart():
+    """Equal words (A-Z folded) hash alike wherever they stand, different ones do not; white space is ASCII's."""
+    rng = random.Random(6)
+    alphabet = "abcAZz09\xc3\u00e9\u6f22.\x1c\u00a0\x00"
+    words = ["".join(rng.choice(alphabet) for _ in range(rng.choice([1, 2, 3, 8, 30]))) for _ in range(3000)]
+    words += ["x" * 4095, "x" * 4096, "x" * 4097, "y" + "x" * 20_000, "x" * 20_000 + "y", "X" * 4097]
+    text = "".join(w + rng.choice([" ", "\t\n", "\x0b", "\x0c\r  "]) for w in words)
+    for lead in ("", " \n", "\t"):
+        got = op.word_hashes((lead + text).encode()).tolist()
+        plain = (lead + text).encode().lower().split()
+        assert len(got) == len(plain)
+        assert len(set(got)) == len(set(plain)) == len(set(zip(got, plain)))
+    assert not len(op.word_hashes(b" \n\t ")) and not len(op.shingle_set(None)) and not len(op.shingle_set(b" "))
+    assert op.shingle_set(b"a b c").tolist() == op.shingle_set(b" A  b\tc ").tolist() != op.shingle_set(b"a c b").tolist()
+
+
 def test_prefix_and_boundary():
     for n in range(1, 200):
         least = -(-75 * n // 100)
