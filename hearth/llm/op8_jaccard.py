@@ -80,7 +80,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     at = np.arange(len(value)) - np.repeat(start, np.diff(start, append=len(value)))
     power = _POWERS[at & (_LONG - 1)]
     if len(at) > _LONG and at.max() >= _LONG:  # a very long word: higher powers in steps
-        steps = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(at.max()) >> 12, _POWERS[-1] * _POWERS[1])]), dtype=np.uint64)
+        steps = np.cumprod(np.concatenate([[np.uint64(1)], np.repeat(_POWERS[-1:] * _POWERS[1:2], int(at.max()) >> 12)]), dtype=np.uint64)
         power = power * steps[at >> 12]
     h = np.add.reduceat(value * power, start)
     h ^= h >> np.uint64(32)
