@@ -84,16 +84,19 @@ def written(df: DataFrame, name: str, few: bool = False) -> DataFrame:
     return out
 
 
-def free(*tables: DataFrame | None) -> None:
-    """Delete tables made by ``written`` that no open plan reads any more (None is skipped).
+def release(spark: SparkSession) -> None:
+    """Run the driver's collector: Spark's cleaner then removes the shuffle files of finished plans."""
+    spark.sparkContext._jvm.System.gc()
 
-    The driver's collector runs after it: Spark's cleaner then removes the shuffle files of the plans that wrote them.
-    """
+
+def free(*tables: DataFrame | None) -> None:
+    """Delete tables made by ``written`` that no open plan reads any more (None is skipped), and the shuffle files of
+    the plans that wrote them."""
     gone = [t for t in tables if t is not None]
     for t in gone:
         _drop(t.sparkSession, t._written_at)
     if gone:
-        gone[0].sparkSession.sparkContext._jvm.System.gc()
+        release(gone[0].sparkSession)
 
 
 def kept_rows(docs: DataFrame, placed: DataFrame, key: Column) -> DataFrame:

@@ -40,12 +40,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, free, kept_rows, written
+from .common import components, free, kept_rows, release, written
 
 WORDS = 5
 NUM, DEN = 75, 100
 HEAVY_MOST = 100_000  # shingles sent to the tasks, at most (800 KB)
 HEAVY_LEAST = 8  # repeats from which a shingle counts as heavy
+PASSES = 2  # over the texts, to move the inverted lists in as many shares
 LIST_ROWS = 50_000  # measured length from which a list is salted
 SMALL_MOST = 40  # largest boundary tried
 BROADCAST_ROWS = 500_000  # wanted (doc_id, sid) rows sent to all tasks, at most (8 MB)
@@ -187,8 +188,9 @@ def size_boundary(partners: float, num: int = NUM, den: int = DEN) -> int:
 
 
 def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundary: int, words: int = WORDS,
-                 num: int = NUM, den: int = DEN) -> DataFrame:
-    """Rows (key, salt, sid, n): inverted list entries and enumerated 2-subsets of every set."""
+                 num: int = NUM, den: int = DEN, part: int = 0, parts: int = 1) -> DataFrame:
+    """Rows (key, salt, sid, n): inverted list entries and enumerated 2-subsets of every set; of ``parts`` equal
+    shares of all keys the one numbered ``part``."""
     known = docs.sparkSession.sparkContext.broadcast((heavy, np.maximum(1, counts // LIST_ROWS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +221,8 @@ def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundar
                     pair = (p[i] * _MIX) ^ (p[j] * _MUL)
                     own.append(pair ^ (pair >> np.uint64(31)))
                 for x in own:
+                    if parts > 1:
+                        x = x[(x >> np.uint64(7)) % np.uint64(parts) == np.uint64(part)]
                     keys.append(x)
                     owners.append(np.full(len(x), sid, np.int64))
                     sizes.append(np.full(len(x), n, np.int32))
@@ -542,10 +546,18 @@ def set_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     names = np.array([r["sid"] for r in heavy], np.int64).view(np.uint64)
     total, squares = rows.where("kind = 2").agg(F.sum("n"), F.sum("sid")).first()
     boundary = size_boundary(squares / total - 1 if total else 0.0, num, den)
-    entries = list_entries(docs, names, np.array([r["c"] for r in heavy], np.int64), boundary, words, num, den)
-    lists = written(list_members(entries), "lists")
+    counts = np.array([r["c"] for r in heavy], np.int64)
+    # the entries are by far the largest shuffle: each pass over the texts moves the lists of one share of the keys
+    shares = []
+    for part in range(PASSES):
+        entries = list_entries(docs, names, counts, boundary, words, num, den, part, PASSES)
+        shares.append(written(list_members(entries), "lists"))
+        release(docs.sparkSession)
+    lists = shares[0]
+    for more in shares[1:]:
+        lists = lists.unionByName(more)
     members = written(distinct_lists(lists), "lists", few=True)
-    free(lists)
+    free(*shares)
     first = own.where("n_shingles > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
     first = written(first, "classes", few=True)
     bits = (rows.where("kind = 0 and bits is not null").select("sid", "n", "bits")
