@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hearth.llm.common import read_table, written
+from hearth.llm.common import free, read_table, written
 from hearth.llm.op3_toxicity import drop_toxic
 from hearth.llm.op6_exact import drop_duplicates
 from hearth.llm.op7_pieces import sample_encodings
@@ -50,6 +50,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        free(before)  # the stage before has been read to its end
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
