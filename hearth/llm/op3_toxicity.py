@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -34,7 +35,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE = 2000  # labelled rows of each class that are learned from, at most
-MAX_TERMS = 2000  # terms of the lexicon, at most
 SUPPORT = 3  # different neighbourhoods that a term needs in toxic rows
 LOG_ODDS = 3.0  # least weight of a term
 STEM = (4, 6)  # lengths of word stems
@@ -175,15 +175,17 @@ def text_features(text: str, memo: _Memo, weight: dict[str, float]) -> tuple[flo
     if not hits:
         return (0.0,) * 5
     at = {i for i, _ in hits}
-    spans = None
+    marks = [m.start() for m in QUOTES.finditer(low)]
+    spans = [m.span() for m in WORD.finditer(low)] if marks else []
     sums = [0.0] * 4
     for i, (term, edits) in hits:
         near = words[max(0, i - WINDOW):i] + words[i + 1:i + 1 + WINDOW]
         quoted = not REPORTING.isdisjoint(near)
-        if not quoted and QUOTES.search(low):
-            spans = spans if spans is not None else [m.span() for m in WORD.finditer(low)]
+        if not quoted and marks:
             a, b = spans[max(0, i - WINDOW)][0], spans[min(len(spans) - 1, i + WINDOW)][1]
-            quoted = bool(QUOTES.search(low, a, spans[i][0])) and bool(QUOTES.search(low, spans[i][1], b + 1))
+            # a mark in the window before the hit and one in the window after it
+            before, after = bisect_left(marks, a), bisect_left(marks, spans[i][1])
+            quoted = before < len(marks) and marks[before] < spans[i][0] and after < len(marks) and marks[after] <= b
         aimed = not ADDRESS.isdisjoint(near) or any(j in at for j in range(i - WINDOW, i + WINDOW + 1) if j != i)
         sums[(edits > 0) + 2 * quoted] += weight[term] * (1.5 if aimed else 1.0)
     return (*(math.log1p(x) for x in sums), sum(sums) / len(words))
@@ -246,8 +248,7 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[s
     stems = {s: x for s, x in stems.items() if purer[s] <= x + 0.5}
     stems = {s: x for s, x in stems.items() if not any(s[:k] in stems for k in range(STEM[0], len(s)))}
     words = {k: x for k, x in kept.items() if k[-1] != "*" and not any(k[:j] in stems for j in range(STEM[0], STEM[1] + 1))}
-    best = lambda d, k: dict(sorted(d.items(), key=lambda t: (-t[1], t[0]))[:k])
-    return best(words, MAX_TERMS // 2), best(stems, MAX_TERMS // 2)
+    return words, stems
 
 
 def fit_rows(rows: list[tuple[str, int]], rounds: int = 400, ridge: float = 0.01) -> ToxicityModel:

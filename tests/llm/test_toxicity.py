@@ -96,3 +96,25 @@ def test_accuracy_on_held_out(spark):
         "predicted", "toxic").collect()
     hit = sum(r["predicted"] and r["toxic"] for r in got)
     assert hit >= 0.9 * sum(r["toxic"] for r in got) and hit >= 0.9 * sum(r["predicted"] for r in got)
+
+
+def test_quotation_is_looked_up_once_per_text():
+    """A mark before and one after the hit within the window; long texts of hits take time in proportion."""
+    import time
+
+    words = {"vilest": 4.0}
+    weight = dict(words)
+    memo = op._Memo(op.LexiconAutomaton(words, {}))
+    for text, quoted in (('he "vilest" x', True), ('"a vilest', False), ('vilest" b', False), ('" ' + "w " * 7 + 'vilest "', False),
+                         ('a " ' + "w " * 5 + 'vilest "', True), ("x «vilest» y", True), ("vilest", False), ('""vilest', False)):
+        f = op.text_features(text, memo, weight)
+        assert (f[2] > 0) == quoted and (f[0] > 0) == (not quoted), text
+
+    def seconds(n):
+        t = time.perf_counter()
+        op.text_features("vilest one two " * n, memo, weight)
+        op.text_features("vilest one two " * n + '"', memo, weight)
+        return time.perf_counter() - t
+
+    seconds(100)
+    assert seconds(16_000) < 2.0
