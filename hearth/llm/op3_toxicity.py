@@ -41,7 +41,7 @@ STEM = (4, 6)  # lengths of word stems
 STEM_WORDS = 3  # different words that a stem needs
 WINDOW = 6  # words before and after a hit
 THRESHOLD = 0.7
-MEMO = 1_000_000  # words whose match a task remembers
+MEMO = 150_000  # words whose match a task remembers
 
 # --- fixed values: words of reporting and of address, quotation marks
 REPORTING = frozenset(

@@ -139,8 +139,15 @@ def prefix_length(n: int, shared: int, num: int = NUM, den: int = DEN) -> int:
     return min(n, n + (-num * n // den) + shared)
 
 
-def _texts(batch: pa.RecordBatch) -> list:
-    return batch.column("text").to_pylist()
+def _texts(batch: pa.RecordBatch) -> Iterator[bytes | None]:
+    """The texts of a batch, one at a time."""
+    return (t.as_py() for t in batch.column("text"))
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
 def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -195,7 +202,7 @@ def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundar
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (heavy, salts), seen = known.value, set()
-        for b in batches:
+        for b in _slices(batches):
             keys, owners, sizes = [], [], []
             for text, doc_id in zip(_texts(b), b.column("doc_id").to_pylist(), strict=True):
                 s = shingle_set(text, words)
@@ -285,7 +292,7 @@ def list_members(entries: DataFrame) -> DataFrame:
 def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
     """(sid, hashes) of the wanted sets, computed again from the texts of one document each (doc_id, sid)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             sids, sets = [], []
             for text, sid in zip(_texts(b), b.column("sid").to_pylist(), strict=True):
                 s = shingle_set(text, words)

@@ -8,8 +8,8 @@ redirect in their html, and by an optional table of known redirects. Connected c
 edges carry the decisions: an alias that a rule allows explicitly goes first, then a blocked alias,
 else the page is allowed. A page's own rule is never overruled.
 
-Aliases are the pages of the table. With ``judge_targets`` also the urls that links and redirects lead to
-(and known redirects come from) decide by the rules that fit them, whether or not they are in the table.
+The urls that links and redirects lead to (and known redirects come from) decide by the rules that fit them, whether
+or not they are in the table; without ``judge_targets`` only the pages of the table do.
 
 Defined results: null url, or one without ``://``: host and path empty, no rule, no aliases, verdict
 allow. Null html: no edges. Repeated rows and repeated ids are judged row by row. An empty table gives
@@ -108,7 +108,7 @@ def alias_edges(links: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES,
-               redirects: DataFrame | None = None, judge_targets: bool = False) -> DataFrame:
+               redirects: DataFrame | None = None, judge_targets: bool = True) -> DataFrame:
     """Per page: page_id, url, host, path, rule, verdict, reason (rule, alias or default)."""
     p = pages.select("page_id", "url", "html")
     rule, own = fitting_rule(F.col("host"), F.col("path"), rules)

@@ -94,7 +94,7 @@ one as (select page_id, k.host, k.path, k.key, own.rule, own.verdict
 tied as (select distinct a.key x, b.key y from targets join k a on targets.url = a.url join k b on targets.target = b.url
  where a.key is not null and b.key is not null),
 both_ways as (select x, y from tied union select y, x from tied),
-reach(key, verdict) as (select key, verdict from one where verdict is not null and key is not null
+reach(key, verdict) as (select k.key, own.verdict from k join own using (url) where k.key is not null
  union select y, verdict from reach join both_ways on reach.key = x),
 decided as (select key, min(verdict) verdict from reach group by key)
 select page_id, coalesce(host, '') host, coalesce(path, '') path, rule, coalesce(one.verdict, d.verdict, 'allow') verdict

@@ -106,7 +106,7 @@ def test_quotation_is_looked_up_once_per_text():
     weight = dict(words)
     memo = op._Memo(op.LexiconAutomaton(words, {}))
     for text, quoted in (('he "vilest" x', True), ('"a vilest', False), ('vilest" b', False), ('" ' + "w " * 7 + 'vilest "', False),
-                         ('a " ' + "w " * 5 + 'vilest "', True), ("x «vilest» y", True), ("vilest", False), ('""vilest', False)):
+                         ('a " ' + "w " * 5 + 'vilest"', True), ("x «vilest» y", True), ("vilest", False), ('""vilest', False)):
         f = op.text_features(text, memo, weight)
         assert (f[2] > 0) == quoted and (f[0] > 0) == (not quoted), text
 

@@ -1,4 +1,6 @@
+import duckdb
 from hearth.llm import op9_urls as op
+from hearth.llm.oracle import ORACLE
 from tests.llm.helpers import crowded
 
 SCHEMA = "page_id long, url string, html string"
@@ -76,16 +78,16 @@ def test_relative_links_repeats_and_empty(spark):
     rows = [(1, "http://a.org/x", '<link rel="canonical" href="http://b.net/es/9/">'), (1, "http://a.org/x", None),
             (2, "http://www.a.org/x/?utm_source=q", None), (3, "http://b.net/zz", page), (None, "http://a.org/x#f", None)]
     d = spark.createDataFrame(rows, SCHEMA)
-    got = [(r["page_id"], r["verdict"], r["reason"]) for r in op.judge_urls(d).collect()]
-    # the page the links lead to is not in the table, so nothing is decided by it
-    assert {v for _, v, _ in got} == {"allow"}
+    # the page that the links lead to is not in the table: it decides all the same
+    assert {(r["page_id"], r["verdict"]) for r in op.judge_urls(d).collect()} == {(1, "block"), (2, "block"), (3, "block"), (None, "block")}
+    assert {r["verdict"] for r in op.judge_urls(d, judge_targets=False).collect()} == {"allow"}
     d = d.union(spark.createDataFrame([(9, "https://m.b.net/es/9.html", "")], SCHEMA))
     assert {(r["page_id"], r["verdict"]) for r in op.judge_urls(d).collect()} == {
         (1, "block"), (2, "block"), (3, "block"), (None, "block"), (9, "block")}
     assert op.judge_urls(d.limit(0)).count() == 0
 
 
-def test_targets_outside_the_table_decide_when_asked(spark):
+def test_targets_outside_the_table_decide(spark):
     rows = [(1, "http://a.org/x", '<link rel="canonical" href="http://b.net/es/9/">'), (2, "http://www.a.org/x/", None),
             (3, "http://c.org/y", '<meta http-equiv="refresh" content="0; url=http://c.com/">'),
             (4, "http://d.net/es/1", '<link rel="canonical" href="http://d.com/1">'),
@@ -99,7 +101,12 @@ def test_targets_outside_the_table_decide_when_asked(spark):
 
     want = {1: ("block", "alias"), 2: ("block", "alias"), 3: ("allow", "alias"), 4: ("block", "rule"),
             5: ("allow", "default"), 6: ("allow", "default"), None: ("allow", "default")}
-    assert got(judge_targets=True) == want
-    assert got(judge_targets=True, redirects=red) == want | {5: ("block", "alias"), 6: ("block", "alias")}
-    assert {v for k, (v, _) in got().items() if k != 4} == {"allow"}
-    assert op.judge_urls(d.limit(0), judge_targets=True).count() == 0
+    assert got() == want
+    assert got(redirects=red) == want | {5: ("block", "alias"), 6: ("block", "alias")}
+    assert {v for k, (v, _) in got(judge_targets=False).items() if k != 4} == {"allow"}
+    assert op.judge_urls(d.limit(0)).count() == 0
+    sql = ORACLE["op9_url_filter"]
+    con = duckdb.connect()
+    con.register("pages", d.toPandas())
+    assert {r[0]: r[1] for r in con.sql(f"select page_id, verdict from ({sql})").fetchall() if r[0] is not None and r[0] == r[0]} == {
+        k: v for k, (v, _) in want.items() if k is not None}
