@@ -49,10 +49,13 @@ def test_page_frontier(spark):
     assert got == ["https://x.example/r", "https://x.example/r?page=2", "https://x.example/r?page=3"]
 
 
-def test_alert_once_per_key(spark):
+def test_alert_once_per_key_and_session(spark):
+    from pyspark.sql import Window
+
     from hearth.streaming import listings as S
-    out = spark.read.parquet(S.run_alert_once(spark, SF_SMALL, work_dir(spark, "t-once"), 25.0, "ck",
-                                              horizon="365 days"))
-    keys = out.select("title", "neighborhood")
-    assert out.count() > 0 and keys.distinct().count() == out.count()
-    assert out.where(F.col("monthly_rent_eur") > 25.0).count() == 0
+    out = spark.read.parquet(S.run_alert_once(spark, SF_SMALL, work_dir(spark, "t-once"), 25.0, "ck", horizon="2 days"))
+    assert out.count() > 0 and out.where(F.col("monthly_rent_eur") > 25.0).count() == 0
+    before = F.lag("event_time").over(Window.partitionBy("title", "neighborhood").orderBy("event_time"))
+    assert out.withColumn("b", before).where("event_time < b + interval 2 days").count() == 0
+    # sessions as long as the table's time are still open at its end
+    assert spark.read.parquet(S.run_alert_once(spark, SF_SMALL, work_dir(spark, "t-once"), 25.0, "ck", horizon="365 days")).count() == 0
