@@ -76,6 +76,7 @@ TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9:-]*+)(?P<attr>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|</?[A-Za-z!?][^>]*+(?:>|\Z)", re.S | re.I)
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HREF = re.compile(r"(?:^|[\s\"'])href\s*=", re.I)  # an anchor without it is no link
 PARTS = re.compile(r"[a-z0-9]+")
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -169,7 +170,7 @@ def page_blocks(html: str) -> list[_Block]:
         if x:
             parts.append(x)
             if depth:
-                links += len("".join(x.split()))
+                links += len("".join(htmllib.unescape(x).split()))
 
     at, ends = 0, None
     tokens = TOKEN.finditer(html)
@@ -186,7 +187,7 @@ def page_blocks(html: str) -> list[_Block]:
             continue
         tag = tag.lower()
         if tag == "a":
-            depth = 0 if m["end"] else 1
+            depth = int(not m["end"] and HREF.search(m["attr"]) is not None)
             continue
         if tag in BLOCK_TAGS:
             close()

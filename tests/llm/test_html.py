@@ -87,3 +87,14 @@ def test_articles_of_the_test_pages(spark):
         inner = re.search("<article>(.*?)</article>", raw[r["page_id"]], re.S)[1]
         want = " ".join(lib.unescape(re.sub("<[^>]+>", "", re.sub("</?(?:p|h1|br)>", " ", inner))).split())
         assert r["text"] == want and r["n_chars"] == len(want)
+
+
+def test_links_count_decoded_text_and_need_a_target():
+    body = "the house of the street and the garden with a view to the river is for the family that was here with us as you see it"
+    name = "caf\u00e9 \u00e9t\u00e9 r\u00e9sum\u00e9 na\u00efve \u00e0 la"
+    refs = "".join(f"&#{ord(c)};" if ord(c) > 127 else c for c in name)
+    for link in (name, refs):
+        assert op.main_text(f"<body><p>{body} {body} <a href='/x'>{link}</a></p></body>") == f"{body} {body} {name}"
+    for tag in ("<a name=x>", "<a id='y' class=z>", "<a>"):
+        assert op.main_text(f"<body><div>{tag}{body} {body}</div></body>") == f"{body} {body}"
+    assert op.main_text(f"<body><div><a href=/all>{body} {body}</a></div></body>") == ""

@@ -62,7 +62,7 @@ def test_components(spark):
 def test_registered_queries():
     import __spark_entry__ as entry
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_no_other_module_imports_the_subpackage():
