@@ -8,9 +8,9 @@ without another try. Every span has a score (0 to 100): a value for its kind, ra
 kind's context words stands within ``WINDOW`` code points before or after it.
 
 DataFrame functions only. A pattern's spans come from its matches and from the pieces between them
-(``split`` by the same pattern): a running length over both gives the positions, and it is taken only
-for texts that match. Runs are possessive and start at a run's first character, so matching is linear
-in very long texts.
+(``split`` by the same pattern): running lengths over both, summed in runs, give the positions, and windows are
+looked up in short leaves of the text; both only for texts that match. Runs are possessive and start at a run's
+first character, so the work is linear in very long texts, with many matches too.
 
 Defined results: a null or empty text has no spans (counts 0, empty strings, the hash of the empty
 string); null ids and repeated rows are kept row by row; an empty table gives an empty result; other
@@ -49,6 +49,8 @@ CONTEXT = {
 }
 NEEDS_CONTEXT = ("ssn",)
 WINDOW = 40
+LEAF = 256  # code points of the pieces in which a window is looked up, at least ``WINDOW``
+RUN = 64  # matches whose positions are summed at once
 
 _IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
 _SPANS = "array<struct<s:int,e:int,score:int>>"
@@ -88,35 +90,64 @@ def confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _near(kind: str, text: Column, start: Column, end: Column) -> Column:
+def _sums(sizes: Column, levels: int = 2) -> Column:
+    """For every element the sum of those before it. Sums are built by runs of ``RUN``, and those of the runs
+    likewise, so that no step copies a list that grows with the text."""
+    def fold(xs: Column, first: Column) -> Column:
+        start = F.struct(first.cast("int").alias("at"), F.array().cast("array<int>").alias("all"))
+        return F.aggregate(xs, start, lambda acc, x: F.struct(
+            (acc["at"] + x).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")), lambda acc: acc["all"])
+
+    def runs_of(xs: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(xs), F.lit(1)), F.lit(RUN)),
+                           lambda i: F.slice(xs, i, F.lit(RUN)))
+
+    if not levels:
+        return fold(sizes, F.lit(0))
+    return let(let(sizes, runs_of), lambda runs: let(
+        _sums(F.transform(runs, lambda r: F.aggregate(r, F.lit(0), lambda t, x: t + x)), levels - 1),
+        lambda before: F.flatten(F.zip_with(runs, before, fold))))
+
+
+def _part(leaves: Column, start: Column, n: Column) -> Column:
+    """Up to n (at most ``LEAF``) code points from a position, out of the text's leaves: not found by walking the whole text."""
+    leaf = F.floor(start / LEAF).cast("int")
+    return F.substring(F.concat_ws("", F.get(leaves, leaf), F.get(leaves, leaf + 1)), (start - leaf * LEAF + 1).cast("int"), n.cast("int"))
+
+
+def _near(kind: str, leaves: Column, start: Column, end: Column) -> Column:
     """Whether a context word stands in the window before or after the span."""
-    before = F.substring(text, F.greatest(start - WINDOW, F.lit(0)) + 1, F.least(start, F.lit(WINDOW)))
-    around = ascii_lower(F.concat(before, F.lit("\n"), F.substring(text, end + 1, F.lit(WINDOW))))
-    return around.rlike("|".join(CONTEXT[kind]))
+    before = _part(leaves, F.greatest(start - WINDOW, F.lit(0)), F.least(start, F.lit(WINDOW)))
+    return ascii_lower(F.concat(before, F.lit("\n"), _part(leaves, end, F.lit(WINDOW)))).rlike("|".join(CONTEXT[kind]))
 
 
 def spans_of(kind: str, text: Column) -> Column:
     """Array of (s, e, score) of one kind; null where the text has no match."""
     pattern, (least, rise) = PATTERNS[kind], SCORES[kind]
 
-    def walk(matches: Column) -> Column:
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + F.length(x["between"])
-            end = start + F.length(x["match"])
-            near = _near(kind, text, start, end)
-            span = F.struct(start.alias("s"), end.alias("e"),
-                            (F.lit(least) + F.when(near, rise).otherwise(0)).cast("int").alias("score"))
-            ok = confirmed(kind, x["match"])
-            if kind in NEEDS_CONTEXT:
-                ok = ok & near
-            found = F.when(ok, F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
-            return F.struct(end.alias("at"), found.alias("found"))
-
-        # the last piece has no match after it
+    def located(matches: Column) -> Column:
+        # a match and what stands between it and the one before; the last piece has no match after it
         pairs = F.slice(F.arrays_zip(F.split(text, pattern, -1).alias("between"), matches.alias("match")),
                         F.lit(1), F.size(matches))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found"))
-        return F.when(F.size(matches) > 0, F.aggregate(pairs, start, step, lambda acc: acc["found"]))
+        sized = F.transform(pairs, lambda x: F.struct(
+            x["match"].alias("match"), F.length(x["between"]).alias("gap"), F.length(x["match"]).alias("n")))
+        return let(sized, lambda xs: F.zip_with(
+            xs, _sums(F.transform(xs, lambda x: x["gap"] + x["n"])), lambda x, before: F.struct(
+                x["match"].alias("match"), (before + x["gap"]).alias("s"), (before + x["gap"] + x["n"]).alias("e"))))
+
+    def scored(spans: Column, leaves: Column) -> Column:
+        told = F.transform(spans, lambda x: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), _near(kind, leaves, x["s"], x["e"]).alias("near")))
+        if kind in NEEDS_CONTEXT:
+            told = F.filter(told, lambda x: x["near"])
+        return F.transform(told, lambda x: F.struct(
+            x["s"].alias("s"), x["e"].alias("e"), (F.lit(least) + F.when(x["near"], rise).otherwise(0)).cast("int").alias("score")))
+
+    def walk(matches: Column) -> Column:
+        spans = F.filter(located(matches), lambda x: confirmed(kind, x["match"]))
+        leaves = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{LEAF}}}"), F.lit(0))
+        return F.when(F.size(matches) > 0, let(spans, lambda xs: F.when(
+            F.size(xs) > 0, let(leaves, lambda ls: scored(xs, ls)))))
 
     proposed = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), walk)
     sign = {"email": "@", "phone": "+"}.get(kind)

@@ -84,3 +84,37 @@ def test_nulls_repeats_empty_and_clashes(spark):
 def test_no_python_in_plan(spark):
     plan = op.pii_digest(docs(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_matches_in_a_text_are_linear(spark):
+    import time
+
+    def seconds(n):
+        t = "server 10.0.0.1 abc " * n
+        begin = time.time()
+        got = op.pii_digest(docs(spark, [(1, t)])).first()
+        assert got["n_ip"] == n and got["scored"].endswith(f"ip:{20 * n - 13}:{20 * n - 5}:70")
+        return time.time() - begin
+
+    seconds(100)  # planning and code generation
+    few, many = seconds(4_000), seconds(64_000)
+    assert many < few + 10  # a quadratic search takes over a minute here
+    check(spark, ["m@n.op 1.2.3.4 " * 3_000 + "\U0001D11E " * 300 + " +49 30 1234567 mail a@b.cd"])
+
+
+def test_windows_across_leaves_and_runs(spark):
+    """Scores against plain windows, with spans at every place relative to the leaves' and runs' edges."""
+    rng = random.Random(11)
+    texts = []
+    for i in range(60):
+        gap = [rng.choice(["é", "x", " ", "server", "\U0001D11E", "ip "]) for _ in range(rng.randrange(400))]
+        texts.append(" ".join("".join(gap[:rng.randrange(1, 120)]) + " 10.0.0.1 " for _ in range(rng.randrange(1, 140))) + "z" * i)
+    rows = op.pii_digest(docs(spark, list(enumerate(texts)))).collect()
+    for r in rows:
+        t = texts[r["doc_id"]]
+        want = []
+        for m in re.finditer(BASE["ip"], t):
+            around = t[max(0, m.start() - 40):m.start()] + "\n" + t[m.end():m.end() + 40]
+            near = any(w in around for w in ("ip", "server", "host", "address", "adresse"))
+            want.append(f"ip:{m.start()}:{m.end()}:{70 if near else 50}")
+        assert [s for s in r["scored"].split(",") if s.startswith("ip:")] == want
