@@ -439,14 +439,21 @@ def best_group(texts: list[str], pieces: Pieces, theta: float) -> list[np.ndarra
     return [_with_bytes(ids[cut[a]:cut[b]], pieces) for a, b in zip(at[:-1], at[1:], strict=True)]
 
 
+def piece_bytes(pieces: Pieces) -> list[bytes]:
+    """What every piece id stands for, in UTF-8."""
+    out = [t.replace(chr(SPACE), " ").encode("utf-8", "surrogatepass") for t in pieces.texts]
+    for b, i in enumerate(pieces.byte_ids):
+        out[int(i)] = bytes((b,))
+    return out
+
+
+def join_pieces(ids, known: list[bytes]) -> bytes:
+    return b"".join([known[i] for i in ids])
+
+
 def decode_ids(ids, pieces: Pieces) -> str:
     """The text of a sequence of piece ids."""
-    byte = {int(i): b for b, i in enumerate(pieces.byte_ids)}
-    out = bytearray()
-    for i in ids:
-        i = int(i)
-        out += bytes((byte[i],)) if i in byte else pieces.texts[i].replace(chr(SPACE), " ").encode("utf-8", "surrogatepass")
-    return out.decode("utf-8", "surrogatepass")
+    return join_pieces(ids, piece_bytes(pieces)).decode("utf-8", "surrogatepass")
 
 
 def row_keys(ids: list, seed: int) -> np.ndarray:
@@ -466,29 +473,35 @@ def _groups(texts: list[str]) -> Iterator[slice]:
 
 def sample_encodings(docs: DataFrame, vocabulary: str = VOCABULARY, k: int = SAMPLES, theta: float = 1.0,
                      seed: int = SEED) -> DataFrame:
-    """Up to k rows per document: doc_id, sample (1 to k), ids, n_pieces, log_prob, perturbed, log_inclusion."""
+    """Up to k rows per document: doc_id, sample (1 to k), ids, n_pieces, log_prob, perturbed, log_inclusion, and
+    whether the ids decode to the text (restored)."""
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(load_pieces(vocabulary))  # bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model.value
+        known = piece_bytes(pieces)
         for b in batches:
             names, texts = b.column("doc_id").to_pylist(), [t or "" for t in b.column("text").to_pylist()]
             keys = row_keys(names, seed)
             for part in _groups(texts):
-                rows = [(d, j + 1, *s) for d, group in zip(names[part], sample_group(texts[part], keys[part], pieces, k, theta),
-                                                           strict=True) for j, s in enumerate(group)]
+                rows = []
+                for d, t, group in zip(names[part], texts[part], sample_group(texts[part], keys[part], pieces, k, theta), strict=True):
+                    whole = t.encode("utf-8", "surrogatepass")
+                    rows += [(d, j + 1, *s, join_pieces(s[0].tolist(), known) == whole) for j, s in enumerate(group)]
                 ids = [r[2] for r in rows]
                 size = np.array([len(x) for x in ids], np.int32)
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                      pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(flat, pa.int32())),
-                     pa.array(size), *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)]],
-                    names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion"])
+                     pa.array(size), *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)],
+                     pa.array([r[6] for r in rows], pa.bool_())],
+                    names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion", "restored"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, sample int, ids array<int>, n_pieces int, log_prob double, perturbed double, log_inclusion double")
+        run, "doc_id long, sample int, ids array<int>, n_pieces int, log_prob double, perturbed double, log_inclusion double, "
+             "restored boolean")
 
 
 def encode_best(docs: DataFrame, vocabulary: str = VOCABULARY, theta: float = 1.0) -> DataFrame:
@@ -512,8 +525,9 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     kept = encoded.drop("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = piece_bytes(model.value)
         for b in batches:
-            text = [None if x is None else decode_ids(x, model.value) for x in b.column("ids").to_pylist()]
+            text = [None if x is None else join_pieces(x, known).decode("utf-8", "surrogatepass") for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], names=[*b.schema.names, "text"])
 
     schema = T.StructType([*kept.schema.fields, T.StructField("text", T.StringType())])

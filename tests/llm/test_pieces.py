@@ -90,9 +90,19 @@ def test_table_rows(spark):
     out = op.sample_encodings(d)
     rows = out.collect()
     assert Counter(r["doc_id"] for r in rows) == {1: 4, None: 1, 2: 1, 3: 2}
+    assert all(r["restored"] for r in rows)
     assert len({tuple(r["ids"]) for r in rows if r["doc_id"] == 1}) == 2  # the same row key, the same samples
     back = {(r["doc_id"], r["text"]) for r in op.decode(out).collect()}
     want = {(r["doc_id"], r["text"] or "") for r in d.collect()}
     assert back == want
     assert {(r["doc_id"], r["text"]) for r in op.decode(op.encode_best(d)).collect()} == want
     assert op.sample_encodings(d.limit(0)).count() == 0
+
+
+def test_restored_tells_a_wrong_sample(spark):
+    """The flag compares what the ids stand for with the text."""
+    known = op.piece_bytes(op.load_pieces())
+    ids = op.best_group(["the cat"], op.load_pieces(), 1.0)[0]
+    assert op.join_pieces(ids, known) == b"the cat" and op.join_pieces(ids[:-1], known) != b"the cat"
+    one = op.sample_encodings(docs(spark, [(i, t) for i, t in enumerate(TEXTS)])).collect()
+    assert {r["doc_id"] for r in one} == set(range(len(TEXTS))) and all(r["restored"] for r in one)
