@@ -3,7 +3,7 @@
 A page is cut into blocks at block-level tags. Pass one labels each block on its own: blocks inside
 menus, headers, footers, sidebars, notices, adverts, forms and reader comments (by tag, role or class)
 are bad, but long prose only by tag, role or a class of adverts, cookies or comments, and class words do not
-overrule an article tag or an article class; blocks made of links are bad; inside an article container long blocks are good; elsewhere
+overrule an article tag or an article class, nor those of a wrapper the page's first article in it; blocks made of links are bad; inside an article container long blocks are good; elsewhere
 length and stop-word density decide; short blocks stay ambiguous. Pass two gives every ambiguous block
 the label of its nearest decided neighbours (of its own container where it is in an article): both
 alike, else the nearer one; headings follow the block below them. Good blocks are joined in page order.
@@ -54,7 +54,7 @@ FIRM_WORDS = frozenset(
     "disqus replies".split())
 # parts beside a word that make it tell of the page's state
 STATE_BEFORE = frozenset("has no with without".split())
-STATE_AFTER = (["open"], ["closed"], ["enabled"], ["disabled"], ["free"])
+STATE_AFTER = frozenset("open closed enabled disabled free off on hidden".split())
 SOFT, FIRM = 1, 2  # boilerplate by a class word only; by its tag, role or a firm word
 ARTICLE_WORDS = frozenset("article content post entry story main".split())
 
@@ -84,7 +84,7 @@ WORD = re.compile(r"[^\W\d_]+")
 def _bad_words(words: list[str], in_article: bool) -> set[str]:
     """The boilerplate words among the parts of one class or id; words that tell of a state (``no-sidebar``) do not count."""
     return {w for i, w in enumerate(words) if (w in BAD_WORDS or (not in_article and w in BAD_OUTSIDE))
-            and not (i and words[i - 1] in STATE_BEFORE) and words[i + 1:i + 2] not in STATE_AFTER}
+            and not STATE_BEFORE.intersection(words[:i]) and not STATE_AFTER.intersection(words[i + 1:])}
 
 
 def _marks(tag: str, attr: str, in_article: bool) -> tuple[int, bool]:
@@ -207,8 +207,8 @@ def page_blocks(html: str) -> list[_Block]:
             stack.pop()
         _, bad, scope = stack[-1]
         own_bad, article = _marks(tag, m["attr"], scope > 0)
-        if tag == "main" and bad == SOFT:
-            bad = 0
+        if bad == SOFT and (tag == "main" or (article and not scopes)):
+            bad = 0  # a wrapper whose class tells of the layout around the page's first article
         if article and not scope and not bad:
             scopes += 1
             scope = scopes
