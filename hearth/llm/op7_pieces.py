@@ -34,11 +34,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import small_batches
+
 # --- fixed values
 SPACE = 0x2581  # stands for a space in the vocabulary
 OWN_SPACE = 0x110000  # a U+2581 of the text; beyond Unicode, so no piece has it
@@ -46,7 +49,7 @@ SHIFT = 2.7
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 SEED = 42
-GROUP = 800_000
+GROUP = 200_000
 
 CHUNK = re.compile(" *[^ ]+| +")
 _U = np.uint64
@@ -460,15 +463,16 @@ def row_keys(ids: list, seed: int) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(f"{seed}|{'null' if i is None else i}") for i in ids], np.uint64)
 
 
-def _groups(texts: list[str]) -> Iterator[slice]:
-    a, n = 0, 0
-    for i, t in enumerate(texts):
-        n += len(t)
-        if n >= GROUP:
-            yield slice(a, i + 1)
-            a, n = i + 1, 0
-    if a < len(texts):
-        yield slice(a, len(texts))
+def _groups(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """The ids and texts of a batch, a group at a time: no more of it is held as Python objects."""
+    size = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    whole = np.cumsum(size, dtype=np.int64)
+    a = 0
+    while a < len(size):
+        b = min(len(size), int(np.searchsorted(whole, (whole[a - 1] if a else 0) + GROUP)) + 1)
+        part = batch.slice(a, b - a)
+        yield part.column("doc_id").to_pylist(), [t or "" for t in part.column("text").to_pylist()]
+        a = b
 
 
 def sample_encodings(docs: DataFrame, vocabulary: str = VOCABULARY, k: int = SAMPLES, theta: float = 1.0,
@@ -476,17 +480,16 @@ def sample_encodings(docs: DataFrame, vocabulary: str = VOCABULARY, k: int = SAM
     """Up to k rows per document: doc_id, sample (1 to k), ids, n_pieces, log_prob, perturbed, log_inclusion, and
     whether the ids decode to the text (restored)."""
     spark = docs.sparkSession
+    small_batches(spark)
     model = spark.sparkContext.broadcast(load_pieces(vocabulary))  # bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model.value
         known = piece_bytes(pieces)
         for b in batches:
-            names, texts = b.column("doc_id").to_pylist(), [t or "" for t in b.column("text").to_pylist()]
-            keys = row_keys(names, seed)
-            for part in _groups(texts):
+            for names, texts in _groups(b):
                 rows = []
-                for d, t, group in zip(names[part], texts[part], sample_group(texts[part], keys[part], pieces, k, theta), strict=True):
+                for d, t, group in zip(names, texts, sample_group(texts, row_keys(names, seed), pieces, k, theta), strict=True):
                     whole = t.encode("utf-8", "surrogatepass")
                     rows += [(d, j + 1, *s, join_pieces(s[0].tolist(), known) == whole) for j, s in enumerate(group)]
                 ids = [r[2] for r in rows]
@@ -510,10 +513,9 @@ def encode_best(docs: DataFrame, vocabulary: str = VOCABULARY, theta: float = 1.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, texts = b.column("doc_id").to_pylist(), [t or "" for t in b.column("text").to_pylist()]
-            for part in _groups(texts):
-                ids = best_group(texts[part], model.value, theta)
-                yield pa.RecordBatch.from_arrays([pa.array(names[part], pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
+            for names, texts in _groups(b):
+                ids = best_group(texts, model.value, theta)
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(ids, pa.list_(pa.int32()))],
                                                  names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids array<int>")

@@ -106,3 +106,25 @@ def test_restored_tells_a_wrong_sample(spark):
     assert op.join_pieces(ids, known) == b"the cat" and op.join_pieces(ids[:-1], known) != b"the cat"
     one = op.sample_encodings(docs(spark, [(i, t) for i, t in enumerate(TEXTS)])).collect()
     assert {r["doc_id"] for r in one} == set(range(len(TEXTS))) and all(r["restored"] for r in one)
+
+
+def test_a_batch_is_held_a_group_at_a_time():
+    """Memory follows the group, not the batch: numpy's arrays and the texts of 2 million characters."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = random.Random(12)
+    texts = [" ".join(f"{rng.randrange(16 ** 5):x}" for _ in range(1500)) for _ in range(220)] + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    pieces = op.load_pieces()
+    tracemalloc.start()
+    try:
+        seen = []
+        for names, part in op._groups(batch):
+            assert sum(map(len, part[:-1])) < op.GROUP
+            seen += zip(names, part)
+            op.sample_group(part, op.row_keys(names, 1), pieces, 2, 1.0)
+        assert tracemalloc.get_traced_memory()[1] < 200e6
+    finally:
+        tracemalloc.stop()
+    assert seen == [(i, t or "") for i, t in enumerate(texts)]
