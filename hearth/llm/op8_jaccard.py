@@ -11,7 +11,7 @@ The boundary between small and large is the largest size whose subsets cost no m
 and the partners met there, as measured over all sets.
 
 Heavy shingles are those that repeat most among the sets' first shingles, counted over all documents
-within each batch; at most ``HEAVY_MOST`` of them are kept and sent to the tasks (any choice of them gives
+within runs of about ``COUNTED``; at most ``HEAVY_MOST`` of them are kept and sent to the tasks (any choice of them gives
 the same result, it only changes the work). Very long lists are salted by their measured length.
 
 Lists with the same members count once. First every member is compared with its list's leader. Then, in
@@ -40,18 +40,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, free, kept_rows, release, written
+from .common import components, free, kept_rows, release, small_batches, written
 
 WORDS = 5
 NUM, DEN = 75, 100
 HEAVY_MOST = 100_000  # shingles sent to the tasks, at most (800 KB)
 HEAVY_LEAST = 8  # repeats from which a shingle counts as heavy
+COUNTED = 10_000  # documents, at least, among which repeats are counted at once
 PASSES = 2  # over the texts, to move the inverted lists in as many shares
 LIST_ROWS = 50_000  # measured length from which a list is salted
 SMALL_MOST = 40  # largest boundary tried
 BROADCAST_ROWS = 500_000  # wanted (doc_id, sid) rows sent to all tasks, at most (8 MB)
+FEW_SETS = 50_000  # sets of a round up to which only their bitmaps and shingles are moved
+BITS = 4  # of a bitmap for each shingle, at least; at most twice as many
 LONG_LIST = 64  # members from which a list is compared in blocks
 BLOCK = 4096  # sets of a long list that a task holds, for each side
+KEYS = 1 << 20  # keys of pairs compared at once
 STEP = 256  # of them compared with the other side at once
 BEST = 2  # partners of a set that the first round over long lists passes on, for each pair of blocks
 SEEN = 100_000  # sets that a task remembers, so that copies are not emitted again
@@ -116,8 +120,8 @@ def set_id(s: np.ndarray) -> int:
 
 
 def set_bits(s: np.ndarray) -> bytes:
-    """Bitmap of a set: 8 to 16 bits for each shingle, a power of two, at least 64."""
-    m = max(64, 1 << (8 * len(s) - 1).bit_length()) if len(s) else 64
+    """Bitmap of a set: ``BITS`` bits for each shingle, up to a power of two, at least 64."""
+    m = max(64, 1 << (BITS * len(s) - 1).bit_length()) if len(s) else 64
     bits = np.zeros(m, np.uint8)
     bits[((s * _MUL) >> np.uint64(20)) & np.uint64(m - 1)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -151,34 +155,42 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.
 
 
 def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """Rows of three kinds: 0 (doc_id, n, sid, bits) per document; 1 (n = repeats, sid = shingle) per batch and
-    repeated first shingle; 2 (n = first shingles, sid = sum of squared repeats) per batch."""
+    """Rows of three kinds: 0 (doc_id, n, sid, bits) per document; 1 (n = repeats, sid = shingle) per run of documents and
+    repeated first shingle; 2 (n = first shingles, sid = sum of squared repeats) per run."""
+    names = ["kind", "doc_id", "n", "sid", "bits"]
+
+    def repeats(first: list[np.ndarray]) -> pa.RecordBatch:
+        u, c = np.unique(np.concatenate(first), return_counts=True)
+        often = c > 1
+        n = int(often.sum())
+        return pa.RecordBatch.from_arrays(
+            [pa.array([1] * n + [2], pa.int32()), pa.nulls(n + 1, pa.int64()), pa.array([*c[often].tolist(), int(c.sum())], pa.int64()),
+             pa.array([*u[often].view(np.int64).tolist(), int((c.astype(np.int64) ** 2).sum())], pa.int64()),
+             pa.nulls(n + 1, pa.binary())], names=names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, seen, rows = [], set(), 0
         for b in batches:
-            ids, sizes, sids, maps, first, seen = b.column("doc_id").to_pylist(), [], [], [], [], set()
+            ids, sizes, sids, maps = b.column("doc_id").to_pylist(), [], [], []
             for text in _texts(b):
                 s = shingle_set(text, words)
                 sid = set_id(s)
                 sizes.append(len(s))
                 sids.append(sid)
                 fresh = len(s) > 2 and sid not in seen
-                maps.append(set_bits(s) if fresh else None)  # once in a batch
+                maps.append(set_bits(s) if fresh else None)  # once in a run
                 if len(s) and sid not in seen:
                     seen.add(sid)
                     first.append(s[:prefix_length(len(s), 1, num, den)])
-            kind = np.zeros(len(ids), np.int32)
-            if first:
-                u, c = np.unique(np.concatenate(first), return_counts=True)
-                often = c > 1
-                ids = ids + [None] * (int(often.sum()) + 1)
-                kind = np.concatenate([kind, np.ones(int(often.sum()), np.int32), [np.int32(2)]])
-                sizes += [*c[often].tolist(), int(c.sum())]
-                sids += [*u[often].view(np.int64).tolist(), int((c.astype(np.int64) ** 2).sum())]
-                maps += [None] * (int(often.sum()) + 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind, pa.int32()), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()),
-                 pa.array(maps, pa.binary())],
-                names=["kind", "doc_id", "n", "sid", "bits"])
+                [pa.array(np.zeros(len(ids), np.int32)), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(sids, pa.int64()), pa.array(maps, pa.binary())], names=names)
+            rows += len(ids)
+            if rows >= COUNTED and first:
+                yield repeats(first)
+                first, seen, rows = [], set(), 0
+        if first:
+            yield repeats(first)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
         run, "kind int, doc_id long, n long, sid long, bits binary")
@@ -307,6 +319,15 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Da
     return rows.mapInArrow(run, "sid long, hashes binary").dropDuplicates(["sid"])
 
 
+def narrowed(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """``table`` for a join on ``sid`` with ``ids``: of few sets only their rows, so that a shuffle moves no others."""
+    return table if ids.count() > FEW_SETS else table.join(F.broadcast(ids), "sid", "left_semi")
+
+
+def _sets_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+
+
 def screened(pairs: DataFrame, bits: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """The pairs (a, b) that the sets' bitmaps do not rule out; ``bits`` has sid, n, bits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,8 +352,9 @@ class Verifier:
         self.parts: list[DataFrame] = []
 
     def links(self, pairs: DataFrame) -> DataFrame:
-        left = written(screened(pairs, self.bits, self.num, self.den), "screened", few=True)
-        ids = left.select(F.col("a").alias("sid")).unionByName(left.select(F.col("b").alias("sid"))).distinct()
+        left = written(screened(pairs, narrowed(self.bits, _sets_of(pairs)), self.num, self.den), "screened", few=True)
+        release(self.docs.sparkSession)
+        ids = _sets_of(left)
         if self.sets is not None:
             ids = ids.join(self.sets.select("sid"), "sid", "left_anti")
         ids = written(ids.join(self.first, "sid").select(F.col("first_id").alias("doc_id"), "sid"), "wanted", few=True)
@@ -342,7 +364,8 @@ class Verifier:
             self.sets = more if self.sets is None else self.sets.unionByName(more)
         if self.sets is None:
             return left
-        out = written(verified(left, self.sets, self.num, self.den).where("linked").select("a", "b"), "links", few=True)
+        sets = narrowed(self.sets, _sets_of(left))
+        out = written(verified(left, sets, self.num, self.den).where("linked").select("a", "b"), "links", few=True)
         free(left, ids)
         return out
 
@@ -449,12 +472,13 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
         width = max(len(r[4]) for side in sides for r in side)
         ka, kb = (np.array([r[4] + [r[4][0]] * (width - len(r[4])) for r in side], np.int64) for side in sides)
         first = np.ones(len(p), bool)
-        for a in range(0, len(p), 65536):  # so many pairs at once
-            u, v = ka[p[a:a + 65536]], kb[q[a:a + 65536]]
+        many = max(1, KEYS // width)  # pairs at once
+        for a in range(0, len(p), many):
+            u, v = ka[p[a:a + many]], kb[q[a:a + many]]
             low = np.full(len(u), np.iinfo(np.int64).max)
             for i in range(width):
                 low = np.where((v == u[:, i:i + 1]).any(axis=1) & (u[:, i] < low), u[:, i], low)
-            first[a:a + 65536] = low == key
+            first[a:a + many] = low == key
         p, q, score = p[first], q[first], score[first]
     if best is not None:
         keep = np.zeros(len(p), bool)
@@ -502,7 +526,8 @@ def long_list_pairs(members: DataFrame, tied: DataFrame, bits: DataFrame, best:
         F.least(o, F.col("mine")).alias("p"), F.greatest(o, F.col("mine")).alias("q"))))
     held = held.withColumn("pair", pair).select("key", "pair.p", "pair.q", F.when(
         F.col("mine") == F.col("pair.p"), 0).otherwise(1).alias("side"), "sid", "n", "c")
-    own = open_.groupBy("sid").agg(F.collect_list("key").alias("keys")).join(bits.select("sid", "bits"), "sid")
+    mine = narrowed(bits.select("sid", "bits"), open_.select("sid").distinct())
+    own = open_.groupBy("sid").agg(F.collect_list("key").alias("keys")).join(mine, "sid")
     pairs = written(held.join(own, "sid").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q", "side")
                     .mapInArrow(run, "a long, b long").distinct(), "compared", few=True)
     free(open_)
@@ -545,6 +570,7 @@ def link_components(members: DataFrame, verifier: Verifier, num: int = NUM, den:
 
 def set_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """Per row: doc_id, n_shingles, sid, component_id (the smallest doc_id reachable by links)."""
+    small_batches(docs.sparkSession)
     rows = written(set_profiles(docs, words, num, den), "profiles")
     own = rows.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "sid")
     heavy = (rows.where("kind = 1").groupBy("sid").agg(F.sum("n").alias("c")).where(F.col("c") >= HEAVY_LEAST)

@@ -137,3 +137,38 @@ def test_drop_decides_by_id_and_set(spark):
     assert len(five) == 1 and five[0] in (c, c + " more")
     assert sorted((x for x in left if x[0] != 5), key=repr) == sorted(
         [(1, a), (3, b), (7, e), (None, a), (None, "lone null id"), (3, ""), (3, None)], key=repr)
+
+
+def test_bitmaps_are_short_and_tell_sets_apart():
+    """At most 8 bits for each shingle are moved, and they rule out pairs that share little."""
+    rng = random.Random(9)
+    for n in (30, 100, 400):
+        x, y = (op.shingle_set(prose(rng, n, 10 ** 6).encode()) for _ in range(2))
+        p, q = op.set_bits(x), op.set_bits(y)
+        assert len(p) <= max(8, len(x))
+        most = op.most_shared(p, q, len(x), len(y))
+        assert 100 * most < 75 * (len(x) + len(y) - most)
+
+
+def test_few_sets_move_only_their_rows(spark):
+    table = spark.range(100).withColumnRenamed("id", "sid")
+    ids = spark.createDataFrame([(3,), (5,), (200,)], "sid long")
+    assert sorted(r["sid"] for r in op.narrowed(table, ids).collect()) == [3, 5]
+    assert op.narrowed(table, spark.range(op.FEW_SETS + 1).withColumnRenamed("id", "sid")) is table
+
+
+@pytest.mark.parametrize("rows", [1, 10_000])
+def test_repeats_are_counted_over_runs_of_batches(spark, rows, monkeypatch):
+    """Arrow batches of a few rows give the same counts; a run of one row has no repeats."""
+    monkeypatch.setattr(op, "COUNTED", rows)
+    text = "a b c d e f g h i j k l m n o"
+    d = docs(spark, [(i, f"{text} p{i}") for i in range(30)]).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        out = op.set_profiles(d).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(r["kind"] == 0 for r in out) == 30
+    assert sum(r["n"] for r in out if r["kind"] == 2) == sum(op.prefix_length(12, 1) for _ in range(30))
+    assert (sum(r["kind"] == 2 for r in out) == 1) == (rows > 30)
+    assert max([r["n"] for r in out if r["kind"] == 1], default=0) > (20 if rows > 30 else -1)
