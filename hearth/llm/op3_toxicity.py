@@ -25,15 +25,18 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import free, written
+
 SAMPLE = 2000  # labelled rows of each class that are learned from, at most
 SUPPORT = 3  # different neighbourhoods that a term needs in toxic rows
 LOG_ODDS = 3.0  # least weight of a term
@@ -191,54 +194,70 @@ def text_features(text: str, memo: _Memo, weight: dict[str, float]) -> tuple[flo
     return (*(math.log1p(x) for x in sums), sum(sums) / len(words))
 
 
-def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and stems with their log-odds weights from (text, toxic) rows."""
-    def keys_of(word: str) -> list[str]:
-        return [word, *(word[:k] + "*" for k in range(STEM[0], min(STEM[1], len(word) - 1) + 1))]
+def _keys_of(word: str) -> list[str]:
+    return [word, *(word[:k] + "*" for k in range(STEM[0], min(STEM[1], len(word) - 1) + 1))]
 
-    # terms that enough toxic rows have; only these are looked at further
-    often: Counter = Counter()
-    for text, toxic in rows:
-        if toxic:
-            often.update({k for w in set(WORD.findall(text.lower())) if len(w) >= STEM[0] for k in keys_of(w)})
-    known = {k for k, c in often.items() if c >= SUPPORT}
-    del often
+
+def _place(words: list[str], i: int) -> int:
+    """A 64-bit name of a word's neighbourhood."""
+    near = f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}"
+    return xxhash.xxh64_intdigest(near.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def term_rows(rows: Iterable[tuple[str, int]]) -> Iterator[tuple]:
+    """Of some (text, toxic) rows, per term and class: (key, toxic, rows that have it, 0, neighbourhoods, a stem's words), the
+    last two of toxic rows and no more than the tests ask for; with the key "" a class's rows and, in the fourth, words."""
     n, total = [0, 0], [0, 0]
-    seen: tuple[Counter, Counter] = (Counter(), Counter())  # rows with a term, by class
-    places: tuple[dict, dict] = (defaultdict(set), defaultdict(set))  # neighbourhoods of a term, by class
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    places: dict[str, set] = defaultdict(set)
     stem_words: dict[str, set] = defaultdict(set)
     for text, toxic in rows:
         words = WORD.findall(text.lower())
         n[toxic] += 1
         total[toxic] += len(words)
-        keys = {w: ks for w in set(words) if len(w) >= STEM[0] and (ks := [k for k in keys_of(w) if k in known])}
+        keys = {w: _keys_of(w) for w in set(words) if len(w) >= STEM[0]}
         seen[toxic].update({k for ks in keys.values() for k in ks})
+        if not toxic:
+            continue
         for i, w in enumerate(words):
-            if w in keys:
-                place = hash((words[i - 1] if i else "", words[i + 1] if i + 1 < len(words) else ""))
-                for k in keys[w]:
-                    places[toxic][k].add(place)
-        if toxic:
-            for w, ks in keys.items():
-                for k in ks:
-                    if k[-1] == "*":
-                        stem_words[k].add(w)
-    if not min(n):
-        return {}, {}
-    tested = [k for k, p in places[1].items() if len(p) >= SUPPORT and seen[1][k] >= SUPPORT
-              and (k[-1] != "*" or len(stem_words[k]) >= STEM_WORDS)]
-    surprise = 2 * math.log(max(2, len(tested)))  # what chance reaches in so many tests
+            for k in keys.get(w, ()):
+                if len(places[k]) < SUPPORT:
+                    places[k].add(_place(words, i))
+        for w, ks in keys.items():
+            for k in ks:
+                if k[-1] == "*" and len(stem_words[k]) < STEM_WORDS:
+                    stem_words[k].add(w)
+    for toxic in (0, 1):
+        yield "", toxic, n[toxic], total[toxic], [], []
+        for k, c in seen[toxic].items():
+            yield k, toxic, c, 0, sorted(places[k]) if toxic else [], sorted(stem_words.get(k, ())) if toxic else []
+
+
+def place_rows(rows: Iterable[tuple[str, int]], terms: frozenset) -> set[tuple[str, int, int]]:
+    """(key, toxic, neighbourhood) of the given terms' uses in some (text, toxic) rows."""
+    out = set()
+    for text, toxic in rows:
+        words = WORD.findall(text.lower())
+        for i, w in enumerate(words):
+            if len(w) >= STEM[0] and (ks := [k for k in _keys_of(w) if k in terms]):
+                place = _place(words, i)
+                out.update((k, toxic, place) for k in ks)
+    return out
+
 
-    def weight(key: str) -> float:
-        return math.log((seen[1][key] + 0.5) / (n[1] + 1)) - math.log((seen[0][key] + 0.5) / (n[0] + 1))
+def chosen_terms(uses: dict[str, tuple[int, int]], weights: dict[str, float], tested: int,
+                 total: list[int]) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and stems with their weights: of ``weights`` the terms whose uses (neighbourhoods in other and toxic rows)
+    differ by more than chance among ``tested`` terms; ``total``: words by class."""
+    surprise = 2 * math.log(max(2, tested))  # what chance reaches in so many tests
 
     def gain(key: str) -> float:
         """Likelihood ratio of the term's uses in toxic and other rows against equal use."""
-        k1, k0 = len(places[1][key]), len(places[0].get(key, ()))
+        k0, k1 = uses.get(key, (0, 0))
         e1 = (k1 + k0) * total[1] / (total[0] + total[1])
         return 2 * (k1 * math.log(k1 / e1) + (k0 * math.log(k0 / (k1 + k0 - e1)) if k0 else 0.0)) if k1 > e1 else 0.0
 
-    kept = {k: x for k in tested if gain(k) > surprise and (x := weight(k)) >= LOG_ODDS}
+    kept = {k: x for k, x in weights.items() if gain(k) > surprise}
     stems = {k[:-1]: x for k, x in kept.items() if k[-1] == "*"}
     # a stem goes where a longer stem or word is purer, else the shortest stands for the longer ones
     purer: dict[str, float] = defaultdict(float)
@@ -251,15 +270,95 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[s
     return words, stems
 
 
+def _weight(seen: tuple[int, int], n: list[int]) -> float:
+    return math.log((seen[1] + 0.5) / (n[1] + 1)) - math.log((seen[0] + 0.5) / (n[0] + 1))
+
+
+def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and stems with their log-odds weights from (text, toxic) rows."""
+    n, total, seen, passed = [0, 0], [0, 0], defaultdict(lambda: [0, 0]), set()
+    for k, toxic, c, words, places, kinds in term_rows(rows):
+        if not k:
+            n[toxic], total[toxic] = c, words
+            continue
+        seen[k][toxic] = c
+        if toxic and c >= SUPPORT and len(places) >= SUPPORT and (k[-1] != "*" or len(kinds) >= STEM_WORDS):
+            passed.add(k)
+    if not min(n):
+        return {}, {}
+    weights = {k: x for k in passed if (x := _weight(seen[k], n)) >= LOG_ODDS}
+    uses: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    for k, toxic, _ in place_rows(rows, frozenset(weights)):
+        uses[k][toxic] += 1
+    return chosen_terms(uses, weights, len(passed), total)
+
+
+def _pairs(b) -> Iterator[tuple[str, int]]:
+    """(text, toxic) of a batch, a row at a time."""
+    return ((t.as_py(), c.as_py()) for t, c in zip(b.column("text"), b.column("toxic"), strict=True))
+
+
+def lexicon_of(sample: DataFrame) -> tuple[dict[str, float], dict[str, float], list[int]]:
+    """As ``learn_lexicon`` from a table (text, toxic), and the rows by class: terms are counted by Spark, the driver gets
+    those whose weight suffices."""
+    def terms(batches: Iterator) -> Iterator:
+        for b in batches:
+            got = list(zip(*term_rows(_pairs(b)), strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(got, kinds, strict=True)], names=names)
+
+    names = ["key", "toxic", "rows", "words", "places", "kinds"]
+    kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string())]
+    many = lambda c: F.size(F.array_distinct(F.flatten(F.collect_list(c))))  # noqa: E731 - a task gives at most SUPPORT or STEM_WORDS
+    of = lambda c, toxic: F.sum(F.when(F.col("toxic") == toxic, F.col(c)).otherwise(0))
+    counts = written(sample.mapInArrow(terms, "key string, toxic int, rows long, words long, places array<long>, kinds array<string>")
+                     .groupBy("key").agg(of("rows", 0).alias("n0"), of("rows", 1).alias("n1"), of("words", 0).alias("w0"),
+                                         of("words", 1).alias("w1"), many("places").alias("places"), many("kinds").alias("kinds")),
+                     "terms", few=True)
+    whole = counts.where("key = ''").first()
+    n, total = ([whole["n0"], whole["n1"]], [whole["w0"], whole["w1"]]) if whole else ([0, 0], [0, 0])
+    if not min(n):
+        free(counts)
+        return {}, {}, n
+    passed = counts.where((F.col("key") != "") & (F.col("n1") >= SUPPORT) & (F.col("places") >= SUPPORT)
+                          & (~F.col("key").endswith("*") | (F.col("kinds") >= STEM_WORDS)))
+    tested = passed.count()
+    odds = F.log((F.col("n1") + 0.5) / (n[1] + 1)) - F.log((F.col("n0") + 0.5) / (n[0] + 1))
+    weights = {r["key"]: x for r in passed.where(odds >= LOG_ODDS - 1e-6).select("key", "n0", "n1").orderBy("key").collect()
+               if (x := _weight((r["n0"], r["n1"]), n)) >= LOG_ODDS}
+    free(counts)
+    known = frozenset(weights)
+
+    def places(batches: Iterator) -> Iterator:
+        for b in batches:
+            got = list(zip(*place_rows(_pairs(b), known), strict=True)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(got, (pa.string(), pa.int32(), pa.int64()), strict=True)],
+                                             names=["key", "toxic", "place"])
+
+    uses: dict[str, list[int]] = defaultdict(lambda: [0, 0])
+    for r in (sample.mapInArrow(places, "key string, toxic int, place long").distinct().groupBy("key", "toxic").count().collect()):
+        uses[r["key"]][r["toxic"]] = r["count"]
+    return *chosen_terms(uses, weights, tested, total), n
+
+
 def fit_rows(rows: list[tuple[str, int]], rounds: int = 400, ridge: float = 0.01) -> ToxicityModel:
     """The model from (text, toxic) rows: lexicon, then a logistic regression with classes weighed alike."""
     y = np.array([t for _, t in rows], dtype=float)
     if not len(y) or y.min() == y.max():
-        p = min(max(float(y.mean()) if len(y) else 0.0, 1e-9), 1 - 1e-9)
-        return ToxicityModel(bias=math.log(p / (1 - p)))
+        return share_model(float(y.mean()) if len(y) else 0.0)
     words, stems = learn_lexicon(rows)
     memo = _Memo(LexiconAutomaton(words, stems))
-    x = np.array([text_features(t, memo, words | stems) for t, _ in rows])
+    return fit_features(words, stems, np.array([text_features(t, memo, words | stems) for t, _ in rows]), y, rounds, ridge)
+
+
+def share_model(share: float) -> ToxicityModel:
+    """Every score is the share of toxic labels."""
+    p = min(max(share, 1e-9), 1 - 1e-9)
+    return ToxicityModel(bias=math.log(p / (1 - p)))
+
+
+def fit_features(words: dict[str, float], stems: dict[str, float], x: np.ndarray, y: np.ndarray, rounds: int = 400,
+                 ridge: float = 0.01) -> ToxicityModel:
+    """The logistic regression over the rows' features."""
     # weights are kept non-negative: more hits never lower a score; a quoted hit never counts more than a plain one
     w, b = np.zeros(5), -1.0
     c = np.where(y > 0, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
@@ -294,8 +393,25 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> To
         picked = ids if picked is None else picked.unionByName(ids)
     # at most 2 * sample ids: broadcast, so the texts are read without a shuffle
     got = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-           .join(F.broadcast(picked), "doc_id").orderBy("doc_id", "toxic", "text").limit(2 * sample).collect())
-    return fit_rows([(r["text"], int(r["toxic"])) for r in got])
+           .join(F.broadcast(picked), "doc_id").orderBy("doc_id", "toxic", "text").limit(2 * sample)
+           .select(F.monotonically_increasing_id().alias("at"), "text", "toxic"))
+    # the driver gets no texts: terms are counted and features computed by tasks
+    rows = written(got.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism, "at"), "sample")
+    words, stems, n = lexicon_of(rows)
+    if not min(n):
+        free(rows)
+        return share_model(n[1] / sum(n) if sum(n) else 0.0)
+
+    def features(batches: Iterator) -> Iterator:
+        memo = _Memo(LexiconAutomaton(words, stems))
+        for b in batches:
+            x = [text_features(t.as_py(), memo, words | stems) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("at"), b.column("toxic"), pa.array(x, pa.list_(pa.float64()))],
+                                             names=["at", "toxic", "x"])
+
+    found = rows.mapInArrow(features, "at long, toxic int, x array<double>").orderBy("at").collect()
+    free(rows)
+    return fit_features(words, stems, np.array([r["x"] for r in found]), np.array([r["toxic"] for r in found], dtype=float))
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
@@ -306,8 +422,6 @@ def score_texts(docs: DataFrame, model: ToxicityModel, threshold: float = THRESH
                            T.StructField("toxic_predicted", T.IntegerType())])
 
     def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         memo = _Memo(LexiconAutomaton(model.words, model.stems))
         weight = model.words | model.stems
         for b in batches:

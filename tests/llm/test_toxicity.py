@@ -118,3 +118,26 @@ def test_quotation_is_looked_up_once_per_text():
 
     seconds(100)
     assert seconds(16_000) < 2.0
+
+
+def test_driver_learns_without_the_texts(spark, monkeypatch):
+    """The model from a table is that of its rows, and no text of the sample reaches the driver."""
+    from pyspark.sql import DataFrame
+    rng = random.Random(12)
+    rows = [(9, "grobian " + prose(rng, 10))] * 2 + [(7, None)]
+    for i in range(300):
+        words = prose(rng, 40).split()
+        for w in ["grobian", "scoundr" + rng.choice(["el", "y", "ing", "ish"])] if i % 3 == 0 else []:
+            words.insert(rng.randrange(len(words)), w)
+        rows.append((i, " ".join(words)))
+    mine = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    lab = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    d = docs(spark, rows)
+    got, seen = DataFrame.collect, []
+    monkeypatch.setattr(DataFrame, "collect", lambda self: seen.append(self.columns) or got(self))
+    model = op.fit_toxicity(d, lab)
+    monkeypatch.undo()
+    assert not any("text" in c for c in seen)
+    plain = op.fit_rows(sorted((t or "", int(i % 3 == 0)) for i, t in rows if i in set(mine)))
+    assert model.words == plain.words and model.stems == plain.stems and "grobian" in model.words
+    assert model.weights == pytest.approx(plain.weights, abs=1e-5) and model.bias == pytest.approx(plain.bias, abs=1e-5)
