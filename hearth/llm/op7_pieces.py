@@ -33,6 +33,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -67,6 +68,7 @@ class Pieces:
     texts: list[str]
     depth: int
     count: int
+    roots: np.ndarray  # character -> node of its step from the root, or -1
 
 
 def _slot(key: np.ndarray, size: int) -> np.ndarray:
@@ -120,12 +122,16 @@ def load_pieces(path: str = VOCABULARY) -> Pieces:
         for c in texts[i]:
             at = trie.setdefault((at, ord(c)), len(trie) + 1)
         ends[at] = i
+    roots = np.full(OWN_SPACE + 1, -1, np.int32)
+    for (n, c), to in trie.items():
+        if not n:
+            roots[c] = to
     keys, nexts = step_table([(n << 21) | c for n, c in trie], list(trie.values()))
     piece = np.full(len(trie) + 1, -1, np.int32)
     ranks = np.zeros(len(trie) + 1)
     for n, i in ends.items():
         piece[n], ranks[n] = i, rank[i]
-    return Pieces(keys, nexts, piece, -np.log(ranks + SHIFT), byte_ids, texts, max(len(texts[i]) for i in plain), len(plain))
+    return Pieces(keys, nexts, piece, -np.log(ranks + SHIFT), byte_ids, texts, max(len(texts[i]) for i in plain), len(plain), roots)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -177,19 +183,22 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float, best_path: boo
     ends = np.cumsum(size)
     end = np.repeat(ends, size).astype(np.int32)
     n = len(cp)
-    at, node, found = np.arange(n, dtype=np.int32), np.zeros(n, np.int32), []
+    at, node, found = np.arange(n, dtype=np.int32), pieces.roots[cp], []
     single = np.zeros(n, bool)
+    weight = theta * pieces.weight
     for d in range(pieces.depth):
-        node = step_to(pieces, node, cp[at + d])
+        if d:
+            node = step_to(pieces, node, cp[at + d])
         ok = node >= 0
         at, node = at[ok], node[ok]
         if not len(at):
             break
-        is_piece = pieces.piece[node] >= 0
+        which = pieces.piece[node]
+        is_piece = which >= 0
         s, m = at[is_piece], node[is_piece]
         if d == 0:
             single[s] = True
-        found.append((s, s + np.int32(d + 1), pieces.piece[m], theta * pieces.weight[m]))
+        found.append((s, d + 1, which[is_piece], weight[m]))
         more = at + d + 1 < end[at]
         at, node = at[more], node[more]
     lone = np.flatnonzero(~single).astype(np.int32)
@@ -197,35 +206,43 @@ def build_lattice(words: list[str], pieces: Pieces, theta: float, best_path: boo
     width = np.where(cp[lone] == OWN_SPACE, 3, width)
     low = -theta * math.log(2 * pieces.count + SHIFT)
     byte = np.where(cp[lone] < 0x80, pieces.byte_ids[np.minimum(cp[lone], 0x7F)], -1 - cp[lone])
-    found.append((lone, lone + np.int32(1), byte.astype(np.int32), low * width))
+    found.append((lone, 1, byte.astype(np.int32), low * width))
     # edges by position, longer pieces first: they are mostly the likelier ones, so a walk looks at few
-    start, stop, ids, score = (np.concatenate(x[::-1]) for x in zip(*found, strict=True))
-    order = np.argsort(start, kind="stable")
-    start, stop, ids, score = start[order], stop[order], ids[order], score[order]
-    last = stop == end[start]
+    many = np.zeros(n, np.int64)
+    for s, *_ in found:
+        many[s] += 1  # a position has one edge of a kind
+    first = np.append(0, np.cumsum(many))
+    free = first[:-1].copy()
+    stop, ids, score = np.empty(first[-1], np.int32), np.empty(first[-1], np.int32), np.empty(first[-1])
+    for s, width, which, x in reversed(found):
+        to = free[s]
+        stop[to], ids[to], score[to] = s + np.int32(width), which, x
+        free[s] += 1
+    start = np.repeat(np.arange(n, dtype=np.int32), many)
+    last = stop == np.repeat(end, many)
+    to = np.where(last, np.int32(n), stop)  # the place after all stands for every word's end
     # backward sums, all words at once by the distance to the word's end
     beta, top, best = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n, np.int64)
-    dist = end[start] - start
+    dist = end - np.arange(n, dtype=np.int32)
     by = np.argsort(dist.astype(np.int16) if dist.max(initial=0) < 1 << 15 else dist, kind="stable")
     cuts = np.searchsorted(dist[by], np.arange(1, int(dist.max(initial=0)) + 2))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        e = by[a:b]
-        s = start[e]
-        head = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-        count = np.diff(np.append(head, len(e)))
-        v = score[e] + np.where(last[e], 0.0, beta[stop[e]])
+        s = by[a:b]
+        count = many[s]
+        head = np.cumsum(count) - count
+        e = np.repeat(first[s] - head, count) + np.arange(head[-1] + count[-1])
+        v = score[e] + beta[to[e]]
         m = np.maximum.reduceat(v, head)
-        beta[s[head]] = m + np.log(np.add.reduceat(np.exp(v - np.repeat(m, count)), head))
+        beta[s] = m + np.log(np.add.reduceat(np.exp(v - np.repeat(m, count)), head))
         if best_path:
-            w = score[e] + np.where(last[e], 0.0, top[stop[e]])
+            w = score[e] + top[to[e]]
             m = np.maximum.reduceat(w, head)
-            top[s[head]] = m
+            top[s] = m
             hit = np.flatnonzero(w == np.repeat(m, count))[::-1]  # of equal paths the one with the longer piece
-            best[s[hit]] = e[hit]
-    prob = np.exp(score + np.where(last, 0.0, beta[stop]) - beta[start])
-    first = np.append(0, np.cumsum(np.bincount(start, minlength=n)))
+            best[start[e[hit]]] = e[hit]
+    prob = np.exp(score + beta[to] - np.repeat(beta[:-1], many))
     total = np.cumsum(prob)
-    upto = total - np.append(0.0, total)[first[:-1]][start]
+    upto = total - np.repeat(np.append(0.0, total)[first[:-1]], many)
     upto[first[1:] - 1] = 1.0
     return Lattice(first, np.where(last, np.int32(-1), stop), ids, prob, upto, start, ends - size, best if best_path else None)
 
@@ -281,7 +298,6 @@ class _Path:
 
 def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, theta: float) -> list[list[tuple]]:
     """Per text: up to k tuples (edges' piece ids, log probability, perturbed, log inclusion), best perturbed first."""
-    index = _Index()
     parts = [CHUNK.findall(t) for t in texts]
     docs = len(texts)
     out: list[list[tuple]] = [[] for _ in texts]
@@ -291,14 +307,14 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
         out[d] = [(np.zeros(0, np.int32), 0.0, float(perturbed[d]), 0.0)]
     if not many.any():
         return out
-    word = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(parts)), np.int64, int(many.sum()))
-    lat = build_lattice(list(index), pieces, theta)
+    word, index = pd.factorize(np.array(list(itertools.chain.from_iterable(parts)), object))
+    lat = build_lattice(index.tolist(), pieces, theta)
     doc = np.repeat(np.arange(docs), many)
     head = np.cumsum(many) - many  # a document's first word
     nth = np.arange(len(word)) - head[doc]
-    logp = np.log(lat.prob)
+    logp, choices = np.log(lat.prob), np.diff(lat.first)
     with np.errstate(divide="ignore"):  # log of the mass beside an edge
-        beside = np.log(np.where(np.diff(lat.first)[lat.start] == 1, 0.0, np.maximum(1.0 - lat.prob, 0.0)))
+        beside = np.log(np.where(np.repeat(choices == 1, choices), 0.0, np.maximum(1.0 - lat.prob, 0.0)))
     live = many > 0
     bound = np.where(live, perturbed, -np.inf)  # of the path being drawn
     paths: list[_Path] = []
@@ -331,6 +347,7 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
         else:
             at = np.full(len(word), -1)
             kept, mine = [None] * docs, np.isfinite(bound)
+            drawn = _uniform(_stream(keys, 1, j), np.zeros(1)).tolist()
             for d in np.flatnonzero(mine):
                 path, place = paths[whence[d]], places[d]
                 old = path.edges[place]
@@ -340,7 +357,7 @@ def sample_group(texts: list[str], keys: np.ndarray, pieces: Pieces, k: int, the
                 p = lat.prob[a:b].copy()
                 p[np.array(taken) - a] = 0.0
                 c = np.cumsum(p)
-                u = float(_uniform(_stream(keys[d:d + 1], 1, j), np.zeros(1))[0]) * c[-1]
+                u = drawn[d] * c[-1]
                 new = int(a + min(np.searchsorted(c, u, "right"), np.flatnonzero(p)[-1]))
                 path.open[place] = -np.inf
                 w = path.words[place]
@@ -454,6 +471,15 @@ def join_pieces(ids, known: list[bytes]) -> bytes:
     return b"".join([known[i] for i in ids])
 
 
+def decoded(flat: np.ndarray, size: np.ndarray, known: pa.LargeBinaryArray) -> Iterator[bytes]:
+    """The texts, in UTF-8, of sequences of piece ids laid end to end; ``size``: ids of each."""
+    taken = known.take(pa.array(flat))
+    at = np.frombuffer(taken.buffers()[1], np.int64, len(flat) + 1, taken.offset * 8) if len(flat) else np.zeros(1, np.int64)
+    whole = memoryview(taken.buffers()[2] or b"") if len(flat) else memoryview(b"")
+    cut = at[np.append(0, np.cumsum(size, dtype=np.int64))].tolist()
+    return (whole[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True))
+
+
 def decode_ids(ids, pieces: Pieces) -> str:
     """The text of a sequence of piece ids."""
     return join_pieces(ids, piece_bytes(pieces)).decode("utf-8", "surrogatepass")
@@ -485,21 +511,21 @@ def sample_encodings(docs: DataFrame, vocabulary: str = VOCABULARY, k: int = SAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model.value
-        known = piece_bytes(pieces)
+        known = pa.array(piece_bytes(pieces), pa.large_binary())
         for b in batches:
             for names, texts in _groups(b):
                 rows = []
                 for d, t, group in zip(names, texts, sample_group(texts, row_keys(names, seed), pieces, k, theta), strict=True):
-                    whole = t.encode("utf-8", "surrogatepass")
-                    rows += [(d, j + 1, *s, join_pieces(s[0].tolist(), known) == whole) for j, s in enumerate(group)]
+                    rows += [(d, j + 1, *s, t) for j, s in enumerate(group)]
                 ids = [r[2] for r in rows]
                 size = np.array([len(x) for x in ids], np.int32)
                 flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
+                back = decoded(flat, size, known)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                      pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(flat, pa.int32())),
                      pa.array(size), *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)],
-                     pa.array([r[6] for r in rows], pa.bool_())],
+                     pa.array([x == r[6].encode("utf-8", "surrogatepass") for x, r in zip(back, rows, strict=True)], pa.bool_())],
                     names=["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "log_inclusion", "restored"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(

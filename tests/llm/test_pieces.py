@@ -128,3 +128,16 @@ def test_a_batch_is_held_a_group_at_a_time():
     finally:
         tracemalloc.stop()
     assert seen == [(i, t or "") for i, t in enumerate(texts)]
+
+
+def test_sequences_laid_end_to_end_decode_as_each_alone():
+    import numpy as np
+    import pyarrow as pa
+    pieces = op.load_pieces()
+    known = op.piece_bytes(pieces)
+    texts = ["", "one two  three", "x▁y \U0001F600 ", "é" * 30, ""]
+    ids = op.best_group(texts, pieces, 1.0)
+    for some in (ids, ids[:1], []):
+        flat = np.concatenate(some) if some else np.zeros(0, np.int32)
+        got = list(op.decoded(flat, np.array([len(x) for x in some], np.int32), pa.array(known, pa.large_binary())))
+        assert got == [op.join_pieces(x.tolist(), known) for x in some] == [t.encode() for t in texts[:len(some)]]
