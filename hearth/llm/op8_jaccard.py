@@ -47,7 +47,7 @@ NUM, DEN = 75, 100
 HEAVY_MOST = 100_000  # shingles sent to the tasks, at most (800 KB)
 HEAVY_LEAST = 8  # repeats from which a shingle counts as heavy
 COUNTED = 10_000  # documents, at least, among which repeats are counted at once
-PASSES = 2  # over the texts, to move the inverted lists in as many shares
+PASSES = 2  # over the texts, to move the inverted lists in as many shares (each has a small table written after it)
 LIST_ROWS = 50_000  # measured length from which a list is salted
 SMALL_MOST = 40  # largest boundary tried
 BROADCAST_ROWS = 500_000  # wanted (doc_id, sid) rows sent to all tasks, at most (8 MB)
@@ -581,21 +581,24 @@ def set_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     boundary = size_boundary(squares / total - 1 if total else 0.0, num, den)
     counts = np.array([r["c"] for r in heavy], np.int64)
     # the entries are by far the largest shuffle: each pass over the texts moves the lists of one share of the keys
-    shares = []
+    # the session's listeners hold a plan until a later one ends, so a pass's shuffle files go after one more small table
+    first = own.where("n_shingles > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
+    beside, shares = {"classes": first, "own": own}, []
     for part in range(PASSES):
         entries = list_entries(docs, names, counts, boundary, words, num, den, part, PASSES)
         shares.append(written(list_members(entries), "lists"))
+        name = ("classes", "own")[part]
+        beside[name] = written(beside[name], name, few=True)
         release(docs.sparkSession)
+    first, own = beside["classes"], beside["own"]
     lists = shares[0]
     for more in shares[1:]:
         lists = lists.unionByName(more)
     members = written(distinct_lists(lists), "lists", few=True)
     free(*shares)
-    first = own.where("n_shingles > 0 and doc_id is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
-    first = written(first, "classes", few=True)
     bits = (rows.where("kind = 0 and bits is not null").select("sid", "n", "bits")
             .join(members.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"]))
-    bits, own = written(bits, "bits", few=True), written(own, "own", few=True)
+    bits = written(bits, "bits", few=True)
     free(rows)
     verifier = Verifier(docs, first, bits, words, num, den)
     tied = link_components(members, verifier, num, den).withColumnRenamed("node", "sid")

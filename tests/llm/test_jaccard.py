@@ -172,3 +172,17 @@ def test_repeats_are_counted_over_runs_of_batches(spark, rows, monkeypatch):
     assert sum(r["n"] for r in out if r["kind"] == 2) == sum(op.prefix_length(12, 1) for _ in range(30))
     assert (sum(r["kind"] == 2 for r in out) == 1) == (rows > 30)
     assert max([r["n"] for r in out if r["kind"] == 1], default=0) > (20 if rows > 30 else -1)
+
+
+def test_shuffle_files_of_a_pass_go_before_the_next_step(spark, monkeypatch):
+    """Another plan ends and the collector runs between a pass over the texts and what follows."""
+    rng, steps = random.Random(21), []
+    write, let_go = op.written, op.release
+    monkeypatch.setattr(op, "written", lambda df, name, few=False: steps.append(name) or write(df, name, few))
+    monkeypatch.setattr(op, "release", lambda s: steps.append("release") or let_go(s))
+    d = docs(spark, [(i, prose(rng, 30)) for i in range(20)])
+    assert op.jaccard_components(d).count() == 20
+    at = [i for i, x in enumerate(steps) if x == "lists"][:op.PASSES]
+    assert len(at) == op.PASSES
+    for i in at:
+        assert steps[i + 1] not in ("lists", "release") and steps[i + 2] == "release", steps
