@@ -31,7 +31,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -57,61 +57,101 @@ LONG_LIST = 64  # members from which a list is compared in blocks
 BLOCK = 4096  # sets of a long list that a task holds, for each side
 KEYS = 1 << 20  # keys of pairs compared at once
 STEP = 256  # of them compared with the other side at once
+HEAD = 4  # part of the bitmaps, one in so many, that is compared first
 BEST = 2  # partners of a set that the first round over long lists passes on, for each pair of blocks
+SLAB = 1 << 16  # bytes of texts hashed at once
 SEEN = 100_000  # sets that a task remembers, so that copies are not emitted again
 
 _MIX, _MUL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-# of each byte: 0 for ASCII white space, else its value and one, A-Z as small letters
-_VALUE = np.array([0 if chr(b).isspace() and b < 0x80 and b not in range(0x1C, 0x20) else 1 + (b + 32 if 65 <= b <= 90 else b) for b in range(256)], np.uint64)
-_LONG = 1 << 12
-_POWERS = np.cumprod(np.concatenate([[np.uint64(1)], np.full(_LONG - 1, np.uint64(0xD6E8FEB86659FD93))]), dtype=np.uint64)
+# of each byte: 0 for ASCII white space, else its value and one, A-Z as small letters (0xFF, in no UTF-8, takes A's place)
+_VALUE = bytes(0 if chr(b).isspace() and b < 0x80 and b not in range(0x1C, 0x20) else 1 + (b + 32 if 65 <= b <= 90 else b) if b < 255 else 66
+               for b in range(256))
+_LONG = 1 << 16
+_BASE = 0xD6E8FEB86659FD93
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, np.uint64(base))]), dtype=np.uint64)
+
+
+_POWERS, _INVERSE = _powers(_BASE, _LONG), _powers(pow(_BASE, -1, 1 << 64), _LONG)
 _BY_WORD = np.random.Generator(np.random.PCG64(8)).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of every word: a polynomial in its bytes, mixed. White space cuts words, A-Z count as small letters."""
-    value = _VALUE[np.frombuffer(text, np.uint8)]
-    edge = np.empty(len(value) + 1, bool)
-    space = value == 0
-    edge[0], edge[-1] = not len(space) or not space[0], False
-    edge[1:-1] = space[:-1] & ~space[1:]
+def word_hashes(text: bytes, places: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word: a polynomial in its bytes, mixed. White space cuts words, A-Z count as small letters.
+    With ``places`` also where each word starts."""
+    value = np.frombuffer(text.translate(_VALUE), np.uint8)
+    edge = value != 0
+    edge[1:] &= value[:-1] == 0
     start = np.flatnonzero(edge)
     if not len(start):
-        return np.zeros(0, np.uint64)
-    value = value[start[0]:]
-    start = start - start[0]
-    at = np.arange(len(value)) - np.repeat(start, np.diff(start, append=len(value)))
-    power = _POWERS[at & (_LONG - 1)]
-    if len(at) > _LONG and at.max() >= _LONG:  # a very long word: higher powers in steps
-        steps = np.cumprod(np.concatenate([[np.uint64(1)], np.repeat(_POWERS[-1:] * _POWERS[1:2], int(at.max()) >> 12)]), dtype=np.uint64)
-        power = power * steps[at >> 12]
-    h = np.add.reduceat(value * power, start)
+        h = np.zeros(0, np.uint64)
+        return (h, start) if places else h
+    # summed with the powers of the places in the text, then divided by the power of the word's first place
+    if len(value) <= _LONG:
+        h = np.add.reduceat(value * _POWERS[:len(value)], start) * _INVERSE[start]
+    else:
+        steps = len(value) // _LONG + 1
+        power = (_powers(pow(_BASE, _LONG, 1 << 64), steps)[:, None] * _POWERS).ravel()[:len(value)]
+        back = _powers(pow(_BASE, -_LONG, 1 << 64), steps)
+        h = np.add.reduceat(value * power, start) * _INVERSE[start & (_LONG - 1)] * back[start // _LONG]
     h ^= h >> np.uint64(32)
     h *= _MIX
-    return h ^ (h >> np.uint64(29))
+    h ^= h >> np.uint64(29)
+    return (h, start) if places else h
 
 
 def shingle_set(text: bytes | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes (uint64) of a text in UTF-8."""
-    if not text:
-        return np.zeros(0, np.uint64)
-    h = word_hashes(text)
-    k = min(words, len(h))
+    return next(shingle_sets([text], words))
+
+
+def _shingles(h: np.ndarray, k: int) -> np.ndarray:
+    """The hash of every run of ``k`` words, given the words' hashes."""
     n = len(h) - k + 1
-    if not len(h):
-        return h
     x = np.full(n, k, np.uint64)
     for i in range(k):
         x += h[i:i + n] * (_BY_WORD[i] if i < len(_BY_WORD) else _BY_WORD[i % len(_BY_WORD)] + np.uint64(2 * i))
     x ^= x >> np.uint64(31)
     x *= _MUL
-    x.sort()
-    fresh = np.empty(n, bool)
-    fresh[0] = True
-    np.not_equal(x[1:], x[:-1], out=fresh[1:])
-    return x if fresh.all() else x[fresh]
+    return x
+
+
+def _slabs(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
+    slab, held = [], 0
+    for t in texts:
+        slab.append(t or b"")
+        held += len(slab[-1])
+        if held >= SLAB:
+            yield slab
+            slab, held = [], 0
+    if slab:
+        yield slab
+
+
+def shingle_sets(texts: Iterable[bytes | None], words: int = WORDS) -> Iterator[np.ndarray]:
+    """``shingle_set`` of every text in turn; about ``SLAB`` bytes of texts are hashed at once."""
+    for slab in _slabs(texts):
+        h, start = word_hashes(b" ".join(slab), places=True)
+        ends = np.cumsum([len(t) + 1 for t in slab])
+        cuts = np.searchsorted(start, ends).tolist()
+        x = _shingles(h, words) if len(h) >= words else h[:0]
+        lo = 0
+        for hi in cuts:
+            if hi - lo >= words:
+                s = x[lo:hi - words + 1]
+                s.sort()  # its runs of words are no other text's
+            else:
+                s = _shingles(h[lo:hi], hi - lo) if hi > lo else h[:0]
+            lo = hi
+            if len(s) > 1:
+                fresh = s[1:] != s[:-1]
+                if not fresh.all():
+                    s = s[np.append(True, fresh)]
+            yield s
 
 
 def set_id(s: np.ndarray) -> int:
@@ -123,7 +163,7 @@ def set_bits(s: np.ndarray) -> bytes:
     """Bitmap of a set: ``BITS`` bits for each shingle, up to a power of two, at least 64."""
     m = max(64, 1 << (BITS * len(s) - 1).bit_length()) if len(s) else 64
     bits = np.zeros(m, np.uint8)
-    bits[((s * _MUL) >> np.uint64(20)) & np.uint64(m - 1)] = 1
+    bits[(((s * _MUL) >> np.uint64(20)) & np.uint64(m - 1)).view(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -172,8 +212,7 @@ def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
         first, seen, rows = [], set(), 0
         for b in batches:
             ids, sizes, sids, maps = b.column("doc_id").to_pylist(), [], [], []
-            for text in _texts(b):
-                s = shingle_set(text, words)
+            for s in shingle_sets(_texts(b), words):
                 sid = set_id(s)
                 sizes.append(len(s))
                 sids.append(sid)
@@ -181,7 +220,7 @@ def set_profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int =
                 maps.append(set_bits(s) if fresh else None)  # once in a run
                 if len(s) and sid not in seen:
                     seen.add(sid)
-                    first.append(s[:prefix_length(len(s), 1, num, den)])
+                    first.append(s[:prefix_length(len(s), 1, num, den)].copy())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(ids), np.int32)), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(sids, pa.int64()), pa.array(maps, pa.binary())], names=names)
@@ -206,18 +245,44 @@ def size_boundary(partners: float, num: int = NUM, den: int = DEN) -> int:
     return best
 
 
+def heavy_last(s: np.ndarray, heavy: np.ndarray, likely: np.ndarray) -> np.ndarray:
+    """A set with its heavy shingles (sorted) behind the others; ``likely`` tells by a shingle's first bits whether it can be one."""
+    at = np.flatnonzero(likely[(s >> np.uint64(46)).view(np.int64)])
+    if len(at):
+        maybe = s[at]
+        at = at[heavy[np.minimum(np.searchsorted(heavy, maybe), len(heavy) - 1)] == maybe]
+    if not len(at):
+        return s
+    light = np.ones(len(s), bool)
+    light[at] = False
+    return np.concatenate([s[light], s[at]])
+
+
+def _salted(key: np.ndarray, salt: np.ndarray) -> np.ndarray:
+    """The name of a key's part; the same with that name and the salt gives the key again. Salt 0: the key."""
+    return key ^ (salt.astype(np.uint64) * _MIX).view(np.int64)
+
+
 def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundary: int, words: int = WORDS,
                  num: int = NUM, den: int = DEN, part: int = 0, parts: int = 1) -> DataFrame:
-    """Rows (key, salt, sid, n): inverted list entries and enumerated 2-subsets of every set; of ``parts`` equal
-    shares of all keys the one numbered ``part``."""
+    """Rows (list, salt, sid, n): inverted list entries and enumerated 2-subsets of every set; of ``parts`` equal
+    shares of all keys the one numbered ``part``. ``list`` is the key with the salt mixed in (``_salted``), so one column sorts the lists."""
     known = docs.sparkSession.sparkContext.broadcast((heavy, np.maximum(1, counts // LIST_ROWS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (heavy, salts), seen = known.value, set()
+        likely = np.zeros(1 << 18, bool)  # by the first bits of a shingle: whether it can be heavy
+        likely[(heavy >> np.uint64(46)).view(np.int64)] = True
+        long, splits = heavy[salts > 1], salts[salts > 1]
+
+        def salts_of(x: np.ndarray) -> np.ndarray:
+            """In how many parts the lists of the shingles x are kept."""
+            at = np.minimum(np.searchsorted(long, x), len(long) - 1)
+            return np.where(long[at] == x, splits[at], 1)
+
         for b in _slices(batches):
-            keys, owners, sizes = [], [], []
-            for text, doc_id in zip(_texts(b), b.column("doc_id").to_pylist(), strict=True):
-                s = shingle_set(text, words)
+            keys, owners, sizes, cut = [], [], [], []
+            for s, doc_id in zip(shingle_sets(_texts(b), words), b.column("doc_id").to_pylist(), strict=True):
                 n = len(s)
                 if n < 3 or doc_id is None:  # sets of one or two shingles have no partner but their copies
                     continue
@@ -227,77 +292,92 @@ def list_entries(docs: DataFrame, heavy: np.ndarray, counts: np.ndarray, boundar
                 if len(seen) > SEEN:
                     seen.clear()
                 seen.add(sid)
-                if len(heavy):
-                    at = np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)
-                    often = heavy[at] == s
-                    s = np.concatenate([s[~often], s[often]])
-                own = []
+                s = heavy_last(s, heavy, likely)
                 if n > boundary or -(-num * (boundary + 1) // den) <= n:
-                    own.append(s[:prefix_length(n, 1, num, den)])
+                    keys.append(s[:prefix_length(n, 1, num, den)])
+                    owners.append(sid)
+                    sizes.append(n)
+                    if len(long):
+                        cut.append(salts_of(keys[-1]))
                 if n <= boundary:
                     p = s[:prefix_length(n, 2, num, den)]
                     i, j = np.triu_indices(len(p), 1)
                     pair = (p[i] * _MIX) ^ (p[j] * _MUL)
-                    own.append(pair ^ (pair >> np.uint64(31)))
-                for x in own:
-                    if parts > 1:
-                        x = x[(x >> np.uint64(7)) % np.uint64(parts) == np.uint64(part)]
-                    keys.append(x)
-                    owners.append(np.full(len(x), sid, np.int64))
-                    sizes.append(np.full(len(x), n, np.int32))
+                    keys.append(pair ^ (pair >> np.uint64(31)))
+                    owners.append(sid)
+                    sizes.append(n)
+                    if len(long):  # a pair's list is no longer than either shingle's
+                        k = salts_of(p)
+                        cut.append(np.minimum(k[i], k[j]))
             if not keys:
                 continue
-            key, owner = np.concatenate(keys), np.concatenate(owners)
+            lengths = [len(x) for x in keys]
+            key, owner = np.concatenate(keys), np.repeat(np.array(owners, np.int64), lengths)
+            n = np.repeat(np.array(sizes, np.int32), lengths)
             salt = np.zeros(len(key), np.int32)
-            if len(heavy) and salts.max() > 1:
-                at = np.minimum(np.searchsorted(heavy, key), len(heavy) - 1)
-                salt = np.where((heavy[at] == key) & (salts[at] > 1), 1 + owner % salts[at], 0).astype(np.int32)
+            if cut:
+                k = np.concatenate(cut)
+                salt = np.where(k > 1, 1 + owner % k, 0).astype(np.int32)
+            if parts > 1:
+                mine = (key >> np.uint64(7)) % np.uint64(parts) == np.uint64(part)
+                key, salt, owner, n = key[mine], salt[mine], owner[mine], n[mine]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), pa.array(salt), pa.array(owner), pa.array(np.concatenate(sizes))],
-                names=["key", "salt", "sid", "n"])
+                [pa.array(_salted(key.view(np.int64), salt)), pa.array(salt), pa.array(owner), pa.array(n)],
+                names=["list", "salt", "sid", "n"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, "key long, salt int, sid long, n int")
+        run, "list long, salt int, sid long, n int")
 
 
 def list_members(entries: DataFrame) -> DataFrame:
     """Rows (key, sid, n, leader, leader_n) of the lists with two sets or more (a salted list's leaders are
-    those of its parts). The lists are sorted by
-    Spark and streamed: a task holds one Arrow batch, however long a list is."""
+    those of its parts). Spark sorts by the one column ``list`` (radix sort); a task holds an Arrow batch and the
+    distinct members of one list or part, which salting keeps to about ``LIST_ROWS``."""
+    def closed(name: np.ndarray, salt: np.ndarray, sid: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        """The members of whole lists; repeats of a set go."""
+        def used() -> np.ndarray:
+            start = np.flatnonzero(np.append(True, name[1:] != name[:-1]))
+            size = np.diff(np.append(start, len(name)))
+            return np.repeat(size > 1, size) | (salt > 0)  # a part of a salted list has its partners elsewhere
+
+        use = used()
+        name, salt, sid, n = name[use], salt[use], sid[use], n[use]
+        if len(name):
+            order = np.lexsort((sid, name))
+            name, salt, sid, n = name[order], salt[order], sid[order], n[order]
+            use = np.append(True, (name[1:] != name[:-1]) | (sid[1:] != sid[:-1]))
+            name, salt, sid, n = name[use], salt[use], sid[use], n[use]
+            use = used()
+            name, salt, sid, n = name[use], salt[use], sid[use], n[use]
+        start = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
+        lead = np.repeat(start, np.diff(np.append(start, len(name))))
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (_salted(name, salt), sid, n, sid[lead], n[lead])],
+                                          names=["key", "sid", "n", "leader", "leader_n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry = None  # the open list: key, salt, leader, its size, last member, whether the leader is out
+        held, rows, most = [], 0, KEYS  # chunks of the open list
         for b in batches:
-            key, salt, sid, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "salt", "sid", "n"))
-            if not len(key):
+            chunk = [b.column(c).to_numpy(zero_copy_only=False) for c in ("list", "salt", "sid", "n")]
+            if not len(chunk[0]):
                 continue
-            out = False
-            if carry is not None:
-                # the open list's leader goes before the batch, then the last member seen counts as a repeat
-                key, salt = np.append(carry[0], key), np.append(carry[1], salt)
-                sid, n = np.append(carry[2], sid), np.append(carry[3], n)
-                out = carry[5]
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
-            repeat = np.zeros(len(key), bool)
-            repeat[1:] = ~new[1:] & (sid[1:] == sid[:-1])
-            if carry is not None and len(key) > 1 and not new[1] and sid[1] == carry[4]:
-                repeat[1] = True
-            last = sid[-1]
-            key, salt, sid, n, new = (x[~repeat] for x in (key, salt, sid, n, new))
-            start = np.flatnonzero(new)
-            size = np.diff(np.append(start, len(key)))
-            lead = np.repeat(start, size)
-            use = np.repeat(size > 1, size) | (salt > 0)  # a part of a salted list has its partners elsewhere
-            if carry is not None and out:
-                use[0] = False
-            open_out = bool(size[-1] > 1 or salt[-1] > 0) or (out and len(start) == 1)
-            at = start[-1]
-            carry = (key[at:at + 1], salt[at:at + 1], sid[at:at + 1], n[at:at + 1], last, open_out)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (key[use], sid[use], n[use], sid[lead][use], n[lead][use])],
-                names=["key", "sid", "n", "leader", "leader_n"])
-
-    ordered = entries.repartition("key", "salt").sortWithinPartitions("key", "salt", "sid")
+            if held and chunk[0][-1] == held[0][0][0]:
+                held.append(chunk)
+                rows += len(chunk[0])
+                if rows > most:  # a long list's repeats go before it is whole
+                    chunk = [np.concatenate(x) for x in zip(*held, strict=True)]
+                    at = np.unique(chunk[2], return_index=True)[1]
+                    held = [[x[at] for x in chunk]]
+                    rows, most = len(at), max(KEYS, 2 * len(at))
+                continue
+            chunk = [np.concatenate(x) for x in zip(*held, chunk, strict=True)]
+            at = int(np.searchsorted(chunk[0], chunk[0][-1]))
+            if at:
+                yield closed(*(x[:at] for x in chunk))
+            held, rows, most = [[x[at:].copy() for x in chunk]], len(chunk[0]) - at, KEYS
+        if held:
+            yield closed(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    ordered = entries.repartition("list").sortWithinPartitions("list")
     return ordered.mapInArrow(run, "key long, sid long, n int, leader long, leader_n int")
 
 
@@ -306,8 +386,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             sids, sets = [], []
-            for text, sid in zip(_texts(b), b.column("sid").to_pylist(), strict=True):
-                s = shingle_set(text, words)
+            for s, sid in zip(shingle_sets(_texts(b), words), b.column("sid").to_pylist(), strict=True):
                 if set_id(s) == sid:  # another row may bear the same id
                     sids.append(sid)
                     sets.append(s.tobytes())
@@ -415,17 +494,32 @@ def _mixed(members: DataFrame, tied: DataFrame) -> DataFrame:
     return label.join(several, "key")
 
 
-def _bound_matrix(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Bits in which each row of x differs from each row of y (rows of uint64)."""
-    if x.shape[1] > y.shape[1]:
-        return _bound_matrix(y, x).T
-    while y.shape[1] > x.shape[1]:  # halves laid over each other: a bitmap of half the length
-        half = y.shape[1] // 2
-        y = y[:, :half] | y[:, half:]
-    out = np.empty((len(x), len(y)), np.int64)
-    step = max(1, 2_000_000 // max(1, y.size))
+def _folded(x: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (rows of uint64) of that width: halves laid over each other."""
+    while x.shape[1] > width:
+        half = x.shape[1] // 2
+        x = x[:, :half] | x[:, half:]
+    return x
+
+
+def _bits_apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits in which each row of x differs from each row of y (rows of uint64 of one width)."""
+    out = np.zeros((len(x), len(y)), np.int32)
+    y = np.ascontiguousarray(y.T)
+    step = max(1, 32_768 // max(1, y.shape[1]))
     for a in range(0, len(x), step):
-        out[a:a + step] = np.bitwise_count(x[a:a + step, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+        part, rows = x[a:a + step], out[a:a + step]
+        for i in range(x.shape[1]):
+            rows += np.bitwise_count(part[:, i, None] ^ y[i])
+    return out
+
+
+def _row_bits_apart(x: np.ndarray, p: np.ndarray, y: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Bits in which the rows p of x differ from the rows q of y, pair by pair."""
+    out = np.empty(len(p), np.int64)
+    step = max(1, KEYS // x.shape[1])
+    for a in range(0, len(p), step):
+        out[a:a + step] = np.bitwise_count(x[p[a:a + step]] ^ y[q[a:a + step]]).sum(axis=1, dtype=np.int64)
     return out
 
 
@@ -447,7 +541,9 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
         for j, (to, y) in classes[1].items():
             if not (k <= 2 * j and j <= 2 * k):  # sizes too far apart to link
                 continue
-            sizes = n[1][to]
+            sizes, width = n[1][to], min(x.shape[1], y.shape[1])
+            near, far = _folded(x, width), _folded(y, width)
+            head = -(-width // HEAD)  # bits that differ there rule out most pairs
             for a in range(0, len(at), STEP):
                 part = at[a:a + STEP]
                 small, large = int(n[0][part[0]]), int(n[0][part[-1]])
@@ -456,12 +552,15 @@ def block_pairs(rows: tuple[list, list], same: bool, key: int, best: int | None,
                     continue
                 other = to[lo:hi]
                 u, v = n[0][part][:, None], n[1][other][None, :]
-                most = (u + v - _bound_matrix(x[a:a + STEP], y[lo:hi])) // 2
+                most = (u + v - _bits_apart(near[a:a + STEP, :head], far[lo:hi, :head])) // 2
                 ok = (den * most >= num * (u + v - most)) & (den * np.minimum(u, v) >= num * np.maximum(u, v))
                 ok &= c[0][part][:, None] != c[1][other][None, :]
                 p, q = np.nonzero(ok)
-                most = most[p, q]
-                found.append((part[p], other[q], most / (n[0][part[p]] + n[1][other[q]] - most)))
+                both = n[0][part[p]] + n[1][other[q]]
+                most = (both - _row_bits_apart(near[a:a + STEP], p, far[lo:hi], q)) // 2
+                ok = den * most >= num * (both - most)
+                p, q, both, most = p[ok], q[ok], both[ok], most[ok]
+                found.append((part[p], other[q], most / (both - most)))
     if not found:
         return []
     p, q, score = (np.concatenate(x) for x in zip(*found, strict=True))

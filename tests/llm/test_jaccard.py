@@ -186,3 +186,58 @@ def test_shuffle_files_of_a_pass_go_before_the_next_step(spark, monkeypatch):
     assert len(at) == op.PASSES
     for i in at:
         assert steps[i + 1] not in ("lists", "release") and steps[i + 2] == "release", steps
+
+
+def test_sets_of_a_slab_are_those_of_each_text(monkeypatch):
+    """Texts hashed together keep their own sets, in whatever slabs; one of a slab's places is past the table of powers."""
+    rng = random.Random(11)
+    texts = [prose(rng, rng.choice([0, 1, 2, 4, 5, 6, 60, 900]), 50).encode() for _ in range(200)]
+    texts += [None, b"", b" \n", b"a" * 70_000 + b" b c d e f", b" " * 70_000 + b"A b C d e f", b"\xff\x00 \x1c x y z"]
+    rng.shuffle(texts)
+    for slab in (1, 500, 1 << 20):
+        monkeypatch.setattr(op, "SLAB", slab)
+        got = [s.tolist() for s in op.shingle_sets(texts)]
+        assert got == [op.shingle_set(t).tolist() for t in texts]
+        assert [len(s) for s in got] == [len(shingles((t or b"").decode("latin-1"))) if t and b"\xff" not in t else n
+                                         for t, n in zip(texts, map(len, got), strict=True)]
+
+
+def test_lists_are_sorted_by_one_column(spark):
+    """Spark's radix sort takes one column; the lists come out whole, without repeats, over any batches."""
+    rng = random.Random(12)
+    keys = [rng.randrange(-1 << 62, 1 << 62) for _ in range(60)]
+    rows = [(k, rng.randrange(1, 500), s) for k in keys for s in (0, 1, 2) for _ in range(rng.choice([1, 1, 2, 30]))]
+    rows += [(k, i, s) for k, i, s in rows if rng.random() < 0.3] + [(keys[0], i % 40, 0) for i in range(900)]
+    named = [(int(op._salted(op.np.array([k]), op.np.array([s], op.np.int32))[0]), s, i, i % 7 + 3) for k, i, s in rows]
+    wanted = []
+    for k, s in {(k, s) for k, _, s in rows}:
+        m = sorted({i for q, i, t in rows if (q, t) == (k, s)})
+        wanted += [(k, i, i % 7 + 3, m[0], m[0] % 7 + 3) for i in m if len(m) > 1 or s]
+    entries = spark.createDataFrame(named, "list long, salt int, sid long, n int")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        members = op.list_members(entries)
+        plan = members._jdf.queryExecution().executedPlan().toString()
+        assert [x.split("]")[0].count(",") for x in plan.split("Sort [")[1:]] == [0]
+        assert sorted(tuple(r) for r in members.collect()) == sorted(wanted)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_blocks_compared_by_parts_lose_no_pair():
+    """What a part of the bitmaps rules out, the whole ones rule out too; all other pairs stay."""
+    rng, rows = random.Random(13), []
+    for i in range(120):
+        w = prose(random.Random(i % 9), 200, 10 ** 6).split()[:rng.choice([12, 40, 60, 190, 200])]
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"e{i}"
+        s = op.shingle_set(" ".join(w).encode())
+        rows.append([i + 1, len(s), i % 5, op.set_bits(s), [3, 8]])
+    wanted = {(x[0], y[0]) for k, x in enumerate(rows) for y in rows[k + 1:] if x[2] != y[2]
+              and 100 * min(x[1], y[1]) >= 75 * max(x[1], y[1])
+              and 100 * (m := op.most_shared(x[3], y[3], x[1], y[1])) >= 75 * (x[1] + y[1] - m)}
+    got = op.block_pairs((rows, []), True, 3, None, 75, 100)
+    assert {tuple(sorted(p)) for p in got} == wanted and len(got) == len(wanted) > 50
+    assert not op.block_pairs((rows, []), True, 8, None, 75, 100)
+    folded = op._bits_apart(op._folded(op.np.arange(64, dtype=op.np.uint64).reshape(4, 16), 4), op.np.zeros((3, 4), op.np.uint64))
+    assert folded.shape == (4, 3) and folded[0, 0] == sum((a | a + 4 | a + 8 | a + 12).bit_count() for a in range(4))
